@@ -6,10 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import bpe, exact_dedup, jaccard_join, quality, token_store
 from .common import table
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies on every machine; a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), num=90, den=100, width=3)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -23,7 +48,7 @@ from t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_exact_dedup": op10_exact_dedup}
+    return {f.__name__: f for f in (op1_jaccard_join, op4_token_store, op6_bpe, op9_quality, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
