@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, jaccard_join, quality, token_store
+from . import bpe, decontam, exact_dedup, jaccard_join, pii, quality, token_store
 from .common import table
 
 
@@ -21,6 +21,14 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), num=90, den=100, width=3)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"), clean=False)
+
+
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -48,7 +56,7 @@ from t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op4_token_store, op6_bpe, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_pii, op3_decontam, op4_token_store, op6_bpe, op9_quality, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
