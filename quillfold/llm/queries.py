@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, exact_dedup, jaccard_join, pii, quality, token_store
+from . import bpe, chat, decontam, exact_dedup, jaccard_join, licenses, pii, quality, token_store
 from .common import table
 
 
@@ -37,6 +37,35 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
+    return chat.digests(chat.conversations(chat.thread(rows.unionByName(extra))))
+
+
+OP7_SQL = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized as (
+  select *, len(role) + len(text)
+    + len(text) - len(replace(text, '\', '')) + len(text) - len(replace(text, '|', '')) + len(role) - len(replace(role, '\', '')) + len(role) - len(replace(role, '|', ''))
+    - 4 * (len(text) - len(replace(text, '[INST]', ''))) // 6 - 5 * (len(text) - len(replace(text, '[/INST]', ''))) // 7 - 6 * (len(text) - len(replace(text, '<</SYS>>', ''))) // 8
+    - 5 * (len(text) - len(replace(text, '<<SYS>>', ''))) // 7 - 2 * (len(text) - len(replace(text, '</s>', ''))) // 4 - (len(text) - len(replace(text, '<s>', ''))) // 3
+    + 11 as chars
+  from rows
+), loss as (select conv_id, string_agg(text, '' order by turn, role, text) as t from rows where role = 'assistant' group by conv_id)
+select r.conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       len(coalesce(any_value(l.t), '')) as loss_chars, sha256(coalesce(any_value(l.t), '')) as loss_sha256, cast(sum(chars) as bigint) as formatted_chars
+from sized r left join loss l using (conv_id) group by r.conv_id
+"""
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -56,8 +85,8 @@ from t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_pii, op3_decontam, op4_token_store, op6_bpe, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_pii, op3_decontam, op4_token_store, op6_bpe, op7_chat, op8_licenses, op9_quality, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op7_chat": OP7_SQL, "op10_exact_dedup": OP10_SQL}
