@@ -1,8 +1,66 @@
-"""The corpus pipeline (its stages follow)."""
+"""The corpus pipeline: quality, exact copies, near copies, benchmark leaks, tokens.
 
-STAGES = []
+Each stage takes the documents that its predecessor kept and returns documents
+(the last one tokens). Between stages they are written as Parquet.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillfold.llm import bpe, decontam, exact_dedup, jaccard_join, quality
+from quillfold.llm.common import table, written
+from quillfold.llm.queries import vocabulary
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; rows are kept or go one by one, whatever their id."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    columns = docs.columns
+    scored = quality.score(docs, model, keep=columns)
+    return scored.where("predicted = 1").select(*columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts, that of the least id; rows that repeat an id and its text become one."""
+    marks = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    keyed = docs.withColumn("_sha0", F.sha2(exact_dedup.normalised(F.col("text")), 256))
+    kept = keyed.join(marks, keyed.doc_id.eqNullSafe(marks._id) & (keyed._sha0 == marks._sha), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_sha0"]).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least id of each group that similar texts connect (five-word shingles, 0.8); rows without an id stay."""
+    gone = jaccard_join.jaccard_join(docs, num=80, den=100, width=5).where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, as it is or with exchanged slots; rows without an id stay."""
+    leaks = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The digests of ids and of the decoded text of every document."""
+    return bpe.encode_decode_digests(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("bpe encoding and decoding", tokens),
+]
+
+#: Training, similarity components and merges have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)

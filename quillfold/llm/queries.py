@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, exact_dedup, jaccard_join, licenses, pii, quality, token_store
+from . import bpe, chat, decontam, exact_dedup, jaccard_join, licenses, pii, quality, suffix_dedup, token_store
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -85,7 +89,7 @@ from t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_pii, op3_decontam, op4_token_store, op6_bpe, op7_chat, op8_licenses, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_pii, op3_decontam, op4_token_store, op5_suffix_dedup, op6_bpe, op7_chat, op8_licenses, op9_quality, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
