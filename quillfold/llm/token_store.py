@@ -14,6 +14,8 @@ another temporary name and renames it, so a lost executor leaves no half file.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -22,7 +24,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,7 +34,7 @@ from .common import new_path, written
 SKIPPABLE = 0x184D2A5E
 FOOTER = 0x8F92EAB1
 INDEX = 0x184D2A51
-CACHE = 400_000
+CACHE = 1_000_000
 MAX_SHARDS = 10_000
 
 
@@ -48,8 +49,11 @@ class WordEncoder:
     #: How the vocabulary's pre-tokenizer cuts lower-cased text; fixed by its file.
     CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     PLAIN = r"[\t\n\r\x20-\x7e¡-¬®-ÿ]*"
+    #: The lower-case letters and the numbers of Latin-1, for the standard library's faster matcher.
+    LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 
     def __init__(self, path: str, width: int, end_id: int | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -62,8 +66,9 @@ class WordEncoder:
         pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.by_word = (pre[0].get("pattern") or {}).get("Regex") == self.CUT
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cut = regex.compile(self.CUT).findall
-        self.plain = regex.compile(self.PLAIN).fullmatch
+        pattern = self.CUT.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{self.LETTERS}{self.NUMBERS}]").replace(r"[\p{L}]", f"[{self.LETTERS}]").replace(r"[\p{N}]", f"[{self.NUMBERS}]")
+        self.cut = re.compile(pattern).findall
+        self.plain = re.compile(self.PLAIN).fullmatch
         self.cache: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -75,14 +80,15 @@ class WordEncoder:
             return self._whole(text) + self.end
         words = self.cut(text.lower())
         known = self.cache
-        try:
-            return b"".join([known[w] for w in words]) + self.end
-        except KeyError:
+        found = list(map(known.get, words))
+        if None in found:
             if len(known) > CACHE:
                 known.clear()
-            for w in set(words).difference(known):
-                known[w] = self._whole(w)
-            return b"".join([known[w] for w in words]) + self.end
+            new = list({w for w in words if w not in known})
+            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                known[w] = np.array(e.ids, self.dtype).tobytes()
+            found = map(known.__getitem__, words)
+        return b"".join(found) + self.end
 
 
 @lru_cache(4)
