@@ -95,7 +95,7 @@ def manager_name(x: Column) -> Column:
 
 def plausible_date(x: Column, asof: Column, days: int = vocab.MAX_AGE_DAYS) -> Column:
     """The ISO date if it isn't in the future or too old, else null."""
-    d = F.try_to_date(x, F.lit("yyyy-MM-dd")) if hasattr(F, "try_to_date") else F.to_date(x)
+    d = F.try_to_date(x, "yyyy-MM-dd")
     return F.when(d.between(F.date_sub(asof, days), asof), d)
 
 

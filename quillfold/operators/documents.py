@@ -44,7 +44,7 @@ def html_blocks(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     pattern = r"(?s)<(h[1-6]|p|li|footer)(?:\s[^>]*)?>(.*?)</\1>"
     html = F.col(html_col)
     tags, bodies = F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), F.regexp_extract_all(html, F.lit(pattern), F.lit(2))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.posexplode(F.arrays_zip(tags.alias("tag"), bodies.alias("text"))).alias("pos", "x"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.posexplode(F.arrays_zip(tags, bodies)).alias("pos", "x"))
     text = T.strip(F.regexp_replace(F.regexp_replace(F.col("x")["1"], "<[^>]*>", " "), r"\s+", " "))
     rows = rows.select("page_id", "pos", F.col("x")["0"].alias("tag"), text.alias("text")).where("text <> ''")
     kind = F.when(F.col("tag").rlike("^h"), "HEADING").when(F.col("tag") == "li", "BULLET").when(F.col("tag") == "footer", "FOOTER").otherwise("PARAGRAPH")
