@@ -16,7 +16,8 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    """0 where a vector has no length."""
+    return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
 
 
 def top_vectors(vectors: DataFrame, queries: DataFrame, k: int, group: str, id_col: str, vec_col: str = "embedding") -> DataFrame:

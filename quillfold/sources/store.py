@@ -34,7 +34,7 @@ def parse_files(files: DataFrame, parser: Callable[[bytes], Iterator[dict]], sch
                     rows += [{"path": path, "error": None, **r} for r in parser(bytes(content))]
                 except Exception as e:  # one bad file must not end the job; it becomes a row
                     rows.append({"path": path, "error": f"{type(e).__name__}: {e}"[:500]})
-            yield pd.DataFrame(rows, columns=["path", "error", *[c.strip().split(" ")[0] for c in schema.split(",")]])
+            yield pd.DataFrame(rows, columns=["path", "error", *[c.strip().split(" ")[0] for c in schema.split(",")]], dtype=object)
 
     return files.select("path", "content").mapInPandas(run, f"path string, error string, {schema}")
 
