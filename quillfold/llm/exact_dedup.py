@@ -87,7 +87,8 @@ def identities(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = B
         # max is the only value at its place, repeated rows or not
         pairs = open_rows.groupBy("id", "_v", "n", F.floor(F.col("pos") / 2).alias("pos")).agg(
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"),
-            F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("b"),
+            # no name is 0: it stands for the missing half of a last pair
+            F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(0).cast("long")).alias("b"),
         )
         level = written(_named(pairs, ["a", "b"], left), "names")
         parts.append(level.where(F.col("n") <= size).select("id", "_v", F.lit(depth).alias("depth"), "name"))
