@@ -170,3 +170,12 @@ def test_streaming_ingest(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("fresh").count() == 2
+
+
+def test_settings():
+    from quillfold.config import Settings
+
+    assert Settings.read({"LOG_LEVEL": " debug "}).log_level == "DEBUG"
+    for bad in ({"LOG_LEVEL": "LOUD"}, {"EMBEDDING_PROVIDER": "openai"}, {"REGISTRY_PATH": " "}):
+        with pytest.raises(ValueError):
+            Settings.read(bad)

@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from quillfold.plans import more  # noqa: F401
+from quillfold.plans import more, rest  # noqa: F401
 from quillfold.plans.queries import query
 
 SF = "/root/testdata/sf0.001"
