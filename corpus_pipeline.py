@@ -1,21 +1,30 @@
 """The corpus pipeline: quality, exact copies, near copies, benchmark leaks, tokens.
 
 Each stage takes the documents that its predecessor kept and returns documents
-(the last one tokens). Between stages they are written as Parquet.
+(the last one tokens). Between stages they are written as Parquet, so a stage
+begins by removing the tables that earlier ones wrote for themselves.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillfold.llm import bpe, decontam, exact_dedup, jaccard_join, quality
-from quillfold.llm.common import table, written
+from quillfold.llm.common import release, shared_dir, sized, table, written
 from quillfold.llm.queries import vocabulary
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Documents whose id isn't in ``gone`` (``doc_id``); texts are shuffled only if these ids are too many to broadcast."""
+    return docs.join(sized(written(gone.distinct(), "gone")), "doc_id", "left_anti").select(*docs.columns)
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; rows are kept or go one by one, whatever their id."""
+    release(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     columns = docs.columns
     scored = quality.score(docs, model, keep=columns)
@@ -24,26 +33,33 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts, that of the least id; rows that repeat an id and its text become one."""
-    marks = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    keyed = docs.withColumn("_sha0", F.sha2(exact_dedup.normalised(F.col("text")), 256))
-    kept = keyed.join(marks, keyed.doc_id.eqNullSafe(marks._id) & (keyed._sha0 == marks._sha), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_sha0"]).select(*docs.columns)
+    release(spark)
+    marks = written(exact_dedup.exact_dedup(docs).groupBy("doc_id", "text_sha256").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "marks")
+    sha = F.sha2(exact_dedup.normalised(F.col("text")), 256)
+    odd = sized(written(marks.where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept").alias("_kept")), "odd"))
+    found = docs.withColumn("_sha0", sha).join(odd, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha0") == F.col("_sha")), "left")
+    once = found.where("_sha is null").select(*docs.columns)
+    # rows that repeat an id and its text: few, and only these are brought together
+    again = found.where("_kept").dropDuplicates(["doc_id", "_sha0"]).select(*docs.columns)
+    return once.unionByName(again)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least id of each group that similar texts connect (five-word shingles, 0.8); rows without an id stay."""
-    gone = jaccard_join.jaccard_join(docs, num=80, den=100, width=5).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    release(spark)
+    found = jaccard_join.jaccard_join(docs, num=80, den=100, width=5)
+    return without(docs, found.where("component_id < doc_id").select("doc_id"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, as it is or with exchanged slots; rows without an id stay."""
-    leaks = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    release(spark)
+    return without(docs, decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The digests of ids and of the decoded text of every document."""
+    release(spark)
     return bpe.encode_decode_digests(docs, vocabulary("byte_bpe_50k.json"))
 
 
@@ -61,6 +77,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "stage")
+    for name, stage in STAGES[:-1]:
+        path = f"{shared_dir(spark)}/quillfold/pipeline-{uuid.uuid4().hex}/{name.replace(' ', '-')}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

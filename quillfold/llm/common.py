@@ -61,6 +61,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the tables that ``written`` made so far; nothing that reads them may be pending."""
+    while _written:
+        remove(*_written.pop())
+
+
+#: Rows up to which a written table of a few numbers per row is broadcast: under 40 MB.
+BROADCAST_ROWS = 500_000
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if a count finds it within ``BROADCAST_ROWS``; else joins shuffle it."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

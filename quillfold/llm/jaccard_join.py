@@ -15,8 +15,8 @@ the symmetric difference. Sets with a similarity of at least t have
    parts of the universe) allow it: h(x, y) is at least the sum over the parts of
    ``||x & U| - |y & U||``. What still meets is one cell; no similar pair lies
    across two cells. Regions of more than ``LEAF`` sets skip that test.
-3. *Voronoi regions.* A cell of more than ``LEAF`` sets is split by pivots drawn
-   from it. Each set goes to its nearest pivot, and also to each pivot p with
+3. *Voronoi regions.* A cell of more than ``LEAF`` sets (or ``LEAF_BYTES``) is split by pivots
+   drawn from it. Each set goes to its nearest pivot, and also to each pivot p with
    ``d(x,p) <= d(x,own) + 2r`` (the triangle inequality leaves no similar pair
    elsewhere). Sets within r of their own pivot are linked to it; two sets
    caught by linked pivots need not meet again. Regions are split again in the
@@ -37,11 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sized, written
 from .components import components
 
-#: Sets that one task compares at once.
-LEAF = 4096
+#: Sets, and bytes of them, that one task compares at once.
+LEAF = 16384
+LEAF_BYTES = 64 << 20
+#: Bytes up to which the pivots of all large regions are broadcast.
+PIVOT_BYTES = 32 << 20
 PIVOTS = 8
 #: Voronoi levels before regions are cut into blocks.
 MAX_LEVELS = 3
@@ -50,7 +53,6 @@ PARTS = 128
 #: Documents from which the common shingles are read.
 SAMPLE = 2000
 CACHE = 400_000
-SALTS = 64
 
 _words: dict[bytes, int] = {}
 
@@ -150,18 +152,18 @@ def _prepared(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
 def _cells(classes: DataFrame, num: int, den: int) -> DataFrame:
     """``id, component``: classes that may be similar are in one component."""
     rows = classes.select("rep", F.explode("pivots").alias("pivot"))
-    # where a region holds a large share of all rows it is dealt to SALTS tasks; which ones are is read from a sample, and doesn't change the result
+    # a region with a large share of all rows is one cell at once: each of its sets is linked to its least one; which
+    # regions these are is read from a sample, which changes the work but not the result
     sample = rows.sample(0.01, seed=1)
-    hot = sample.groupBy("pivot").count().where("count > 40").orderBy(F.desc("count"), "pivot").limit(1000).select("pivot", F.lit(True).alias("hot"))
-    salted = rows.join(F.broadcast(hot), "pivot", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS))).otherwise(0))
-    w = Window.partitionBy("pivot", "salt")
-    near = salted.select("rep", "pivot", "hot", F.min("rep").over(w).alias("head"), F.count(F.lit(1)).over(w).alias("k"))
-    near = written(near.where("k > 1 or hot"), "regions")
-    large = near.where(f"hot or k > {LEAF}")
-    heads = large.where("hot and rep = head").select("pivot", "rep").distinct()
-    top = heads.groupBy("pivot").agg(F.min("rep").alias("b"))
-    links = large.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
-    links = links.unionByName(heads.join(top, "pivot").select(F.col("rep").alias("a"), "b"))
+    hot = written(sample.groupBy("pivot").count().where("count > 100").orderBy(F.desc("count"), "pivot").limit(1000).select("pivot"), "hot")
+    cold = rows.join(F.broadcast(hot), "pivot", "left_anti")
+    w = Window.partitionBy("pivot")
+    near = cold.select("rep", "pivot", F.min("rep").over(w).alias("head"), F.count(F.lit(1)).over(w).alias("k"))
+    near = written(near.where("k > 1"), "regions")
+    warm = rows.join(F.broadcast(hot), "pivot", "left_semi")
+    heads = warm.groupBy("pivot").agg(F.min("rep").alias("head"))  # at most 1000
+    links = warm.join(F.broadcast(heads), "pivot").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    links = links.unionByName(near.where(f"k > {LEAF} and rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
 
     def run(batches):
         """Links that connect what may be similar in each region; rows come by region and size."""
@@ -180,7 +182,7 @@ def _cells(classes: DataFrame, num: int, den: int) -> DataFrame:
         pairs = _may_meet(kept, num, den)
         yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
-    small = near.where(f"hot is null and k <= {LEAF}").select("pivot", "rep")
+    small = near.where(f"k <= {LEAF}").select("pivot", "rep")
     placed = small.join(classes.select("rep", "n", "coords"), "rep").select("pivot", "rep", "n", "coords")
     tested = placed.repartition("pivot").sortWithinPartitions("pivot", "n", "rep").mapInArrow(run, "a long, b long")
     return components(links.unionByName(tested))
@@ -287,31 +289,38 @@ def _split(rows: DataFrame, num: int, den: int, level: int) -> tuple[DataFrame,
     pick = [F.min(F.struct(F.xxhash64("rep", F.lit(100 * level + k)).alias("h"), "rep", "set")).alias(f"p{k}") for k in range(PIVOTS)]
     pivots = rows.groupBy("region").agg(*pick).select("region", F.array(*[F.struct(f"p{k}.rep", f"p{k}.set") for k in range(PIVOTS)]).alias("pivots"))
     schema = "region long, rep long, set binary, label long, cells array<struct<cell:int,home:boolean>>, near array<long>"
+    pivots = written(pivots, "pivots")
+    few = (pivots.agg(F.sum(F.aggregate("pivots", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p["set"])))).head()[0] or 0) <= PIVOT_BYTES
+    known = rows.sparkSession.sparkContext.broadcast({r.region: [(p.rep, bytes(p.set)) for p in r.pivots] for r in pivots.collect()}) if few else None
 
     def run(batches):
         near = Near(num, den)
         for b in batches:
             out = []
-            for row in b.to_pylist():
-                x = np.frombuffer(row["set"], np.uint64)
-                ps = {p["rep"]: np.frombuffer(p["set"], np.uint64) for p in row["pivots"]}
-                reps = sorted(ps)
-                d, hit = [], []
-                for p in reps:
-                    c = len(np.intersect1d(x, ps[p], assume_unique=True))
-                    d.append(_distance(c, len(x), len(ps[p])))
-                    hit.append(bool(near.similar(np.int64(c), len(x), np.int64(len(ps[p])))))
+            at = None
+            columns = [b.column(k) for k in range(b.num_columns)]
+            for k in range(b.num_rows):
+                region, rep, raw, label = (c[k].as_py() for c in columns[:4])
+                if region != at:
+                    given = known.value[region] if known else [(p["rep"], p["set"]) for p in columns[4][k].as_py()]
+                    at, ps = region, {i: np.frombuffer(v, np.uint64) for i, v in given}
+                    reps = sorted(ps)
+                    group = {p: p for p in reps}  # pivots linked to one another
+                    for a, q in near.links(reps, [ps[p] for p in reps], [None] * len(reps)):
+                        old, new = max(group[a], group[q]), min(group[a], group[q])
+                        group = {p: new if g == old else g for p, g in group.items()}
+                x = np.frombuffer(raw, np.uint64)
+                common = [len(np.intersect1d(x, ps[p], assume_unique=True)) for p in reps]
+                d = [_distance(c, len(x), len(ps[p])) for c, p in zip(common, reps, strict=True)]
+                hit = [bool(near.similar(np.int64(c), len(x), np.int64(len(ps[p])))) for c, p in zip(common, reps, strict=True)]
                 own = int(np.argmin(d))
-                group = {p: p for p in reps}  # pivots linked to one another
-                for a, q in near.links(reps, [ps[p] for p in reps], [None] * len(reps)):
-                    old, new = max(group[a], group[q]), min(group[a], group[q])
-                    group = {p: new if g == old else g for p, g in group.items()}
-                label = group[reps[own]] if hit[own] else row["label"]
-                cells = [{"cell": k, "home": k == own} for k in range(len(reps)) if k == own or d[k] <= d[own] + 2 * r + 1e-9]
-                out.append({"region": row["region"], "rep": row["rep"], "set": row["set"], "label": label, "cells": cells, "near": [p for p, y in zip(reps, hit, strict=True) if y and p != row["rep"]]})
+                cells = [{"cell": j, "home": j == own} for j in range(len(reps)) if j == own or d[j] <= d[own] + 2 * r + 1e-9]
+                out.append({"region": region, "rep": rep, "set": raw, "label": group[reps[own]] if hit[own] else label, "cells": cells, "near": [p for p, y in zip(reps, hit, strict=True) if y and p != rep]})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("region", pa.int64()), ("rep", pa.int64()), ("set", pa.binary()), ("label", pa.int64()), ("cells", pa.list_(pa.struct([("cell", pa.int32()), ("home", pa.bool_())]))), ("near", pa.list_(pa.int64()))]))
 
-    done = written(rows.join(pivots, "region").select("region", "rep", "set", "label", "pivots").mapInArrow(run, schema), "voronoi")
+    told = rows.select("region", "rep", "set", "label")
+    told = told if few else told.join(pivots, "region")
+    done = written(told.mapInArrow(run, schema), "voronoi")
     links = done.select(F.col("rep").alias("a"), F.explode("near").alias("b"))
     return done, links
 
@@ -326,7 +335,8 @@ def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
     # the label that most rows carry in each region; rows with it need not meet each other
     main = rows.where("label is not null").groupBy("region", "label").count().groupBy("region").agg(F.max(F.struct("count", "label")).alias("m")).select("region", F.col("m.label").alias("main"))
     marked = rows.join(main, "region", "left").withColumn("rest", ~F.coalesce(F.col("label") == F.col("main"), F.lit(False)))
-    counts = marked.groupBy("region").agg(F.ceil(F.sum(F.col("rest").cast("long")) / half).alias("n_rest"), F.ceil(F.count(F.lit(1)) / half).alias("n_all"))
+    blocks = lambda some: F.ceil(F.greatest(F.sum(some.cast("long")) / half, F.sum(F.when(some, F.octet_length("set")).otherwise(0)) / (LEAF_BYTES // 2)))
+    counts = marked.groupBy("region").agg(blocks(F.col("rest")).alias("n_rest"), blocks(F.lit(True)).alias("n_all"))
     placed = marked.join(counts, "region").withColumn("h", F.xxhash64("rep", F.lit(3)))
     as_rest = placed.where("rest").select("region", "rep", "set", "label", F.pmod("h", "n_rest").alias("a"), F.explode(F.expr("sequence(0L, n_all - 1)")).alias("b"))
     as_all = placed.where("n_rest > 0").select("region", "rep", "set", "label", F.explode(F.expr("sequence(0L, n_rest - 1)")).alias("a"), F.pmod("h", "n_all").alias("b"))
@@ -360,8 +370,8 @@ def _region_links(rows: DataFrame, num: int, den: int, leaf: int) -> DataFrame:
     """Links within each region of ``rows`` (``region, rep, set, label``), by recursion."""
     links = []
     for level in range(MAX_LEVELS + 1):
-        sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-        big = sizes.where(F.col("size") > leaf)
+        sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("set")).alias("bytes"))
+        big = sizes.where((F.col("size") > leaf) | ((F.col("bytes") > LEAF_BYTES) & (F.col("size") > 2))).drop("bytes")
         if not big.limit(1).count():
             break
         small_rows = rows.join(big, "region", "left_anti")
@@ -401,9 +411,11 @@ def jaccard_join(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5,
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = written(_prepared(rows, width, num, den), "sets")
     real = sets.where("digest is not null")
-    classes = written(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "coords", "pivots")).alias("s")).select("digest", "rep", "s.*"), "classes")
+    reps = written(real.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    copies = written(real.select("doc_id", "digest").join(reps, "digest").where("doc_id <> rep").select("doc_id", "digest"), "copies")
+    classes = real.join(sized(copies), ["doc_id", "digest"], "left_anti").withColumnRenamed("doc_id", "rep")
     cells = written(_cells(classes, num, den), "cells")
-    wanted = classes.select("rep", "digest").join(cells.withColumnRenamed("id", "rep"), "rep")
+    wanted = sized(written(reps.join(cells.withColumnRenamed("id", "rep"), "rep"), "wanted"))
 
     def fetch(batches):
         for b in batches:
@@ -423,7 +435,7 @@ def jaccard_join(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5,
     members = written(members, "members")
     linked = components(_region_links(members, num, den, leaf))
     # several classes can share a representative's id: they are one document
-    names = real.select("doc_id", "digest", "n").join(classes.select("digest", "rep"), "digest")
+    names = real.select("doc_id", "digest", "n").join(reps, "digest")
     shared = sets.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     if shared.limit(1).count():
         own = names.join(shared, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -343,15 +343,16 @@ def test_quality_edges(spark):
 
 # ---------------------------------------------------------------- the pipeline
 
-def test_pipeline(spark):
+def test_pipeline(spark, tmp_path):
     import corpus_pipeline as P
 
     d = docs(spark)
     columns = d.columns
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     for name, stage in P.STAGES:
-        before = d.cache().collect()
-        d = stage(spark, d, SF)
+        before = d.collect()
+        stage(spark, d, SF).write.parquet(f"{tmp_path}/{name}")
+        d = spark.read.parquet(f"{tmp_path}/{name}")
         if name == "quality classifier":
             assert d.columns == columns and {r.doc_id for r in d.collect()} <= {r.doc_id for r in before}
         elif name == "exact dedup":
