@@ -5,16 +5,16 @@ patterns, leftmost and non-overlapping for each kind. Spark has no function for
 the places of matches, so a text is split at a pattern: the lengths of the gaps
 and of the matches give the places, in code points.
 
-*Method.* Each value found is a protected entity e. Over all documents, texts
-that are equal counted once, the corpus estimates how much a term t tells of it:
-``PMI(t; e) = log2(p(e|t) / p(e))``. Knowing e is worth its information content
-``IC(e) = -log2 p(e)``. A term with ``PMI >= disclosure * IC``, seen with e in at
-least ``support`` different texts, is a span of kind ``term`` wherever it stands
-with e: it is generalised, or removed where it tells nearly all of e.
-
-Only DataFrame functions run here. The first scan keeps the documents that hold
-an entity; terms that can't reach the threshold even among these are dropped, and
-only the rest is counted in the whole corpus.
+*Method.* Each value found is a protected entity e. Over all documents the
+corpus estimates how much a term t tells of it: ``PMI(t; e) = log2(p(e|t) /
+p(e))``. Knowing e is worth its information content ``IC(e) = -log2 p(e)``. A
+term with ``PMI >= disclosure * IC``, seen with e in at least ``support``
+different texts, is a span of kind ``term`` wherever it stands with e: it is
+generalised, or removed where it tells nearly all of e.
+
+Only DataFrame functions run here. Co-occurrence is counted where entities are;
+terms that can't reach the threshold even among these documents are dropped
+before the counts of terms in the whole corpus are joined to the rest.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ SUPPORT = 3
 DISCLOSURE = 0.8
 #: From this share of IC on a term is removed, below it is generalised.
 REMOVED = 0.95
-BROADCAST_TERMS = 2_000_000
 
 # The contract's patterns in forms that take linear time and no deep recursion. A dot between
 # two label characters, and a separator between two digits, become one character of the run.
@@ -111,28 +110,21 @@ def disclosing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     bare = F.array_distinct(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(_TERM), F.lit(0)))
     held = written(
         with_spans.select("doc_id", F.xxhash64("text").alias("h"), "text", "s", values.alias("entities")), "entities")
-    once = held.groupBy("h").agg(F.first(F.struct("entities", "text")).alias("x")).select("h", "x.*")
+    once = held.groupBy("h").agg(F.first(F.struct("entities", "text")).alias("x"), F.count(F.lit(1)).alias("n")).select("h", "n", "x.*")
     own = F.array_distinct(F.flatten(F.transform("entities", lambda e: F.regexp_extract_all(lower_ascii(e), F.lit(_TERM), F.lit(0)))))
-    once = written(once.select("h", "entities", F.array_except(bare, own).alias("terms")), "entity-texts")
+    once = written(once.select("n", "entities", F.array_except(bare, own).alias("terms")), "entity-texts")
     total = docs.count()
-    # equal texts count once in p(e) and p(e|t)
-    known = once.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("df_e")).where(F.col("df_e") >= support)
+    known = once.select("n", F.explode("entities").alias("e")).groupBy("e").agg(F.sum("n").alias("df_e"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support).drop("texts")
     pairs = (
-        once.select("h", F.explode("entities").alias("e"), "terms").join(known, "e").select("e", "df_e", F.explode("terms").alias("t"))
-        .groupBy("e", "df_e", "t").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
+        once.select("n", F.explode("entities").alias("e"), "terms").join(known, "e").select("n", "e", "df_e", F.explode("terms").alias("t"))
+        .groupBy("e", "df_e", "t").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support).drop("texts")
     )
     share = lambda df: 1 + F.log2(F.col("both") / F.col(df)) / F.greatest(F.log2(F.lit(max(total, 2)) / F.col("df_e")), F.lit(1e-9))
-    near = once.select(F.explode("terms").alias("t")).join(pairs.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.count(F.lit(1)).alias("df_near"))
+    near = once.select("n", F.explode("terms").alias("t")).groupBy("t").agg(F.sum("n").alias("df_near"))
     likely = written(pairs.join(near, "t").where(share("df_near") >= disclosure), "likely-terms")
-    terms = likely.select("t").distinct()
-    n_terms = terms.count()
-    if n_terms:
-        side = F.broadcast(terms) if n_terms <= BROADCAST_TERMS else terms
-        words = docs.select(text.alias("text")).select(F.xxhash64("text").alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(_TERM), F.lit(0)))).alias("t"))
-        counts = words.join(side, "t").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("df_t"))
-        told = likely.join(counts, "t").where(share("df_t") >= disclosure).select("e", "t", share("df_t").alias("share"))
-    else:
-        told = likely.select("e", "t", F.lit(1.0).alias("share"))
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(lower_ascii(text), F.lit(_TERM), F.lit(0)))).alias("t"))
+    counts = words.groupBy("t").agg(F.count(F.lit(1)).alias("df_t"))
+    told = likely.join(counts, "t").where(share("df_t") >= disclosure).select("e", "t", share("df_t").alias("share"))
     hit = held.select("doc_id", "h", "text", F.explode("entities").alias("e")).join(told, "e").groupBy("doc_id", "h", "t").agg(F.max("share").alias("share"), F.first("text").alias("text"))
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.col("t"), F.lit(r"\E(?![\p{L}\p{N}])"))
     gaps = F.transform(F.split(lower_ascii(F.col("text")), pattern, -1), F.length)
