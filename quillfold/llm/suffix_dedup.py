@@ -10,17 +10,20 @@ smaller document, or earlier in the same one). Every step is exact.
    anchor occurs once in the corpus occurs once. Only hashes, ids and places of
    anchors are shuffled; most occur once and end there.
 3. *Shards.* The stretch of strings around each repeated anchor goes to the shard
-   of the anchor's hash. Equal stretches of a shard are one, with the place of
+   of the anchor's hash; of equal stretches in a task only the first does, as the
+   later ones are repeats whatever else there is. Equal stretches of a shard are one, with the place of
    its first occurrence for each offset. The different ones are joined and their
    suffixes sorted by external induced sorting (see ``suffix_array``), to the
    depth of ``length`` bytes; neighbours that share ``length`` bytes are one
    string, and all but its first occurrence are repeats.
 4. Anchors that hold a large share of all rows are dealt to many shards; there
-   only stretches with a first occurrence go on to a second round, so no task
-   gathers a hot passage.
+   only stretches with a first occurrence in a batch go on to a second round, so
+   no task gathers a hot passage.
 
 Memory: a task sorts stretches of several anchors at a time, as many as fit in
-``BATCH`` bytes; beyond that the queues of the sort lie on disk.
+``BATCH`` bytes; beyond that the queues of the sort lie on disk. The reduced
+string is sorted by doubling its names, and common prefixes are found by
+comparing sorted neighbours: both give what carrying them would.
 """
 
 from __future__ import annotations
@@ -32,11 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import sized, text_of, written
 from .suffix_array import suffix_array
 
 LENGTH = 100
 BATCH = 2 << 20
+#: Bytes of different stretches that a task holds before it passes them on.
+HELD = 24 << 20
 SALTS = 64
 
 
@@ -155,8 +160,9 @@ def _repeats(stretches: DataFrame, length: int) -> DataFrame:
         held, size, at = [], 0, None
         for b in batches:
             for anchor, salt, hot, doc, h, start, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                # hot anchors are sorted by themselves, so that what goes on can be named by them
-                if (anchor, salt) != at and held and (size > BATCH or hot or held[0][0]):
+                # hot anchors are sorted by themselves, so that what goes on can be named by them; as what is first in a
+                # batch goes on to the next round, their batches may end anywhere
+                if held and (size > BATCH and hot or (anchor, salt) != at and (size > BATCH or hot or held[0][0])):
                     yield done(held, at[0])
                     held, size = [], 0
                 at = (anchor, salt)
@@ -186,48 +192,82 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
     # copies: digests of 256 bits tell texts apart; copies of one text share h
     facts = written(keyed.select("doc_id", "h", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")), "texts")
     least = facts.groupBy("sha").agg(F.min(F.struct("doc_id", "h")).alias("keep"))
-    owners = least.select("keep.doc_id", "keep.h")
+
+    least = written(least, "owners")
+    copies = facts.join(least, "sha").where("doc_id <> keep.doc_id or h <> keep.h").select("doc_id", "h").distinct()
+    own = keyed.where(F.octet_length("text") >= length).join(sized(written(copies, "copies")), ["doc_id", "h"], "left_anti")
 
     def anchored(batches):
         for b in batches:
-            out = [[], [], [], []]
-            for doc, h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            out = [[], [], []]
+            for doc, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 hashes, places, _, _ = anchors(t.as_py().encode(), length)
-                for col, x in zip(out, (hashes, np.full(len(hashes), doc), np.full(len(hashes), h), places), strict=True):
+                for col, x in zip(out, (hashes, np.full(len(hashes), doc), places), strict=True):
                     col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in out[:3]] + [pa.array(np.concatenate(out[3]).astype(np.int32) if out[3] else [], pa.int32())], ["anchor", "doc_id", "h", "place"])
-
-    long_enough = keyed.where(F.octet_length("text") >= length)
-    spots = long_enough.mapInArrow(anchored, "anchor long, doc_id long, h long, place int").select("anchor", "doc_id", "h", "place")
-    sample = long_enough.sample(0.02, seed=1).mapInArrow(anchored, "anchor long, doc_id long, h long, place int")
-    hot = sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(2000).select("anchor", F.lit(True).alias("hot"))
-    flagged = spots.join(F.broadcast(hot), "anchor", "left")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
-    n = F.count(F.lit(1)).over(Window.partitionBy("anchor", "salt"))
-    again = flagged.withColumn("salt", salt).withColumn("n", n).where("n > 1 or hot")
-    wanted = again.groupBy("doc_id", "h").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("want"))
-    wanted = wanted.join(owners, ["doc_id", "h"], "left_semi")
-    texts = written(long_enough.join(wanted, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), "passages")
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(x).astype(kind) if x else [], pa.from_numpy_dtype(kind)) for x, kind in zip(out, (np.int64, np.int64, np.int32), strict=True)], ["anchor", "doc_id", "place"])
+
+    spots = own.select("doc_id", "text").mapInArrow(anchored, "anchor long, doc_id long, place int")
+    sample = own.select("doc_id", "text").sample(0.02, seed=1).mapInArrow(anchored, "anchor long, doc_id long, place int")
+    hot = written(sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(2000).select("anchor"), "hot")
+    # hot anchors are repeated without a count; no task gathers their places
+    cold = spots.join(F.broadcast(hot), "anchor", "left_anti").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor"))).where("n > 1")
+    warm = spots.join(F.broadcast(hot), "anchor", "left_semi")
+    marked = cold.select("doc_id", "place", F.lit(False).alias("hot")).unionByName(warm.select("doc_id", "place", F.lit(True).alias("hot")))
+    wanted = marked.groupBy("doc_id").agg(F.collect_set(F.struct("place", "hot")).alias("want"))
+    texts = written(own.join(wanted, "doc_id").dropDuplicates(["doc_id", "h"]), "passages")
 
     def cut(batches):
-        schema = pa.schema([("anchor", pa.int64()), ("salt", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("text", pa.binary())])
+        schema = pa.schema([("anchor", pa.int64()), ("salt", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("h", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("text", pa.binary())])
+        held: dict[bytes, tuple] = {}
+        size = 0
+
+        def stretches():
+            rows = [(anchor, doc % SALTS if hot else 0, hot, doc, h, first, last, text) for text, (doc, h, first, last, anchor, hot) in held.items()]
+            cols = list(zip(*rows, strict=True)) or [()] * 8
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
         for b in batches:
+            repeats = []
             for doc, h, t, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                 raw = t.as_py().encode()
                 asked = {w["place"]: w["hot"] for w in want}
-                out = [], [], [], [], []
-                for anchor, place, first, last in zip(*(x.tolist() for x in anchors(raw, length)), strict=True):
-                    if place in asked:
-                        for col, x in zip(out, (anchor, doc % SALTS if asked[place] else 0, asked[place], first, raw[first : last + length]), strict=True):
-                            col.append(x)
-                m = len(out[0])
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_()), pa.array([doc] * m, pa.int64()), pa.array([h] * m, pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], schema=schema)
-
-    stretches = texts.select("doc_id", "h", "text", "want").mapInArrow(cut, "anchor long, salt long, hot boolean, doc_id long, h long, start long, text binary")
+                found = anchors(raw, length)
+                mine = np.isin(found[1], list(asked))
+                run = None
+                for anchor, place, first, last in zip(*(x[mine].tolist() for x in found), strict=True):
+                    text = raw[first : last + length]
+                    old = held.get(text)
+                    new = doc, h, first, last, anchor, asked[place]
+                    if old is None:
+                        held[text] = new
+                        size += len(text) + 300
+                    elif old[:3] < new[:3]:
+                        if run and run[1] + 1 == first:
+                            run[1] = last
+                        else:
+                            run = [first, last]
+                            repeats.append((doc, h, run))
+                    else:
+                        held[text] = new
+                        repeats.append((old[0], old[1], old[2:4]))
+            n = len(repeats)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.array([r[0] for r in repeats], pa.int64()), pa.array([r[1] for r in repeats], pa.int64()),
+                pa.array([r[2][0] for r in repeats], pa.int64()), pa.array([r[2][1] for r in repeats], pa.int64()), pa.nulls(n, pa.binary())], schema=schema)
+            if size > HELD:
+                yield stretches()
+                held.clear()
+                size = 0
+        yield stretches()
+
+    pieces = written(texts.select("doc_id", "h", "text", "want").mapInArrow(cut, "anchor long, salt long, hot boolean, doc_id long, h long, first long, last long, text binary"), "stretches")
+    stretches = pieces.where("text is not null").select("anchor", "salt", "hot", "doc_id", "h", F.col("first").alias("start"), "text")
     found = written(_repeats(stretches, length), "repeats")
     rest = found.where("rest is not null").select("anchor", F.lit(0).cast("long").alias("salt"), F.lit(False).alias("hot"), "doc_id", "h", F.col("first").alias("start"), F.col("rest").alias("text"))
     more = _repeats(rest, length).where("rest is null")
-    runs = found.where("rest is null").unionByName(more).groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    early = pieces.where("text is null").select("doc_id", "h", "first", "last")
+    runs = found.where("rest is null").unionByName(more).select("doc_id", "h", "first", "last").unionByName(early).groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     def kept(batches):
         for b in batches:
