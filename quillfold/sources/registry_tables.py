@@ -26,7 +26,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="quillfold-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/quillfold/{name}-{uuid.uuid4().hex}"
 
 
