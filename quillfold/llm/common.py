@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 _written: list[tuple[SparkSession, str]] = []
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
     Only where the setting is absent, as in tests on one machine, a temporary
-    folder is made and set.
+    folder is made, once for an application.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="quillfold-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        path = _own.get(app) or _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="quillfold-"))
     return path.rstrip("/")
 
 
