@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Cached pre-tokens in a worker; a full cache is emptied.
-CACHE = 1_000_000
+CACHE = 400_000
 #: Longer pre-tokens aren't cached.
 CACHED_LENGTH = 64
 NONE = 1 << 62

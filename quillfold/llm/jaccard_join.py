@@ -228,22 +228,30 @@ class Near:
         ids, sets, labels = [ids[i] for i in order], [sets[i] for i in order], [labels[i] for i in order]
         sizes = np.array([len(s) for s in sets], np.int64)
         n = len(ids)
-        flat = np.concatenate(sets)
-        _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
-        shared = np.flatnonzero(times > 1)
-        renamed = np.full(len(times), -1, np.int64)
-        renamed[shared] = np.arange(len(shared))
-        cols = renamed[place]
-        rows = np.repeat(np.arange(n), sizes)
-        rows, cols = rows[cols >= 0], cols[cols >= 0]
-        words = (len(shared) + 63) // 64
-        dense = words * n <= 1 << 23
+        # only shingles that two sets have can be common; the rest is dropped at once
+        flat = np.sort(np.concatenate(sets))
+        shared = flat[1:][flat[1:] == flat[:-1]]
+        del flat
+        shared = shared[np.r_[True, shared[1:] != shared[:-1]]] if len(shared) else shared
+        words = max(1, (len(shared) + 63) // 64)
+        dense = words * n <= 1 << 22
+        bits = np.zeros((n, words * 8), np.uint8) if dense else None
+        cols = []
+        for i, s in enumerate(sets):
+            at = np.minimum(np.searchsorted(shared, s), max(0, len(shared) - 1))
+            at = at[shared[at] == s] if len(shared) else at[:0]
+            if dense:
+                row = np.zeros(words * 64, np.uint8)
+                row[at] = 1
+                bits[i] = np.packbits(row)
+            else:
+                cols.append(at.astype(np.int32))
         if dense:
-            bits = np.zeros((n, max(1, words) * 64 // 8), np.uint8)
-            np.bitwise_or.at(bits, (rows, cols >> 3), (1 << (cols & 7)).astype(np.uint8))
             bits = bits.view(np.uint64)
-        starts = np.searchsorted(rows, np.arange(n + 1))
-        mark = np.zeros(len(shared), np.int64)
+        else:
+            starts = np.r_[0, np.cumsum([len(c) for c in cols])]
+            cols = np.concatenate(cols)
+        mark = np.zeros(len(shared), np.int32)
         parent = np.arange(n)
         first: dict[int, int] = {}
 
