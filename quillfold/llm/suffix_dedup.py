@@ -29,6 +29,7 @@ comparing sorted neighbours: both give what carrying them would.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -121,7 +122,7 @@ def first_occurrences(stretches: list[bytes], firsts: list[np.ndarray], length:
 
 
 def _shard(rows: list[tuple], length: int) -> list[tuple]:
-    """(doc, h, start, repeat first, repeat last, keep) of stretches ``(hot, doc, h, start, text)`` of some anchors."""
+    """(doc, h, repeat first, repeat last, rest) of stretches ``(hot, doc, h, start, text, anchor)`` of some anchors."""
     ids = sorted({(r[1], r[2]) for r in rows})
     number = {x: k << 32 for k, x in enumerate(ids)}
     by_text: dict[bytes, list[int]] = {}
@@ -130,7 +131,14 @@ def _shard(rows: list[tuple], length: int) -> list[tuple]:
     keys = np.array([number[r[1], r[2]] + r[3] for r in rows], np.int64)
     texts = list(by_text)
     bases = [int(keys[v].min()) for v in by_text.values()]
-    firsts = first_occurrences(texts, [b + np.arange(len(t) - length + 1) for b, t in zip(bases, texts, strict=True)], length)
+    firsts = [b + np.arange(len(t) - length + 1) for b, t in zip(bases, texts, strict=True)]
+    # strings of one stretch differ, as the anchor's place in each does: an anchor with one stretch needs no sorting
+    anchor_of = [rows[v[0]][5] for v in by_text.values()]
+    times = Counter(anchor_of)
+    several = [k for k, a in enumerate(anchor_of) if times[a] > 1]
+    if several:
+        for k, first in zip(several, first_occurrences([texts[k] for k in several], [firsts[k] for k in several], length), strict=True):
+            firsts[k] = first
     out = []
     for members, first in zip(by_text.values(), firsts, strict=True):
         offsets = np.arange(len(first))
@@ -166,7 +174,7 @@ def _repeats(stretches: DataFrame, length: int) -> DataFrame:
                     yield done(held, at[0])
                     held, size = [], 0
                 at = (anchor, salt)
-                held.append((hot, doc, h, start, text))
+                held.append((hot, doc, h, start, text, anchor))
                 size += len(text)
         if held:
             yield done(held, at[0])
@@ -204,16 +212,17 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
                 hashes, places, _, _ = anchors(t.as_py().encode(), length)
                 for col, x in zip(out, (hashes, np.full(len(hashes), doc), places), strict=True):
                     col.append(x)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(x).astype(kind) if x else [], pa.from_numpy_dtype(kind)) for x, kind in zip(out, (np.int64, np.int64, np.int32), strict=True)], ["anchor", "doc_id", "place"])
-
-    spots = own.select("doc_id", "text").mapInArrow(anchored, "anchor long, doc_id long, place int")
-    sample = own.select("doc_id", "text").sample(0.02, seed=1).mapInArrow(anchored, "anchor long, doc_id long, place int")
-    hot = written(sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(2000).select("anchor"), "hot")
-    # hot anchors are repeated without a count; no task gathers their places
-    cold = spots.join(F.broadcast(hot), "anchor", "left_anti").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor"))).where("n > 1")
-    warm = spots.join(F.broadcast(hot), "anchor", "left_semi")
-    marked = cold.select("doc_id", "place", F.lit(False).alias("hot")).unionByName(warm.select("doc_id", "place", F.lit(True).alias("hot")))
+            cols = [np.concatenate(x).astype(kind) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.int32), strict=True)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.isin(cols[0], hot))], ["anchor", "doc_id", "place", "hot"])
+
+    schema = "anchor long, doc_id long, place int, hot boolean"
+    hot = np.zeros(0, np.int64)
+    sample = own.select("doc_id", "text").sample(0.02, seed=1).mapInArrow(anchored, schema)
+    # hot anchors (2000 at most) are repeated without a count; no task gathers their places
+    hot = np.array([r.anchor for r in sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(2000).collect()], np.int64)
+    spots = own.select("doc_id", "text").mapInArrow(anchored, schema)
+    salted = spots.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0))
+    marked = salted.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor", "salt"))).where("n > 1 or hot").select("doc_id", "place", "hot")
     wanted = marked.groupBy("doc_id").agg(F.collect_set(F.struct("place", "hot")).alias("want"))
     texts = written(own.join(wanted, "doc_id").dropDuplicates(["doc_id", "h"]), "passages")
 
