@@ -3,7 +3,8 @@
 A rule is a regular expression, a label, a priority and a confidence. The rules
 are written as license names (each with its versions) and as forms in which a
 name is given; each form of each name is one rule, some hundreds in all. A
-document is held against a rule only if it contains the rule's keyword. All
+document is held against a rule only if it contains the keyword of its name and
+a match of what its form needs; every match of the rule holds both. All
 matches are intervals of the text; one that lies inside another of at least its
 priority is suppressed, and of equal intervals the first rule stays. Suppression
 is a running maximum over the sorted intervals of a document, so a text with ten
@@ -23,7 +24,7 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases and labels of the base; fixed values of the contract.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: label: (keyword, the name as a pattern over lower-cased text).
+#: label: (keyword, the name as a pattern over lower-cased text); every match of the pattern contains the keyword.
 NAMES = {
     "apache": ("apache", r"apache"), "apache-2.0": ("apache", r"apache(?: software)?(?: license)?,? *(?:version |v)?2(?:\.0)?"),
     "apache-1.1": ("apache", r"apache(?: software)?(?: license)?,? *(?:version |v)?1\.1"),
@@ -39,14 +40,14 @@ NAMES = {
     "mpl": ("mozilla", r"mozilla public"), "mpl-2.0": ("mpl", r"mpl *-?(?:version |v)?2(?:\.0)?"), "mpl-1.1": ("mpl", r"mpl *-?(?:version |v)?1\.1"),
     "epl": ("eclipse", r"eclipse public"), "epl-2.0": ("epl", r"epl *-?(?:version |v)?2(?:\.0)?"), "epl-1.0": ("epl", r"epl *-?(?:version |v)?1(?:\.0)?"),
     "cddl": ("cddl", r"cddl"), "isc": ("isc", r"isc"), "zlib": ("zlib", r"zlib"), "boost": ("boost", r"boost(?: software)?"), "unlicense": ("unlicense", r"unlicense"),
-    "artistic": ("artistic", r"artistic"), "wtfpl": ("wtfpl", r"wtfpl"), "eupl": ("eupl", r"eupl"), "ofl": ("ofl", r"(?:sil )?ofl"), "postgresql": ("postgresql", r"postgresql"), "python": ("python", r"(?:python software foundation|psf)"), "openssl": ("openssl", r"openssl"),
+    "artistic": ("artistic", r"artistic"), "wtfpl": ("wtfpl", r"wtfpl"), "eupl": ("eupl", r"eupl"), "ofl": ("ofl", r"(?:sil )?ofl"), "postgresql": ("postgresql", r"postgresql"), "python": ("python", r"python software foundation"), "psf": ("psf", r"psf"), "openssl": ("openssl", r"openssl"),
     "cc0": ("cc0", r"cc0"), "cc-by": ("cc", r"cc[ -]by"), "cc-by-sa": ("cc", r"cc[ -]by-sa"), "cc-by-nc": ("cc", r"cc[ -]by-nc"), "cc-by-nd": ("cc", r"cc[ -]by-nd"),
     "cc-by-nc-sa": ("cc", r"cc[ -]by-nc-sa"), "cc-by-nc-nd": ("cc", r"cc[ -]by-nc-nd"),
     "cc-by-long": ("creative commons", r"creative commons attribution"), "cc-by-sa-long": ("creative commons", r"creative commons attribution[ -]share ?alike"),
     "cc-by-nc-long": ("creative commons", r"creative commons attribution[ -]non ?commercial"), "cc-by-nd-long": ("creative commons", r"creative commons attribution[ -]no ?deriv(?:ative)?s?(?: works)?"),
 }
 #: Labels of other spellings of a license that has a label already.
-SAME = {"gpl-any": "gpl", "gpl-3.0-text": "gpl-3.0", "gpl-2.0-text": "gpl-2.0", "cc-by-long": "cc-by", "cc-by-sa-long": "cc-by-sa", "cc-by-nc-long": "cc-by-nc", "cc-by-nd-long": "cc-by-nd"}
+SAME = {"psf": "python", "gpl-any": "gpl", "gpl-3.0-text": "gpl-3.0", "gpl-2.0-text": "gpl-2.0", "cc-by-long": "cc-by", "cc-by-sa-long": "cc-by-sa", "cc-by-nc-long": "cc-by-nc", "cc-by-nd-long": "cc-by-nd"}
 #: form: (priority, confidence, pattern around the name). A higher priority suppresses a lower one inside it.
 FORMS = {
     "identifier": (4, 1.0, r"spdx-license-identifier: *{}(?:-only|-or-later|\+)?"),
@@ -57,15 +58,25 @@ FORMS = {
     "field": (2, 0.85, r"licen[sc]e(?:d)?: *(?:the )?{}"),
     "named": (1, 0.75, r"{} licen[sc]e"),
 }
+#: form: a part of its pattern beside the name that no match can lack.
+NEEDS = {
+    "identifier": r"spdx-license-identifier:",
+    "granted": r"(?:licensed|released|distributed|published|available|made available|provided|redistributed) under ",
+    "covered": r"(?: licen[sc]e)",
+    "versioned": r" licen[sc]e",
+    "versioned short": r"[ -](?:version |v)?[1-4]\.[0-9]",
+    "field": r"licen[sc]e(?:d)?:",
+    "named": r" licen[sc]e",
+}
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    """``rule, keyword, pattern, label, priority, confidence``, in order: a few hundred rows, whatever the data."""
+    """``rule, keyword, need, pattern, label, priority, confidence, form``, in order: a few hundred rows, whatever the data."""
     rows = []
     for form, (priority, confidence, around) in FORMS.items():
         for name, (keyword, pattern) in NAMES.items():
-            rows.append((len(rows), keyword, rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", SAME.get(name, name), priority, confidence, f"{form}: {name}"))
-    return spark.createDataFrame(rows, "rule int, keyword string, pattern string, label string, priority int, confidence double, form string").coalesce(1)
+            rows.append((len(rows), keyword, NEEDS[form], rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", SAME.get(name, name), priority, confidence, f"{form}: {name}"))
+    return spark.createDataFrame(rows, "rule int, keyword string, need string, pattern string, label string, priority int, confidence double, form string").coalesce(1)
 
 
 def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,11 +89,11 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table = rules(spark)
     words = sorted({k for k, _ in NAMES.values()})
     low = lower_ascii(text_of(text_col))
-    gate = "(?:" + "|".join(words) + ")"
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("h"), low.alias("t")).where(
-        F.col("t").rlike("licen[sc]e|spdx|cc[ -]by|gpl|bsd") & F.col("t").rlike(gate))
+    needs = sorted(set(NEEDS.values()))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("h"), low.alias("t")).withColumn(
+        "needs", F.array_compact(F.array(*[F.when(F.col("t").rlike(n), F.lit(n)) for n in needs]))).where(F.size("needs") > 0)
     keyed = rows.withColumn("keyword", F.explode(F.filter(F.array(*map(F.lit, words)), lambda k: F.contains(F.col("t"), k))))
-    tried = keyed.join(F.broadcast(table), "keyword").where(F.rlike("t", F.col("pattern")))
+    tried = keyed.join(F.broadcast(table), "keyword").where(F.array_contains("needs", F.col("need"))).where(F.rlike("t", F.col("pattern")))
     gaps = F.transform(F.split("t", F.col("pattern"), -1), F.length)
     hits = F.transform(F.regexp_extract_all("t", F.col("pattern"), F.lit(0)), F.length)
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))

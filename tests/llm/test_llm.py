@@ -322,6 +322,23 @@ def test_licenses(spark):
     assert licenses.scan(edge(spark)).count() == len(EDGE) and licenses.scan(edge(spark, True)).count() == 0
 
 
+def test_every_license_rule_is_tried(spark):
+    notices = ["Released under the Apache 2.0 terms", "distributed under MIT", "Made available under CC0", "Mozilla Public 2.0", "the PSF license", "Python Software Foundation License", "licensed under zlib2.0", "X11 v1.1"]
+    rng = random.Random(5)
+    parts = [*notices, "released under the", "provided under", "python", "PSF", "Apache", "MIT", "CC0", "commit 1.2", "success", "Mozilla Public", "v2", "2.0", "-1.1", "boost 1.0", "OFL", "license: the", "governed by the", "licence", "Eclipse Public", "unlicense", ","]
+    rows = list(enumerate(notices)) + [(100 + i, " ".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))) for i in range(300)]
+    patterns = [(rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", p, licenses.SAME.get(name, name)) for p, _, around in licenses.FORMS.values() for name, (_, pattern) in licenses.NAMES.items()]
+    want = collections.Counter()
+    for i, text in rows:
+        want.update((i, m.start(), m.end(), k, label, p) for k, (pattern, p, label) in enumerate(patterns) for m in re.finditer(pattern, text.lower()))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = collections.Counter((r.doc_id, r.start, r.end, r.rule, r.label, r.priority) for r in licenses.detections(df).collect())
+    assert got == want and {i for i, *_ in want} >= set(range(len(notices)))
+    scanned = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [scanned[i].labels for i in range(5)] == ["apache", "mit", "cc0", "mpl", "python"] and all(scanned[i].score > 0 for i in range(len(notices)))
+    assert all(licenses.NEEDS[form] in around for form, (_, _, around) in licenses.FORMS.items())
+
+
 # ---------------------------------------------------------------- quality
 
 def test_quality_on_held_out_labels(spark):
