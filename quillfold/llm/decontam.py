@@ -2,9 +2,13 @@
 
 A text's template has one token for each word or number: numbers become ``0``,
 a unit after a number ``1``, a capitalised word inside a sentence (a name)
-``2``, every other word itself in lower case; all else only separates. Windows
-of ``WINDOW`` template tokens of the benchmark are joined by hash with those of
-the corpus. A document holds an item when enough of the item's windows occur in
+``2``, every other word itself in lower case; all else only separates. A
+capitalised word elsewhere, as at the head of a sentence, a text or a quote, may
+be a name or not: a window that holds some has two readings, one with all of
+them as words and one with all of them as ``2``. Windows of ``WINDOW`` template
+tokens of the benchmark are joined by hash with those of the corpus; one occurs
+where a reading does. Where it occurs several times, the place counts whose
+distance from the item's place most other windows share. A document holds an item when enough of the item's windows occur in
 it, and its slots are consistent: each value that the item has in a slot stands
 for one value of the document wherever it occurs. So a question whose numbers,
 names or units were exchanged throughout is found as ``reparameterised``, and a
@@ -17,7 +21,7 @@ that the same join shuffles both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_of, written
@@ -35,14 +39,15 @@ UNITS = (
 )
 _NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
 _UNIT = r"(?i) 0 \s*(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}])"
+_CAPITALISED = r"(?<!\p{L})\p{Lu}\p{Ll}+(?!\p{L})"
 _NAME = r"(?<=[\p{L}\p{N},;)] )\p{Lu}\p{Ll}+(?!\p{L})"
 
 
-def template(text: Column) -> Column:
-    """The template tokens of a text."""
+def template(text: Column, names: str = _NAME) -> Column:
+    """The template tokens of a text; with ``_CAPITALISED`` every capitalised word is a name."""
     out = F.regexp_replace(text, _NUMBER, " 0 ")
     out = F.regexp_replace(out, _UNIT, " 0 1 ")
-    out = F.lower(F.regexp_replace(out, _NAME, "2"))
+    out = F.lower(F.regexp_replace(out, names, "2"))
     return F.array_remove(F.split(out, r"[^\p{L}012]+"), "")
 
 
@@ -57,10 +62,18 @@ def surface_tokens(text: Column) -> Column:
 
 
 def _windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """``keys, pos, w``: the hash of each window of ``size`` tokens of ``t``."""
+    """``keys, pos, w, wide``: the hashes of both readings of each window of ``size`` tokens of ``t`` and ``u``."""
+    # texts of fewer tokens are left out in the array: a filter on its size would cut every text twice
     count = F.size("t") - size
-    return rows.where(count >= 0).select(
-        *keys, F.posexplode(F.transform(F.sequence(F.lit(1), count + 1), lambda i: F.xxhash64(F.slice("t", i, size)))).alias("pos", "w"))
+    hashes = lambda i: F.struct(F.xxhash64(F.slice("t", i, size)).alias("w"), F.xxhash64(F.slice("u", i, size)).alias("wide"))
+    every = F.when(count >= 0, F.transform(F.sequence(F.lit(1), count + 1), hashes))
+    return rows.select(*keys, F.posexplode(every).alias("pos", "s")).select(*keys, "pos", "s.w", "s.wide")
+
+
+def _readings(windows: DataFrame) -> DataFrame:
+    """A row for each reading of a window, as ``w``."""
+    both = F.when(F.col("w") == F.col("wide"), F.array("w")).otherwise(F.array("w", "wide"))
+    return windows.select(*[c for c in windows.columns if c not in ("w", "wide")], F.explode(both).alias("w"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -70,48 +83,58 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``n_matched`` of the item's ``n_windows`` distinct windows occur in the
     document; ``n_changed`` of the ``n_slots`` slots in them have another value
     there. ``kind`` is ``verbatim`` or ``reparameterised``. Items of fewer words
-    than a window are matched whole; items without a word, null texts and null
+    than a window are matched whole, and their capitalised first words are names
+    only if two words, and half of all, are left beside placeholders; items without a word, null texts and null
     ids match nothing. Items with equal templates are told apart by their slots
     alone. Rows that repeat an id are one document (or item). Empty tables give
     no row; other columns aren't read.
     """
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), text_of(item_text_col).alias("text"))
-    items = items.select("item_id", template(F.col("text")).alias("t"), surface_tokens(F.col("text")).alias("raw")).where(F.size("t") > 0).dropDuplicates(["item_id"])
+    items = items.select("item_id", template(F.col("text")).alias("t"), template(F.col("text"), _CAPITALISED).alias("u"), surface_tokens(F.col("text")).alias("raw")).where(F.size("t") > 0).dropDuplicates(["item_id"])
     items = written(items.withColumn("size", F.least(F.lit(window), F.size("t"))), "items")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most ``window`` numbers
     if not sizes:
         sizes = [window]
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), template(text_of(text_col)).alias("t"))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), template(text_of(text_col)).alias("t"), template(text_of(text_col), _CAPITALISED).alias("u"))
     # of a window that an item has twice, the first place counts
     known = None
     for k in sizes:
-        own = _windows(items.where(F.col("size") == k), ["item_id"], k).groupBy("item_id", "w").agg(F.min("pos").alias("ipos")).withColumn("size", F.lit(k))
+        kept = F.size(F.filter("u", lambda x: ~x.isin("0", "1", "2")))
+        own = items.where(F.col("size") == k)
+        if k < window:
+            own = own.withColumn("u", F.when((kept >= 2) & (2 * kept >= k), F.col("u")).otherwise(F.col("t")))
+        own = _windows(own, ["item_id"], k).groupBy("item_id", "w").agg(F.min("pos").alias("ipos"), F.min_by("wide", "pos").alias("wide"))
+        own = _readings(own).withColumn("size", F.lit(k))
         known = own if known is None else known.unionByName(own)
     known = written(known, "item-windows")
     fits = known.count() <= BROADCAST_WINDOWS
     found = None
     for k in sizes:
         side = known.where(F.col("size") == k).drop("size")
-        hit = _windows(rows, ["doc_id"], k).join(F.broadcast(side) if fits else side, "w").select("doc_id", "item_id", "ipos", "pos")
+        hit = _readings(_windows(rows, ["doc_id"], k)).join(F.broadcast(side) if fits else side, "w").select("doc_id", "item_id", "ipos", "pos")
         found = hit if found is None else found.unionByName(hit)
-    places = found.groupBy("doc_id", "item_id", "ipos").agg(F.min("pos").alias("pos"))
-    totals = known.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"), F.max("size").alias("size"))
+    # at each distance of the places, the windows of the item that stand there
+    shared = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "item_id", F.col("pos") - F.col("ipos")))
+    places = found.distinct().withColumn("n", shared).groupBy("doc_id", "item_id", "ipos").agg(F.max_by("pos", F.struct("n", -F.col("pos"))).alias("pos"))
+    totals = known.groupBy("item_id").agg(F.countDistinct("ipos").alias("n_windows"), F.max("size").alias("size"))
     spots = places.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_matched"), F.collect_list(F.struct("ipos", "pos")).alias("spots"))
     likely = written(
         spots.join(F.broadcast(totals) if fits else totals, "item_id").where(F.col("n_matched") >= F.ceil(F.col("n_windows") * coverage)), "likely")
     # slots: places of the item's template that hold a placeholder, inside windows that matched
-    slots = items.select("item_id", "raw", F.posexplode("t").alias("at", "kind")).where(F.col("kind").isin("0", "1", "2"))
-    slots = slots.select("item_id", "at", F.get("raw", F.col("at")).alias("value"))
+    slots = items.select("item_id", "raw", "t", F.posexplode("u").alias("at", "kind")).where(F.col("kind").isin("0", "1", "2"))
+    slots = slots.select("item_id", "at", F.get("raw", F.col("at")).alias("value"), (F.get("t", F.col("at")) == F.col("kind")).alias("sure"))
     spot = F.array_min(F.filter("spots", lambda s: (s.ipos <= F.col("at")) & (F.col("at") < s.ipos + F.col("size"))))
     wanted = likely.select("doc_id", "item_id", "size", "spots").join(F.broadcast(slots) if fits else slots, "item_id").select(
-        "doc_id", "item_id", "value", F.struct((spot.pos + F.col("at") - spot.ipos).alias("place")).place.alias("place"), "at").where("place is not null")
-    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "at", "value", "place")).alias("asked"))
+        "doc_id", "item_id", "value", "sure", F.struct((spot.pos + F.col("at") - spot.ipos).alias("place")).place.alias("place"), "at").where("place is not null")
+    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "at", "value", "sure", "place")).alias("asked"))
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(asked, "doc_id")
     there = texts.select("doc_id", "asked", surface_tokens(F.col("text")).alias("raw")).select("doc_id", "raw", F.explode("asked").alias("a")).select(
-        "doc_id", "a.item_id", "a.at", "a.value", F.get("raw", F.col("a.place")).alias("now"))
-    there = there.groupBy("doc_id", "item_id", "at", "value").agg(F.min("now").alias("now"))
-    by_value = there.groupBy("doc_id", "item_id", "value", "now").agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id", "item_id", "value").agg(
-        F.sum("n").alias("all"), F.max("n").alias("most"), F.sum(F.when(~F.col("value").eqNullSafe(F.col("now")), F.col("n")).otherwise(0)).alias("changed"))
+        "doc_id", "a.item_id", "a.at", "a.value", "a.sure", F.get("raw", F.col("a.place")).alias("now"))
+    there = there.groupBy("doc_id", "item_id", "at", "value", "sure").agg(F.min("now").alias("now"))
+    by_value = there.groupBy("doc_id", "item_id", "value", "now").agg(F.count(F.lit(1)).alias("n"), F.max("sure").alias("sure")).groupBy("doc_id", "item_id", "value").agg(
+        F.sum("n").alias("all"), F.max("n").alias("most"), F.sum(F.when(~F.col("value").eqNullSafe(F.col("now")), F.col("n")).otherwise(0)).alias("changed"), F.max("sure").alias("sure"))
+    # a capitalised word that is the same throughout was a word, not a name
+    by_value = by_value.where("sure or changed > 0")
     checked = by_value.groupBy("doc_id", "item_id").agg(F.sum("all").alias("n_slots"), F.sum("most").alias("agree"), F.sum("changed").alias("n_changed"))
     none = F.lit(0).cast("long")
     done = likely.select("doc_id", "item_id", "n_matched", "n_windows").join(checked, ["doc_id", "item_id"], "left")

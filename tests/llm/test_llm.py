@@ -174,6 +174,26 @@ def test_decontamination_finds_every_passage(spark):
     assert decontam.contaminated(d, bench.limit(0)).count() == 0
 
 
+def test_decontamination_exchanges_names_that_begin_sentences(spark):
+    items = [
+        (1, "Alice has 3 apples and gives some to Bob. Alice then buys 7 more apples at the shop. How many apples does Alice have?"),
+        (2, "\"Wanda\" (Boris) drove off in the rain.\nWanda came home.\nBoris slept until noon that day. Wanda did not. Boris ate cold soup."),
+        (3, "Rosa had 5 red hats and gave one to Tom. Vera had 6 red hats and gave one to Max. Rosa and Vera went home."), (4, "Short one"), (5, "Hello"),
+    ]
+    rows = [
+        (1, "Carol has 4 apples and gives some to Dan. Carol then buys 9 more apples at the shop. How many apples does Carol have?"),
+        (2, "so: \"Clara\" (Peter) drove off in the rain.\nClara came home.\nPeter slept until noon that day. Clara did not. Peter ate cold soup."),
+        (3, "Once more. Lena had 8 red hats and gave one to Jan. Ida had 2 red hats and gave one to Kai. Lena and Ida went home."),
+        (4, "Carol has 4 apples and gives some to Dan. Emil then buys 9 more apples at the shop. How many apples does Fred have?"),
+        (5, "we know alice has 3 apples and gives some to Bob. alice then buys 7 more apples at the shop. how many apples does Alice have?"),
+        (6, "Only one. This one. World"),
+    ]
+    found = decontam.contaminated(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id int, text string")).collect()
+    got = {(r.doc_id, r.item_id, r.kind) for r in found}
+    assert got == {(1, 1, "reparameterised"), (2, 2, "reparameterised"), (3, 3, "reparameterised"), (5, 1, "verbatim")}
+    assert all(r.n_matched == r.n_windows for r in found if r.doc_id in (1, 3))
+
+
 # ---------------------------------------------------------------- tokens
 
 def odd_texts():
