@@ -1,4 +1,4 @@
-"""Suffix sorting by induced sorting, with queues that spill to disk.
+"""Suffix sorting by induced sorting in memory, with queues that can spill to disk.
 
 The suffixes of one string are sorted in the manner of external induced
 sorting: suffixes that begin a rising run (LMS suffixes) are sorted first, by
@@ -7,7 +7,9 @@ scan upward induces the order of the falling suffixes, and a scan downward that
 of the rising ones. Every scan takes tuples out of a monotone priority queue
 whose priority is (symbol, arrival): one first-in-first-out list for each
 symbol. Tuples go in and out in blocks, and a queue above its share of memory
-writes blocks to an unnamed file of its task, which disappears with it.
+writes blocks to an unnamed file of its task, which disappears with it. That
+bounds the queues alone: the text, the popped suffixes, their order and ranks
+are whole arrays in memory.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ smaller document, or earlier in the same one). Every step is exact.
    of the anchor's hash; of equal stretches in a task only the first does, as the
    later ones are repeats whatever else there is. Equal stretches of a shard are one, with the place of
    its first occurrence for each offset. The different ones are joined and their
-   suffixes sorted by external induced sorting (see ``suffix_array``), to the
+   suffixes sorted by induced sorting in memory (see ``suffix_array``), to the
    depth of ``length`` bytes; neighbours that share ``length`` bytes are one
    string, and all but its first occurrence are repeats.
 4. Anchors that hold a large share of all rows are dealt to many shards; there
@@ -21,7 +21,8 @@ smaller document, or earlier in the same one). Every step is exact.
    no task gathers a hot passage.
 
 Memory: a task sorts stretches of several anchors at a time, as many as fit in
-``BATCH`` bytes; beyond that the queues of the sort lie on disk. The reduced
+``BATCH`` bytes; an anchor with more different stretches than that is held and
+sorted whole, in memory, with no bound. The reduced
 string is sorted by doubling its names, and common prefixes are found by
 comparing sorted neighbours: both give what carrying them would.
 """
