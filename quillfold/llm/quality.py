@@ -61,11 +61,12 @@ def features(text: str | None) -> list[float]:
     lone = sum(v for w, v in counts.items() if len(w) == 1 and not w.isalnum() and w[0] < 128)
     ends = sum(x.rstrip()[-1:] in b".!?:" for x in lines) / len(lines)
     line_repeats = len(lines) - len(set(lines))
+    distinct = sum(len(set(words[k : k + 200])) for k in range(0, n, 200))  # in blocks, as it would fall with the length of a text
     return [
         math.log1p(n), size / n, sum(v for w, v in counts.items() if len(w) > 20) / n, len(counts) / math.sqrt(n),
         repeats / n, math.log1p(repeats), max(counts.values()) / n,
         marks / n, math.log1p(marks), upper / n, math.log1p(upper), symbols / size, math.log1p(symbols), digits / size, punct / n,
-        ends, lone / n, math.log1p(n / len(lines)), line_repeats / len(lines), math.log1p(line_repeats), len(set(words[:200])) / min(n, 200),
+        ends, lone / n, math.log1p(n / len(lines)), line_repeats / len(lines), math.log1p(line_repeats), distinct / n,
         float(marks > 2), float(upper > 5), float(lone > 2),
     ]
 

@@ -378,6 +378,13 @@ def test_quality_edges(spark):
     assert quality.score(edge(spark, True), quality.train(edge(spark, True), labels)).count() == 0
 
 
+def test_late_repetition_is_seen():
+    at = quality.FEATURES.index("compressible")
+    words = [f"w{i}" for i in range(1000)]
+    varied, late = quality.features(" ".join(words))[at], quality.features(" ".join(words[:200] + ["w0", "w1"] * 400))[at]
+    assert varied == 1 and late == (200 + 4 * 2) / 1000 and quality.features("a b a b")[at] == 0.5
+
+
 # ---------------------------------------------------------------- the pipeline
 
 def test_pipeline(spark, tmp_path):
