@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import adopt, release, scope, written
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -35,13 +35,21 @@ def components(edges: DataFrame) -> DataFrame:
     Links of a node to itself and links with a null are left out; repeated links
     count once. No link gives no row.
     """
-    e = written(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    first = edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     mark = lambda x: tuple(x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
+    paths: list[str] = []
+    with scope(paths):
+        e = written(first, "links")
     now = mark(e)
     while now[0]:
-        e = written(_small_star(_large_star(e)), "links")
+        newer: list[str] = []
+        with scope(newer):
+            e = written(_small_star(_large_star(e)), "links")
         before, now = now, mark(e)
+        release(paths)  # the links before this round
+        paths = newer
         if before == now:
             break
+    adopt(paths)
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

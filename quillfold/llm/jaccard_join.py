@@ -11,21 +11,30 @@ the symmetric difference. Sets with a similarity of at least t have
    ones first. A set's home region is that of its first pivot. The inequality
    for h bounds how many of its first pivots a similar set can lack, so the set
    is replicated to the regions of that many more pivots and no further. In a
-   region two sets meet only if their distances to ``PARTS`` fixed pivots (the
-   parts of the universe) allow it: h(x, y) is at least the sum over the parts of
-   ``||x & U| - |y & U||``. What still meets is one cell; no similar pair lies
-   across two cells. Regions of more than ``LEAF`` sets skip that test.
-3. *Voronoi regions.* A cell of more than ``LEAF`` sets (or ``LEAF_BYTES``) is split by pivots
+   region two sets meet only if their distances to fixed pivots (``PARTS`` or
+   more parts of the universe, one for a few shingles) allow it: h(x, y) is at
+   least the sum over the parts of ``||x & U| - |y & U||``. What still meets is
+   one cell; no similar pair lies across two cells. Regions of more than ``REGION`` sets skip that test.
+3. *Voronoi regions.* Every cell of more than ``LEAF`` sets is split by pivots
    drawn from it. Each set goes to its nearest pivot, and also to each pivot p with
    ``d(x,p) <= d(x,own) + 2r`` (the triangle inequality leaves no similar pair
-   elsewhere). Sets within r of their own pivot are linked to it; two sets
-   caught by linked pivots need not meet again. Regions are split again in the
-   same way; one that pivots don't shrink (all its sets lie within each other's
-   windows) is cut into blocks, of which each pair with uncaught sets meets.
-4. *Leaves* compare the sets of a region, exactly, as rows of bits.
+   elsewhere). Sets within r of a pivot are linked to it, and sets that linked
+   pivots caught need not meet again; a region where nobody has to is done. The
+   others are split in the same way until ``LEAF`` sets are left, which are
+   compared. A cell of up to ``TASK`` sets and ``TASK_BYTES`` is split within one
+   task, a larger one by a job for each level.
+4. *Translation.* Where all sets lie within each other's windows, pivots from
+   among them can't split a region. Within a task its sets meet where their
+   distances to the pivots allow. A larger region takes one more pivot m, the
+   shingles that most of some of its sets have. As h(x,y) is the same for
+   ``x ^ m`` and ``y ^ m``, sets near m are linked without a comparison
+   (``h(x,m) + h(y,m)`` is small enough), and all others that are similar share a
+   shingle in which they differ from m. So the differences are the pivots of the
+   next regions, each of at most about half the sets, and only where a set that m
+   didn't catch has one.
 
 Sets are sorted 64-bit hashes of their shingles and classes are told apart by
-128 bits; everything else is exact. No all-pairs list is made: a leaf gives
+128 bits; everything else is exact. No all-pairs list is made: each step gives
 links that connect what is connected.
 """
 
@@ -37,109 +46,95 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sized, written
+from .common import sized, small_batches, written
 from .components import components
-
-#: Sets, and bytes of them, that one task compares at once.
-LEAF = 16384
-LEAF_BYTES = 64 << 20
+from .shingle import mix, shingle_sets
+
+#: Sets of a region that are compared without a further split.
+LEAF = 4
+#: Sets, and bytes of them, of a cell that one task splits.
+TASK = 512
+TASK_BYTES = 16 << 20
+#: Sets of a first region above which it is one cell without a test of each pair.
+REGION = 4096
 #: Bytes up to which the pivots of all large regions are broadcast.
 PIVOT_BYTES = 32 << 20
 PIVOTS = 8
-#: Voronoi levels before regions are cut into blocks.
-MAX_LEVELS = 3
-#: Fixed pivots of which each set keeps its coordinates.
+#: Sets whose majority is the pivot of a translation.
+MEDIAN = 15
+#: Fixed pivots of which each set keeps its coordinates; twice as many from each doubling of ``PARTS * PER_PART`` shingles on.
 PARTS = 128
-#: Documents from which the common shingles are read.
-SAMPLE = 2000
-CACHE = 400_000
-
-_words: dict[bytes, int] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit integers in which every bit depends on every other."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """The sorted distinct hashes of the word shingles of a text, A-Z lower-cased; a shorter text is one shingle."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    try:
-        ids = [_words[w] for w in words]
-    except KeyError:
-        if len(_words) > CACHE:
-            _words.clear()
-        for w in set(words).difference(_words):
-            _words[w] = xxhash.xxh3_64_intdigest(w)
-        ids = [_words[w] for w in words]
-    h = np.array(ids, np.uint64)
-    n = len(h)
-    if n < width:
-        return np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed=n)], np.uint64)
-    out = np.zeros(n - width + 1, np.uint64)
-    for k in range(width):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k : n - width + 1 + k] + np.uint64(k + 1))
-    return np.unique(out)
-
-
-def prefix(s: np.ndarray, common: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The pivots whose regions a set enters: its first ones, those in ``common`` (sorted) last."""
+PER_PART = 6
+#: Documents, and the share of all, from which common shingles are read; from how many documents on a shingle comes late, and how many are ordered.
+SAMPLE, SAMPLE_SHARE = 2000, 1 / 16
+OFTEN, ORDERED = 256, 1 << 20
+
+
+def prefix(s: np.ndarray, common: np.ndarray, times: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The pivots whose regions a set enters: its first ones, those in ``common`` (sorted) last, the most frequent at the end."""
     n = len(s)
     if len(common):
         at = np.minimum(np.searchsorted(common, s), len(common) - 1)
         often = common[at] == s
-        s = np.concatenate([s[~often], s[often]])
+        if often.any():
+            s = np.concatenate([s[~often], s[often][np.argsort(times[at[often]], kind="stable")]])
     return s[: n + (-num * n // den) + 1]
 
 
 def coordinates(s: np.ndarray) -> bytes:
-    """How many shingles lie in each part of the universe, 255 at most."""
-    part = (_mix(s) >> np.uint64(57)).astype(np.int64)
-    return np.minimum(np.bincount(part, minlength=PARTS), 255).astype(np.uint8).tobytes()
+    """How many shingles lie in each part of the universe, 255 at most; halves of a part stand side by side."""
+    bits = PARTS.bit_length() - 1
+    while (PER_PART << bits) < len(s):
+        bits += 1
+    part = (mix(s) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def _common(rows: DataFrame, width: int) -> np.ndarray:
-    """Shingles of at least a hundredth of some ``SAMPLE`` documents, sorted: they come last in the order of pivots.
+def _common(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a sample finds in many documents, sorted, and how often: they come last in the order of pivots.
 
-    Any order gives the same result; this one keeps regions small. At most
-    100 times the mean number of shingles is returned.
+    Any order gives the same result; this one keeps regions small. The sample is
+    ``SAMPLE`` documents, or a part of ``SAMPLE_SHARE`` if that is more; the most
+    frequent ``ORDERED`` shingles at most are collected.
     """
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     total = rows.count()
     if not total:
-        return np.zeros(0, np.uint64)
-    some = rows.sample(min(1.0, SAMPLE / total), seed=1) if total > SAMPLE else rows
+        return none
+    share = min(1.0, max(SAMPLE_SHARE, SAMPLE / total))
+    some = rows.sample(share, seed=1) if share < 1 else rows
 
     def run(batches):
         for b in batches:
-            sets = [shingles(t.as_py(), width).view(np.int64) for t in b.column(1)]
+            sets = [s.view(np.int64) for s in shingle_sets(b.column(1), width)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else [], pa.int64())], ["s"])
 
-    often = some.mapInArrow(run, "s long").groupBy("s").count().where(F.col("count") >= max(4, min(total, SAMPLE) // 100))
-    return np.sort(np.array([r.s for r in often.select("s").collect()], np.int64).view(np.uint64))
+    counted = some.mapInArrow(run, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    with small_batches(rows.sparkSession):
+        found = counted.where(F.col("n") >= max(4, int(share * OFTEN))).orderBy(F.desc("n"), "s").limit(ORDERED).toArrow()
+    if not found.num_rows:
+        return none
+    values, times = found["s"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    order = np.argsort(values)
+    return values[order], times[order]
 
 
 def _prepared(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """``doc_id, n, digest, pivots, coords`` for every row."""
-    common = _common(rows, width)
+    common, times = _common(rows, width)
 
     def run(batches):
         for b in batches:
             ns, digests, pivots, coords = [], [], [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                s = shingles(t.as_py(), width)
+            for i, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1), width), strict=True):
                 ns.append(len(s))
                 linked = len(s) and i is not None
                 digests.append(_digest(s) if linked else None)
-                pivots.append(prefix(s, common, num, den).view(np.int64) if linked else [])
+                pivots.append(prefix(s, common, times, num, den).view(np.int64) if linked else [])
                 coords.append(coordinates(s) if linked else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(pivots, pa.list_(pa.int64())), pa.array(coords, pa.binary())],
@@ -155,15 +150,15 @@ def _cells(classes: DataFrame, num: int, den: int) -> DataFrame:
     # a region with a large share of all rows is one cell at once: each of its sets is linked to its least one; which
     # regions these are is read from a sample, which changes the work but not the result
     sample = rows.sample(0.01, seed=1)
-    hot = written(sample.groupBy("pivot").count().where("count > 100").orderBy(F.desc("count"), "pivot").limit(1000).select("pivot"), "hot")
-    cold = rows.join(F.broadcast(hot), "pivot", "left_anti")
+    hot = sized(written(sample.groupBy("pivot").count().where("count > 100").select("pivot"), "hot"))
+    cold = rows.join(hot, "pivot", "left_anti")
     w = Window.partitionBy("pivot")
     near = cold.select("rep", "pivot", F.min("rep").over(w).alias("head"), F.count(F.lit(1)).over(w).alias("k"))
     near = written(near.where("k > 1"), "regions")
-    warm = rows.join(F.broadcast(hot), "pivot", "left_semi")
-    heads = warm.groupBy("pivot").agg(F.min("rep").alias("head"))  # at most 1000
-    links = warm.join(F.broadcast(heads), "pivot").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
-    links = links.unionByName(near.where(f"k > {LEAF} and rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    warm = rows.join(hot, "pivot", "left_semi")
+    heads = sized(written(warm.groupBy("pivot").agg(F.min("rep").alias("head")), "heads"))
+    links = warm.join(heads, "pivot").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    links = links.unionByName(near.where(f"k > {REGION} and rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
 
     def run(batches):
         """Links that connect what may be similar in each region; rows come by region and size."""
@@ -182,223 +177,373 @@ def _cells(classes: DataFrame, num: int, den: int) -> DataFrame:
         pairs = _may_meet(kept, num, den)
         yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
-    small = near.where(f"k <= {LEAF}").select("pivot", "rep")
+    small = near.where(f"k <= {REGION}").select("pivot", "rep")
     placed = small.join(classes.select("rep", "n", "coords"), "rep").select("pivot", "rep", "n", "coords")
     tested = placed.repartition("pivot").sortWithinPartitions("pivot", "n", "rep").mapInArrow(run, "a long, b long")
     return components(links.unionByName(tested))
 
 
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least symmetric difference that coordinates of one set and of some others allow."""
+    return np.abs(a.astype(np.int16) - b).sum(-1, dtype=np.int64)
+
+
+def _folded(c: np.ndarray) -> np.ndarray:
+    """Coordinates for half as many parts."""
+    return np.minimum(c[..., ::2].astype(np.int16) + c[..., 1::2], 255).astype(np.uint8)
+
+
 def _may_meet(rows: list[tuple[int, int, bytes]], num: int, den: int) -> list[tuple[int, int]]:
     """Links between (id, size, coordinates), by size, that connect every pair whose coordinates allow similarity."""
     k = len(rows)
     if k < 2:
         return []
-    if k == 2:
-        (i, n, x), (j, m, y) = rows
-        far = np.abs(np.frombuffer(x, np.uint8).astype(np.int16) - np.frombuffer(y, np.uint8)).sum()
-        return [(i, j)] if m * num <= n * den and far * (den + num) <= (n + m) * (den - num) else []
     n = np.array([r[1] for r in rows], np.int64)
-    c = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(k, PARTS).astype(np.int16)
     ends = np.searchsorted(n * num, n * den, side="right")
+    parts = np.array([len(r[2]) for r in rows])
+    level = {int(p): np.frombuffer(b"".join(r[2] for r in rows if len(r[2]) == p), np.uint8).reshape(-1, int(p)) for p in np.unique(parts)}
+    first = {p: int(np.searchsorted(parts, p)) for p in level}  # the number of parts ascends with the size
     group = np.arange(k)
     out = []
     for i in range(k - 1):
-        j = np.arange(i + 1, int(ends[i]))
-        j = j[group[j] != group[i]]
-        if len(j):
-            j = j[np.abs(c[j] - c[i]).sum(1) * (den + num) <= (n[j] + n[i]) * (den - num)]
-        for g in np.unique(group[j]):
-            out.append((rows[i][0], rows[int(j[group[j] == g][0])][0]))
-            group[group == g] = group[i]
+        end = int(ends[i])
+        if end <= i + 1:
+            continue
+        c = level[int(parts[i])][i - first[int(parts[i])]]
+        for p, block in level.items():
+            j = np.arange(max(i + 1, first[p]), min(end, first[p] + len(block)))
+            j = j[group[j] != group[i]]
+            if not len(j):
+                continue
+            others = block[j - first[p]]
+            while others.shape[1] > len(c):
+                others = _folded(others)
+            j = j[_far(c, others) * (den + num) <= (n[j] + n[i]) * (den - num)]
+            for g in np.unique(group[j]):
+                out.append((rows[i][0], rows[int(j[group[j] == g][0])][0]))
+                group[group == g] = group[i]
     return out
 
 
 class Near:
-    """Union-find, exact comparison and distances over sets held as rows of bits or as marks."""
+    """Sets of one region, with links between them; only shingles that two of them share are held."""
 
-    def __init__(self, num: int, den: int):
+    def __init__(self, ids: list[int], sets: list[np.ndarray], labels: list[int | None], num: int, den: int):
+        order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
         self.num, self.den = num, den
-
-    def similar(self, common: np.ndarray, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
-        return self.den * common >= self.num * (a + b - common)
-
-    def links(self, ids: list[int], sets: list[np.ndarray], labels: list[int | None]) -> list[tuple[int, int]]:
-        """Links that connect exactly those ids that similar pairs connect, given that equal labels are connected."""
-        order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
-        ids, sets, labels = [ids[i] for i in order], [sets[i] for i in order], [labels[i] for i in order]
-        sizes = np.array([len(s) for s in sets], np.int64)
-        n = len(ids)
-        # only shingles that two sets have can be common; the rest is dropped at once
+        self.ids = [ids[i] for i in order]
+        sets = [sets[i] for i in order]
+        self.sizes = np.array([len(x) for x in sets], np.int64)
         flat = np.sort(np.concatenate(sets))
-        shared = flat[1:][flat[1:] == flat[:-1]]
-        del flat
+        again = np.zeros(len(flat), bool)
+        again[1:] = flat[1:] == flat[:-1]
+        shared = flat[again]
         shared = shared[np.r_[True, shared[1:] != shared[:-1]]] if len(shared) else shared
         words = max(1, (len(shared) + 63) // 64)
-        dense = words * n <= 1 << 22
-        bits = np.zeros((n, words * 8), np.uint8) if dense else None
+        self.dense = words * len(ids) <= 1 << 21
+        bits = np.zeros((len(ids), words * 8), np.uint8) if self.dense else None
         cols = []
-        for i, s in enumerate(sets):
-            at = np.minimum(np.searchsorted(shared, s), max(0, len(shared) - 1))
-            at = at[shared[at] == s] if len(shared) else at[:0]
-            if dense:
+        for i, x in enumerate(sets):
+            at = np.minimum(np.searchsorted(shared, x), max(0, len(shared) - 1))
+            at = at[shared[at] == x] if len(shared) else at[:0]
+            if self.dense:
                 row = np.zeros(words * 64, np.uint8)
                 row[at] = 1
                 bits[i] = np.packbits(row)
             else:
                 cols.append(at.astype(np.int32))
-        if dense:
-            bits = bits.view(np.uint64)
+        if self.dense:
+            self.bits = bits.view(np.uint64)
         else:
-            starts = np.r_[0, np.cumsum([len(c) for c in cols])]
-            cols = np.concatenate(cols)
-        mark = np.zeros(len(shared), np.int32)
-        parent = np.arange(n)
-        first: dict[int, int] = {}
-
-        def find(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        known: dict[int, int] = {}
-        for i, x in enumerate(labels):
-            if x is not None:
-                parent[find(i)] = find(first.setdefault(x, i))
-            parent[find(i)] = find(known.setdefault(ids[i], i))
-        out = []
-        ends = np.searchsorted(sizes * self.num, sizes * self.den, side="right")
-        for i in range(n - 1):
-            j, end = i + 1, int(ends[i])
-            if end <= j:
-                continue
-            if dense:
-                common = np.bitwise_count(bits[j:end] & bits[i]).sum(1).astype(np.int64)
-            else:
-                mark[cols[starts[i] : starts[i + 1]]] = 1
-                total = np.r_[0, np.cumsum(mark[cols[starts[j] : starts[end]]])]
-                common = np.diff(total[starts[j : end + 1] - starts[j]])
-                mark[cols[starts[i] : starts[i + 1]]] = 0
-            for k in np.flatnonzero(self.similar(common, int(sizes[i]), sizes[j:end])):
-                a, b = find(i), find(j + int(k))
-                if a != b:
-                    parent[a] = b
-                    out.append((ids[i], ids[j + int(k)]))
+            self.starts = np.r_[0, np.cumsum([len(c) for c in cols])]
+            self.cols = np.concatenate(cols)
+            self.mark = np.zeros(len(shared) + 1, np.int32)
+        self.parent = list(range(len(ids)))
+        self.links: list[tuple[int, int]] = []
+        #: Regions that were split, and pairs that were compared.
+        self.splits = self.compared = 0
+        first: dict[object, int] = {}
+        for i, (k, label) in enumerate(zip(self.ids, (labels[i] for i in order), strict=True)):
+            self.parent[self.find(i)] = self.find(first.setdefault(k, i))
+            if label is not None:
+                self.parent[self.find(i)] = self.find(first.setdefault((label,), i))
+
+    def find(self, i: int) -> int:
+        parent = self.parent
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def roots(self, some: np.ndarray) -> np.ndarray:
+        return np.array([self.find(i) for i in some.tolist()], np.int64)
+
+    def common(self, i: int, some: np.ndarray) -> np.ndarray:
+        """How many shingles set i shares with each of some others."""
+        self.compared += len(some)
+        if self.dense:
+            return np.bitwise_count(self.bits[some] & self.bits[i]).sum(1).astype(np.int64)
+        own = self.cols[self.starts[i] : self.starts[i + 1]]
+        self.mark[own] = 1
+        out = np.array([self.mark[self.cols[self.starts[j] : self.starts[j + 1]]].sum() for j in some.tolist()], np.int64)
+        self.mark[own] = 0
         return out
 
+    def link(self, i: int, some: np.ndarray, common: np.ndarray) -> None:
+        near = self.den * common >= self.num * (self.sizes[i] + self.sizes[some] - common)
+        for j in some[near].tolist():
+            a, b = self.find(i), self.find(j)
+            if a != b:
+                self.parent[a] = b
+                self.links.append((self.ids[i], self.ids[j]))
+
+    def meet(self, some: np.ndarray, d: np.ndarray | None = None) -> None:
+        """Compare those that aren't connected, where sizes and distances ``d`` to pivots allow it; ``some`` ascends."""
+        r = 1 - self.num / self.den + 1e-9
+        root = self.roots(some)
+        for k in range(len(some) - 1):
+            i = int(some[k])
+            rest = slice(k + 1, k + 1 + int(np.searchsorted(self.sizes[some[k + 1 :]] * self.num, self.sizes[i] * self.den, side="right")))
+            ask = root[rest] != root[k]
+            if d is not None and ask.any():
+                ask &= (np.abs(d[rest] - d[k]) <= r).all(1)
+            if ask.any():
+                found = len(self.links)
+                others = some[rest][ask]
+                self.link(i, others, self.common(i, others))
+                if len(self.links) > found:
+                    root = self.roots(some)
+
+    def join(self, some: np.ndarray | None = None, leaf: int = LEAF) -> None:
+        """Link what is similar among ``some`` by Voronoi regions, recursively."""
+        some = np.arange(len(self.ids)) if some is None else some
+        if len(np.unique(self.roots(some))) < 2:
+            return
+        if len(some) <= leaf:
+            return self.meet(some)
+        self.splits += 1
+        r = 1 - self.num / self.den
+        pivots, d = [], np.zeros((len(some), 0))
+        nearest = np.full(len(some), 2.0)
+        for _ in range(min(PIVOTS, 2 + len(some) // 8)):
+            k = int(np.argmax(nearest))  # the farthest from all pivots so far
+            if nearest[k] <= 0:
+                break
+            pivots.append(int(some[k]))
+            shared = self.common(pivots[-1], some)
+            self.link(pivots[-1], some, shared)
+            own = 1 - shared / (self.sizes[pivots[-1]] + self.sizes[some] - shared)
+            own[k] = 0.0  # shingles that it alone has aren't held
+            d = np.column_stack([d, own])
+            nearest = np.minimum(nearest, own)
+        home = d.argmin(1)
+        regions = [np.flatnonzero((home == j) | (d[:, j] <= nearest + 2 * r + 1e-9)) for j in range(len(pivots))]
+        regions = [x for x in regions if len(x) > 1 and len(np.unique(self.roots(some[x]))) > 1]
+        if regions and (max(map(len, regions)) > 0.8 * len(some) or sum(map(len, regions)) > 2 * len(some)):
+            self.meet(some, d)  # all lie within each other's windows
+        else:
+            for x in regions:
+                self.join(some[x], leaf)
+
 
 def _distance(common: int, a: int, b: int) -> float:
     return 1 - common / (a + b - common)
 
 
+_PART = pa.schema([("region", pa.int64()), ("rep", pa.int64()), ("set", pa.binary()), ("label", pa.int64())])
+
+
+def _picked(rows: DataFrame, seed: int, n: int) -> DataFrame:
+    """``region, pivots``: n sets of each region, chosen by hashes of their names."""
+    pick = [F.min(F.struct(F.xxhash64("rep", F.lit(seed + k)).alias("h"), "rep", "set")).alias(f"p{k}") for k in range(n)]
+    return rows.groupBy("region").agg(*pick).select("region", F.array(*[F.struct(f"p{k}.rep", f"p{k}.set") for k in range(n)]).alias("pivots"))
+
+
+def _told(rows: DataFrame, pivots: DataFrame) -> tuple[DataFrame, object]:
+    """``rows`` for a task that needs its region's pivots: they come by broadcast if they are few, else in a fifth column."""
+    size = pivots.agg(F.sum(F.aggregate("pivots", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p["set"])))).head()[0] or 0
+    told = rows.select("region", "rep", "set", "label")
+    if size > PIVOT_BYTES:
+        return told.join(pivots, "region"), None
+    return told, rows.sparkSession.sparkContext.broadcast({r.region: [(p.rep, bytes(p.set)) for p in r.pivots] for r in pivots.collect()})
+
+
+def _rows_with_pivots(batches, known):
+    """``(new, region, rep, set, label, pivots)`` of each row; ``new`` where the region begins."""
+    at = None
+    for b in batches:
+        columns = [b.column(k) for k in range(b.num_columns)]
+        for k in range(b.num_rows):
+            region, rep, raw, label = (c[k].as_py() for c in columns[:4])
+            new = region != at
+            if new:
+                given = known.value[region] if known else [(p["rep"], p["set"]) for p in columns[4][k].as_py()]
+                at, pivots = region, dict(given)
+            yield new, region, rep, raw, label, pivots
+        yield None
+
+
 def _split(rows: DataFrame, num: int, den: int, level: int) -> tuple[DataFrame, DataFrame]:
     """The Voronoi regions of each region of ``rows``, and the links to pivots."""
     r = 1 - num / den
-    pick = [F.min(F.struct(F.xxhash64("rep", F.lit(100 * level + k)).alias("h"), "rep", "set")).alias(f"p{k}") for k in range(PIVOTS)]
-    pivots = rows.groupBy("region").agg(*pick).select("region", F.array(*[F.struct(f"p{k}.rep", f"p{k}.set") for k in range(PIVOTS)]).alias("pivots"))
     schema = "region long, rep long, set binary, label long, cells array<struct<cell:int,home:boolean>>, near array<long>"
-    pivots = written(pivots, "pivots")
-    few = (pivots.agg(F.sum(F.aggregate("pivots", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p["set"])))).head()[0] or 0) <= PIVOT_BYTES
-    known = rows.sparkSession.sparkContext.broadcast({r.region: [(p.rep, bytes(p.set)) for p in r.pivots] for r in pivots.collect()}) if few else None
+    arrow = pa.schema([*_PART, ("cells", pa.list_(pa.struct([("cell", pa.int32()), ("home", pa.bool_())]))), ("near", pa.list_(pa.int64()))])
+    told, known = _told(rows, written(_picked(rows, 100 * level, PIVOTS), "pivots"))
 
     def run(batches):
-        near = Near(num, den)
-        for b in batches:
-            out = []
-            at = None
-            columns = [b.column(k) for k in range(b.num_columns)]
-            for k in range(b.num_rows):
-                region, rep, raw, label = (c[k].as_py() for c in columns[:4])
-                if region != at:
-                    given = known.value[region] if known else [(p["rep"], p["set"]) for p in columns[4][k].as_py()]
-                    at, ps = region, {i: np.frombuffer(v, np.uint64) for i, v in given}
-                    reps = sorted(ps)
-                    group = {p: p for p in reps}  # pivots linked to one another
-                    for a, q in near.links(reps, [ps[p] for p in reps], [None] * len(reps)):
-                        old, new = max(group[a], group[q]), min(group[a], group[q])
-                        group = {p: new if g == old else g for p, g in group.items()}
-                x = np.frombuffer(raw, np.uint64)
-                common = [len(np.intersect1d(x, ps[p], assume_unique=True)) for p in reps]
-                d = [_distance(c, len(x), len(ps[p])) for c, p in zip(common, reps, strict=True)]
-                hit = [bool(near.similar(np.int64(c), len(x), np.int64(len(ps[p])))) for c, p in zip(common, reps, strict=True)]
-                own = int(np.argmin(d))
-                cells = [{"cell": j, "home": j == own} for j in range(len(reps)) if j == own or d[j] <= d[own] + 2 * r + 1e-9]
-                out.append({"region": region, "rep": rep, "set": raw, "label": group[reps[own]] if hit[own] else label, "cells": cells, "near": [p for p, y in zip(reps, hit, strict=True) if y and p != rep]})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("region", pa.int64()), ("rep", pa.int64()), ("set", pa.binary()), ("label", pa.int64()), ("cells", pa.list_(pa.struct([("cell", pa.int32()), ("home", pa.bool_())]))), ("near", pa.list_(pa.int64()))]))
+        out = []
+        for row in _rows_with_pivots(batches, known):
+            if row is None:
+                yield pa.RecordBatch.from_pylist(out, arrow)
+                out = []
+                continue
+            new, region, rep, raw, label, given = row
+            if new:
+                ps = {i: np.frombuffer(v, np.uint64) for i, v in given.items()}
+                reps = sorted(ps)
+                near = Near(reps, [ps[p] for p in reps], [None] * len(reps), num, den)
+                near.meet(np.arange(len(reps)))
+                least: dict[int, int] = {}
+                for k, p in enumerate(near.ids):
+                    least[near.find(k)] = min(p, least.get(near.find(k), p))
+                group = {p: least[near.find(k)] for k, p in enumerate(near.ids)}  # pivots linked to one another
+            x = np.frombuffer(raw, np.uint64)
+            common = [len(np.intersect1d(x, ps[p], assume_unique=True)) for p in reps]
+            d = [_distance(c, len(x), len(ps[p])) for c, p in zip(common, reps, strict=True)]
+            hit = [den * c >= num * (len(x) + len(ps[p]) - c) for c, p in zip(common, reps, strict=True)]
+            own = int(np.argmin(d))
+            cells = [{"cell": j, "home": j == own} for j in range(len(reps)) if j == own or d[j] <= d[own] + 2 * r + 1e-9]
+            out.append({"region": region, "rep": rep, "set": raw, "label": group[reps[own]] if hit[own] else label, "cells": cells, "near": [p for p, y in zip(reps, hit, strict=True) if y and p != rep]})
 
-    told = rows.select("region", "rep", "set", "label")
-    told = told if few else told.join(pivots, "region")
     done = written(told.mapInArrow(run, schema), "voronoi")
-    links = done.select(F.col("rep").alias("a"), F.explode("near").alias("b"))
-    return done, links
+    return done, done.select(F.col("rep").alias("a"), F.explode("near").alias("b"))
+
 
+def _open(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Regions (``keys``) in which two sets may be unconnected, and with a digest of who is in them."""
+    who = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"who{k}") for k in range(2)]
+    state = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.count("label").alias("told"), *who)
+    return state.where("n > 1 and (told < n or low <> high)").drop("low", "high", "told")
 
-def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
-    """Regions that pivots don't shrink: blocks of their sets, of which each pair with uncaught sets meets.
 
-    Sets that all carry one label are connected, so only a block with others
-    starts a pair. Sizes per region come from the table; nothing is collected.
+def _translated(rows: DataFrame, num: int, den: int, level: int) -> tuple[DataFrame, DataFrame]:
+    """Regions of sets that differ alike from a middle set of their region, and the links that the middle proves.
+
+    With ``D = x ^ m`` and ``slack = (den-num)|x| - (den+num)|D|``, x and y are
+    similar if their slacks sum to 0 or more. The set of the largest slack is the
+    head: all that any such sum connects is linked to it. Any other similar pair
+    shares ``-(slack + slack) / 2(den+num)`` elements of D, so a set that the head
+    didn't catch needs only the rarest of its elements, but for that many.
+    Regions of the same sets are one.
     """
-    half = max(1, leaf // 2)
-    # the label that most rows carry in each region; rows with it need not meet each other
-    main = rows.where("label is not null").groupBy("region", "label").count().groupBy("region").agg(F.max(F.struct("count", "label")).alias("m")).select("region", F.col("m.label").alias("main"))
-    marked = rows.join(main, "region", "left").withColumn("rest", ~F.coalesce(F.col("label") == F.col("main"), F.lit(False)))
-    blocks = lambda some: F.ceil(F.greatest(F.sum(some.cast("long")) / half, F.sum(F.when(some, F.octet_length("set")).otherwise(0)) / (LEAF_BYTES // 2)))
-    counts = marked.groupBy("region").agg(blocks(F.col("rest")).alias("n_rest"), blocks(F.lit(True)).alias("n_all"))
-    placed = marked.join(counts, "region").withColumn("h", F.xxhash64("rep", F.lit(3)))
-    as_rest = placed.where("rest").select("region", "rep", "set", "label", F.pmod("h", "n_rest").alias("a"), F.explode(F.expr("sequence(0L, n_all - 1)")).alias("b"))
-    as_all = placed.where("n_rest > 0").select("region", "rep", "set", "label", F.explode(F.expr("sequence(0L, n_rest - 1)")).alias("a"), F.pmod("h", "n_all").alias("b"))
-    return as_rest.unionByName(as_all).select(F.xxhash64("region", "a", "b").alias("region"), "rep", "set", "label").dropDuplicates(["region", "rep"])
-
-
-def _leaf_links(rows: DataFrame, num: int, den: int) -> DataFrame:
+    arrow = pa.schema([*_PART, ("slack", pa.int64()), ("best", pa.int64()), ("diff", pa.list_(pa.int64()))])
+    told, known = _told(rows, written(_picked(rows, 100 * level + 50, MEDIAN), "pivots"))
+
+    def run(batches):
+        out = []
+        for row in _rows_with_pivots(batches, known):
+            if row is None:
+                yield pa.RecordBatch.from_pylist(out, arrow)
+                out = []
+                continue
+            new, region, rep, raw, label, given = row
+            if new:
+                some = [np.frombuffer(v, np.uint64) for v in given.values()]
+                values, times = np.unique(np.concatenate(some), return_counts=True)
+                middle = values[2 * times > len(some)]
+            x = np.frombuffer(raw, np.uint64)
+            diff = np.setxor1d(x, middle, assume_unique=True)
+            # the largest slack that sizes allow a partner: the nearest to the middle's that is similar to this one's
+            size = min(max(len(middle), -(-num * len(x) // den)), den * len(x) // num)
+            best = (den - num) * size - (den + num) * abs(size - len(middle))
+            out.append({"region": region, "rep": rep, "set": raw, "label": label, "slack": (den - num) * len(x) - (den + num) * len(diff), "best": best, "diff": diff.view(np.int64)})
+
+    done = written(told.mapInArrow(run, "region long, rep long, set binary, label long, slack long, best long, diff array<long>"), "translated")
+    heads = done.groupBy("region").agg(F.max(F.struct("slack", "rep")).alias("head")).select("region", F.col("head.rep").alias("head"), F.col("head.slack").alias("most"))
+    heads = sized(written(heads, "heads"))
+    both = F.col("slack") + F.col("most")
+    state = done.join(heads, "region").withColumn("caught", both >= 0)
+    links = state.where("caught and rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    need = F.size("diff") + 1 - F.greatest(F.lit(1), F.ceil(-(F.col("slack") + F.least("most", "best")) / (2 * (den + num))))
+    items = state.select("region", "rep", F.when(F.col("caught"), F.col("head")).otherwise(F.col("label")).alias("label"), F.when(~F.col("caught"), need).alias("need"), F.explode("diff").alias("e"))
+    asked = items.join(items.where("need is not null").select("region", "e").distinct(), ["region", "e"], "left_semi")
+    counted = asked.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("region", "e")))
+    place = F.row_number().over(Window.partitionBy("region", "rep").orderBy("times", "e"))
+    first = counted.where("need is not null").withColumn("place", place).where("place <= need").drop("place")
+    parts = first.unionByName(counted.where("need is null")).where("times > 1").select(F.col("region").alias("parent"), "e", "rep", "label")
+    keep = _open(parts, ["parent", "e"]).groupBy("parent", "n", "who0", "who1").agg(F.min("e").alias("e")).select("parent", "e")
+    sets = done.select(F.col("region").alias("parent"), "rep", "set")
+    apart = parts.join(keep, ["parent", "e"], "left_semi").join(sets, ["parent", "rep"])
+    return apart.select(F.xxhash64("parent", "e").alias("region"), "rep", "set", "label"), links
+
+
+def _leaf_links(rows: DataFrame, num: int, den: int, leaf: int) -> DataFrame:
+    """``a, b``: links of each region that fits a task."""
+
     def run(batches):
-        near = Near(num, den)
         at, ids, sets, labels = None, [], [], []
 
         def ended():
-            pairs = near.links(ids, sets, labels) if len(ids) > 1 else []
+            pairs = []
+            if len(ids) > 1:
+                near = Near(ids, sets, labels, num, den)
+                near.join(leaf=leaf)
+                pairs = near.links
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
         for b in batches:
-            for region, rep, s, label in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            regions, reps, raws, told = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()
+            for k, region in enumerate(regions):
                 if region != at:
-                    yield ended()
+                    if len(ids) > 1:
+                        yield ended()
                     at, ids, sets, labels = region, [], [], []
-                ids.append(rep)
-                sets.append(np.frombuffer(s, np.uint64))
-                labels.append(label)
+                ids.append(reps[k])
+                sets.append(np.frombuffer(raws[k].as_py(), np.uint64))
+                labels.append(told[k])
         yield ended()
 
     dealt = rows.select("region", "rep", "set", "label").repartition("region").sortWithinPartitions("region", "rep")
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _region_links(rows: DataFrame, num: int, den: int, leaf: int) -> DataFrame:
+def _region_links(rows: DataFrame, num: int, den: int, leaf: int, task: int) -> DataFrame:
     """Links within each region of ``rows`` (``region, rep, set, label``), by recursion."""
     links = []
-    for level in range(MAX_LEVELS + 1):
+    level = 0
+    while True:
         sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("set")).alias("bytes"))
-        big = sizes.where((F.col("size") > leaf) | ((F.col("bytes") > LEAF_BYTES) & (F.col("size") > 2))).drop("bytes")
+        big = sizes.where((F.col("size") > task) | ((F.col("bytes") > TASK_BYTES) & (F.col("size") > 2))).drop("bytes")
+        big = sized(written(big, "large-regions"))
         if not big.limit(1).count():
+            links.append(_leaf_links(rows, num, den, leaf))
             break
-        small_rows = rows.join(big, "region", "left_anti")
-        big_rows = rows.join(big, "region")
-        links.append(_leaf_links(small_rows, num, den))
-        if level == MAX_LEVELS:
-            rows = _blocks(big_rows.drop("size"), leaf)
-            break
-        done, near = _split(big_rows, num, den, level)
+        links.append(_leaf_links(rows.join(big, "region", "left_anti"), num, den, leaf))
+        done, near = _split(rows.join(big, "region"), num, den, level)
         links.append(near)
-        parts = done.select("region", "rep", "set", "label", F.explode("cells").alias("c"))
-        child = parts.select(F.xxhash64("region", "c.cell").alias("region"), "rep", "set", "label", F.col("region").alias("parent"), F.col("c.home").alias("home"))
-        # where a region keeps almost all of its parent, or windows replicate its sets more than once on average, distance can't split it; it is cut into blocks instead
-        stats = child.groupBy("parent", "region").agg(F.count(F.lit(1)).alias("n")).groupBy("parent").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-        whole = sizes.join(stats.withColumnRenamed("parent", "region"), "region").where("most > 0.7 * size or all > 2 * size").select("region")
-        stuck = done.join(whole, "region", "left_semi").select("region", "rep", "set", "label")
-        links.append(_leaf_links(_blocks(stuck, leaf), num, den))
-        rows = written(child.join(whole.withColumnRenamed("region", "parent"), "parent", "left_anti").select("region", "rep", "set", "label"), "regions")
-    links.append(_leaf_links(rows, num, den))
+        parts = done.select(F.col("region").alias("parent"), "rep", "set", "label", F.explode("cells.cell").alias("cell"))
+        child = written(_open(parts, ["parent", "cell"]).select("parent", "cell", "n"), "children")
+        # where a region keeps almost all of its parent, or windows replicate sets more than once on average, distances to pivots can't split it
+        stats = child.groupBy("parent").agg(F.max("n").alias("most"), F.sum("n").alias("all"), F.max_by("cell", F.struct("n", "cell")).alias("core"))
+        stuck = stats.join(big.withColumnRenamed("region", "parent"), "parent").where("most > 0.7 * size or all > 2 * size").select("parent", "core")
+        stuck = sized(written(stuck, "stuck"))
+        apart = None
+        if not stuck.limit(1).count():
+            rows = parts.join(child.drop("n"), ["parent", "cell"], "left_semi")
+        else:
+            # its largest region is translated; of the others those stay that are home to a set outside of it
+            at = done.join(stuck, F.col("region") == F.col("parent")).withColumn("inside", F.array_contains("cells.cell", F.col("core")))
+            apart, proven = _translated(at.where("inside").select("region", "rep", "set", "label"), num, den, level)
+            links.append(proven)
+            home = F.filter("cells", lambda c: c.home)[0].cell
+            outer = at.where("not inside").select("parent", home.alias("cell")).distinct()
+            kept = child.join(stuck, "parent", "left_anti").select("parent", "cell").unionByName(child.select("parent", "cell").join(outer, ["parent", "cell"], "left_semi"))
+            rows = parts.join(kept, ["parent", "cell"], "left_semi")
+        rows = rows.select(F.xxhash64("parent", "cell").alias("region"), "rep", "set", "label")
+        if apart is not None:
+            rows = rows.unionByName(apart)
+        rows = written(rows, "regions")
+        level += 1
     out = links[0]
     for x in links[1:]:
         out = out.unionByName(x)
@@ -406,7 +551,7 @@ def _region_links(rows: DataFrame, num: int, den: int, leaf: int) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                 leaf: int = LEAF) -> DataFrame:
+                 leaf: int = LEAF, task: int = TASK) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` for every row of ``docs``.
 
     Documents are linked when ``den * |x & y| >= num * |x | y|`` over their sets
@@ -428,8 +573,8 @@ def jaccard_join(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5,
     def fetch(batches):
         for b in batches:
             reps, cell, out = [], [], []
-            for i, t, digest, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                s = shingles(t, width)
+            names, found, places = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
+            for i, s, digest, c in zip(names, shingle_sets(b.column(1), width), found, places, strict=True):
                 if _digest(s) == digest:  # another row may share the id
                     reps.append(i)
                     cell.append(c)
@@ -441,7 +586,7 @@ def jaccard_join(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5,
         .mapInArrow(fetch, "region long, rep long, set binary, label long")
     )
     members = written(members, "members")
-    linked = components(_region_links(members, num, den, leaf))
+    linked = components(_region_links(members, num, den, leaf, task))
     # several classes can share a representative's id: they are one document
     names = real.select("doc_id", "digest", "n").join(reps, "digest")
     shared = sets.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
