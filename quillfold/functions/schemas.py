@@ -12,7 +12,9 @@ from . import vocab
 
 _CITES = "array<struct<chunk_id:string,block_ids:array<string>,page:int,text_span:string>>"
 #: stage: the record's fields. Unknown and missing keys are errors (see ``calls.parsed``).
+_CALL = f"asset_class_category:string,sub_asset_class:string,call:string,conviction:string,time_horizon:string,rationale_bullets:array<string>,key_indicators:array<struct<name:string,direction:string,why_it_matters:string>>,key_risks:array<string>,citations:{_CITES},confidence:double,needs_analyst_review:boolean,review_reason:string"
 RECORDS = {
+    "calls": f"allocation_calls array<struct<{_CALL}>>, overall_sentiment string, sentiment_rationale array<string>, sentiment_citations {_CITES}, sentiment_confidence double",
     "metadata": f"manager_name string, title string, publication_date string, as_of_date string, document_type string, asset_classes_covered array<string>, regions array<string>, time_horizon string, intended_audience string, citations {_CITES}, manager_name_uncertain boolean, publication_date_uncertain boolean",
     "candidates": "additional_chunk_ids array<string>, reasoning string",
     "summaries": f"executive_summary string, search_descriptor string, key_takeaways array<struct<text:string,citations:{_CITES}>>, citations {_CITES}, confidence double",
@@ -22,9 +24,31 @@ RECORDS = {
 }
 #: stage: the words that a record's lists may hold.
 ALLOWED = {"tags": {"theme_tags": vocab.THEMES, "risk_tags": vocab.RISKS, "macro_regime_tags": vocab.REGIMES}, "metadata": {"regions": vocab.REGIONS}}
+#: stage: what is asked, and the rules for the answer.
 TASKS = {
-    "metadata": "Describe the document.", "candidates": "Name further chunks that state a position.", "summaries": "Summarise the document with evidence.",
-    "tooltips": "Write one tooltip for each call.", "tags": "Tag the document.", "verification": "Check each call against the chunks.",
+    "metadata": ("Describe the document that these excerpts are from: who wrote it, when, of what kind it is and which assets it covers.", (
+        "Take the manager's name from a title page, a footer or a disclaimer; where none is stated, answer Unknown and set manager_name_uncertain.",
+        "Write dates as YYYY-MM-DD; give null for a date that isn't stated, and set publication_date_uncertain for one that is only implied.",
+        "asset_classes_covered names at least one category.", "Cite the chunks that each answer rests on.", "Add nothing that the excerpts don't say.")),
+    "candidates": ("Some passages of this document were found by words of positioning. Name further passages that state a position in other words.", (
+        "A position may be a comparison, a preference, a shift or a rebalancing without any of the usual words.", "Use only the ids that are shown.",
+        "Name at most ten, the clearest first; an empty list is an answer.")),
+    "calls": ("List each allocation call of these excerpts: an asset, the direction taken, its reasons and its sources.", (
+        "A call needs a stated view; a description of the market is none.", "Use the codes of categories and sub-assets below; each sub-asset belongs to one category.",
+        "Give OVERWEIGHT, UNDERWEIGHT or NEUTRAL where the text says so, UNCERTAIN where it leaves the direction open.", "State conviction only where the text does.",
+        "Give one to five reasons, each close to the text, and the indicators and risks that it names.",
+        "Every call cites at least one chunk, with its page and a span of at most 200 characters, word for word.",
+        "confidence is 0.9 and more for an explicit call, about 0.7 for an implied one, below 0.5 for a guess; ask for review below 0.6.",
+        "Judge the sentiment of the whole document as NET_POSITIVE, NEUTRAL or NET_NEGATIVE, with its own citations.")),
+    "summaries": ("Summarise the document from its calls and excerpts.", (
+        "executive_summary has 120 to 180 words and names the manager's main views.", "search_descriptor is one line of 50 to 200 characters.",
+        "Give three to five key takeaways, each with citations of its own.", "Numbers and dates are those of the excerpts.")),
+    "tooltips": ("Write one tooltip for each call, in the order of the calls.", (
+        "At most 25 words and 150 characters.", "Say the direction and the main reason; a phrase that fits any asset says nothing.", "Repeat the call's sub_asset_class with its tooltip.")),
+    "tags": ("Tag the document with words of the lists below.", (
+        "Use a tag only where the text or a call supports it.", "Themes that no list has go to novel_themes, at most five.", "confidence is that of the tags as a whole.")),
+    "verification": ("Check each extracted call against the excerpts.", (
+        "Agree only if asset and direction are both supported by a cited chunk.", "Say in a note what is wrong where you don't agree.", "Answer for every call, in order.")),
 }
 
 
@@ -52,8 +76,19 @@ def limits(stage: str, value: Column) -> Column:
     return F.array_compact(F.array(*checks))
 
 
+def taxonomy_text() -> str:
+    """The categories that have sub-assets, one to a line."""
+    return "\n".join(f"- {c}: {', '.join(subs)}" for c, subs in vocab.TAXONOMY.items() if subs)
+
+
 def prompt(stage: str, context: Column, words: Sequence[str] = ()) -> Column:
-    """The task, the wanted fields, the allowed words and the document's chunks."""
+    """The task, its rules, the wanted fields, the allowed words (and any others given) and the document's part."""
+    task, rules = TASKS[stage]
+    fields = "\n".join(f"- {f.name}: {f.dataType.simpleString()}" for f in record_type(stage))
     allowed = "".join(f"\n{k}: {', '.join(v)}" for k, v in ALLOWED.get(stage, {}).items())
-    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in record_type(stage))
-    return F.concat(F.lit(f"{TASKS[stage]}\nAnswer with one JSON object: {fields}{allowed}\n\n"), context)
+    parts = [f"# Task\n{task}", "# Rules\n" + "\n".join(f"{k}. {r}" for k, r in enumerate(rules, 1)), f"# Answer\nOne JSON object with exactly these fields:\n{fields}"]
+    if allowed or words:
+        parts.append("# Allowed words" + allowed + ("\n" + ", ".join(words) if words else ""))
+    if stage == "calls":
+        parts.append(f"# Categories and sub-assets\n{taxonomy_text()}")
+    return F.concat(F.lit("\n\n".join(parts) + "\n\n# Document\n"), context)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import vocab
+from . import names, vocab
 
 
 def strip(x: Column) -> Column:
@@ -80,12 +80,16 @@ def first_label(text: Column, patterns: Mapping[str, str]) -> Column:
 
 def hits(text: Column, substrings: Sequence[str], whole: Sequence[str] = vocab.WHOLE_WORDS) -> Column:
     """The keywords in a text: as substrings, those in ``whole`` as whole words; in alphabetical order."""
-    low = F.lower(text)
     plain = sorted(k for k in substrings if k not in whole)
     worded = sorted(k for k in substrings if k in whole)
-    found = F.filter(F.array(*map(F.lit, plain)), lambda k: F.contains(low, k)) if plain else F.array().cast("array<string>")
-    ones = [F.when(low.rlike(rf"(?<![\p{{L}}\p{{N}}_]){k}(?![\p{{L}}\p{{N}}_])"), F.lit(k)) for k in worded]
-    return F.array_sort(F.concat(found, F.array_compact(F.array(*ones)))) if ones else found
+
+    def found(low: Column) -> Column:
+        out = F.filter(F.array(*map(F.lit, plain)), lambda k: F.contains(low, k)) if plain else F.array().cast("array<string>")
+        ones = [F.when(F.contains(low, F.lit(k)) & low.rlike(rf"(?<![\p{{L}}\p{{N}}_]){k}(?![\p{{L}}\p{{N}}_])"), F.lit(k)) for k in worded]
+        return F.array_sort(F.concat(out, F.array_compact(F.array(*ones)))) if ones else out
+
+    # an array of one holds the lower-cased text, so that it is made once and not for each keyword
+    return F.get(F.transform(F.array(F.lower(text)), found), F.lit(0))
 
 
 def manager_name(x: Column) -> Column:
@@ -114,11 +118,19 @@ def band(score: Column) -> Column:
     return F.when(score >= 0.8, "HIGH").when(score >= 0.6, "MEDIUM").otherwise("LOW")
 
 
+def long_words(x: Column) -> Column:
+    """The distinct lower-cased words longer than two characters."""
+    return F.array_distinct(F.filter(words(F.lower(x)), lambda w: F.length(w) > 2))
+
+
+def shared_words(left: Column, right: Column) -> Column:
+    """The share of the words of ``left`` that ``right`` has; both are arrays without repeats."""
+    return F.when(F.size(left) == 0, 0.0).otherwise(F.size(F.array_intersect(left, right)) / F.size(left))
+
+
 def word_overlap(a: Column, b: Column) -> Column:
     """Share of the distinct words of ``a`` longer than two characters that ``b`` has."""
-    long = lambda x: F.array_distinct(F.filter(words(F.lower(x)), lambda w: F.length(w) > 2))
-    left = long(a)
-    return F.when(F.size(left) == 0, 0.0).otherwise(F.size(F.array_intersect(left, long(b))) / F.size(left))
+    return shared_words(long_words(a), long_words(b))
 
 
 def explicit_mention(value: Column, text: Column) -> Column:
@@ -132,7 +144,8 @@ def entailment(value: Column, text: Column) -> Column:
     head = F.regexp_replace(F.substring(v, 1, 20), r"([^\p{L}\p{N}\s])", r"\\$1")
     patterns = [F.concat(F.lit(r"(we|our|the)\s+\w*\s*"), head), F.concat(head, F.lit(r"\s+(is|are|will|should)")), F.concat(F.lit(r"(expect|believe|view|see)\s+.*"), head)]
     some = F.exists(F.slice(words(v), 1, 3), lambda w: F.contains(t, w))
-    return F.when(reduce(lambda a, b: a | b, [F.rlike(t, p) for p in patterns]), 1.0).when(some, 0.5).otherwise(0.0)
+    # no pattern matches without the head, and looking for that is cheap
+    return F.when(F.contains(t, F.substring(v, 1, 20)) & reduce(lambda a, b: a | b, [F.rlike(t, p) for p in patterns]), 1.0).when(some, 0.5).otherwise(0.0)
 
 
 def call_language(direction: Column, text: Column, table: Mapping[str, Sequence[str]] = vocab.CALL_LANGUAGE) -> Column:
@@ -201,3 +214,55 @@ def tooltip_faults(text: Column) -> Column:
     n = F.size(words(text))
     generic = reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(p)) for p in vocab.GENERIC_TOOLTIPS])
     return F.array_compact(F.array(F.when(n > 25, "too_many_words"), F.when(F.length(text) > 150, "too_many_characters"), F.when(generic & (n < 15), "generic")))
+
+
+def _looked_up(key: Column, table: Mapping[str, str]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(v) for kv in table.items() for v in kv]), key)
+
+
+def token_words(x: Column) -> Column:
+    """An enumeration's word as readable text; nothing is "Not stated"."""
+    return F.when(F.coalesce(x, F.lit("")) == "", "Not stated").otherwise(humanized(x))
+
+
+def display_name(code: Column, category: bool = False, table: Mapping[str, str] | None = None) -> Column:
+    """The name of a category or sub-asset, else its words."""
+    known = table if table is not None else names.CATEGORY_NAMES if category else names.SUB_ASSET_NAMES
+    return F.coalesce(_looked_up(code, known), token_words(code))
+
+
+def shown_date(x: Column) -> Column:
+    return F.coalesce(F.date_format(x, "MMM dd, yyyy"), F.lit("Not stated"))
+
+
+def shown_time(x: Column) -> Column:
+    """A timestamp, in the session's zone, which is UTC for reports; nothing is empty."""
+    return F.coalesce(F.concat(F.date_format(x, "dd MMM yyyy HH:mm"), F.lit(" UTC")), F.lit(""))
+
+
+def shown_seconds(x: Column) -> Column:
+    return F.format_string("%.2fs", x.cast("double"))
+
+
+def shown_percent(x: Column) -> Column:
+    """Whole percents, halves to the even one."""
+    return F.coalesce(F.concat(F.bround(x * 100, 0).cast("int").cast("string"), F.lit("%")), F.lit("Not stated"))
+
+
+def has_value(x: Column) -> Column:
+    s = strip(F.coalesce(x, F.lit("")))
+    return (s != "") & (F.lower(s) != "not stated")
+
+
+def badge(x: Column) -> Column:
+    return F.concat(F.lit("badge badge--"), F.coalesce(_looked_up(x, names.BADGES), F.lit("neutral")))
+
+
+def dot(score: Column) -> Column:
+    """The dot of a confidence; none is medium."""
+    return F.concat(F.lit("confidence-dot--"), F.when(score.isNull(), "medium").otherwise(F.lower(band(score))))
+
+
+def escaped_html(x: Column) -> Column:
+    pairs = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"))
+    return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, x)

@@ -90,6 +90,16 @@ def synonyms(spark, rows: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     return spark.createDataFrame(list(rows or vocab.synonym_rows()), "term string, sub_asset string").coalesce(1)
 
 
+def synonyms_of(terms: DataFrame, assets: DataFrame) -> DataFrame:
+    """``category, sub_asset, n_terms, terms``: all terms of each sub-asset that has one, in alphabetical order."""
+    return terms.join(assets, "sub_asset").groupBy("category", "sub_asset").agg(F.count(F.lit(1)).alias("n_terms"), F.array_sort(F.collect_list("term")).alias("terms"))
+
+
+def known_terms(mentions: DataFrame, terms: DataFrame, column: str = "mention") -> DataFrame:
+    """Mentions that are synonyms of anything."""
+    return mentions.join(terms.select("term").distinct(), F.lower(T.strip(F.col(column))) == F.col("term"), "left_semi")
+
+
 def resolved(mentions: DataFrame, terms: DataFrame, assets: DataFrame, column: str = "mention") -> DataFrame:
     """Mentions with ``category`` and ``sub_asset`` of their exact, lower-cased, stripped synonym; null without one.
 
@@ -113,11 +123,62 @@ def citation_faults(citations: DataFrame, allowed: DataFrame) -> DataFrame:
     return citations.join(allowed.select("doc_id", "chunk_id"), ["doc_id", "chunk_id"], "left_anti")
 
 
+def nested(value: Column, paths: Sequence[str]) -> Column:
+    """All records at some paths of a nested record, one after another; ``calls[].citations[]`` goes through arrays."""
+    def at(x: Column, steps: list[str]) -> Column:
+        step, *rest = steps
+        inner = x[step.removesuffix("[]")]
+        if not step.endswith("[]"):
+            return at(inner, rest) if rest else F.array(inner)
+        return inner if not rest else F.flatten(F.transform(inner, lambda y: at(y, rest)))
+
+    found = [at(value, p.split(".")) for p in paths]
+    return F.flatten(F.filter(F.array(*found), lambda x: x.isNotNull()))
+
+
+def citations_of(value: Column) -> Column:
+    """The citations of an answer: those of its calls, then those of its sentiment."""
+    return nested(value, ["allocation_calls[].citations[]", "sentiment_citations[]"])
+
+
+def _owner(sub: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(v) for c, s in vocab.taxonomy_rows() for v in (s, c)]), sub)
+
+
+def taxonomy_fault(call: Column) -> Column:
+    """What is wrong with a call's codes, in words; null where nothing is."""
+    c, s = call["asset_class_category"], call["sub_asset_class"]
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("None")) for p in parts])
+    return (F.when(~F.coalesce(c.isin(*vocab.TAXONOMY), F.lit(False)), text("Invalid asset_class_category: ", c)).when(_owner(s).isNull(), text("Invalid sub_asset_class: ", s))
+            .when(_owner(s) != c, text("Mismatched taxonomy: ", s, " belongs to ", _owner(s), ", not ", c)))
+
+
+def guarded(answers: DataFrame, value_col: str = "value", allowed_col: str = "allowed", text_col: str = "output", source_col: str = "source") -> DataFrame:
+    """``answers`` with ``fault``: the first rule that an answer breaks, in words, or null.
+
+    The order of the rules is citations of chunks that weren't given (``allowed``
+    is an array of ids), codes outside the taxonomy, and then dates, percents and
+    quotes that the source doesn't hold, all of them sorted.
+    """
+    value, none = F.col(value_col), F.array().cast("array<string>")
+    unknown = F.filter(F.transform(citations_of(value), lambda c: c["chunk_id"]), lambda i: ~F.coalesce(F.array_contains(F.coalesce(F.col(allowed_col), none), i), F.lit(False)))
+    faults = F.filter(F.transform(F.coalesce(value["allocation_calls"], F.array().cast(f"array<{CALL}>")), taxonomy_fault), lambda f: f.isNotNull())
+    rows = llm_faults(answers, text_col, source_col)
+    marks = F.array_sort(F.array_union(F.array_union("dates", "percents"), F.transform("quotes", lambda q: F.concat(F.lit('\\"'), q, F.lit('\\"')))))
+    fault = (F.when(F.size(unknown) > 0, F.concat(F.lit("Invalid citation chunk_id: "), F.coalesce(F.get(unknown, F.lit(0)), F.lit("None")))).when(F.size(faults) > 0, F.get(faults, F.lit(0)))
+             .when(F.size(marks) > 0, F.concat(F.lit("Potential hallucination detected: "), F.array_join(marks, ", "))))
+    return rows.withColumn("fault", fault)
+
+
 def llm_faults(outputs: DataFrame, text_col: str = "output", source_col: str = "source") -> DataFrame:
     """``outputs`` with ``dates``, ``percents`` and ``quotes`` that the source doesn't support."""
     text, source = F.col(text_col), F.col(source_col)
     dates = F.regexp_extract_all(text, F.lit(r"\d{4}-\d{2}-\d{2}"), F.lit(0))
-    quotes = F.transform(F.regexp_extract_all(text, F.lit(r'\\"((?:[^"\\]|\\.){50,})\\"'), F.lit(1)), lambda q: F.replace(F.replace(q, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\")))
+    # from an escaped quote to the end of its JSON string, without giving back; the quote ends at the last escaped one there
+    runs = F.regexp_extract_all(text, F.lit(r'\\"(?:[^"\\]|\\.)*+'), F.lit(0))
+    inner = F.transform(runs, lambda r: F.substring(r, 3, F.length(r) - F.instr(F.reverse(r), '"') - 3))
+    long = F.filter(inner, lambda q: F.length(F.regexp_replace(q, r"\\.", "x")) >= 50)
+    quotes = F.transform(long, lambda q: F.replace(F.replace(q, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\")))
     return outputs.withColumn("dates", F.array_sort(F.array_distinct(F.filter(dates, lambda d: ~T.date_grounded(d, source))))).withColumn(
         "percents", T.ungrounded(text, source, r"\d+(?:\.\d+)?%")).withColumn("quotes", F.array_sort(F.array_distinct(F.filter(quotes, lambda q: ~F.contains(source, q)))))
 
@@ -133,3 +194,9 @@ def tags(rows: DataFrame, lists: Mapping[str, tuple[str, str]], id_col: str = "d
         part = rows.select(id_col, F.lit(kind).alias("tag_type"), F.explode(column).alias("value"), F.lit(source).alias("source"), confidence.alias("confidence"))
         out = part if out is None else out.unionByName(part)
     return out.groupBy(id_col, "tag_type", "value").agg(F.max_by("source", "confidence").alias("source"), F.max("confidence").alias("confidence"))
+
+
+def rule_tags(calls: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``id, categories, sub_assets``: the different categories of a document's calls, and their sub-assets in lower case, sorted."""
+    return calls.groupBy(id_col).agg(
+        F.array_sort(F.collect_set("asset_class_category")).alias("categories"), F.array_sort(F.collect_set(F.lower("sub_asset_class"))).alias("sub_assets"))

@@ -67,6 +67,22 @@ def coverage(rows: DataFrame) -> DataFrame:
         "coverage", F.when(F.col("page_count") > 0, F.col("covered") / F.col("page_count")).otherwise(0.0))
 
 
+def font_average(spans: DataFrame, by: Sequence[str] = ("doc_id",), size: str = "size") -> DataFrame:
+    """``by, average``: the mean of the positive font sizes; null where there is none."""
+    return spans.groupBy(*by).agg(F.avg(F.when(F.col(size) > 0, F.col(size))).alias("average"))
+
+
+def typed_by_font(spans: DataFrame, by: Sequence[str] = ("doc_id",), bold_mask: int = 2) -> DataFrame:
+    """``spans`` (``text, page, idx, size, flags``) with ``block_type`` by all rules, fonts included.
+
+    Which bit of ``flags`` is bold depends on the reader of the files; 2 is the
+    italic bit of some, and ``bold_mask=16`` their bold one.
+    """
+    c = F.col
+    return spans.join(font_average(spans, by), list(by)).withColumn(
+        "block_type", T.block_type(c("text"), c("page"), c("idx"), c("size"), c("flags"), c("average"), bold_mask))
+
+
 def mark_disclaimers(rows: DataFrame, patterns: Sequence[str] = vocab.DISCLAIMERS) -> DataFrame:
     """Types every matching block DISCLAIMER; ``first_disclaimer`` is the first one's id in its document."""
     is_one = T.any_match(F.col("text"), patterns)

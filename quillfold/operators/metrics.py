@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: targets of an evaluation
@@ -33,3 +35,13 @@ def queue(items: DataFrame) -> DataFrame:
 def corrections(edits: DataFrame, directions) -> DataFrame:
     """The matrix of corrected directions: a row for each former one, a column for each new one."""
     return edits.groupBy("from_call").pivot("to_call", list(directions)).count().na.fill(0)
+
+
+def percentiles(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Percentiles with linear interpolation, under the names of ``shares``; nulls are left out."""
+    return rows.groupBy(*by).agg(*[F.percentile(F.col(value).cast("double"), F.lit(p)).alias(name) for name, p in shares.items()])
+
+
+def agreement(rows: DataFrame, agrees: Column, by: str = "doc_id") -> DataFrame:
+    """``by, agreement``: the share of rows that were agreed with; unknown ones don't count."""
+    return rows.groupBy(by).agg(F.avg(agrees.cast("double")).alias("agreement"))

@@ -83,3 +83,25 @@ def expanded(chunks: DataFrame, asked: DataFrame, keep: int = 10) -> DataFrame:
     ids = asked.select("doc_id", F.posexplode("ids").alias("asked_at", "chunk_id"))
     known = ids.join(chunks, ["doc_id", "chunk_id"])
     return known.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("asked_at"))).where(F.col("place") <= keep)
+
+
+def metadata_chunks(chunks: DataFrame, hits: DataFrame, pages: int = 2, first: int = 6, keep: int = 12) -> DataFrame:
+    """``doc_id, chunk_id, score, place``: the first pages' chunks with score 1, then the best of a query (``doc_id, chunk_id, score, rank``), each once."""
+    front = first_pages(chunks, pages, first).select("doc_id", "chunk_id", F.lit(0).alias("part"), F.col("place").cast("long").alias("at"), F.lit(1.0).alias("score"))
+    found = hits.select("doc_id", "chunk_id", F.lit(1).alias("part"), F.col("rank").cast("long").alias("at"), F.col("score").cast("double").alias("score"))
+    once = keep_first(front.unionByName(found), ["doc_id", "chunk_id"], ["part", "at"])
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("part", "at", "chunk_id"))
+    return once.withColumn("place", place).where(F.col("place") <= keep).select("doc_id", "chunk_id", "score", "place")
+
+
+def skips_expansion(chunks: DataFrame, having: Column, seeds: int = 8) -> DataFrame:
+    """``doc_id, skip``: documents that aren't asked for further chunks, as none has a keyword (``having``) or the seeds are all."""
+    counts = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(having).alias("hits"))
+    return counts.select("doc_id", ((F.col("hits") == 0) | (F.least(F.col("hits"), F.lit(seeds)) == F.col("n"))).alias("skip"))
+
+
+def prompt_parts(chunks: DataFrame, having: Column) -> DataFrame:
+    """``doc_id, seeds, others``: a document's chunks with a keyword and without, in order, for the prompts."""
+    row = F.struct("chunk_index", "chunk_id", "page", "text")
+    pick = lambda some: F.transform(F.array_sort(F.collect_list(F.when(some, row))), lambda c: F.struct(c.chunk_id.alias("chunk_id"), c.page.alias("page"), c.text.alias("text")))
+    return chunks.groupBy("doc_id").agg(pick(having).alias("seeds"), pick(~having).alias("others"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import prompts
 from ..functions import text as T
 from ..functions import vocab
 from ..operators import calls as C
@@ -23,9 +25,10 @@ def agg_coverage(spark, sf_dir):
     return documents.coverage(_blocks(spark, sf_dir)).withColumn("coverage", F.round("coverage", 6))
 
 
-@query("agg_font_avg", "select l_orderkey, round(avg(case when l_discount > 0 then l_quantity end), 6)::double as average from lineitem group by l_orderkey")
+@query("agg_font_avg", "select l_orderkey, round(avg(case when l_discount > 0 then l_quantity end), 6)::double as average from (select * replace (case when l_discount > 0 then l_quantity else -1 end as l_quantity) from lineitem) group by l_orderkey")
 def agg_font_avg(spark, sf_dir):
-    return Tables(spark, sf_dir).lineitem.groupBy("l_orderkey").agg(F.round(F.avg(F.when(F.col("l_discount") > 0, F.col("l_quantity"))), 6).alias("average"))
+    spans = Tables(spark, sf_dir).lineitem.selectExpr("l_orderkey", "case when l_discount > 0 then l_quantity else -1 end as size")
+    return documents.font_average(spans, ["l_orderkey"]).withColumn("average", F.round("average", 6))
 
 
 def _count_sql(word: str, whole: bool) -> str:
@@ -141,9 +144,9 @@ def set_word_overlap(spark, sf_dir):
     return _claims(spark, sf_dir).select("claim_id", "chunk_id", F.round(T.word_overlap(F.col("value"), F.col("chunk")), 6).alias("overlap"))
 
 
-@query("fn_explicit_mention", f"with {_CLAIMS} select item_id as claim_id, doc_id as chunk_id, {_mention_sql('left(value, 12)', 'chunk')}::double as mention from claims")
+@query("fn_explicit_mention", f"with {_CLAIMS} select item_id as claim_id, doc_id as chunk_id, {_mention_sql('value', 'chunk')}::double as mention from claims")
 def fn_explicit_mention(spark, sf_dir):
-    return _claims(spark, sf_dir).select("claim_id", "chunk_id", T.explicit_mention(F.left("value", F.lit(12)), F.col("chunk")).alias("mention"))
+    return _claims(spark, sf_dir).select("claim_id", "chunk_id", T.explicit_mention(F.col("value"), F.col("chunk")).alias("mention"))
 
 
 def _entail_sql(v: str, t: str) -> str:
@@ -271,12 +274,26 @@ def agg_eval(spark, sf_dir):
 
 @query("agg_percentile", "select event_type, round(quantile_cont(value::double, 0.5), 6)::double as p50, round(quantile_cont(value::double, 0.95), 6)::double as p95 from events group by event_type")
 def agg_percentile(spark, sf_dir):
-    return Tables(spark, sf_dir).events.groupBy("event_type").agg(F.round(F.percentile("value", F.lit(0.5)), 6).alias("p50"), F.round(F.percentile("value", F.lit(0.95)), 6).alias("p95"))
+    found = metrics.percentiles(Tables(spark, sf_dir).events, "value", {"p50": 0.5, "p95": 0.95}, ["event_type"])
+    return found.select("event_type", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
 
 
-@query("agg_validate", f"""with t as (select doc_id, unnest(list_distinct({WORDS.format('lower(text)')})) as value from documents)
-select doc_id, 'Invalid theme_tags value: ''' || value || '''' as error from t where not list_contains({_list(vocab.THEMES)}, value)""")
+@query("agg_validate", """select event_id, case event_id % 6 when 0 then '' when 1 then 'unknown key extra' when 2 then 'Call 0: invalid category ''NOPE'';Call 0: invalid sub_asset ' || chr(39) || chr(39) when 3 then 'Invalid theme_tags value: ''Bogus'';Invalid region_tags value: ''moon' || chr(39)
+  when 4 then 'Call 0: missing citations;Summaries: missing citations' else 'Call 0 citation 0: missing chunk_id;Call 0 citation 1: invalid page' end as errors from events""")
 def agg_validate(spark, sf_dir):
+    good = "array(named_struct('chunk_id', 'c', 'page', 1))"
+    rows = Tables(spark, sf_dir).events.selectExpr(
+        "event_id", "case when event_id % 6 = 1 then array('unknown key extra') else array() end as schema_errors",
+        f"""array(named_struct('asset_class_category', case when event_id % 6 in (1, 2) then 'NOPE' else 'EQ_DM' end, 'sub_asset_class', case when event_id % 6 <> 2 then 'EQ_US' end, 'citations',
+          case event_id % 6 when 4 then null when 5 then array(named_struct('chunk_id', '', 'page', 2), named_struct('chunk_id', 'd', 'page', 0)) else {good} end)) as allocation_calls""",
+        """named_struct('theme_tags', case when event_id % 6 = 3 then array('Growth', 'Bogus') else array('inflation') end, 'risk_tags', array('crowded_trade'), 'region_tags', case when event_id % 6 = 3 then array('moon') else array('US') end, 'macro_regime_tags', cast(null as array<string>)) as tags""",
+        f"named_struct('citations', case when event_id % 6 <> 4 then {good} end) as summaries")
+    return exports.validated(rows, "event_id").withColumn("errors", F.array_join("errors", ";"))
+
+
+@query("agg_invalid_tags", f"""with t as (select doc_id, unnest(list_distinct({WORDS.format('lower(text)')})) as value from documents)
+select doc_id, 'Invalid theme_tags value: ' || chr(39) || value || chr(39) as error from t where not list_contains({_list(vocab.THEMES)}, value)""")
+def agg_invalid_tags(spark, sf_dir):
     t = Tables(spark, sf_dir).documents.select("doc_id", F.lit("theme").alias("tag_type"), F.explode(F.array_distinct(T.words(F.lower("text")))).alias("value"))
     return exports.invalid_tags(t).select("doc_id", "error")
 
@@ -299,14 +316,13 @@ def agg_calibration(spark, sf_dir):
 
 # ---------------------------------------------------------------- windows
 
-@query("win_boilerplate", f"""with {BLOCKS}, e as (select *, row_number() over (partition by doc_id, page order by pos) = 1 as top, row_number() over (partition by doc_id, page order by pos desc) = 1 as bottom from (select *  replace (left(text, 2) as text) from blocks)),
+@query("win_boilerplate", f"""with {BLOCKS}, e as (select *, row_number() over (partition by doc_id, page order by pos) = 1 as top, row_number() over (partition by doc_id, page order by pos desc) = 1 as bottom from blocks),
 r as (select doc_id, page, pos, 'top' as edge, text, block_type from e where top union all select doc_id, page, pos, 'bottom', text, block_type from e where bottom),
 n as (select *, block_type in ('HEADING', 'PARAGRAPH') and lead(text, 1) over w = text and lead(text, 2) over w = text as run from r window w as (partition by doc_id, edge order by page)),
 g as (select distinct doc_id, pos from (select *, coalesce(lag(run, 1) over w, false) or coalesce(lag(run, 2) over w, false) as gone from n window w as (partition by doc_id, edge order by page)) where gone)
 select doc_id, count(*) as kept from blocks anti join g using (doc_id, pos) group by doc_id""")
 def win_boilerplate(spark, sf_dir):
-    b = _blocks(spark, sf_dir).withColumn("text", F.left("text", F.lit(2)))
-    return documents.drop_boilerplate(b).groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept"))
+    return documents.drop_boilerplate(_blocks(spark, sf_dir)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept"))
 
 
 _SECTIONS = f"""{BLOCKS}, headed as (select * replace (case when left(text, 1) = 'E' then 'HEADING' else 'PARAGRAPH' end as block_type) from blocks),
@@ -421,8 +437,20 @@ def topk_multiquery_tag(spark, sf_dir):
     return _merged(spark, sf_dir, 15, 20)
 
 
-@query("topk_metadata", _merged_sql(8, 12))
+@query("topk_metadata", f"""with {_CHUNKS}, front as (select doc_id, chunk_id, 0 as part, row_number() over (partition by doc_id order by page, chunk_id) as spot, 1.0 as score from chunks where page <= 2 qualify spot <= 6),
+hits as (select doc_id, chunk_id, 1 as part, row_number() over (partition by doc_id order by len(text) desc, chunk_index) as spot, 1.0 / len(text) as score from chunks where len(text) > 0 qualify spot <= 8),
+once as (select doc_id, chunk_id, min((part, spot)) as k, min_by(score, (part, spot)) as score from (select * from front union all select * from hits) group by 1, 2)
+select doc_id, chunk_id, round(score, 6)::double as score, row_number() over (partition by doc_id order by k, chunk_id) as place from once qualify place <= 12""")
 def topk_metadata(spark, sf_dir):
+    c = _line_chunks(spark, sf_dir)
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(F.length("text")), "chunk_index"))
+    hits = c.where("length(text) > 0").withColumn("rank", rank).where("rank <= 8").withColumn("score", 1 / F.length("text"))
+    found = retrieval.metadata_chunks(c, hits)
+    return found.select("doc_id", "chunk_id", F.round("score", 6).alias("score"), F.col("place").cast("long").alias("place"))
+
+
+@query("topk_multiquery_small", _merged_sql(8, 12))
+def topk_multiquery_small(spark, sf_dir):
     return _merged(spark, sf_dir, 8, 12)
 
 
@@ -448,18 +476,45 @@ def topk_triage(spark, sf_dir):
     return triage.select_pages(scores, max_pages=6, first_pages=1, unique_words=6)
 
 
-@query("lim_prompt", f"with {_CHUNKS} select doc_id, string_agg('[' || chunk_id || ']' || chr(10) || case when chunk_index < 8 then text when len(text) > 300 then left(text, 300) || '...' else text end, chr(10) || chr(10) order by chunk_index) as prompt from chunks where chunk_index < 23 group by doc_id")
+_HEAD = "'[' || chunk_id || '] (page ' || page || '):' || chr(10)"
+
+
+@query("lim_prompt", f"""with {_CHUNKS}, m as (select *, contains(text, 'tion') as seed, row_number() over (partition by doc_id, contains(text, 'tion') order by chunk_index) as k from chunks)
+select doc_id, sha256('## Passages that keywords found' || chr(10) || coalesce(string_agg(case when seed and k <= 8 then {_HEAD} || text end, chr(10) || chr(10) order by chunk_index), '') || chr(10) || chr(10) || '## Other passages, shortened' || chr(10)
+  || coalesce(string_agg(case when not seed and k <= 15 then {_HEAD} || case when len(text) > 300 then left(text, 300) || '...' else text end end, chr(10) || chr(10) order by chunk_index), '')) as digest from m group by doc_id""")
 def lim_prompt(spark, sf_dir):
-    c = _line_chunks(spark, sf_dir).where("chunk_index < 23")
-    shown = F.when(F.col("chunk_index") < 8, F.col("text")).otherwise(T.preview(F.col("text"), 300))
-    part = F.struct("chunk_index", F.concat(F.lit("["), "chunk_id", F.lit("]\n"), shown).alias("s"))
-    return c.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x.s), "\n\n").alias("prompt"))
+    parts = retrieval.prompt_parts(_line_chunks(spark, sf_dir), F.contains("text", F.lit("tion")))
+    return parts.select("doc_id", F.sha2(prompts.expansion(F.col("seeds"), F.col("others")), 256).alias("digest"))
 
 
-@query("fn_prompt_join", f"with {_CHUNKS} select doc_id, sha256(string_agg('[' || chunk_id || ' p.' || page || '] ' || text, chr(10) order by chunk_index)) as digest from chunks group by doc_id")
+@query("fn_prompt_join", f"with {_CHUNKS} select doc_id, sha256(string_agg('[Chunk ' || chunk_id || ' | Page ' || page || ']' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by chunk_index)) as digest from chunks group by doc_id")
 def fn_prompt_join(spark, sf_dir):
-    part = F.struct("chunk_index", F.concat(F.lit("["), "chunk_id", F.lit(" p."), F.col("page").cast("string"), F.lit("] "), "text").alias("s"))
-    return _line_chunks(spark, sf_dir).groupBy("doc_id").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x.s), "\n"), 256).alias("digest"))
+    parts = retrieval.prompt_parts(_line_chunks(spark, sf_dir), F.lit(True))
+    return parts.select("doc_id", F.sha2(prompts.chunks(F.col("seeds")), 256).alias("digest"))
+
+
+_PROMPT_CALLS = "c as (select l_orderkey as doc_id, l_linenumber as k, l_partkey as p, l_suppkey as s, case when l_linenumber % 2 = 0 then 'HIGH' end as conviction from lineitem where l_linenumber <= 3 and l_tax > 0.02)"
+
+
+@query("fn_prompt_calls", f"""with {_PROMPT_CALLS}, t as (select doc_id, string_agg('- S' || p || ': OVERWEIGHT' || coalesce(' (' || conviction || ')', ''), chr(10) order by k, p, s) as lines,
+  string_agg('- S' || p || ': OVERWEIGHT | Risks: ' || case when k = 1 then 'None' else 'r' || k || ', x, y' end, chr(10) order by k, p, s) as risks, list(struct_pack(k := k, p := p, s := s, conviction := conviction) order by k, p, s) as l from c group by 1)
+select o_orderkey as doc_id, coalesce(lines, 'No allocation calls extracted.') as lines, coalesce(risks, 'No allocation calls extracted.') as risks,
+  array_to_string(list_transform(coalesce(l, []), lambda x, i: '[Call ' || (i - 1) || ']' || chr(10) || 'Asset: S' || x.p || ' (C)' || chr(10) || 'Direction: OVERWEIGHT' || coalesce(' (' || x.conviction || ' conviction)', '') || chr(10) || 'Rationale: a; b' || chr(10) || 'Risks: ' || case when x.k = 1 then 'None specified' else 'r' || x.k || ', x' end), chr(10) || chr(10)) as tooltips,
+  '[' || array_to_string(list_transform(coalesce(l, []), lambda x, i: '{{"index":' || (i - 1) || ',"asset_class_category":"C","sub_asset_class":"S' || x.p || '","call":"OVERWEIGHT","conviction":' || coalesce('"' || x.conviction || '"', 'null') || ',"rationale_bullets":["a","b","c"],"citations":[{{"chunk_id":"' || x.s || '","page":' || x.k || ',"text_span":"t"}}]}}'), ',') || ']' as verification,
+  'Manager: ' || o_orderpriority || chr(10) || 'Document Type: OTHER' || chr(10) || 'Publication Date: ' || case when o_orderkey % 2 = 0 then cast(cast(o_orderdate as date) as varchar) else 'Unknown' end || chr(10) || 'Asset Classes: EQ_DM, FI_HY' || chr(10) || 'Regions: ' || case when o_orderkey % 3 = 0 then 'us' else 'Not specified' end as profile
+from orders left join t on o_orderkey = doc_id""")
+def fn_prompt_calls(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    k, c = F.col("l_linenumber"), F.col
+    call = F.struct(
+        F.lit("C").alias("asset_class_category"), F.concat(F.lit("S"), c("l_partkey").cast("string")).alias("sub_asset_class"), F.lit("OVERWEIGHT").alias("call"), F.when(k % 2 == 0, "HIGH").alias("conviction"),
+        F.array(*map(F.lit, "abc")).alias("rationale_bullets"), F.when(k > 1, F.array(F.concat(F.lit("r"), k.cast("string")), F.lit("x"), F.lit("y"))).alias("key_risks"),
+        F.array(F.struct(c("l_suppkey").cast("string").alias("chunk_id"), k.alias("page"), F.lit("t").alias("text_span"))).alias("citations"))
+    rows = t.lineitem.where("l_linenumber <= 3 and l_tax > 0.02").groupBy(c("l_orderkey").alias("doc_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", call.alias("call")))), lambda x: x.call).alias("calls"))
+    o = t.orders.select(c("o_orderkey").alias("doc_id"), "o_orderpriority", "o_orderdate").join(rows, "doc_id", "left")
+    calls = F.coalesce("calls", F.array().cast(rows.schema["calls"].dataType))
+    profile = prompts.profile(c("o_orderpriority"), F.lit("OTHER"), F.when(c("doc_id") % 2 == 0, c("o_orderdate").cast("date")), F.array(F.lit("EQ_DM"), F.lit("FI_HY")), F.when(c("doc_id") % 3 == 0, F.array(F.lit("us"))))
+    return o.select("doc_id", prompts.calls(calls).alias("lines"), prompts.calls_with_risks(calls).alias("risks"), prompts.calls_for_tooltips(calls).alias("tooltips"), prompts.calls_for_verification(calls).alias("verification"), profile.alias("profile"))
 
 
 # ---------------------------------------------------------------- sets
@@ -486,12 +541,12 @@ def set_merge_unique(spark, sf_dir):
 @query("set_pages", "select l_orderkey as doc_id, count(distinct page) as pages from (select l_orderkey, l_linenumber as page from lineitem union all select l_orderkey, l_partkey % 5 from lineitem) group by 1")
 def set_pages(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
-    return li.selectExpr("l_orderkey as doc_id", "cast(l_linenumber as bigint) as page").union(li.selectExpr("l_orderkey", "l_partkey % 5")).groupBy("doc_id").agg(F.countDistinct("page").alias("pages"))
+    return exports.cited_pages(li.selectExpr("l_orderkey as doc_id", "l_linenumber as page"), li.selectExpr("l_orderkey as doc_id", "l_partkey % 5 as page"))
 
 
 @query("set_tags", f"with {CALL_ROWS} select doc_id, string_agg(distinct lower(sub_asset_class), ',' order by lower(sub_asset_class)) as subs, string_agg(distinct asset_class_category, ',' order by asset_class_category) as categories from calls group by 1")
 def set_tags(spark, sf_dir):
-    return _calls(spark, sf_dir).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set(F.lower("sub_asset_class"))), ",").alias("subs"), F.array_join(F.array_sort(F.collect_set("asset_class_category")), ",").alias("categories"))
+    return C.rule_tags(_calls(spark, sf_dir)).select("doc_id", F.array_join("sub_assets", ",").alias("subs"), F.array_join("categories", ",").alias("categories"))
 
 
 @query("set_tag_objects", f"""with {CALL_ROWS}, r as (select doc_id, list(distinct asset_class_category) as a, list(distinct sub_asset_class) as s, max(confidence) as confidence from calls group by 1), u as (select doc_id, 'asset_class' as tag_type, unnest(a) as value, 'rule' as source, 1.0 as confidence from r union all select doc_id, 'theme', unnest(s), 'llm', confidence from r)
@@ -520,8 +575,19 @@ def fn_date_grounded(spark, sf_dir):
     return Tables(spark, sf_dir).orders.select("o_orderkey", T.date_grounded(F.date_format("o_orderdate", "yyyy-MM-dd"), source).alias("grounded"))
 
 
-@query("gd_llm_output", r"""select event_id, case when contains(s, y) and (contains(s, '3') or contains(lower(s), 'mar')) then '' else '2021-03-05' end as dates, case when contains(s, '7.5%') then '' else '7.5%' end as percents from (select event_id, event_id || case when event_id % 2 = 0 then ' 7.5% of ' else ' ' end || case when event_id % 3 = 0 then 'March 2021' else 'n' end as s, '2021' as y from events)""")
+@query("gd_llm_output", r"""select event_id, case event_id % 6 when 0 then null when 1 then 'Invalid citation chunk_id: zz' when 2 then 'Invalid asset_class_category: NOPE' when 3 then 'Invalid sub_asset_class: NOPE'
+  when 4 then 'Mismatched taxonomy: EQ_US belongs to EQ_DM, not EQ_EM' else 'Potential hallucination detected: 2021-03-05, 7.5%' end as fault from events""")
 def gd_llm_output(spark, sf_dir):
+    k = F.col("event_id") % 6
+    category = F.when(k == 2, "NOPE").when(k == 4, "EQ_EM").otherwise("EQ_DM")
+    answer = F.concat(F.lit('{"allocation_calls":[{"asset_class_category":"'), category, F.lit('","sub_asset_class":"'), F.when(k == 3, "NOPE").otherwise("EQ_US"), F.lit('","call":"OVERWEIGHT","citations":[{"chunk_id":"c1","page":1}],"review_reason":"from 2021-03-05 at 7.5%"}],"overall_sentiment":"NEUTRAL","sentiment_rationale":[],"sentiment_citations":[{"chunk_id":"'),
+                      F.when(k == 1, "zz").otherwise("c2"), F.lit('","page":1}],"sentiment_confidence":0.5}'))
+    rows = C.parsed(Tables(spark, sf_dir).events.select("event_id", answer.alias("answer"), answer.alias("output"), F.array(F.lit("c1"), F.lit("c2")).alias("allowed"), F.when(k == 5, "nothing").otherwise("7.5% in March 2021").alias("source")))
+    return C.guarded(rows).select("event_id", "fault")
+
+
+@query("gd_markers", r"""select event_id, case when contains(s, y) and (contains(s, '3') or contains(lower(s), 'mar')) then '' else '2021-03-05' end as dates, case when contains(s, '7.5%') then '' else '7.5%' end as percents from (select event_id, event_id || case when event_id % 2 = 0 then ' 7.5% of ' else ' ' end || case when event_id % 3 = 0 then 'March 2021' else 'n' end as s, '2021' as y from events)""")
+def gd_markers(spark, sf_dir):
     k = F.col("event_id")
     source = F.concat(k.cast("string"), F.when(k % 2 == 0, " 7.5% of ").otherwise(" "), F.when(k % 3 == 0, "March 2021").otherwise("n"))
     rows = Tables(spark, sf_dir).events.select("event_id", F.lit('{"as_of": "2021-03-05", "share": "7.5%"}').alias("output"), source.alias("source"))
@@ -546,7 +612,8 @@ def prj_call_parse(spark, sf_dir):
 
 @query("fn_agreement", "select l_orderkey as doc_id, round(avg((l_returnflag = 'A')::int), 6)::double as agreement from lineitem group by 1")
 def fn_agreement(spark, sf_dir):
-    return Tables(spark, sf_dir).lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.round(F.avg((F.col("l_returnflag") == "A").cast("double")), 6).alias("agreement"))
+    rows = Tables(spark, sf_dir).lineitem.withColumnRenamed("l_orderkey", "doc_id")
+    return metrics.agreement(rows, F.col("l_returnflag") == "A").withColumn("agreement", F.round("agreement", 6))
 
 
 @query("fn_embedding")
@@ -556,15 +623,19 @@ def fn_embedding(spark, sf_dir):
 
 @query("gd_expand_skip", f"with {_CHUNKS}, k as (select doc_id, count(*) as n, count_if(contains(text, 'tion')) as hits from chunks group by 1) select doc_id, hits = 0 or least(hits, 8) = n as skip from k")
 def gd_expand_skip(spark, sf_dir):
-    k = _line_chunks(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains("text", F.lit("tion"))).alias("hits"))
-    return k.select("doc_id", ((F.col("hits") == 0) | (F.least("hits", F.lit(8)) == F.col("n"))).alias("skip"))
+    return retrieval.skips_expansion(_line_chunks(spark, sf_dir), F.contains("text", F.lit("tion")))
 
 
-@query("gd_pipeline_error", "select o_orderkey as doc_id, case when n is null then 'failed' else 'completed' end as status, case when n is null then 'no asset class tag after stage s8_tooltips' end as error from orders left join (select l_orderkey, count(*) as n from lineitem group by 1) on l_orderkey = o_orderkey")
+_STAGES = ("s0_ingest", "s1_extract", "s2_clean", "s3_index", "s4_metadata", "s5_candidates", "s6_calls", "s7_summaries", "s8_tooltips", "s9_tags", "s10_confidence")
+
+
+@query("gd_pipeline_error", f"""with r as (select o_orderkey as doc_id, o_orderkey % 12 as n, case when o_orderkey % 5 = 0 then 'it broke' end as message, case o_orderkey % 3 when 0 then 'LLMError' when 1 then 'ValidationError' else 'Oops' end as kind from orders)
+select doc_id, case when message is not null then 'failed' when n = 11 then 'completed' when n > 0 then 'processing' else 'pending' end as status, case when message is not null then replace(kind, 'Oops', 'PipelineError') end as error_type,
+  case when message is not null then replace(kind, 'Oops', 'PipelineError') || ': it broke' || case when n = 0 then ' (before any stage)' else ' (after stage ' || ({_list(_STAGES)})[n] || ')' end end as error from r""")
 def gd_pipeline_error(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    n = t.lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
-    return t.orders.select(F.col("o_orderkey").alias("doc_id")).join(n, "doc_id", "left").select("doc_id", F.when(F.col("n").isNull(), "failed").otherwise("completed").alias("status"), F.when(F.col("n").isNull(), "no asset class tag after stage s8_tooltips").alias("error"))
+    k = F.col("o_orderkey")
+    runs = Tables(spark, sf_dir).orders.select(k.alias("doc_id"), (k % 12).cast("int").alias("n_stages"), F.when(k % 5 == 0, "it broke").alias("message"), F.when(k % 3 == 0, "LLMError").when(k % 3 == 1, "ValidationError").otherwise("Oops").alias("error_type"))
+    return exports.outcomes(runs, _STAGES)
 
 
 # ---------------------------------------------------------------- streams (an extension)

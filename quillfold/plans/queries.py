@@ -6,14 +6,15 @@ run with words of the corpus; stand-ins for model output are business tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions import vocab
+from ..functions import names, vocab
 from ..operators import calls as C
 from ..operators import chunking, confidence, documents, exports, metrics, providers, retrieval, triage
 from ..sources import store
+from ..sources.registry_tables import scratch
 from ..streaming import ingest as streaming
 from .registry import Registry, Tables
 
@@ -61,12 +62,14 @@ def _hits_sql(text: str, words) -> str:
 
 # ---------------------------------------------------------------- sources and sinks
 
-@query("src_parse_pdf", f"with {BLOCKS} select doc_id, pos, text from blocks")
+@query("src_parse_pdf", rf"""with {BLOCKS}, t as (select *, row_number() over (partition by doc_id, page order by pos) - 1 as k from (select * replace ({STRIP.format('text')} as text) from blocks) where text <> '')
+select t.doc_id, page, cast(row_number() over (partition by t.doc_id order by page, k) - 1 as int) as pos, page || '_' || k as block_id, text,
+  case when left(text, 1) in ('•', '-', '*', '·', '■', '□') or regexp_matches(text, '^[1-9]\.') then 'BULLET' when k < 3 and page = 1 then 'HEADING' else 'PARAGRAPH' end as block_type from t""")
 def src_parse_pdf(spark, sf_dir):
     files = Tables(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "utf-8").alias("content"))
-    lines = lambda b: ({"pos": i, "text": x} for i, x in enumerate(b.decode().split("\n")))
-    out = store.parse_files(files, lines, "pos int, text string")
-    return out.where("error is null").select(F.col("path").cast("long").alias("doc_id"), "pos", "text")
+    lines = lambda b: ({"page": i // 5 + 1, "idx": i % 5, "kind": "text", "text": x} for i, x in enumerate(b.decode().split("\n")))
+    out = store.parse_documents(files, lines)
+    return out.where("error is null").select(F.col("path").cast("long").alias("doc_id"), "page", "pos", "block_id", "text", "block_type")
 
 
 TABLES = [(1, 1, 0, [["Asset", "View", None], [" Gold ", "OW", ""], ["", "UW", "x"]]), (2, 3, 1, [["a"], ["b"]]), (3, 1, 0, [])]
@@ -87,9 +90,13 @@ def src_html_blocks(spark, sf_dir):
     return b.groupBy("page_id").agg(F.count_if(F.col("block_type") == "HEADING").alias("n_headings"), F.count_if(F.col("block_type") == "BULLET").alias("n_bullets"))
 
 
-@query("snk_blob", "select sha256(text) as blob_id, octet_length(encode(text)) as size from (select distinct text from documents where text <> '')")
+@query("snk_blob", """select sha256(text) as blob_id, octet_length(encode(text)) as size, '{"lang":"' || max(lang) || '"}' as metadata from documents where text <> '' group by text""")
 def snk_blob(spark, sf_dir):
-    return store.blobs(Tables(spark, sf_dir).documents, "text").select("blob_id", "size")
+    blobs = store.BlobStore(spark, scratch(spark, "blobs"))
+    docs = Tables(spark, sf_dir).documents.where("text <> ''")
+    for _ in range(2):  # what is there isn't stored again
+        blobs.store(docs, "text", F.struct("lang"))
+    return spark.read.parquet(blobs.path).select("blob_id", "size", "metadata")
 
 
 @query("snk_run_log", """
@@ -101,7 +108,7 @@ def snk_run_log(spark, sf_dir):
 
 @query("snk_json", """select doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || '}' as json from documents""")
 def snk_json(spark, sf_dir):
-    return Tables(spark, sf_dir).documents.select("doc_id", F.to_json(F.struct("doc_id", "lang", "n_chars")).alias("json"))
+    return exports.records_json(Tables(spark, sf_dir).documents.select("doc_id", "lang", "n_chars"))
 
 
 CALL_ROWS = """
@@ -138,9 +145,22 @@ def snk_search_doc(spark, sf_dir):
     return found.select("doc_id", "manager_name", F.array_join(said, " ").alias("calls"), F.size(said).cast("long").alias("n_calls"))
 
 
-@query("snk_report", f"with {BLOCKS} select doc_id, page, string_agg(text, ' ... ' order by pos) as excerpt from blocks group by doc_id, page")
+_ESCAPED = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+
+
+@query("snk_report", f"""with {BLOCKS}, cited as (select doc_id, page, string_agg(text, ' ... ' order by pos) as excerpt from blocks where page <= 2 group by doc_id, page),
+parts as (select doc_id, string_agg(case when excerpt = '' then '<span class="citation-meta">p.' || page || '</span>' else '<div class="citation"><div class="citation-meta">p.' || page || '</div><div class="citation-text">' || {_ESCAPED.format('excerpt')} || '</div></div>' end, '' order by page) as sources from cited group by 1),
+named as (select d.doc_id, lang, sources, lang || case when row_number() over (partition by lang order by d.doc_id) > 1 then '-' || row_number() over (partition by lang order by d.doc_id) else '' end || '.html' as name from documents d join parts using (doc_id)),
+pages as (select name, '<!doctype html><html><head><meta charset=''utf-8''><title>' || lang || '</title></head><body><h1>' || lang || '</h1><p><span class="muted">Not stated</span> | Not stated | <span class="badge badge--medium">Medium</span> <span class="confidence-dot confidence-dot--medium"></span>70%</p>'
+  || '<h2>Summary</h2><p><span class="muted">Not stated</span></p><h2>Calls</h2><h2>Sources</h2>' || sources || '</body></html>' as html from named),
+whole as (select 'index.html' as name, '<!doctype html><html><head><meta charset=''utf-8''><title>Report pack</title></head><body><h1>Report pack</h1><ul>' || string_agg('<li><a href=' || chr(39) || name || chr(39) || '>' || lang || '</a> Not stated Medium</li>', '' order by name) || '</ul></body></html>' as html from named)
+select name, sha256(html) as digest from (select * from pages union all select * from whole)""")
 def snk_report(spark, sf_dir):
-    return exports.citation_pages(_blocks(spark, sf_dir).withColumnRenamed("text", "text_span"))
+    pages = exports.citation_pages(_blocks(spark, sf_dir).where("page <= 2").withColumnRenamed("text", "text_span"))
+    cites = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "excerpt"))).alias("citations"))
+    none = "cast(null as array<struct<asset_class_category:string,sub_asset_class:string,call:string,confidence:double,rationale_bullets:array<string>,tooltip_text:string>>) as calls"
+    records = Tables(spark, sf_dir).documents.selectExpr("doc_id", "lang as title", "cast(null as string) as manager_name", "cast(null as date) as publication_date", "0.7d as score", "'MEDIUM' as band", "cast(null as string) as executive_summary", none)
+    return exports.report_pack(records.join(cites, "doc_id")).select("name", F.sha2("html", 256).alias("digest"))
 
 
 @query("log_redact", f"""select doc_id, case when len(list_filter({_list(vocab.SENSITIVE)}, lambda k: contains(lower(t), k))) > 0 then '[REDACTED]'
@@ -157,9 +177,15 @@ def prj_normalize_text(spark, sf_dir):
     return Tables(spark, sf_dir).documents.select("doc_id", F.sha2(T.normalize_text(F.col("text")), 256).alias("digest"))
 
 
-@query("prj_block_type", f"with {BLOCKS} select doc_id, block_type, count(*) as n from blocks group by doc_id, block_type")
+@query("prj_block_type", rf"""with {BLOCKS}, sized as (select *, {STRIP.format('text')} as s, case when len(text) % 7 = 0 then 14.0 when len(text) % 5 = 0 then 11.0 else 9.0 end as size, len(text) % 11 = 0 as bold from blocks),
+average as (select doc_id, avg(size) as average from sized group by 1), typed as (select z.doc_id, case when z.s = '' then 'PARAGRAPH' when left(z.s, 1) in ('•', '-', '*', '·', '■', '□') or regexp_matches(z.s, '^[1-9]\.') then 'BULLET' when bold then 'HEADING'
+  when size > average * 1.2 then 'HEADING' when idx < 3 and page = 1 then 'HEADING' when size >= 14 then 'HEADING' else 'PARAGRAPH' end as by_font, block_type from sized z join average using (doc_id))
+select doc_id, block_type, by_font, count(*) as n from typed group by all""")
 def prj_block_type(spark, sf_dir):
-    return _blocks(spark, sf_dir).groupBy("doc_id", "block_type").agg(F.count(F.lit(1)).alias("n"))
+    n = F.length("text")
+    spans = _blocks(spark, sf_dir).withColumnRenamed("block_type", "plain").withColumn("size", F.when(n % 7 == 0, 14.0).when(n % 5 == 0, 11.0).otherwise(9.0)).withColumn("flags", F.when(n % 11 == 0, 18).otherwise(4))
+    typed = documents.typed_by_font(spans, bold_mask=16)
+    return typed.groupBy("doc_id", F.col("plain").alias("block_type"), F.col("block_type").alias("by_font")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("prj_block_conf", rf"""with {BLOCKS}, r as (select *, case when len(text) > 0 then len(regexp_replace(text, '[\p{{L}}\p{{N}}\s]', '', 'g')) / len(text) else 0.0 end as ratio from blocks)
@@ -259,9 +285,18 @@ def prj_band(spark, sf_dir):
     return Tables(spark, sf_dir).lineitem.groupBy("l_orderkey", T.band(F.col("l_discount") * 10).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("prj_display", "select distinct p_type, array_to_string(list_transform(string_split(lower(replace(p_type, '_', ' ')), ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') as shown from part")
+@query("prj_display", f"""with names(code, shown) as ({_values(names.SUB_ASSET_NAMES.items())}), e as (select event_id, event_type, ts, value, case event_id % 3 when 0 then 'EQ_US' when 1 then 'GOLD' else 'NO_SUCH_CODE' end as code from events)
+select event_id, coalesce(shown, 'No Such Code') as name, strftime(ts, '%b %d, %Y') as day, strftime(ts, '%d %b %Y %H:%M') || ' UTC' as moment, printf('%.2fs', value) as seconds,
+  (event_id % 101) || '%' as share, case event_id % 4 when 0 then 'badge badge--positive' when 1 then 'badge badge--negative' when 2 then 'badge badge--warning' else 'badge badge--neutral' end as badge,
+  'confidence-dot--' || case when event_id % 101 >= 80 then 'high' when event_id % 101 >= 60 then 'medium' else 'low' end as dot, upper(left(event_type, 1)) || substr(event_type, 2) as words from e left join names using (code)""")
 def prj_display(spark, sf_dir):
-    return Tables(spark, sf_dir).part.select("p_type", T.humanized(F.col("p_type")).alias("shown")).distinct()
+    k = F.col("event_id")
+    code = F.element_at(F.array(*map(F.lit, ("EQ_US", "GOLD", "NO_SUCH_CODE"))), (k % 3 + 1).cast("int"))
+    way = F.element_at(F.array(*map(F.lit, ("HIGH", "UNDERWEIGHT", "UNCERTAIN", "NEUTRAL"))), (k % 4 + 1).cast("int"))
+    share = k % 101 / 100
+    return Tables(spark, sf_dir).events.select(
+        "event_id", T.display_name(code).alias("name"), T.shown_date(F.col("ts")).alias("day"), T.shown_time(F.col("ts")).alias("moment"), T.shown_seconds(F.col("value")).alias("seconds"),
+        T.shown_percent(share).alias("share"), T.badge(way).alias("badge"), T.dot(share).alias("dot"), T.token_words(F.col("event_type")).alias("words"))
 
 
 @query("prj_token_est", "select doc_id, len(text) // 4 as tokens from documents")
@@ -324,7 +359,7 @@ def jn_block_chunk(spark, sf_dir):
 def jn_citation_chunk(spark, sf_dir):
     t = Tables(spark, sf_dir)
     chunks = t.part.where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(chunks, "l_partkey", "left")
+    return exports.cited_chunks(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), chunks, "l_partkey", ["p_name"])
 
 
 @query("jn_citation_anti", "select l_orderkey as doc_id, l_partkey as chunk_id, l_linenumber from lineitem where not exists (select 1 from orders, part where o_orderkey = l_orderkey and p_partkey = l_partkey and p_size > 25)")
@@ -351,7 +386,7 @@ def jn_synonym(spark, sf_dir):
 
 @query("jn_synonym_rev", f"with {TERMS} select category, t.sub_asset, count(*) as n_terms, string_agg(term, ',' order by term) as terms from terms t join taxonomy x on t.sub_asset = x.sub_asset group by 1, 2")
 def jn_synonym_rev(spark, sf_dir):
-    return C.synonyms(spark).join(C.taxonomy(spark), "sub_asset").groupBy("category", "sub_asset").agg(F.count(F.lit(1)).alias("n_terms"), F.array_join(F.array_sort(F.collect_list("term")), ",").alias("terms"))
+    return C.synonyms_of(C.synonyms(spark), C.taxonomy(spark)).withColumn("terms", F.array_join("terms", ","))
 
 
 @query("jn_taxonomy", "with c as (select l_orderkey, l_linenumber, l_partkey, l_partkey % 5 as k from lineitem) select l_orderkey, l_linenumber, l_partkey, case k when 1 then 'mismatch' when 3 then 'unknown_category' when 4 then 'unknown_sub_asset' end as fault from c")
@@ -378,19 +413,27 @@ def jn_neighbors(spark, sf_dir):
     return triage.neighbours(b.where("contains(text, 'tion')").select("doc_id", "page").distinct().join(n, "doc_id"), 1)
 
 
-@query("jn_tooltip_zip", "select l_orderkey, l_linenumber, count(*) as n, bool_and(l_partkey = l_partkey) as equal from lineitem group by 1, 2")
+@query("jn_tooltip_zip", """with c as (select l_orderkey as doc_id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 as pos, l_returnflag as k from lineitem),
+t as (select doc_id, pos, case when doc_id % 5 = 0 and pos = 1 then 'other' else k end as k, k || pos as tooltip_text from c where not (doc_id % 7 = 0 and pos = 2) union all select o_orderkey, 99, 'A', 'more' from orders where o_orderkey % 11 = 0)
+select coalesce(c.doc_id, t.doc_id) as doc_id, coalesce(c.pos, t.pos) as pos, coalesce(c.k, t.k) as sub_asset_class, tooltip_text,
+  case when t.doc_id is null then 'missing tooltip' when c.doc_id is null then 'unexpected tooltip' when c.k <> t.k then 'other asset' end as fault
+from c full join t on c.doc_id = t.doc_id and c.pos = t.pos""")
 def jn_tooltip_zip(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    left = li.groupBy("l_orderkey", "l_linenumber").agg(F.array_sort(F.collect_list("l_partkey")).alias("a"))
-    right = li.groupBy("l_orderkey", "l_linenumber").agg(F.array_sort(F.collect_list("l_partkey")).alias("b"))
-    return left.join(right, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", F.size("a").cast("long").alias("n"), (F.col("a") == F.col("b")).alias("equal"))
+    t = Tables(spark, sf_dir)
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) - 1
+    c = t.lineitem.select(F.col("l_orderkey").alias("doc_id"), place.cast("long").alias("pos"), F.col("l_returnflag").alias("sub_asset_class"))
+    said = c.where("not (doc_id % 7 = 0 and pos = 2)").withColumn("tooltip_text", F.concat("sub_asset_class", "pos")).withColumn("sub_asset_class", F.when(F.expr("doc_id % 5 = 0 and pos = 1"), "other").otherwise(F.col("sub_asset_class")))
+    more = t.orders.where("o_orderkey % 11 = 0").selectExpr("o_orderkey as doc_id", "99L as pos", "'A' as sub_asset_class", "'more' as tooltip_text")
+    return exports.zipped_tooltips(c, said.unionByName(more))
 
 
-@query("jn_highlight", "select l_orderkey, l_linenumber, l_partkey, count(p_partkey) as n from lineitem left join part on p_partkey in (l_partkey, l_partkey + 1) and p_size > 20 group by 1, 2, 3 having count(p_partkey) > 0")
+@query("jn_highlight", f"""with {BLOCKS}, asked as (select doc_id, b as citation_id, unnest(['1_' || b, '2_0', 'zz']) as block_id, unnest([0, 1, 2]) as spot from documents, range(0, 3) r(b)),
+boxed as (select doc_id, block_id, len(text) as x from blocks where pos % 2 = 0) select doc_id, citation_id, string_agg(x, ',' order by spot) as boxes from asked join boxed using (doc_id, block_id) group by 1, 2""")
 def jn_highlight(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    ids = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.explode(F.array("l_partkey", F.col("l_partkey") + 1)).alias("p_partkey"))
-    return ids.join(t.part.where("p_size > 20").select("p_partkey"), "p_partkey").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    ids = Tables(spark, sf_dir).documents.select("doc_id", F.explode(F.expr("sequence(0L, 2L)")).alias("citation_id"))
+    cites = ids.select("doc_id", "citation_id", F.array(F.concat(F.lit("1_"), F.col("citation_id").cast("string")), F.lit("2_0"), F.lit("zz")).alias("block_ids"))
+    b = _blocks(spark, sf_dir).select("doc_id", "block_id", F.when(F.col("pos") % 2 == 0, F.struct(F.length("text").alias("x"))).alias("bbox"))
+    return exports.highlights(cites, b).withColumn("boxes", F.array_join(F.transform("boxes", lambda x: x.x.cast("string")), ","))
 
 
 @query("jn_pdf_match", "select c_custkey as stem, min_by(n_name, (n_nationkey % 3, n_nationkey)) as path from customer left join nation on n_nationkey % 7 = c_custkey % 10 group by 1")

@@ -8,34 +8,45 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Settings
+from ..errors import StorageError
 from . import store
 
 #: Columns of the tables; constraints are queries (``violations``).
 SCHEMAS = {
-    "documents": "doc_id long, file_hash string, title string, status string, confidence double, extraction_coverage double",
-    "allocation_calls": "doc_id long, pos int, asset_class_category string, sub_asset_class string, call string, confidence double",
+    "managers": "manager_id string, name string, aliases array<string>, created_at timestamp",
+    "documents": "doc_id long, manager_id string, blob_id string, file_hash string, title string, publication_date date, as_of_date date, document_type string, status string, confidence double, extraction_coverage double, analyst_attention_required boolean",
+    "allocation_calls": "doc_id long, pos int, asset_class_category string, sub_asset_class string, call string, conviction string, time_horizon string, rationale_bullets array<string>, key_risks array<string>, tooltip_text string, citations string, confidence double, needs_analyst_review boolean",
+    "summaries": "doc_id long, executive_summary string, search_descriptor string, key_takeaways string, overall_sentiment string",
     "document_tags": "doc_id long, tag_type string, value string, confidence double, source string",
-    "summaries": "doc_id long, executive_summary string, search_descriptor string",
-    "pipeline_runs": "run_id string, doc_id long, ts timestamp, status string, error string",
+    "evidence_blocks": "doc_id long, chunk_id string, page int, text string, block_type string, bbox string",
+    "pipeline_runs": "run_id string, doc_id long, ts timestamp, status string, error string, stages_completed array<string>, total_runtime_seconds double",
 }
+#: The column whose rows are replaced together.
+KEYS = {"managers": "manager_id"}
 STATUSES = ("pending", "processing", "needs_review", "published", "completed", "failed")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the cluster shares; a local one only where none is set."""
+    """A fresh path in the folder that the cluster shares; a local one only where none is set and the master is local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise StorageError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quillfold-")
     return f"{base.rstrip('/')}/quillfold/{name}-{uuid.uuid4().hex}"
 
 
 class Registry:
+    """Tables of results under one path; tables that nothing was saved to are empty."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def save(self, table: str, rows: DataFrame, buckets: int = 64) -> None:
-        """Replace the rows of the documents in ``rows``."""
-        store.persist(rows, f"{self.path}/{table}", buckets=buckets)
+        """Replace the rows of the documents (or managers) in ``rows``."""
+        store.persist(rows, f"{self.path}/{table}", KEYS.get(table, "doc_id"), buckets=buckets)
 
     def read(self, table: str) -> DataFrame:
         try:
@@ -45,6 +56,16 @@ class Registry:
                 raise
             return self.spark.createDataFrame([], SCHEMAS[table])
 
+    def execute(self, sql: str, **parameters) -> DataFrame:
+        """The rows of a query over the tables, which it names as they are, in braces: ``select * from {documents}``."""
+        named = {t: self.read(t) for t in SCHEMAS if "{" + t + "}" in sql}
+        return self.spark.sql(sql, args=parameters or None, **named)
+
+
+def open_registry(spark: SparkSession, path: str | None = None) -> Registry:
+    """The registry at a path, or at that of the settings."""
+    return Registry(spark, path or Settings.read().registry_path)
+
 
 def violations(documents: DataFrame, tags: DataFrame) -> DataFrame:
     """``doc_id, rule`` of rows that break a constraint."""

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from quillfold.errors import ERRORS, ExtractionError, LLMError, PipelineError, StorageError, WeakEvidenceError
 from quillfold.functions import text as T
 from quillfold.functions import vocab
 from quillfold.operators import calls as C
-from quillfold.operators import chunking, confidence, documents, providers, retrieval, triage
+from quillfold.operators import chunking, confidence, documents, exports, providers, retrieval, triage
 from quillfold.sources import store
 from quillfold.streaming import ingest
 
@@ -22,6 +23,7 @@ def one(spark, column, **values):
 def test_vocabulary_sizes():
     assert len(vocab.POSITIONING) == 50 and len(vocab.TAXONOMY) == 29 and len(vocab.taxonomy_rows()) == 92
     assert len(vocab.THEMES) == 25 and len(vocab.RISKS) == len(vocab.REGIONS) == len(vocab.REGIMES) == 10
+    assert len(vocab.synonym_rows()) == 236 and len(vocab.keywords()) == 284
     assert {s for _, s in vocab.synonym_rows()} <= {s for _, s in vocab.taxonomy_rows()}
 
 
@@ -147,12 +149,21 @@ def test_store(spark, tmp_path):
     (tmp_path / "in" / "b.pdf").write_bytes(b"one")
     (tmp_path / "in" / "c.json").write_text('{"document_id": "x"}')
     files = store.read_files(spark, str(tmp_path / "in"), glob="*.pdf")
-    store.store_blobs(files, str(tmp_path / "blobs"))
-    store.store_blobs(files, str(tmp_path / "blobs"))
+    blobs = store.BlobStore(spark, str(tmp_path / "blobs"))
+    kept = files.withColumn("name", F.lit("a"))
+    blobs.store(kept, metadata=F.struct("name"))
+    blobs.store(kept, metadata=F.struct("name"))
     ids = [r.blob_id for r in spark.read.parquet(str(tmp_path / "blobs")).collect()]
-    assert len(ids) == 1 and bytes(store.blob(spark, str(tmp_path / "blobs"), ids[0]).first().content) == b"one"
-    with pytest.raises(ValueError):
-        store.blob(spark, str(tmp_path / "blobs"), "short")
+    assert len(ids) == 1 and blobs.exists(ids[0]) and blobs.retrieve(ids[0].upper()) == b"one" and blobs.metadata(ids[0]) == {"name": "a"}
+    with pytest.raises(StorageError):
+        blobs.retrieve("short")
+    with pytest.raises(StorageError, match="empty"):
+        blobs.store(spark.createDataFrame([(bytearray(b""),)], "content binary"))
+    blobs.delete(ids[0])
+    blobs.delete(ids[0])
+    assert not blobs.exists(ids[0])
+    with pytest.raises(StorageError, match="no blob"):
+        blobs.metadata(ids[0])
     assert store.read_records(spark, str(tmp_path / "in" / "c.json"), "document_id string").first().document_id == "x"
     broken = store.parse_files(files, lambda b: 1 / 0, "pos int, text string")
     assert [r.error[:17] for r in broken.collect()] == ["ZeroDivisionError"] * 2
@@ -179,3 +190,60 @@ def test_settings():
     for bad in ({"LOG_LEVEL": "LOUD"}, {"EMBEDDING_PROVIDER": "openai"}, {"REGISTRY_PATH": " "}):
         with pytest.raises(ValueError):
             Settings.read(bad)
+
+
+def test_errors():
+    assert issubclass(WeakEvidenceError, ExtractionError) and all(issubclass(e, PipelineError) for e in ERRORS.values()) and len(ERRORS) == 7
+    assert LLMError("late", stage="s6_calls").stage == "s6_calls"
+
+
+@pytest.mark.parametrize("mention,asset", [("Bunds", "GERMAN_BUNDS"), (" US Stocks ", "EQ_US"), ("canada", "CANADA_GOVT"), ("Office real estate", "RE_OFFICE"), ("polish government bonds", "POLISH_BONDS"),
+                                           ("dollar", "USD"), ("Canadian dollar", "CAD"), ("eur hy", "HY_EUROPE"), ("large caps", "EQ_SIZE_LARGE"), ("unknown asset", None), ("", None)])
+def test_mentions(spark, mention, asset):
+    df = spark.createDataFrame([(mention,)], "mention string")
+    assert C.resolved(df, C.synonyms(spark), C.taxonomy(spark)).first().sub_asset == asset
+
+
+def test_displays(spark):
+    got = spark.range(1).select(
+        T.display_name(F.lit("EQ_DM"), True), T.display_name(F.lit("ODD_CODE")), T.display_name(F.lit(None).cast("string")), T.shown_percent(F.lit(0.785)), T.shown_percent(F.lit(None).cast("double")),
+        T.dot(F.lit(None).cast("double")), T.badge(F.lit("x")), T.shown_date(F.lit(None).cast("date")), T.escaped_html(F.lit("<a href='x'>&\"")), T.has_value(F.lit(" not stated ")), T.shown_seconds(F.lit(1.005))).first()
+    assert list(got)[:3] == ["Equities: Developed Markets", "Odd Code", "Not stated"] and got[3] in ("78%", "79%") and got[4] == "Not stated"
+    assert list(got)[5:10] == ["confidence-dot--medium", "badge badge--neutral", "Not stated", "&lt;a href=&#x27;x&#x27;&gt;&amp;&quot;", False]
+
+
+def test_parsed_documents(spark):
+    """Cells come first on a page, blank blocks have no number, fonts type blocks, and a broken file is a row."""
+    parts = {"a": [{"page": 1, "idx": k, "kind": "text", "text": t, "size": s, "flags": 0} for k, (t, s) in enumerate([(" Title ", 20.0), ("  ", 10.0), ("- point", 10.0), ("text", 10.0), ("more", 10.0)])]
+             + [{"page": 1, "idx": 0, "kind": "cell", "text": "Asset", "table_index": 0, "row": 0, "col": 0}, {"page": 2, "idx": 0, "kind": "text", "text": "end", "size": 10.0}]}
+    files = spark.createDataFrame([("a", bytearray(b"a")), ("b", bytearray(b"b"))], "path string, content binary")
+    rows = store.parse_documents(files, lambda b: parts[b.decode()]).orderBy("path", "pos").collect()
+    assert [(r.block_id, r.text, r.block_type) for r in rows if r.path == "a"] == [
+        ("1_0_0_0", "Asset", "TABLE_CELL"), ("1_0", "Title", "HEADING"), ("1_1", "- point", "BULLET"), ("1_2", "text", "HEADING"), ("1_3", "more", "PARAGRAPH"), ("2_0", "end", "PARAGRAPH")]
+    assert rows[-1].path == "b" and rows[-1].error.startswith("KeyError")
+
+
+def test_guard_order(spark):
+    """Citations come before codes, codes before markers; an answer without faults has none."""
+    def answer(category="EQ_DM", sub="EQ_US", chunk="c", note=""):
+        return '{"allocation_calls":[{"asset_class_category":"%s","sub_asset_class":"%s","citations":[{"chunk_id":"%s"}],"review_reason":"%s"}],"sentiment_citations":null}' % (category, sub, chunk, note)
+
+    long = "q" * 60
+    cases = [(answer(), None), (answer("NOPE", chunk="d", note="9%"), "Invalid citation chunk_id: d"), (answer("NOPE", "NOPE", note="9%"), "Invalid asset_class_category: NOPE"), (answer("EQ_EM", note="9%"), "Mismatched taxonomy: EQ_US belongs to EQ_DM, not EQ_EM"),
+             (answer(note="9% 8% 2020-01-01"), "Potential hallucination detected: 2020-01-01, 8%, 9%"), (answer(note='said \\"' + long + '\\" so'), 'Potential hallucination detected: \\"' + long + '\\"'), ("{}", None)]
+    df = spark.createDataFrame([(k, a, a, ["c"], "source") for k, (a, _) in enumerate(cases)], "k int, answer string, output string, allowed array<string>, source string")
+    got = {r.k: r.fault for r in C.guarded(C.parsed(df)).collect()}
+    assert got == {k: f for k, (_, f) in enumerate(cases)}
+
+
+def test_report_pack(spark):
+    call = ("EQ_DM", "EQ_US", "OVERWEIGHT", 0.9, ["a < b"], "Tip")
+    rows = [(k, "Same & Title", "M", 0.85, "HIGH", "line one\nline two", [call], [(1, "x ... y"), (2, "")]) for k in range(2)]
+    schema = "doc_id int, title string, manager_name string, score double, band string, executive_summary string, calls array<struct<asset_class_category:string,sub_asset_class:string,call:string,confidence:double,rationale_bullets:array<string>,tooltip_text:string>>, citations array<struct<page:int,excerpt:string>>"
+    df = spark.createDataFrame(rows, schema).withColumn("publication_date", F.to_date(F.lit("2025-07-15")))
+    got = {r.name: r.html for r in exports.report_pack(df).collect()}
+    assert sorted(got) == ["index.html", "same-title-2.html", "same-title.html"]
+    page = got["same-title.html"]
+    assert "<h1>Same &amp; Title</h1>" in page and "<li>a &lt; b</li>" in page and "line one<br>line two" in page and "Jul 15, 2025" in page and "US Equities" in page and "90%" in page
+    assert '<div class="citation-text">x ... y</div>' in page and '<span class="citation-meta">p.2</span>' in page and got["index.html"].count("<li>") == 2
+    assert [r.name for r in exports.report_pack(df.limit(1)).collect()] == ["same-title.html"]
