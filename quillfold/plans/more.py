@@ -129,22 +129,29 @@ def _mention_sql(v: str, t: str) -> str:
     return f"case when contains(lower({t}), lower({v})) then 1.0 when len({long}) > 0 and len(list_filter({long}, lambda w: not contains(lower({t}), w))) = 0 then 0.8 else 0.0 end"
 
 
-#: A claim is a benchmark passage, its citations the documents that share its residue.
-_CLAIMS = "claims as (select item_id, b.text as value, d.doc_id, d.text as chunk from benchmark b join documents d on d.doc_id % 40 = b.item_id % 40)"
+#: A claim is the first line of a document; it cites its own document and the next one.
+_CLAIMS = "claims as (select d.doc_id as claim_id, string_split(d.text, chr(10))[1] as value, c.doc_id as chunk_id, c.text as chunk from documents d join documents c on c.doc_id = d.doc_id or c.doc_id = d.doc_id + 1)"
+
+
+def _cited(spark, sf_dir):
+    cited = F.explode(F.array("doc_id", F.col("doc_id") + 1)).alias("chunk_id")
+    return Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("claim_id"), F.split("text", "\n")[0].alias("value"), cited)
+
+
+def _chunk_texts(spark, sf_dir):
+    return Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("chunk_id"), "text")
 
 
 def _claims(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    b = t.benchmark.select(F.col("item_id").alias("claim_id"), F.col("text").alias("value"), (F.col("item_id") % 40).alias("k"))
-    return b.join(t.documents.select((F.col("doc_id") % 40).alias("k"), F.col("doc_id").alias("chunk_id"), F.col("text").alias("chunk")), "k")
+    return _cited(spark, sf_dir).join(_chunk_texts(spark, sf_dir).withColumnRenamed("text", "chunk"), "chunk_id")
 
 
-@query("set_word_overlap", f"with {_CLAIMS} select item_id as claim_id, doc_id as chunk_id, round({_overlap_sql('value', 'chunk')}, 6)::double as overlap from claims")
+@query("set_word_overlap", f"with {_CLAIMS} select claim_id, chunk_id, round({_overlap_sql('value', 'chunk')}, 6)::double as overlap from claims")
 def set_word_overlap(spark, sf_dir):
     return _claims(spark, sf_dir).select("claim_id", "chunk_id", F.round(T.word_overlap(F.col("value"), F.col("chunk")), 6).alias("overlap"))
 
 
-@query("fn_explicit_mention", f"with {_CLAIMS} select item_id as claim_id, doc_id as chunk_id, {_mention_sql('value', 'chunk')}::double as mention from claims")
+@query("fn_explicit_mention", f"with {_CLAIMS} select claim_id, chunk_id, {_mention_sql('value', 'chunk')}::double as mention from claims")
 def fn_explicit_mention(spark, sf_dir):
     return _claims(spark, sf_dir).select("claim_id", "chunk_id", T.explicit_mention(F.col("value"), F.col("chunk")).alias("mention"))
 
@@ -155,16 +162,14 @@ def _entail_sql(v: str, t: str) -> str:
       when len(list_filter(list_slice({WORDS.format(f'lower({v})')}, 1, 3), lambda w: contains(lower({t}), w))) > 0 then 0.5 else 0.0 end"""
 
 
-@query("fn_entail", f"with {_CLAIMS} select item_id as claim_id, doc_id as chunk_id, {_entail_sql('value', 'chunk')}::double as entail from claims")
+@query("fn_entail", f"with {_CLAIMS} select claim_id, chunk_id, {_entail_sql('value', 'chunk')}::double as entail from claims")
 def fn_entail(spark, sf_dir):
     return _claims(spark, sf_dir).select("claim_id", "chunk_id", T.entailment(F.col("value"), F.col("chunk")).alias("entail"))
 
 
-@query("agg_evidence", f"with {_CLAIMS} select item_id as claim_id, round(max(0.5 * {_mention_sql('value', 'chunk')} + 0.3 * {_overlap_sql('value', 'chunk')} + 0.2 * {_entail_sql('value', 'chunk')}), 6)::double as strength from claims group by item_id")
+@query("agg_evidence", f"with {_CLAIMS} select claim_id, round(max(0.5 * {_mention_sql('value', 'chunk')} + 0.3 * {_overlap_sql('value', 'chunk')} + 0.2 * {_entail_sql('value', 'chunk')}), 6)::double as strength from claims group by claim_id")
 def agg_evidence(spark, sf_dir):
-    rows = _claims(spark, sf_dir)
-    chunks = Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("chunk_id"), "text")
-    return confidence.evidence(rows.select("claim_id", "value", "chunk_id"), chunks).withColumn("strength", F.round("strength", 6))
+    return confidence.evidence(_cited(spark, sf_dir), _chunk_texts(spark, sf_dir)).withColumn("strength", F.round("strength", 6))
 
 
 LANGUAGE = {"OVERWEIGHT": (" the ", " und "), "UNDERWEIGHT": (" que ",)}
@@ -360,7 +365,37 @@ def win_chunk_fallback(spark, sf_dir):
     return c.select("doc_id", "page", F.sha2("text", 256).alias("digest"))
 
 
-@query("win_chunk")
+_CHUNK_SQL = f"""with recursive {BLOCKS},
+cut as (select *, {STRIP.format('text')} as s, cast(sum((block_type = 'HEADING')::int) over w as bigint) - (case when first_value(block_type) over w = 'HEADING' then 1 else 0 end) as section_index from blocks window w as (partition by doc_id order by pos)),
+titles as (select doc_id, section_index, case when min_by(block_type, pos) = 'HEADING' then min_by(text, pos) end as section from cut group by 1, 2),
+c as (select doc_id, section_index, row_number() over (partition by doc_id, section_index order by pos) as k, s as text, block_id, page, len(s) > 1600 as large from cut where s <> ''),
+w as (select doc_id, block_id, {WORDS.format('text')} as w from c where large),
+wf as (select doc_id, block_id, 0 as i, w, 0 as n, 1 as piece from w union all select doc_id, block_id, i + 1, w, case when n > 0 and n + len(w[i + 1]) + 1 > 1600 then 0 else n end + len(w[i + 1]) + 1, case when n > 0 and n + len(w[i + 1]) + 1 > 1600 then piece + 1 else piece end from wf where i < len(w)),
+pieces as (select doc_id, block_id, piece, string_agg(w[i], ' ' order by i) as text from wf where i > 0 group by 1, 2, 3),
+listed as (select doc_id, block_id, list(text order by piece) as pieces from pieces group by 1, 2),
+part as (select c.*, pieces from c left join listed using (doc_id, block_id)),
+pack as (select distinct doc_id, section_index, 0::bigint as k, ''::varchar as cur, []::varchar[] as ids, null::int as page, []::struct(text varchar, ids varchar[], page int)[] as made from part
+  union all select f.doc_id, f.section_index, b.k,
+    case when b.large then case when len(f.cur) < 800 then f.cur else '' end when f.cur = '' or len(f.cur) + len(b.text) > 1600 then b.text else f.cur || chr(10) || chr(10) || b.text end,
+    case when b.large then case when len(f.cur) < 800 then f.ids else [] end when f.cur = '' or len(f.cur) + len(b.text) > 1600 then [b.block_id] else list_append(f.ids, b.block_id) end,
+    case when b.large then case when len(f.cur) < 800 then f.page end when f.cur = '' or len(f.cur) + len(b.text) > 1600 then b.page else f.page end,
+    case when b.large then list_concat(case when len(f.cur) >= 800 then [struct_pack(text := f.cur, ids := f.ids, page := coalesce(f.page, 1))] else [] end, list_transform(b.pieces, lambda p: struct_pack(text := p, ids := [b.block_id], page := b.page)))
+      when f.cur <> '' and len(f.cur) + len(b.text) > 1600 and len(f.cur) >= 800 then [struct_pack(text := f.cur, ids := f.ids, page := coalesce(f.page, 1))] else [] end
+  from pack f join part b on b.doc_id = f.doc_id and b.section_index = f.section_index and b.k = f.k + 1),
+made as (select doc_id, section_index, k, unnest(made) as x, generate_subscripts(made, 1) as j from pack where len(made) > 0
+  union all select doc_id, section_index, k + 1, struct_pack(text := cur, ids := ids, page := coalesce(page, 1)), 1 from (select *, row_number() over (partition by doc_id, section_index order by k desc) as last from pack) where last = 1 and len(cur) >= 800),
+{{whole}},
+every as (select doc_id, section_index, k, j, x.text as text, array_to_string(x.ids, ',') as block_ids, x.page as page, section from made join titles using (doc_id, section_index)
+  union all select doc_id, 0, k, 1, text, block_ids, page, null from out where doc_id not in (select doc_id from made)),
+numbered as (select *, cast(row_number() over (partition by doc_id order by section_index, k, j) - 1 as int) as chunk_index from every)
+select doc_id, chunk_index, doc_id || '_' || chunk_index as chunk_id, block_ids, page, text, section from numbered"""
+_WHOLE = _PACK.replace("0 as n, null::varchar as done", "''::varchar as ids, 0 as n, null::varchar as done").replace(
+    "f.n + 1,", "case when f.cur = '' or len(f.cur) + len(b.text) > 1600 then b.block_id else f.ids || ',' || b.block_id end, f.n + 1,").replace(
+    "then f.cur end, f.page", "then f.cur end, f.page, f.ids").replace("null::int as done_page", "null::int as done_page, null::varchar as done_ids").replace(
+    "done_page as page from fold", "done_page as page, done_ids as block_ids from fold").replace("select doc_id, k + 1, cur, page from", "select doc_id, k + 1, cur, page, ids from")
+
+
+@query("win_chunk", _CHUNK_SQL.replace("{whole}", _WHOLE))
 def win_chunk(spark, sf_dir):
     return chunking.chunks(_blocks(spark, sf_dir)).select("doc_id", "chunk_index", "chunk_id", F.array_join("block_ids", ",").alias("block_ids"), "page", "text", "section")
 
@@ -558,11 +593,9 @@ def set_tag_objects(spark, sf_dir):
 
 # ---------------------------------------------------------------- functions and guards
 
-@query("fn_halluc_pct", r"""select item_id, doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(b.text, '[a-z]+tion'), lambda m: not contains(d.text, m)))), ',') as markers from benchmark b join documents d on d.doc_id % 40 = b.item_id % 40""")
+@query("fn_halluc_pct", f"""with {_CLAIMS} select claim_id, chunk_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(value, '[a-z]+tion'), lambda m: not contains(chunk, m)))), ',') as markers from claims""")
 def fn_halluc_pct(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    pairs = t.benchmark.select("item_id", F.col("text").alias("said"), (F.col("item_id") % 40).alias("k")).join(t.documents.select("doc_id", "text", (F.col("doc_id") % 40).alias("k")), "k")
-    return pairs.select("item_id", "doc_id", F.array_join(T.ungrounded(F.col("said"), F.col("text"), "[a-z]+tion"), ",").alias("markers"))
+    return _claims(spark, sf_dir).select("claim_id", "chunk_id", F.array_join(T.ungrounded(F.col("value"), F.col("chunk"), "[a-z]+tion"), ",").alias("markers"))
 
 
 _MONTH = "case m " + " ".join(f"when '{m}' then len(list_filter({_list(n)}, lambda x: contains(lower(props), x))) > 0" for m, n in vocab.MONTHS.items()) + " end"
@@ -657,6 +690,14 @@ def flagship(spark, sf_dir):
     return retrieval.ranked_by_density(c, [*vocab.keywords(), *COMMON]).select("doc_id", "chunk_id", "page", "density", "place")
 
 
-@query("flagship")
+_NORMAL_SQL = (
+    _CHUNK_SQL.replace("{whole}", _WHOLE).replace("blocks as (select doc_id, pos, page, idx, page ||", "raw as (select doc_id, pos, page, idx, page ||")
+    .replace(",\ncut as", ",\nblocks as (select * replace (" + STRIP.format("regexp_replace(replace(text, '-' || chr(10), ''), ' +', ' ', 'g')") + " as text) from raw),\ncut as", 1))
+_FLAGSHIP_SQL = _NORMAL_SQL.replace("\nselect doc_id, chunk_index, doc_id ||", ",\nchunked as (select doc_id, chunk_index, doc_id ||") + f"""),
+d as (select *, len({_hits_sql('text', [*vocab.keywords(), *COMMON])}) as density from chunked)
+select doc_id, chunk_id, page, density, row_number() over (partition by doc_id order by density desc, page, chunk_index) as place from d where density > 0 qualify place <= 30"""
+
+
+@query("flagship", _FLAGSHIP_SQL)
 def flagship_query(spark, sf_dir):
-    return flagship(spark, sf_dir)
+    return flagship(spark, sf_dir).withColumn("density", F.col("density").cast("long")).withColumn("place", F.col("place").cast("long"))

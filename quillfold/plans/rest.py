@@ -14,9 +14,12 @@ from .queries import query
 from .registry import Tables
 
 
-@query("src_pdf")
+@query("src_pdf", "select n_nationkey, octet_length(encode(n_name)) + 1 as length, sha256(n_name || chr(10)) as digest from nation")
 def src_pdf(spark, sf_dir):
-    return store.read_files(spark, f"{sf_dir}/region.parquet").select(F.substring_index("path", "/", -1).alias("name"), "length")
+    path = scratch(spark, "files")
+    Tables(spark, sf_dir).nation.select("n_nationkey", "n_name").coalesce(1).write.partitionBy("n_nationkey").text(path)
+    key = F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("int")
+    return store.read_files(spark, path, recursive=True, glob="*.txt").select(key.alias("n_nationkey"), "length", F.sha2("content", 256).alias("digest"))
 
 
 @query("src_json_docs", "select doc_id, lang, n_chars from documents")
