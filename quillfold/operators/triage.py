@@ -17,10 +17,16 @@ def page_features(blocks: DataFrame, words: Sequence[str] = vocab.TRIAGE_WORDS,
     pages = blocks.groupBy("doc_id").agg(F.max("page").alias("n_pages")).select("doc_id", "n_pages", F.explode(F.sequence(F.lit(1), F.col("n_pages"))).alias("page"))
     first = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("pos")) <= 3
     heads = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), k) for k, p in headers.items()]))
-    found = T.hits(F.col("text"), [*words, *whole], whole)
-    times = [F.regexp_count(F.lower("text"), F.lit(rf"(?<![\p{{L}}\p{{N}}_]){k}(?![\p{{L}}\p{{N}}_])" if k in whole else k)) for k in (*words, *whole)]
-    total = sum(times[1:], times[0])
-    rows = blocks.withColumn("found", found).withColumn("total", total).withColumn(
+    def counted(x):
+        """How often the keywords found in a lower-cased text stand there; only whole words need a pattern."""
+        plain = F.filter(x["found"], lambda k: ~k.isin(*whole)) if whole else x["found"]
+        literal = F.aggregate(plain, F.lit(0), lambda n, k: n + F.floor((F.length(x["low"]) - F.length(F.replace(x["low"], k, F.lit("")))) / F.length(k)).cast("int"))
+        worded = [F.when(F.array_contains(x["found"], k), F.regexp_count(x["low"], F.lit(rf"(?<![\p{{L}}\p{{N}}_]){k}(?![\p{{L}}\p{{N}}_])"))).otherwise(0) for k in whole]
+        return F.struct(x["found"].alias("found"), sum(worded, literal).alias("total"))
+
+    pair = F.struct(F.lower("text").alias("low"), T.hits(F.col("text"), [*words, *whole], whole).alias("found"))
+    hit = F.get(F.transform(F.array(pair), counted), F.lit(0))
+    rows = blocks.withColumn("hit", hit).withColumn("found", F.col("hit.found")).withColumn("total", F.col("hit.total")).withColumn(
         "heads", F.when((F.col("block_type") == "HEADING") | first, heads).otherwise(F.array().cast("array<string>"))).withColumn("bad", T.any_match(F.col("text"), penalties))
     per = rows.groupBy("doc_id", "page").agg(
         F.sum("total").alias("keyword_total"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("heads")))).alias("header_hits"),
@@ -53,26 +59,23 @@ def select_pages(scores: DataFrame, max_pages: int = 40, first_pages: int = 5, u
     the rest is filled from each segment's best pages, each up to its quota and
     what earlier segments left, then from the best overall.
     """
-    s = scores.withColumn("cap", F.greatest(F.lit(1), F.least(F.lit(max_pages), F.col("n_pages")))).withColumn("must", F.col("page") <= first_pages)
-    seeds = s.where(F.col("must") | (F.size("header_hits") > 0) | (F.col("keyword_unique") >= unique_words))
-    guard = neighbours(seeds, window).select("doc_id", "page", F.lit(True).alias("guard"))
-    s = s.join(guard, ["doc_id", "page"], "left").withColumn("guard", F.coalesce("guard", F.lit(False)) | F.col("must"))
+    # every window is of one document, so its pages move once
     doc = Window.partitionBy("doc_id")
+    by_score = lambda *keys: Window.partitionBy("doc_id", *keys).orderBy(F.desc("score"), "page")
+    s = scores.withColumn("cap", F.greatest(F.lit(1), F.least(F.lit(max_pages), F.col("n_pages")))).withColumn("must", F.col("page") <= first_pages)
+    seed = F.col("must") | (F.size("header_hits") > 0) | (F.col("keyword_unique") >= unique_words)
+    s = s.withColumn("guard", F.max(seed).over(doc.orderBy("page").rangeBetween(-window, window)))
     s = s.withColumn("n_guard", F.count_if("guard").over(doc)).withColumn("n_must", F.count_if("must").over(doc))
-    best = Window.partitionBy("doc_id", "must", "guard").orderBy(F.desc("score"), "page")
-    s = s.withColumn("r", F.row_number().over(best))
     capped = F.col("n_guard") >= F.col("cap")
-    fixed = s.where(F.when(capped, F.col("must") | (F.col("guard") & (F.col("r") <= F.col("cap") - F.col("n_must")))).otherwise(F.col("guard"))).select("doc_id", "page")
-    free = s.where(~capped & ~F.col("guard")).withColumn("room", F.col("cap") - F.col("n_guard"))
+    s = s.withColumn("r", F.row_number().over(by_score("must", "guard"))).withColumn("free", ~capped & ~F.col("guard")).withColumn("room", F.col("cap") - F.col("n_guard"))
+    fixed = F.when(capped, F.col("must") | (F.col("guard") & (F.col("r") <= F.col("cap") - F.col("n_must")))).otherwise(F.col("guard"))
     size, quota = F.ceil(F.col("n_pages") / segments), F.greatest(F.lit(1), F.ceil(F.col("room") / segments))
-    free = free.withColumn("seg", F.floor((F.col("page") - 1) / size)).withColumn("sr", F.row_number().over(Window.partitionBy("doc_id", "seg").orderBy(F.desc("score"), "page")))
+    s = s.withColumn("seg", F.floor((F.col("page") - 1) / size)).withColumn("sr", F.row_number().over(by_score("free", "seg")))
     # a segment's picks, in segment order: the first ``room`` of all segments' quotas stay
-    picks = free.where(F.col("sr") <= quota) if segments > 1 else free.where(F.lit(False))
-    picks = picks.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("seg", "sr"))).where(F.col("n") <= F.col("room")).select("doc_id", "page")
-    taken = picks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("taken"))
-    rest = free.join(picks, ["doc_id", "page"], "left_anti").join(taken, "doc_id", "left").withColumn("g", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("score"), "page")))
-    fill = rest.where(F.col("g") <= F.col("room") - F.coalesce("taken", F.lit(0))).select("doc_id", "page")
-    return fixed.unionByName(picks).unionByName(fill)
+    s = s.withColumn("quoted", F.col("free") & (F.col("sr") <= quota) if segments > 1 else F.lit(False))
+    s = s.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "quoted").orderBy("seg", "sr"))).withColumn("pick", F.col("quoted") & (F.col("n") <= F.col("room")))
+    s = s.withColumn("taken", F.count_if("pick").over(doc)).withColumn("rest", F.col("free") & ~F.col("pick")).withColumn("g", F.row_number().over(by_score("rest")))
+    return s.where(fixed | F.col("pick") | (F.col("rest") & (F.col("g") <= F.col("room") - F.col("taken")))).select("doc_id", "page")
 
 
 def triage(blocks: DataFrame, min_pages: int = 40, **options) -> DataFrame:
