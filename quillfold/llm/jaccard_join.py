@@ -62,9 +62,8 @@ PIVOT_BYTES = 32 << 20
 PIVOTS = 8
 #: Sets whose majority is the pivot of a translation.
 MEDIAN = 15
-#: Fixed pivots of which each set keeps its coordinates; twice as many from each doubling of ``PARTS * PER_PART`` shingles on.
-PARTS = 128
-PER_PART = 6
+#: Fixed pivots of which each set keeps its coordinates, at least.
+PARTS = 32
 #: Documents, and the share of all, from which common shingles are read; from how many documents on a shingle comes late, and how many are ordered.
 SAMPLE, SAMPLE_SHARE = 2000, 1 / 16
 OFTEN, ORDERED = 256, 1 << 20
@@ -81,10 +80,23 @@ def prefix(s: np.ndarray, common: np.ndarray, times: np.ndarray, num: int, den:
     return s[: n + (-num * n // den) + 1]
 
 
-def coordinates(s: np.ndarray) -> bytes:
-    """How many shingles lie in each part of the universe, 255 at most; halves of a part stand side by side."""
+def per_part(num: int, den: int) -> int:
+    """Shingles of a part of the universe up to which coordinates tell unrelated sets apart.
+
+    Two unrelated sets of n shingles differ by about ``1.13 sqrt(x)`` in a part
+    of x; over all parts that must be well above the ``2n (den-num)/(den+num)``
+    by which similar ones can differ.
+    """
+    return max(4, int((1.13 * (den + num) / (2 * max(1, den - num))) ** 2 / 3))
+
+
+def coordinates(s: np.ndarray, per: int) -> bytes:
+    """How many shingles lie in each part of the universe, 255 at most; twice as many parts where one would hold more than ``per``.
+
+    The halves of a part stand side by side.
+    """
     bits = PARTS.bit_length() - 1
-    while (PER_PART << bits) < len(s):
+    while (per << bits) < len(s):
         bits += 1
     part = (mix(s) >> np.uint64(64 - bits)).astype(np.int64)
     return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8).tobytes()
@@ -126,6 +138,7 @@ def _common(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 def _prepared(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """``doc_id, n, digest, pivots, coords`` for every row."""
     common, times = _common(rows, width)
+    per = per_part(num, den)
 
     def run(batches):
         for b in batches:
@@ -135,7 +148,7 @@ def _prepared(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 linked = len(s) and i is not None
                 digests.append(_digest(s) if linked else None)
                 pivots.append(prefix(s, common, times, num, den).view(np.int64) if linked else [])
-                coords.append(coordinates(s) if linked else None)
+                coords.append(coordinates(s, per) if linked else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(pivots, pa.list_(pa.int64())), pa.array(coords, pa.binary())],
                 ["doc_id", "n", "digest", "pivots", "coords"],
