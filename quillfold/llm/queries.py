@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe, chat, decontam, exact_dedup, jaccard_join, licenses, pii, quality, suffix_dedup, token_store
 from .common import table
@@ -22,7 +23,8 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.personal_data(table(spark, sf_dir, "documents"), clean=False)
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
 
 
 def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
