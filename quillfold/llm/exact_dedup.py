@@ -10,8 +10,8 @@ Names: the blocks are dealt to buckets by a hash, each bucket is sorted, and a
 block's name is its bucket and its rank there. That is a function of the data
 alone, so a task that runs again after a lost executor gives the same names.
 Blocks that make up more than ``1 / HOT_SHARE`` of all rows never meet in one
-task: there are fewer than ``HOT_SHARE`` of them, and they are named by a
-broadcast table of that bounded size.
+task: their hashes are fewer than ``HOT_SHARE``, and they are named by a small
+table, which is broadcast if a count finds it small.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, text_of, written
+from .common import SPACE, sized, text_of, written
 
 BLOCK_BYTES = 2048
 BUCKETS = 1 << 16
@@ -33,14 +33,14 @@ def normalised(text: Column) -> Column:
 
 
 def _named(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """``rows`` with ``name``: equal for equal ``keys``, different for different ones."""
+    """``rows`` (``total`` at most) with ``name``: equal for equal ``keys``, different for different ones."""
     hashed = rows.withColumn("_h", F.xxhash64(*keys))
     hot = (
         hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > max(50, total // HOT_SHARE))
         .select("_h", F.lit(True).alias("_hot"))
     )
-    flagged = hashed.join(F.broadcast(hot), "_h", "left")
+    flagged = hashed.join(sized(written(hot, "hot")), "_h", "left")
     bucket = F.pmod(F.col("_h"), F.lit(BUCKETS))
     rank = F.dense_rank().over(Window.partitionBy("_bucket").orderBy(*keys)).cast("long")
     cold = (
@@ -49,13 +49,11 @@ def _named(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
         .drop(*keys, "_h", "_hot", "_bucket")
     )
     warm = flagged.where("_hot")
-    # at most HOT_SHARE hashes: the names of their keys are ranked in one small task, below zero
-    few = warm.groupBy("_h", *keys).agg(F.lit(1).alias("_one"))
-    names = few.withColumn("name", -F.dense_rank().over(Window.orderBy("_h", *keys)).cast("long"))
-    hot_named = (
-        warm.join(F.broadcast(names.drop("_one")), ["_h", *keys])
-        .drop(*keys, "_h", "_hot")
-    )
+    # few keys have so many rows each: they are named by rank in their bucket, below zero
+    few = warm.select("_h", *keys).distinct().withColumn("_bucket", bucket)
+    names = written(few.withColumn("name", -(F.col("_bucket") * (1 << 40) + rank)).drop("_bucket"), "hot-names")
+    fits = names.count() <= 4 * HOT_SHARE  # of a block each; more only where hashes of different blocks are equal
+    hot_named = warm.join(F.broadcast(names) if fits else names, ["_h", *keys]).drop(*keys, "_h", "_hot")
     return cold.unionByName(hot_named)
 
 
@@ -76,7 +74,7 @@ def identities(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = B
             lambda i: F.col("_b").substr(i * block_bytes + 1, F.lit(block_bytes)),
         )).alias("pos", "block"),
     )
-    total = docs.count()
+    total = docs.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.octet_length(raw) / block_bytes)))).head()[0] or 0
     level = written(_named(blocks, ["block"], total), "names")
     done = level.where("n = 1").select("id", "_v", "n", "name").distinct()
     size, depth = 1, 0
