@@ -1,9 +1,10 @@
 """Reply trees to training conversations, in DataFrame functions alone.
 
 Nodes point at the node they answer. Self-joins enumerate the root-to-leaf
-paths: every node starts with its own link, and each round joins a path's upper
-end to the path that ends there, so the reach doubles and a thread of a thousand
-replies takes ten rounds. Paths of a tree are ranked by their mean score; the
+paths, from the leaves upward: each round joins the links to themselves, so that
+they reach twice as far, and joins what is known of the paths to them. A thread
+of a thousand replies takes ten rounds, and rows are one for each node of a path
+and each node of a round. Paths of a tree are ranked by their mean score; the
 chosen ones are formatted, each as one conversation.
 
 The template writes ``<|role|>text<|end|>`` for each turn. In roles and texts
@@ -17,14 +18,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import cut_at, let, running, text_of, written
 
 #: Strings with a meaning in this or other templates, and what follows the backslash for each. The backslash comes first.
 ESCAPES = {"\\": "s", "|": "p", "[INST]": "I", "[/INST]": "J", "<</SYS>>": "Z", "<<SYS>>": "Y", "</s>": "E", "<s>": "B"}
-MAX_ROUNDS = 40
+
+
+#: What ends a turn.
+END = "<|end|>"
 
 
 def escaped(text: Column) -> Column:
@@ -36,25 +40,28 @@ def unescaped(text: Column) -> Column:
 
 
 def paths(nodes: DataFrame) -> DataFrame:
-    """``tree, leaf, path array<node>``, root first, for ``tree, node, parent``.
+    """``tree, leaf, pos, node``: the nodes of each path, 0 at its root, for ``tree, node, parent`` that tell nodes apart.
 
     A node whose parent is null or unknown is a root. Nodes that lead round in a
     circle reach no root and are on no path.
     """
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
-    links = nodes.select("tree", "node", "parent").join(known, ["tree", "parent"], "left").select(
-        "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"))
-    state = written(links.select("tree", "node", "up", F.array("node").alias("path")), "paths")
-    for _ in range(MAX_ROUNDS):
-        if not state.where("up is not null").limit(1).count():
+    links = written(nodes.select("tree", "node", "parent").join(known, ["tree", "parent"], "left").select(
+        "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up")), "links")
+    up = links.where("up is not null")
+    longest = links.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).head()[0] or 0
+    leaves = links.join(up.select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti")
+    found = written(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back")), "paths")
+    reach = 1
+    while reach < longest:  # whoever is not at a root by then goes round in a circle
+        further = written(found.join(up, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("back") + reach).alias("back")), "paths")
+        if not further.limit(1).count():
             break
-        upper = state.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("path").alias("above"))
-        moved = state.where("up is not null").join(upper, ["tree", "up"]).select("tree", "node", F.col("next").alias("up"), F.concat("above", "path").alias("path"))
-        # a path that meets itself goes round in a circle
-        moved = moved.where(F.size(F.array_distinct("path")) == F.size("path"))
-        state = written(state.where("up is null").unionByName(moved), "paths")
-    leaves = state.where("up is null").join(links.where("up is not null").select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti")
-    return leaves.select("tree", F.col("node").alias("leaf"), "path")
+        found = found.unionByName(further)
+        up = written(up.join(up.select("tree", F.col("node").alias("up"), F.col("up").alias("next")), ["tree", "up"]).select("tree", "node", F.col("next").alias("up")), "links")
+        reach *= 2
+    ends = found.join(links.where("up is null").select("tree", "node"), ["tree", "node"]).select("tree", "leaf", F.col("back").alias("last"))
+    return found.join(ends, ["tree", "leaf"]).select("tree", "leaf", (F.col("last") - F.col("back")).alias("pos"), "node")
 
 
 def conversations(nodes: DataFrame, top: int | None = None, assistant: str = "assistant") -> DataFrame:
@@ -62,20 +69,20 @@ def conversations(nodes: DataFrame, top: int | None = None, assistant: str = "as
 
     ``nodes``: ``tree, node, parent, role, text, score``; ``tree`` and ``node``
     tell a node apart (of repeated nodes, the least by parent, role and text
-    counts), null ones are left out, null roles and texts are empty, null scores
-    count as 0. ``rank`` is the place of the path among its tree's by mean score,
-    the highest first, then by leaf; ``top`` keeps the first ones. ``loss`` gives
-    intervals of code points of ``formatted``, from 0, the end exclusive. Other
-    columns aren't read. An empty table gives no row.
+    counts). A null tree is a tree of its own; null nodes are left out, null
+    roles and texts are empty, null scores count as 0. ``rank`` is the place of
+    the path among its tree's by mean score, the highest first, then by leaf;
+    ``top`` keeps the first ones. ``loss`` gives intervals of code points of
+    ``formatted``, from 0, the end exclusive. Other columns aren't read. An empty
+    table gives no row.
     """
-    clean = nodes.where("tree is not null and node is not null").groupBy("tree", "node").agg(
+    # a record that holds a null is equal to another
+    clean = nodes.where("node is not null").select(F.struct("tree").alias("tree"), *[c for c in ("node", "parent", "role", "text", "score")])
+    clean = clean.groupBy("tree", "node").agg(
         F.min(F.struct("parent", text_of("role").alias("role"), text_of("text").alias("text"), F.coalesce("score", F.lit(0.0)).alias("score"))).alias("n")
     ).select("tree", "node", "n.*")
-    found = paths(clean)
-    steps = found.select("tree", "leaf", F.posexplode("path").alias("pos", "node"))
+    steps = paths(clean)
     if top is not None:
-        from pyspark.sql import Window
-
         scored = steps.join(clean.select("tree", "node", "score"), ["tree", "node"]).groupBy("tree", "leaf").agg(F.avg("score").alias("score"))
         order = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
         chosen = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("tree", "leaf")
@@ -84,22 +91,17 @@ def conversations(nodes: DataFrame, top: int | None = None, assistant: str = "as
         F.array_sort(F.collect_list(F.struct("pos", "role", "text", "score"))).alias("turns"))
     marked = turns.withColumn("t", F.transform("turns", lambda x: F.struct(
         (x.role == assistant).alias("loss"), F.concat(F.lit("<|"), escaped(x.role), F.lit("|>")).alias("head"), escaped(x.text).alias("body"))))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("loss"))
-
-    def step(a, x):
-        start = a.at + F.length(x["head"])
-        end = start + F.length(x["body"])
-        span = F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
-        return F.struct((end + 7).cast("int").alias("at"), F.when(x["loss"], F.concat(a["loss"], span)).otherwise(a["loss"]).alias("loss"))
-
+    sizes = F.transform("t", lambda x: F.length(x["head"]) + F.length(x["body"]) + len(END))
+    bodies = lambda at: F.transform("t", lambda x, k: let(F.get(at, k) + F.length(x["head"]), lambda start: F.struct(
+        x["loss"].alias("loss"), start.cast("int").alias("start"), (start + F.length(x["body"])).cast("int").alias("end"))))
+    spans = F.filter(let(running(sizes, lambda a, x: a + x), bodies), lambda s: s["loss"])
     score = F.aggregate("turns", F.lit(0.0), lambda a, x: a + x.score) / F.size("turns")
     out = marked.select(
         "tree", "leaf", score.alias("score"), F.size("turns").cast("long").alias("n_turns"),
-        F.array_join(F.transform("t", lambda x: F.concat(x["head"], x["body"], F.lit("<|end|>"))), "").alias("formatted"),
-        F.aggregate("t", zero, step)["loss"].alias("loss"))
-    from pyspark.sql import Window
-
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")))
+        F.array_join(F.transform("t", lambda x: F.concat(x["head"], x["body"], F.lit(END))), "").alias("formatted"),
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("loss"))
+    ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")))
+    return ranked.withColumn("tree", F.col("tree.tree"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -111,13 +113,17 @@ def read_back(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, loss: Column) -> Column:
-    return unescaped(F.array_join(F.transform(loss, lambda s: F.substring(formatted, s.start + 1, s.end - s.start)), ""))
+    """The text under the loss mask, unescaped."""
+    return unescaped(cut_at(formatted, lambda piece: F.array_join(F.transform(loss, lambda s: piece(s.start, s.end - s.start)), "")))
 
 
 def thread(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
-    """Nodes of conversations without branches: each turn answers the one before; ties by role, then text."""
-    from pyspark.sql import Window
+    """Nodes of conversations without branches: each turn answers the one before; ties by role, then text.
 
+    Null conversations are one conversation, null turns come first, null roles
+    before others; null texts are empty. Repeated rows are turns of their own.
+    Other columns aren't read; an empty table gives no node.
+    """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     return rows.select(F.col(conv_col).alias("tree"), F.col(turn_col).alias("turn"), "role", text_of("text").alias("text")).withColumn(
         "node", F.row_number().over(order).cast("long")).select(
@@ -125,7 +131,11 @@ def thread(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn") -
 
 
 def digests(talks: DataFrame) -> DataFrame:
-    """What the contract asks, read back from the formatted output."""
+    """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``, read back from the formatted output.
+
+    One row for each row of ``talks`` (``tree, formatted, loss``); a conversation
+    without an assistant has the empty text under its mask.
+    """
     turns = read_back(F.col("formatted"))
     text = loss_text(F.col("formatted"), F.col("loss"))
     return talks.select(
