@@ -48,11 +48,15 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 @_stage
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; rows are kept or go one by one, whatever their id."""
+    """Documents that the classifier accepts; rows are kept or go one by one, whatever their id.
+
+    They are written here, in small Arrow batches: a batch of the session's size
+    holds many long texts, several times over, in the executor and its worker.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     columns = docs.columns
     scored = quality.score(docs, model, keep=columns)
-    return scored.where("predicted = 1").select(*columns)
+    return written(scored.where("predicted = 1").select(*columns), "accepted")
 
 
 @_stage
@@ -83,8 +87,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 @_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The digests of ids and of the decoded text of every document."""
-    return bpe.encode_decode_digests(docs, vocabulary("byte_bpe_50k.json"))
+    """The digests of ids and of the decoded text of every document, written here in small Arrow batches."""
+    return written(bpe.encode_decode_digests(docs, vocabulary("byte_bpe_50k.json")), "tokens")
 
 
 STAGES = [
