@@ -101,6 +101,11 @@ class ByteBPE:
         pre = spec["pre_tokenizer"]
         if pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or spec["normalizer"]:
             raise ValueError(f"{path} isn't a plain byte-level vocabulary")
+        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if spec["model"].get(k)]
+        odd += [f"{k} of {t['content']}" for t in spec["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized") if t.get(k)]
+        odd += [k for k in ("truncation", "padding") if spec.get(k)]
+        if odd:
+            raise ValueError(f"{path} asks for what isn't done here: {', '.join(odd)}")
         vocab = spec["model"]["vocab"]
         alphabet = byte_alphabet()
         back = {c: b for b, c in enumerate(alphabet)}
