@@ -2,10 +2,15 @@
 
 A shard file is: one zstandard frame per document (little-endian unsigned ids,
 each frame with its own content checksum), then a skippable frame with the
-document index (ids of the documents, width of a token id), then a skippable
-frame with the seek table: for each frame its compressed size, its decompressed
-size and the low 32 bits of its XXH64, and a footer with their number. A reader
-takes the footer, the two tables, and then only the frames it wants.
+document index (ids of the documents, width of a token id), then the seek table
+of the public seekable format: a skippable frame with, for each frame, its
+compressed size, its decompressed size and the low 32 bits of its XXH64 (four
+bytes each), and a footer of nine bytes (number of frames, a descriptor whose
+high bit says that there are checksums, the format's magic). The index is listed
+in it as a last frame without content, as the format wants every byte listed. A
+reader takes the footer, the two tables, and then only the frames it wants; any
+other reader of the format can open the file, too. A document of 4 GB of ids or
+more is an error, as the format has no place for it.
 
 Documents are dealt to shards by ranges of their id, so the shards in order, and
 the documents in each, ascend. A task that runs again writes the same bytes to
@@ -36,6 +41,8 @@ FOOTER = 0x8F92EAB1
 INDEX = 0x184D2A51
 CACHE = 1_000_000
 MAX_SHARDS = 10_000
+#: Bytes of text of a shard, about.
+SHARD_BYTES = 64 << 20
 
 
 class WordEncoder:
@@ -63,14 +70,24 @@ class WordEncoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        self.by_word = (pre[0].get("pattern") or {}).get("Regex") == self.CUT
+        self.by_word = self._cut_here(spec)
         self.special = [t["content"] for t in spec["added_tokens"]]
         pattern = self.CUT.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{self.LETTERS}{self.NUMBERS}]").replace(r"[\p{L}]", f"[{self.LETTERS}]").replace(r"[\p{N}]", f"[{self.NUMBERS}]")
         self.cut = re.compile(pattern).findall
         self.plain = re.compile(self.PLAIN).fullmatch
         self.cache: dict[str, bytes] = {}
 
+    def _cut_here(self, spec: dict) -> bool:
+        """Whether words can be encoded apart: the file cuts as ``CUT`` does, and of plain text its normaliser changes letters to lower case alone."""
+        first, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        cut = (first.get("pattern") or {}).get("Regex") == self.CUT and first.get("behavior") == "Removed" and first.get("invert") is True
+        to_bytes = all(p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex") for p in rest)
+        tokens = not any(t.get(k) for t in spec["added_tokens"] for k in ("normalized", "lstrip", "rstrip", "single_word"))
+        whole = not (spec.get("model") or {}).get("dropout") and not spec.get("truncation") and not spec.get("padding")
+        normal = self.tok.normalizer.normalize_str if self.tok.normalizer else str
+        letters = "".join(map(chr, [*range(33, 127), *range(161, 173), *range(174, 256)]))
+        return cut and to_bytes and tokens and whole and normal(letters) == letters.lower() and normal("A \t\r\n B").split() == ["a", "b"]
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -114,7 +131,8 @@ class ShardWriter:
         null = np.array([i is None for i in self.ids], np.uint8)
         index = zstandard.compress(struct.pack("<BI", self.width, len(self.ids)) + null.tobytes() + np.array([i or 0 for i in self.ids], "<i8").tobytes())
         self.out.write(struct.pack("<II", INDEX, len(index)) + index)
-        body = b"".join(struct.pack("<QQI", *x) for x in self.table) + struct.pack("<IIQI", len(self.table), 0, len(index) + 8, FOOTER)
+        rows = [*self.table, (len(index) + 8, 0, xxhash.xxh64_intdigest(b"") & 0xFFFFFFFF)]
+        body = b"".join(struct.pack("<III", *x) for x in rows) + struct.pack("<IBI", len(rows), 1 << 7, FOOTER)
         self.out.write(struct.pack("<II", SKIPPABLE, len(body)) + body)
         self.out.close()
         self.fs.move(self.tmp, self.path)
@@ -127,18 +145,20 @@ class ShardReader:
         self.fs, p = pyarrow.fs.FileSystem.from_uri(path)
         self.file = self.fs.open_input_file(p)
         end = self.file.size()
-        n, _, index_size, magic = struct.unpack("<IIQI", self.file.read_at(20, end - 20))
-        if magic != FOOTER:
-            raise ValueError(f"{path} has no seek table")
-        start = end - 20 - 20 * n
-        table = np.frombuffer(self.file.read_at(20 * n, start), np.dtype([("c", "<u8"), ("d", "<u8"), ("x", "<u4")]))
-        index = zstandard.decompress(self.file.read_at(index_size - 8, start - 8 - (index_size - 8)))
+        n, told, magic = struct.unpack("<IBI", self.file.read_at(9, end - 9))
+        if magic != FOOTER or told != 1 << 7:
+            raise ValueError(f"{path} has no seek table with checksums")
+        start = end - 9 - 12 * n
+        table = np.frombuffer(self.file.read_at(12 * n, start), np.dtype([("c", "<u4"), ("d", "<u4"), ("x", "<u4")])).astype([("c", "<u8"), ("d", "<u8"), ("x", "<u4")])
+        index_size, table = int(table["c"][-1]), table[:-1]
+        index = zstandard.decompress(self.file.read_at(index_size - 8, start - index_size))
         self.width, count = struct.unpack_from("<BI", index)
         null = np.frombuffer(index, np.uint8, count, 5)
         ids = np.frombuffer(index, "<i8", count, 5 + count)
         self.doc_ids = [None if z else int(i) for i, z in zip(ids, null, strict=True)]
         self.sizes, self.checks, self.counts = table["c"], table["x"], table["d"] // self.width
-        self.offsets = np.concatenate([[0], np.cumsum(table["c"])[:-1]]).astype(np.int64) if n else []
+        self.offsets = np.concatenate([[0], np.cumsum(table["c"])]).astype(np.int64)[:-1]
+        self.places = {i: k for k, i in reversed(list(enumerate(self.doc_ids)))}
         self.decompress = zstandard.ZstdDecompressor().decompress
 
     def read(self, k: int) -> np.ndarray:
@@ -148,8 +168,9 @@ class ShardReader:
             raise ValueError(f"frame {k} doesn't match its checksum")
         return np.frombuffer(raw, f"<u{self.width}")
 
-    def read_id(self, doc_id: int) -> np.ndarray:
-        return self.read(self.doc_ids.index(doc_id))
+    def read_id(self, doc_id: int | None) -> np.ndarray:
+        """The ids of the first document with this id; an id that isn't here is a ``KeyError``."""
+        return self.read(self.places[doc_id])
 
     def close(self) -> None:
         self.file.close()
@@ -166,8 +187,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, out: str, end_id: int | None
     ``start`` is the number of ids in all shards before.
     """
     spark = docs.sparkSession
-    n = min(MAX_SHARDS, n_shards or int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    size = 0 if n_shards else rows.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
+    n = min(MAX_SHARDS, n_shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)))
     # at most MAX_SHARDS numbers
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 100 * n)).head()[0] or []
     bounds = np.array(sorted(set(cuts)), np.int64)
