@@ -2,15 +2,18 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from quillfold.llm import bpe, chat, components, decontam, exact_dedup, jaccard_join, licenses, pii, quality, suffix_array, suffix_dedup, token_store
+from quillfold.llm import bpe, chat, common, components, decontam, exact_dedup, jaccard_join, licenses, pii, quality, suffix_array, suffix_dedup, token_store
 from quillfold.llm.queries import vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -76,7 +79,7 @@ def brute_components(links):
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(1000, 1060)]
-    df = spark.createDataFrame([*links, (7, 7), (None, 3)], "a long, b long")
+    df = spark.createDataFrame([*links, (7, 7), (None, 3)], "a long, b long").select("*", *[F.lit(1).alias(c) for c in ("id", "component", "m")])
     got = {r.id: r.component for r in components.components(df).collect()}
     assert got == {i: c for i, c in brute_components([x for x in links if x[0] != x[1]]).items()}
     assert components.components(df.limit(0)).count() == 0
@@ -93,21 +96,90 @@ def brute_jaccard(rows, num, den, width):
     return {i: (len(s), found.get(i, i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("num,width,leaf", [(90, 3, 4096), (80, 5, 4096), (80, 5, 4), (60, 2, 3)])
-def test_jaccard_join(spark, num, width, leaf):
-    rng = random.Random(num + leaf)
+def near_copies(rng, n=150):
     base = [[rng.choice("abcdefghijklmnop") * rng.randint(1, 3) for _ in range(40)] for _ in range(6)]
     rows = []
-    for i in range(150):
+    for i in range(n):
         w = list(rng.choice(base))
         for _ in range(rng.randint(0, 5)):
             w[rng.randrange(len(w))] = f"z{rng.randrange(50)}"
         rows.append((i, " ".join(w)))
-    rows += [(1000 + k, t) for k, t in enumerate(["", None, "one", "one", "ONE", "two words", "a b c"])]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), num, 100, width, leaf=leaf).collect()}
+    return rows + [(1000 + k, t) for k, t in enumerate(["", None, "one", "one", "ONE", "two words", "a b c"])]
+
+
+@pytest.mark.parametrize("num,width,leaf,task", [(90, 3, 4, 512), (80, 5, 64, 512), (80, 5, 2, 8), (60, 2, 3, 4), (90, 3, 2, 3)])
+def test_jaccard_join(spark, num, width, leaf, task):
+    rows = near_copies(random.Random(num + leaf))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), num, 100, width, leaf=leaf, task=task).collect()}
     assert got == brute_jaccard(rows, num, 100, width)
 
 
+@pytest.mark.parametrize("num,leaf", [(90, 4), (80, 2), (50, 4)])
+def test_voronoi_regions_link_what_pairs_link(num, leaf):
+    """Within a task: the same groups as all pairs, with labels for granted, and fewer comparisons where regions part."""
+    splits = 0
+    for seed in range(30):
+        rng = np.random.default_rng(seed)
+        centres = [rng.choice(5000, 60, replace=False) for _ in range(rng.integers(1, 6))]
+        sets = []
+        for _ in range(rng.integers(2, 90)):
+            x = centres[rng.integers(len(centres))].copy()
+            k = rng.integers(0, 20)
+            x[rng.choice(60, k, replace=False)] = rng.choice(5000, k)
+            sets.append(np.unique(x).astype(np.uint64))
+        ids = list(range(len(sets)))
+        near = jaccard_join.Near(ids, sets, [None] * len(sets), num, 100)
+        near.join(leaf=leaf)
+        pairs = [(a, b) for a in ids for b in ids[:a] if 100 * len(np.intersect1d(sets[a], sets[b])) >= num * len(np.union1d(sets[a], sets[b]))]
+        want, got = brute_components(pairs), brute_components(near.links)
+        assert {i: want.get(i, i) for i in ids} == {i: got.get(i, i) for i in ids}
+        assert all(p in pairs or p[::-1] in pairs for p in near.links)
+        splits += near.splits
+    assert splits > 20
+
+
+def test_voronoi_regions_are_entered_on_the_corpus(spark):
+    """Cells of real documents go through splits, and those compare less than all pairs."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    sets = [jaccard_join.shingle_sets(pa.array([r.text]), 3)[0] for r in d]
+    by_first = collections.defaultdict(list)
+    for k, x in enumerate(sets):
+        for s in x.tolist()[: len(x) - 9 * len(x) // 10 + 1]:
+            by_first[s].append(k)
+    cells = [v for v in by_first.values() if len(v) > jaccard_join.LEAF]
+    splits = 0
+    for v in cells[:50]:
+        near = jaccard_join.Near(v, [sets[k] for k in v], [None] * len(v), 90, 100)
+        near.join()
+        splits += near.splits
+    assert cells and splits > 0
+
+
+def test_a_region_that_pivots_cannot_split_is_translated(spark, monkeypatch):
+    """A family of near copies, all within each other's windows, with copies of copies; no blocks of pairs."""
+    calls = []
+    real = jaccard_join._translated
+    monkeypatch.setattr(jaccard_join, "_translated", lambda *a: calls.append(1) or real(*a))
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(120)]
+    families = [words]
+    for _ in range(4):
+        w = list(words)
+        for _ in range(5):
+            w[rng.randrange(120)] = f"f{rng.randrange(10**6)}"
+        families.append(w)
+    rows = []
+    for i in range(160):
+        w = list(rng.choice(families))
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(120)] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    for num in (90, 80):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), num, 100, 3, leaf=2, task=10).collect()}
+        assert got == brute_jaccard(rows, num, 100, 3)
+    assert calls
+
+
 def test_jaccard_edges(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(edge(spark), 90, 100, 3).collect()), key=repr)
     assert (None, 5, None) in got and (6, 5, 5) in got and (1, 0, 1) in got and (10, 1, 10) in got and len(got) == len(EDGE)
@@ -140,12 +212,84 @@ def test_base_spans(spark):
         assert ",".join(s for s in r.spans.split(",") if not s.startswith("term")) == want
 
 
+def brute_terms(rows, support=3, disclosure=0.8):
+    """Term spans by counting each entity and term over all rows."""
+    word = regex.compile(r"[\p{L}\p{N}]+")
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    df, state, found = collections.Counter(), {}, []
+    for i, t in rows:
+        t = t or ""
+        df.update(set(word.findall(low(t))))
+        spans = [(k, t[int(a) : int(b)]) for k, a, b in (x.split(":") for x in brute_spans(t).split(",") if x)]
+        if not spans:
+            continue
+        own = {w for _, v in spans for w in word.findall(low(v))}
+        names = set()
+        for k, v in spans:
+            d = re.sub("[^0-9]", "", v)
+            part = {"email": v.rpartition("@")[2].lower(), "ip": ".".join(v.split(".")[:2]), "card": d[:6], "phone": d[:4]}[k]
+            names |= {k, f"{k} of {part}", f"{k}:{v}"}
+        terms = set(word.findall(low(t))) - own
+        state.setdefault(t, [0, names, terms])[0] += 1
+        found.append((i, t, names, terms))
+    df_e, both, texts, seen = collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter()
+    for n, names, terms in state.values():
+        for e in names:
+            df_e[e] += n
+            seen[e] += 1
+            for w in terms:
+                both[e, w] += n
+                texts[e, w] += 1
+    share = {k: math.log2(v * len(rows) / (df[k[1]] * df_e[k[0]])) / math.log2(len(rows) / df_e[k[0]]) for k, v in both.items() if texts[k] >= support and seen[k[0]] >= support and df_e[k[0]] < len(rows)}
+    out = {}
+    for i, t, names, terms in found:
+        spans = set()
+        for w in terms:
+            if any(share.get((e, w), 0) >= disclosure - 1e-12 for e in names):
+                spans |= {(m.start(), m.end()) for m in regex.finditer(rf"(?<![\p{{L}}\p{{N}}]){regex.escape(w)}(?![\p{{L}}\p{{N}}])", low(t))}
+        out[i] = spans
+    return out
+
+
+def test_disclosing_terms_are_those_of_a_count(spark):
+    """PMI by brute force over the whole small corpus; the corpus has such terms."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute_terms([(r.doc_id, r.text) for r in d.collect()])
+    rows = pii.personal_data(d).collect()
+    got = {r.doc_id: {tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("term")} for r in rows}
+    assert {i: x for i, x in got.items() if x} == {i: x for i, x in want.items() if x}
+    assert sum(r.n_term for r in rows) == sum(map(len, want.values())) > 0
+
+
 def test_disclosing_terms(spark):
     rows = [(i, f"the wizardo code{i} writes to joe@mail.example.com now") for i in range(4)] + [(10 + i, f"the weather of day{i} is fine") for i in range(40)]
     got = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
     words = {rows[0][1][int(a) : int(b)] for k, a, b in (s.split(":") for s in got[0].spans.split(",")) if k == "term"}
     assert "wizardo" in words and "the" not in words and "code0" not in words
     assert "joe@" not in got[0].clean_text and "wizardo" not in got[0].clean_text and got[10].clean_text == rows[4][1]
+    assert got[0].clean_text == "the  code0   [EMAIL] "
+
+
+def test_a_class_of_values_is_an_entity(spark):
+    rows = [(i, f"badge{i} of the greenhouse is staff{i}@plant.example.org") for i in range(5)] + [(10 + i, f"the weather of day{i}") for i in range(60)] + [(100, "the greenhouse is warm"), (101, "a greenhouse")]
+    got = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, SCHEMA), disclosure=0.6).collect()}
+    assert got[2].clean_text == "badge2 of the [TERM] [TERM] [EMAIL]" and got[100].clean_text == "the greenhouse is warm" and got[100].n_term == 0
+
+
+def test_texts_with_ten_thousands_of_matches(spark):
+    many = " ".join(f"+1 (555) {k:07d}" for k in range(30000))
+    r = pii.personal_data(spark.createDataFrame([(1, many), (2, "no")], SCHEMA)).where("doc_id = 1").first()
+    assert r.n_phone == 30000 and r.base_sha256 == hashlib.sha256(brute_spans(many).encode()).hexdigest() and r.clean_text == " ".join(["[PHONE]"] * 30000)
+    notice = "MIT License. " * 20000
+    assert licenses.scan(spark.createDataFrame([(1, notice)], SCHEMA)).first().n_base == 20000
+
+
+def test_running_sums_and_maxima(spark):
+    rng = random.Random(6)
+    rows = [(k, [rng.randint(0, 9) for _ in range(n)]) for k, n in enumerate([0, 1, 2, 127, 128, 129, 1000])]
+    df = spark.createDataFrame(rows, "id int, v array<int>")
+    got = {r.id: (r.s, r.m) for r in df.select("id", common.running(F.col("v"), lambda a, x: a + x).alias("s"), common.running(F.col("v"), F.greatest).alias("m")).collect()}
+    assert got == {k: ([sum(v[:i]) for i in range(len(v) + 1)], [max(v[:i], default=0) for i in range(len(v) + 1)]) for k, v in rows}
 
 
 def test_pii_edges(spark):
@@ -194,6 +338,21 @@ def test_decontamination_exchanges_names_that_begin_sentences(spark):
     assert all(r.n_matched == r.n_windows for r in found if r.doc_id in (1, 3))
 
 
+def test_decontamination_needs_words_to_exchange_values(spark):
+    items = [(1, "42"), (2, "It was 1984"), (3, "the small red box weighs 5 kg")]
+    rows = [(i, f"there are {i} of them") for i in range(50)] + [(100, "it was 1985 then"), (101, "it was 1984 then"), (102, "the small red box weighs 7 kg")]
+    got = {(r.doc_id, r.item_id, r.kind) for r in decontam.contaminated(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id int, text string")).collect()}
+    assert got == {(42, 1, "verbatim"), (101, 2, "verbatim"), (102, 3, "reparameterised")}
+
+
+def test_decontamination_judges_every_copy(spark):
+    item = "the train leaves at 7 and the bus leaves at 7 so both of them leave at 7 and nobody waits for more than 7 minutes there"
+    mixed = item.replace("7", "{}").format(1, 2, 3, 4)
+    rows = [(1, f"{mixed} . next one {item}"), (2, f"{item} . next one {mixed}"), (3, mixed), (4, f"{mixed} . then {item.replace('7', '9')}")]
+    got = {(r.doc_id, r.kind) for r in decontam.contaminated(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(1, item)], "item_id int, text string")).collect()}
+    assert got == {(1, "verbatim"), (2, "verbatim"), (4, "reparameterised")}
+
+
 # ---------------------------------------------------------------- tokens
 
 def odd_texts():
@@ -241,6 +400,53 @@ def test_token_store(spark, tmp_path):
         token_store.ShardReader(first).read(0)
 
 
+def test_shards_are_in_the_public_seekable_layout(spark, tmp_path):
+    """Read by the format's own description alone: footer, table, frames; and by any decompressor from end to end."""
+    import struct
+
+    import xxhash
+    import zstandard
+
+    path = vocabulary("word_bpe_49k.json")
+    shards = token_store.write_tokens(docs(spark).limit(20), path, f"file://{tmp_path}/s", n_shards=1)
+    raw = open(shards.first().path.removeprefix("file://"), "rb").read()
+    n, descriptor, magic = struct.unpack("<IBI", raw[-9:])
+    assert magic == 0x8F92EAB1 and descriptor == 0x80
+    table = [struct.unpack("<III", raw[len(raw) - 9 - 12 * (n - k) : len(raw) - 9 - 12 * (n - k - 1)]) for k in range(n)]
+    assert struct.unpack("<II", raw[-9 - 12 * n - 8 : -9 - 12 * n]) == (0x184D2A5E, 12 * n + 9)
+    assert sum(c for c, _, _ in table) == len(raw) - 9 - 12 * n - 8
+    at, parts = 0, []
+    for c, d, x in table[:-1]:
+        part = zstandard.ZstdDecompressor().decompress(raw[at : at + c])
+        assert len(part) == d and xxhash.xxh64_intdigest(part) & 0xFFFFFFFF == x
+        parts.append(part)
+        at += c
+    assert zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True).read() == b"".join(parts)
+    with pytest.raises(KeyError):
+        token_store.ShardReader(shards.first().path).read_id(-5)
+
+
+def test_vocabularies_that_ask_for_more_are_refused_or_encoded_whole(tmp_path):
+    import json
+
+    spec = json.load(open(vocabulary("byte_bpe_50k.json")))
+    for change in ({"ignore_merges": True}, {"dropout": 0.1}):
+        file = tmp_path / "v.json"
+        file.write_text(json.dumps(spec | {"model": spec["model"] | change}))
+        with pytest.raises(ValueError, match="isn't done here"):
+            bpe.ByteBPE(str(file))
+    file.write_text(json.dumps(spec | {"added_tokens": [t | {"lstrip": True} for t in spec["added_tokens"]]}))
+    with pytest.raises(ValueError, match="lstrip"):
+        bpe.ByteBPE(str(file))
+    spec = json.load(open(vocabulary("word_bpe_49k.json")))
+    assert token_store.WordEncoder(vocabulary("word_bpe_49k.json"), 2, 1).by_word
+    for norm in (None, {"type": "NFC"}, {"type": "Sequence", "normalizers": [{"type": "Lowercase"}, {"type": "StripAccents"}, {"type": "NFKD"}]}):
+        file.write_text(json.dumps(spec | {"normalizer": norm}))
+        encoder = token_store.WordEncoder(str(file), 2, 1)
+        assert not encoder.by_word
+        assert encoder.encode("Ärger IT'S") == np.array(encoder.tok.encode("Ärger IT'S", add_special_tokens=False).ids + [1], "<u2").tobytes()
+
+
 def test_token_store_edges(spark, tmp_path):
     path = vocabulary("word_bpe_49k.json")
     got = token_store.read_tokens(token_store.write_tokens(edge(spark), path, f"file://{tmp_path}/e")).orderBy("start").collect()
@@ -272,9 +478,13 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_repeated_passages(spark, monkeypatch, salts):
+@pytest.mark.parametrize("salts,large,hints", [(1, 1 << 20, 2000), (3, 1 << 20, 2000), (3, 60, 0), (2, 0, 2)])
+def test_repeated_passages(spark, monkeypatch, salts, large, hints):
+    """With many hot anchors, with none that are known before and every shard too large, and with both."""
     monkeypatch.setattr(suffix_dedup, "SALTS", salts)
+    monkeypatch.setattr(suffix_dedup, "LARGE", large)
+    monkeypatch.setattr(suffix_dedup, "HINTS", hints)
+    monkeypatch.setattr(suffix_dedup, "BATCH", 1 << 21 if large else 40)
     rng = random.Random(salts)
     base = ["".join(rng.choice("abcdé ") for _ in range(60)) for _ in range(6)]
     rows = [(i, "".join(rng.choice(base)[rng.randint(0, 20) : rng.randint(21, 60)] for _ in range(rng.randint(0, 8)))) for i in range(200)] + [(1000, None), (1001, ""), (1002, "a" * 2000), (1003, "ab" * 900)]
@@ -282,6 +492,20 @@ def test_repeated_passages(spark, monkeypatch, salts):
     assert got == brute_repeats(rows, 20)
 
 
+def test_a_hot_phrase_in_ever_other_surroundings_parts(spark, monkeypatch):
+    """An anchor in all documents with different bytes beside it: sorted in many small shards, with the right answer."""
+    monkeypatch.setattr(suffix_dedup, "LARGE", 4000)
+    monkeypatch.setattr(suffix_dedup, "HINTS", 0)
+    most = []
+    real = suffix_dedup._halves
+    monkeypatch.setattr(suffix_dedup, "_halves", lambda r, n: most.append(real(r, n).groupBy("anchor").count().agg(F.max("count")).first()[0]) or real(r, n))
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(70)) + "the phrase that everybody has" + "".join(rng.choice("abcdefgh") for _ in range(70))) for i in range(300)]
+    rows += [(400 + i, rows[i][1][30:140]) for i in range(20)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, SCHEMA), 40).collect()}
+    assert got == brute_repeats(rows, 40) and most and max(most) < 40
+
+
 def test_repeated_passages_edges(spark):
     got = suffix_dedup.repeated_passages(edge(spark), 20)
     assert got.count() == len(EDGE) and got.where("doc_id = 9").first().n_removed == 4999
@@ -302,30 +526,46 @@ def test_chat_trees(spark):
     nodes = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 0.2), (1, 3, 1, "assistant", "b", 0.9), (1, 4, 3, "user", "more", 0.1), (2, 1, 2, "user", "x", 1.0), (2, 2, 1, "user", "y", 1.0), (3, 1, 99, "user", "orphan", None), (None, 1, None, "user", "z", 1.0), (1, 1, None, "user", "q", 0.0)]
     df = spark.createDataFrame(nodes, "tree long, node long, parent long, role string, text string, score double")
     got = {(r.tree, r.leaf): r["rank"] for r in chat.conversations(df).collect()}
-    assert got == {(1, 4): 1, (1, 2): 2, (3, 1): 1}
+    assert got == {(1, 4): 1, (1, 2): 2, (3, 1): 1, (None, 1): 1}  # a null tree is one of its own
     assert [r.leaf for r in chat.conversations(df, top=1).where("tree = 1").collect()] == [4]
     chain = spark.range(300).select(F.lit(5).cast("long").alias("tree"), F.col("id").alias("node"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"), F.lit(0.0).alias("score"))
     assert chat.conversations(chain).first().n_turns == 300
     assert chat.conversations(df.limit(0)).count() == 0
 
 
+def test_chat_edges(spark):
+    """Nulls anywhere, ties, repeated rows, extra columns with the operators' own names, no row."""
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "assistant", "tie"), (1, None, None, None), (None, 0, "user", "lost"), (None, 1, "assistant", "and found"), (2, 5, "assistant", "x" * 20000), (3, 0, "", "")]
+    schema = "conv_id long, turn long, role string, text string"
+    df = spark.createDataFrame(rows, schema).select("*", *[F.lit(1).alias(c) for c in ("tree", "node", "parent", "leaf", "score", "pos", "n", "up", "back", "rank")])
+    got = {r.conv_id: r for r in chat.digests(chat.conversations(chat.thread(df))).collect()}
+    sha = lambda turns: hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    assert {i: r.n_turns for i, r in got.items()} == {1: 4, None: 2, 2: 1, 3: 1}
+    assert got[1].turns_sha256 == sha([("", ""), ("assistant", "tie"), ("user", "a"), ("user", "a")]) and got[None].turns_sha256 == sha([("user", "lost"), ("assistant", "and found")])
+    assert got[2].loss_chars == 20000 and got[3].loss_chars == 0 and got[1].loss_sha256 == hashlib.sha256(b"tie").hexdigest()
+    assert chat.digests(chat.conversations(chat.thread(df.limit(0)))).count() == 0
+
+
+def test_long_conversations(spark):
+    chain = spark.range(3000).select(F.lit(5).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.col("id").cast("string").alias("text"))
+    r = chat.digests(chat.conversations(chat.thread(chain))).first()
+    assert r.n_turns == 3000 and r.loss_sha256 == hashlib.sha256("".join(str(k) for k in range(1, 3000, 2)).encode()).hexdigest()
+
+
 # ---------------------------------------------------------------- licenses
 
 def brute_license(t):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
-    places, labels, found, k = [], set(), [], 0
+    places, labels, found = [], set(), []
     for phrase, label in licenses.PHRASES.items():
         q = phrase.split()
         for i in range(len(w) - len(q) + 1):
             if w[i : i + len(q)] == q:
                 places.append(i)
                 labels.add(label)
-    for priority, confidence, around in licenses.FORMS.values():
-        for name, (word, pattern) in licenses.NAMES.items():
-            if word in low and re.search("licen[sc]e|spdx|cc[ -]by|gpl|bsd", low):
-                found += [(m.start(), m.end(), priority, k, licenses.SAME.get(name, name), confidence) for m in re.finditer(rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", low)]
-            k += 1
+    for rule, _, _, pattern, label, priority, confidence, _ in licenses.rule_rows():
+        found += [(m.start(), m.end(), priority, rule, label, confidence) for m in re.finditer(pattern, low)]
     before = lambda b, a: (b[0], -b[1], -b[2], b[3]) < (a[0], -a[1], -a[2], a[3])
     kept = [a for a in found if not any(b[0] <= a[0] and a[1] <= b[1] and b[2] >= a[2] and before(b, a) for b in found)]
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(labels | {a[4] for a in kept})), max([0.8 if places else 0.0, *(a[5] for a in kept)]), len(kept)
@@ -347,16 +587,70 @@ def test_every_license_rule_is_tried(spark):
     rng = random.Random(5)
     parts = [*notices, "released under the", "provided under", "python", "PSF", "Apache", "MIT", "CC0", "commit 1.2", "success", "Mozilla Public", "v2", "2.0", "-1.1", "boost 1.0", "OFL", "license: the", "governed by the", "licence", "Eclipse Public", "unlicense", ","]
     rows = list(enumerate(notices)) + [(100 + i, " ".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))) for i in range(300)]
-    patterns = [(rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", p, licenses.SAME.get(name, name)) for p, _, around in licenses.FORMS.values() for name, (_, pattern) in licenses.NAMES.items()]
     want = collections.Counter()
     for i, text in rows:
-        want.update((i, m.start(), m.end(), k, label, p) for k, (pattern, p, label) in enumerate(patterns) for m in re.finditer(pattern, text.lower()))
+        want.update((i, m.start(), m.end(), r[0], r[4], r[5]) for r in licenses.rule_rows() for m in re.finditer(r[3], text.lower()))
     df = spark.createDataFrame(rows, SCHEMA)
     got = collections.Counter((r.doc_id, r.start, r.end, r.rule, r.label, r.priority) for r in licenses.detections(df).collect())
     assert got == want and {i for i, *_ in want} >= set(range(len(notices)))
     scanned = {r.doc_id: r for r in licenses.scan(df).collect()}
     assert [scanned[i].labels for i in range(5)] == ["apache", "mit", "cc0", "mpl", "python"] and all(scanned[i].score > 0 for i in range(len(notices)))
-    assert all(licenses.NEEDS[form] in around for form, (_, _, around) in licenses.FORMS.items())
+    assert licenses.rules(spark).count() == len(licenses.rule_rows()) > 400
+
+
+def sample_match(pattern, rng):
+    """A text that a signature's pattern matches, by its parse tree."""
+    import re._constants as K
+    import re._parser as P
+
+    def walk(items):
+        out = ""
+        for op, arg in items:
+            if op is K.LITERAL:
+                out += chr(arg)
+            elif op is K.ANY:
+                out += "x"
+            elif op is K.IN:
+                first = arg[0]
+                out += " " if first == (K.CATEGORY, K.CATEGORY_SPACE) else chr(first[1] if first[0] is K.LITERAL else first[1][0])
+            elif op in (K.MAX_REPEAT, K.MIN_REPEAT):
+                low, high, body = arg
+                out += "".join(walk(body) for _ in range(low if rng.random() < 0.5 else min(max(low, 1), high)))
+            elif op is K.SUBPATTERN:
+                out += walk(arg[3])
+            elif op is K.BRANCH:
+                out += walk(rng.choice(arg[1]))
+            elif op not in (K.ASSERT, K.ASSERT_NOT):
+                raise AssertionError(op)
+        return out
+
+    return walk(P.parse(pattern))
+
+
+def test_every_signature_is_tried_and_holds_its_keyword(spark):
+    """Texts drawn from each signature's own pattern, commented and wrapped: the gate lets each of them through."""
+    rng = random.Random(8)
+    signatures = [r for r in licenses.rule_rows() if r[7] == "signature"]
+    rows = []
+    for r in signatures:
+        for k in range(3):
+            text = sample_match(r[3], rng)
+            assert re.search(r[3], text) and r[1] in text and any(g in text for g in licenses.GATES), (r[4], text)
+            rows.append((r[0] * 10 + k, "Header.\n * " + (text if k else text.upper().replace(" ", "\n * ")) + " end"))
+    got = {(r.doc_id, r.rule) for r in licenses.detections(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {(i, i // 10) for i, _ in rows} <= got and len(signatures) > 140
+
+
+def test_license_texts_and_what_is_none(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining\n * a copy of this software and associated documentation files (the\n * \"Software\"), to deal in the Software without restriction"
+    gpl = "you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met: Neither the name of Foo Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    none = ["He was granted permission to use the hall free of charge.", "We commit license plates to memory", "a boost in sales, version 1.0 of the plan", "the regents met; the university of california won", "permits: general public welcome", "an eclipse in public", "mitlicense", "redistribution of wealth is permitted", "The artistic director", "confidential talks about software", "submit 2.0", "success 1.1 and cc by the way"]
+    rows = [(1, mit), (2, gpl), (3, bsd), *((10 + k, t) for k, t in enumerate(none))]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1].labels == "mit" and got[1].score == 0.99
+    assert set(got[2].labels.split(",")) >= {"gpl-3.0-or-later", "gpl"} and set(got[3].labels.split(",")) == {"bsd", "bsd-3-clause"}
+    assert {t: got[10 + k].labels for k, t in enumerate(none) if got[10 + k].labels} == {"success 1.1 and cc by the way": "cc-by"}
 
 
 # ---------------------------------------------------------------- quality
@@ -378,6 +672,33 @@ def test_quality_edges(spark):
     assert quality.score(edge(spark, True), quality.train(edge(spark, True), labels)).count() == 0
 
 
+def test_quality_counts_every_row_of_an_id_once(spark):
+    """Sixty rows of one labelled id are sixty positives and sixty texts, whatever the joins; nothing is squared."""
+    rows = [(1, f"good text number {k} with some words") for k in range(60)] + [(5, "BAD!! ### @@@ %%%")]
+    d, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(1, 1), (1, 1)], "doc_id long, quality int")
+    seen = []
+    real = quality._moments
+    try:
+        quality._moments = lambda r, m: seen.append(r.groupBy("kind").count().collect()) or real(r, m)
+        quality.train(d, labels)
+    finally:
+        quality._moments = real
+    assert not quality.train(d.limit(0), labels).weights.any()
+    assert {(r.kind, r["count"]) for r in seen[0]} == {(0, sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)), (1, 60)}
+
+
+def test_quality_negative_risk_is_held_at_zero():
+    """With a prior that is too high the unclamped minimum has a negative part below zero; the fit goes up again."""
+    rng = np.random.default_rng(1)
+    moments = lambda x: quality.Moments(len(x), x.mean(0), x.T @ x / len(x))
+    p = np.column_stack([rng.normal(1, 1, (400, 3)), np.ones(400)])
+    u = np.vstack([p, np.column_stack([rng.normal(-1, 1, (100, 3)), np.ones(100)])])
+    negative = lambda w, prior: ((1 + u @ w) ** 2).mean() / 4 - prior * ((1 + p @ w) ** 2).mean() / 4
+    w = quality.fit(moments(p), moments(u), 0.8)
+    assert negative(w, 0.8) >= 0 and ((p @ w > 0).mean() > 0.9) and ((u[400:] @ w < 0).mean() > 0.8)
+    assert negative(quality.fit(moments(p), moments(u), 0.95), 0.95) >= negative(quality.fit(moments(p), moments(u), 0.95, steps=0), 0.95)
+
+
 def test_late_repetition_is_seen():
     at = quality.FEATURES.index("compressible")
     words = [f"w{i}" for i in range(1000)]
@@ -385,7 +706,62 @@ def test_late_repetition_is_seen():
     assert varied == 1 and late == (200 + 4 * 2) / 1000 and quality.features("a b a b")[at] == 0.5
 
 
-# ---------------------------------------------------------------- the pipeline
+# ---------------------------------------------------------------- tables and the pipeline
+
+def test_only_a_scope_is_released(spark):
+    """Tables of another call that is still pending stay."""
+    pending = exact_dedup.exact_dedup(docs(spark))
+    paths = []
+    with common.scope(paths):
+        common.written(spark.range(3), "own")
+    common.release(paths)
+    assert not paths and pending.count() == docs(spark).count()
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf
+
+        class sparkContext:
+            master, applicationId = "yarn", "app"
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.shared_dir(Cluster)
+
+
+def test_arrow_batches_are_small_for_written_tables_alone(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = spark.range(5000).coalesce(1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long")
+    assert common.written(sizes, "sizes").agg(F.max("n")).first()[0] <= common.BATCH_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls in every column, repeated rows and ids, extra columns; and no row."""
+    import corpus_pipeline as P
+
+    text = "a good text of some words that says one thing or another and ends here."
+    schema = "doc_id long, text string, lang string, source string, n_chars long, h int, component_id int"
+    rows = [(1, text, "en", "s", 1, 1, 1), (1, text, "en", "s", 1, 1, 1), (1, text + " More.", "en", None, 1, 1, 1), (2, text, None, "s", None, 1, 1), (None, text, "en", "s", 1, 1, 1), (None, None, None, None, None, None, None), (7, "", "en", "s", 0, 1, 1), (8, None, "en", "s", 0, 1, 1)]
+    for given in (rows, []):
+        d = spark.createDataFrame(given, schema)
+        for name, stage in P.STAGES[:-1]:
+            before = d.count()
+            out = stage(spark, d, SF)
+            assert out.columns == d.columns
+            path = f"{tmp_path}/{len(given)}-{name}"
+            out.write.parquet(path)
+            d = spark.read.parquet(path)
+            assert d.count() <= before
+        assert P.STAGES[-1][1](spark, d, SF).count() == d.count()
+
+
+# ---------------------------------------------------------------- the stages
 
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as P
