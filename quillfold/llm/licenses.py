@@ -1,25 +1,29 @@
 """License scans by ordered signature rules, in DataFrame functions alone.
 
-A rule is a regular expression, a label, a priority and a confidence. The rules
-are written as license names (each with its versions) and as forms in which a
-name is given; each form of each name is one rule, some hundreds in all. A
-document is held against a rule only if it contains the keyword of its name and
-a match of what its form needs; every match of the rule holds both. All
-matches are intervals of the text; one that lies inside another of at least its
-priority is suppressed, and of equal intervals the first rule stays. Suppression
-is a running maximum over the sorted intervals of a document, so a text with ten
-thousand notices takes no pairs.
+A rule is a regular expression, a label, a priority and a confidence. Some are
+signatures of license texts, written out by hand (see ``signatures``); the
+others are notices: license names, each with its versions, in the forms in which
+a name is given. Several hundred in all. A document is held against a rule only
+if it contains the rule's keyword and a part that its form needs; every match of
+the rule holds both. All matches are intervals of the text; one that lies inside
+another of at least its priority is suppressed, and of equal intervals the first
+rule stays. Suppression is a running maximum over the sorted intervals of a
+document, so a text with ten thousand notices takes no pairs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, text_of
+from .common import let, lower_ascii, matches_by, text_of
+from .signatures import GAP, GATES, SIGNATURES
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What isn't in a word, before A-Z are made lower case.
+_RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Phrases and labels of the base; fixed values of the contract.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -58,56 +62,77 @@ FORMS = {
     "field": (2, 0.85, r"licen[sc]e(?:d)?: *(?:the )?{}"),
     "named": (1, 0.75, r"{} licen[sc]e"),
 }
-#: form: a part of its pattern beside the name that no match can lack.
+#: form: parts of its pattern beside the name, of which no match can lack all.
 NEEDS = {
-    "identifier": r"spdx-license-identifier:",
-    "granted": r"(?:licensed|released|distributed|published|available|made available|provided|redistributed) under ",
-    "covered": r"(?: licen[sc]e)",
-    "versioned": r" licen[sc]e",
-    "versioned short": r"[ -](?:version |v)?[1-4]\.[0-9]",
-    "field": r"licen[sc]e(?:d)?:",
-    "named": r" licen[sc]e",
+    "identifier": ("spdx-license-identifier:",),
+    "granted": ("ed under ", "available under "),
+    "covered": (" licen",),
+    "versioned": (" licen",),
+    "versioned short": (".",),
+    "field": ("licen",),
+    "named": (" licen",),
 }
 
 
-def rules(spark: SparkSession) -> DataFrame:
-    """``rule, keyword, need, pattern, label, priority, confidence, form``, in order: a few hundred rows, whatever the data."""
+#: Every short notice with a version contains this.
+SHORT = r"[ -](?:version |v)?[1-4]\.[0-9]"
+
+
+def rule_rows() -> list[tuple]:
+    """``rule, keyword, needs, pattern, label, priority, confidence, form``, in order: signatures first."""
     rows = []
+    for label, keyword, priority, confidence, signature in SIGNATURES:
+        word, tail = keyword.split()[-1], f"(?:{GAP})?".join(part.replace(" ", GAP) for part in signature.split(" ?"))
+        rows.append((len(rows), word, [word], rf"(?<![a-z0-9]){tail}", label, priority, confidence, "signature"))
     for form, (priority, confidence, around) in FORMS.items():
         for name, (keyword, pattern) in NAMES.items():
-            rows.append((len(rows), keyword, NEEDS[form], rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", SAME.get(name, name), priority, confidence, f"{form}: {name}"))
-    return spark.createDataFrame(rows, "rule int, keyword string, need string, pattern string, label string, priority int, confidence double, form string").coalesce(1)
+            rows.append((len(rows), keyword, list(NEEDS[form]), rf"(?<![a-z0-9]){around.replace('{}', pattern)}(?![a-z0-9])", SAME.get(name, name), priority, confidence, f"{form}: {name}"))
+    return rows
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    """The rules as a table: a few hundred rows, whatever the data."""
+    return spark.createDataFrame(rule_rows(), "rule int, keyword string, needs array<string>, pattern string, label string, priority int, confidence double, form string").coalesce(1)
+
+
+def _lower(text: Column) -> Column:
+    """The text in lower case, character by character: other letters than A-Z tell nothing here.
+
+    Two characters, whose lower case is longer or an ASCII letter, take a slower way.
+    """
+    odd = F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212a"))
+    return F.when(odd, lower_ascii(text)).otherwise(F.lower(text))
 
 
 def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, h, start, end, rule, label, priority, confidence, suppressed`` of every match.
 
     ``start`` and ``end`` are code points of the text; ``h`` hashes the text, for
-    ids that several rows share: rows that repeat both count once.
+    ids that several rows share: rows that repeat both count once. Null and empty
+    texts have no match; null ids are kept. Other columns aren't read.
     """
-    spark = docs.sparkSession
-    table = rules(spark)
-    words = sorted({k for k, _ in NAMES.values()})
-    low = lower_ascii(text_of(text_col))
-    needs = sorted(set(NEEDS.values()))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("h"), low.alias("t")).withColumn(
-        "needs", F.array_compact(F.array(*[F.when(F.col("t").rlike(n), F.lit(n)) for n in needs]))).where(F.size("needs") > 0)
-    keyed = rows.withColumn("keyword", F.explode(F.filter(F.array(*map(F.lit, words)), lambda k: F.contains(F.col("t"), k))))
-    tried = keyed.join(F.broadcast(table), "keyword").where(F.array_contains("needs", F.col("need"))).where(F.rlike("t", F.col("pattern")))
-    gaps = F.transform(F.split("t", F.col("pattern"), -1), F.length)
-    hits = F.transform(F.regexp_extract_all("t", F.col("pattern"), F.lit(0)), F.length)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def step(a, x):
-        start = a.at + x["0"]
-        end = start + F.coalesce(x["1"], F.lit(0))
-        span = F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
-        return F.struct(end.cast("int").alias("at"), F.when(x["1"].isNull(), a.out).otherwise(F.concat(a.out, span)).alias("out"))
-
-    found = tried.select("doc_id", "h", "rule", "label", "priority", "confidence", F.explode(F.aggregate(F.arrays_zip(gaps, hits), zero, step).out).alias("s")).select(
-        "doc_id", "h", "s.start", "s.end", "rule", "label", "priority", "confidence").distinct()
+    table = F.broadcast(rules(docs.sparkSession))
+    any_of = lambda t, parts: reduce(lambda a, b: a | b, [F.contains(t, F.lit(p)) for p in parts])
+    marks = sorted({n for form, needs in NEEDS.items() for n in needs if form != "versioned short"})
+    found_in = lambda t, words: F.filter(F.array(*map(F.lit, words)), lambda k: F.contains(t, k))
+    of_texts, of_notices = (sorted({r[1] for r in rule_rows() if (r[7] == "signature") == kind}) for kind in (True, False))
+
+    def keywords(t: Column) -> Column:
+        """The keywords in a lower-cased text, of those rules that its gates leave."""
+        none = F.array().cast("array<string>")
+        notice = any_of(t, marks) | t.rlike(SHORT)
+        return F.array_union(F.when(any_of(t, GATES), found_in(t, of_texts)).otherwise(none), F.when(notice, found_in(t, of_notices)).otherwise(none))
+
+    # the text is made lower case once; those without a keyword go no further
+    low = let(_lower(text_of(text_col)), lambda t: F.struct(t.alias("t"), keywords(t).alias("k")))
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("h"), low.alias("x"))
+    # the outer form, as a filter that is inferred from the plain one would look for the keywords once more
+    keyed = keyed.select("doc_id", "h", F.col("x.t").alias("t"), F.explode_outer("x.k").alias("keyword")).where("keyword is not null")
+    held = keyed.join(table, "keyword").where(F.exists("needs", lambda n: F.contains(F.col("t"), n)))
+    tried = held.where(F.rlike("t", F.col("pattern"))).select("doc_id", "h", "rule", "label", "priority", "confidence", F.explode(matches_by(F.col("t"), F.col("pattern"))).alias("s"))
+    found = tried.select("doc_id", "h", "s.start", "s.end", "rule", "label", "priority", "confidence").distinct()
     order = Window.partitionBy("doc_id", "h").orderBy("start", F.desc("end"), F.desc("priority"), "rule").rowsBetween(Window.unboundedPreceding, -1)
-    levels = sorted({p for p, _, _ in FORMS.values()})
+    levels = sorted({r[5] for r in rule_rows()})
     inside = F.lit(False)
     for p in levels:
         reach = F.max(F.when(F.col("priority") >= p, F.col("end"))).over(order)
@@ -124,22 +149,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     place), 0 without any. A null text is empty. Null and repeated ids are kept.
     Other columns aren't read. An empty table gives no row.
     """
-    text = lower_ascii(text_of(text_col))
+    text = text_of(text_col)
     kept = detections(docs, id_col, text_col).where("not suppressed").groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(
         F.collect_set("label").alias("found"), F.max("confidence").alias("best"), F.count(F.lit(1)).alias("n_found"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("_h2"), text.alias("t"))
-    words = F.array_remove(F.split("t", _NOT_WORD), "")
-    likely = F.col("t").rlike("|".join("[^a-z]+".join(p.split()) for p in PHRASES))
-    none = F.array().cast("array<string>")
+    # words are cut only where a phrase can stand; their number needs no lower case
+    likely = text.rlike("(?i)" + "|".join("[^a-z]+".join(p.split()) for p in PHRASES))
+    none, no_places = F.array().cast("array<string>"), F.array().cast("array<int>")
 
-    def places(phrase: str) -> Column:
+    def places(w: Column, phrase: str) -> Column:
         parts = phrase.split()
-        at = F.sequence(F.lit(0), F.size("w") - len(parts))
-        same = lambda i: F.slice("w", i + 1, len(parts)) == F.array(*map(F.lit, parts))
-        return F.when(F.size("w") >= len(parts), F.filter(at, lambda i: (F.get("w", i) == parts[0]) & same(i))).otherwise(F.array().cast("array<int>"))
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i) == parts[0])
+        return F.when(F.size(w) >= len(parts), F.filter(at, lambda i: F.slice(w, i + 1, len(parts)) == F.array(*map(F.lit, parts)))).otherwise(no_places)
 
-    rows = rows.select("doc_id", "_h2", F.regexp_count("t", F.lit(_WORD)).cast("long").alias("n_words"), F.when(likely, words).otherwise(none).alias("w"))
-    rows = rows.select("doc_id", "_h2", "n_words", *[places(p).alias(f"p{k}") for k, p in enumerate(PHRASES)])
+    words = let(F.array_remove(F.split(lower_ascii(text), _NOT_WORD), ""), lambda w: F.struct(*[places(w, p).alias(f"p{k}") for k, p in enumerate(PHRASES)]))
+    empty = F.struct(*[no_places.alias(f"p{k}") for k in range(len(PHRASES))])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("_h2"), F.size(F.array_remove(F.split(text, _RAW_GAP), "")).cast("long").alias("n_words"), F.when(likely, words).otherwise(empty).alias("p"))
+    rows = rows.select("doc_id", "_h2", "n_words", "p.*")
     every = F.flatten(F.array(*[f"p{k}" for k in range(len(PHRASES))]))
     base = F.array_compact(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(x)) for k, x in enumerate(PHRASES.values())]))
     rows = rows.select("doc_id", "_h2", "n_words", every.alias("all"), base.alias("base"))
