@@ -16,24 +16,31 @@ smaller document, or earlier in the same one). Every step is exact.
    suffixes sorted by induced sorting in memory (see ``suffix_array``), to the
    depth of ``length`` bytes; neighbours that share ``length`` bytes are one
    string, and all but its first occurrence are repeats.
-4. Anchors that hold a large share of all rows are dealt to many shards; there
-   only stretches with a first occurrence in a batch go on to a second round, so
-   no task gathers a hot passage.
-
-Memory: a task sorts stretches of several anchors at a time, as many as fit in
-``BATCH`` bytes; an anchor with more different stretches than that is held and
-sorted whole, in memory, with no bound. The reduced
-string is sorted by doubling its names, and common prefixes are found by
-comparing sorted neighbours: both give what carrying them would.
+4. Anchors that a sample finds in many rows are dealt to many shards at once;
+   any other whose stretches fill a task (``LARGE``) is sorted in batches there.
+   Only stretches with a first occurrence in their batch go on to the next round,
+   and there each is cut in two by what stands beside its anchor: of the
+   ``length - K`` bytes of a string that the anchor leaves, half lie to its left
+   or half to its right, and strings are dealt by these bytes and the anchor
+   together. Equal strings stay together, and different surroundings part. The
+   part that is known grows until, after a few rounds, it is the whole string. So
+   no task gathers an anchor, be its stretches alike or not.
+
+Memory: a task sorts at most ``LARGE`` bytes of different stretches and one more
+at a time, in memory. The reduced string is sorted by doubling its names, and
+common prefixes are found by comparing sorted neighbours: both give what
+carrying them would.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +52,10 @@ BATCH = 2 << 20
 #: Bytes of different stretches that a task holds before it passes them on.
 HELD = 24 << 20
 SALTS = 64
+#: Bytes of one anchor's stretches that a task sorts; more are sorted in batches and go on.
+LARGE = 6 << 20
+#: Anchors that are dealt to many shards from the start; others are found large where they are sorted.
+HINTS = 2000
 
 
 def _k(length: int) -> int:
@@ -123,7 +134,7 @@ def first_occurrences(stretches: list[bytes], firsts: list[np.ndarray], length:
 
 
 def _shard(rows: list[tuple], length: int) -> list[tuple]:
-    """(doc, h, repeat first, repeat last, rest) of stretches ``(hot, doc, h, start, text, anchor)`` of some anchors."""
+    """(doc, h, repeat first, repeat last, rest, low, high) of stretches ``(hot, doc, h, start, text, anchor, low, high)`` of some anchors."""
     ids = sorted({(r[1], r[2]) for r in rows})
     number = {x: k << 32 for k, x in enumerate(ids)}
     by_text: dict[bytes, list[int]] = {}
@@ -146,43 +157,88 @@ def _shard(rows: list[tuple], length: int) -> list[tuple]:
         for k in members:
             repeat = keys[k] + offsets > first
             if repeat.all():
-                out.append((rows[k][1], rows[k][2], rows[k][3], rows[k][3] + len(first) - 1, None))
+                out.append((rows[k][1], rows[k][2], rows[k][3], rows[k][3] + len(first) - 1, None, None, None))
                 continue
             a, b = _runs(repeat)
-            out += [(rows[k][1], rows[k][2], rows[k][3] + x, rows[k][3] + y, None) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+            out += [(rows[k][1], rows[k][2], rows[k][3] + x, rows[k][3] + y, None, None, None) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
             if rows[k][0]:
-                out.append((rows[k][1], rows[k][2], rows[k][3], -1, rows[k][4]))
+                out.append((rows[k][1], rows[k][2], rows[k][3], -1, rows[k][4], rows[k][6], rows[k][7]))
     return out
 
 
-def _repeats(stretches: DataFrame, length: int) -> DataFrame:
-    """``anchor, doc_id, h, first, last, rest``: repeated starts, and for hot anchors the stretches that go on."""
+_REPEATS = "anchor long, doc_id long, h long, first long, last long, rest binary, low int, high int"
+_STRETCH = "anchor long, salt long, hot boolean, doc_id long, h long, start long, text binary, low int, high int"
+
+
+def _repeats(stretches: DataFrame, length: int, large: int | None) -> DataFrame:
+    """Repeated starts, and those stretches of hot or large anchors that go on (``rest``, with what is known of their strings)."""
 
     def run(batches):
-        schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("rest", pa.binary())])
+        kinds = [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.int32()]
+        schema = pa.schema(list(zip(("anchor", "doc_id", "h", "first", "last", "rest", "low", "high"), kinds, strict=True)))
 
         def done(rows, anchor):
             got = _shard(rows, length) if rows else []
-            cols = list(zip(*got, strict=True)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array([anchor] * len(got), pa.int64()), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())], schema=schema)
+            cols = list(zip(*got, strict=True)) or [()] * 7
+            return pa.RecordBatch.from_arrays([pa.array([anchor] * len(got), pa.int64()), *[pa.array(c, t) for c, t in zip(cols, kinds[1:], strict=True)]], schema=schema)
 
-        held, size, at = [], 0, None
+        # ``held`` are stretches of several small anchors, or of one hot or large one
+        held, size, at, own, begun = [], 0, None, 0, 0
         for b in batches:
-            for anchor, salt, hot, doc, h, start, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                # hot anchors are sorted by themselves, so that what goes on can be named by them; as what is first in a
-                # batch goes on to the next round, their batches may end anywhere
-                if held and (size > BATCH and hot or (anchor, salt) != at and (size > BATCH or hot or held[0][0])):
-                    yield done(held, at[0])
-                    held, size = [], 0
-                at = (anchor, salt)
-                held.append((hot, doc, h, start, text, anchor))
+            columns = [c.to_pylist() for c in b.columns]
+            for anchor, salt, hot, doc, h, start, text, low, high in zip(*columns, *[repeat(None)] * (9 - len(columns))):  # noqa: B905
+                if (anchor, salt) != at:
+                    if held and (size > BATCH or hot or held[0][0]):
+                        yield done(held, at[0])
+                        held, size = [], 0
+                    at, own, begun, forced = (anchor, salt), 0, len(held), False
+                held.append((hot or forced, doc, h, start, text, anchor, low, high))
                 size += len(text)
+                own += len(text)
+                if hot and size > BATCH:
+                    yield done(held, anchor)
+                    held, size = [], 0
+                elif not hot and large is not None and own > large:
+                    # it goes on by itself, in batches: what is first in one of them is looked at again
+                    if begun:
+                        yield done(held[:begun], None)
+                    yield done([(True, *r[1:]) for r in held[begun:]], anchor)
+                    held, size, own, begun, forced = [], 0, 0, 0, True
         if held:
             yield done(held, at[0])
 
-    rows = stretches.select("anchor", "salt", "hot", "doc_id", "h", "start", "text")
+    known = [c for c in ("low", "high") if c in stretches.columns]  # nothing is known at first
+    rows = stretches.select("anchor", "salt", "hot", "doc_id", "h", "start", "text", *known)
     dealt = rows.repartition("anchor", "salt").sortWithinPartitions("hot", "anchor", "salt", "doc_id", "start")
-    return dealt.mapInArrow(run, "anchor long, doc_id long, h long, first long, last long, rest binary")
+    return dealt.mapInArrow(run, _REPEATS)
+
+
+def _halves(rest: DataFrame, length: int) -> DataFrame:
+    """Stretches cut by what their strings have beside the part known so far, which grows by half of what is left."""
+    k = _k(length)
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for anchor, doc, h, first, text, low, high in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if low is None:  # the anchor itself: the least hash of any of the strings
+                    hashes = _hashes(np.frombuffer(text[:length], np.uint8), k)
+                    low = int(np.argmin(hashes))
+                    high = low + k
+                side = max(1, (length - (high - low)) // 2)
+                last = len(text) - length  # of the starts, from 0
+                cut = low - side  # strings that start here or before reach ``side`` bytes further to the left
+                for left, a, z in ((True, 0, min(last, cut)), (False, max(0, cut + 1), last)):
+                    if a > z:
+                        continue
+                    lo, hi = (low - side, high) if left else (low, min(high + side, a + length))
+                    key = xxhash.xxh3_64_intdigest(text[lo:hi] + (b"<" if left else b">"), seed=anchor & (1 << 64) - 1)
+                    out.append((key - (1 << 63), 0, False, doc, h, first + a, text[a : z + length], lo - a, hi - a))
+            cols = list(zip(*out, strict=True)) or [()] * 9
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "salt", "hot", "doc_id", "h", "start", "text", "low", "high"])
+
+    return rest.select("anchor", "doc_id", "h", "first", "rest", "low", "high").mapInArrow(run, _STRETCH)
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,8 +275,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
     schema = "anchor long, doc_id long, place int, hot boolean"
     hot = np.zeros(0, np.int64)
     sample = own.select("doc_id", "text").sample(0.02, seed=1).mapInArrow(anchored, schema)
-    # hot anchors (2000 at most) are repeated without a count; no task gathers their places
-    hot = np.array([r.anchor for r in sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(2000).collect()], np.int64)
+    # these are repeated without a count; no task gathers their places. Which ones are told from the start changes the work alone
+    hot = np.array([r.anchor for r in sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(HINTS).collect()], np.int64)
     spots = own.select("doc_id", "text").mapInArrow(anchored, schema)
     salted = spots.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0))
     marked = salted.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor", "salt"))).where("n > 1 or hot").select("doc_id", "place", "hot")
@@ -273,11 +329,17 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
 
     pieces = written(texts.select("doc_id", "h", "text", "want").mapInArrow(cut, "anchor long, salt long, hot boolean, doc_id long, h long, first long, last long, text binary"), "stretches")
     stretches = pieces.where("text is not null").select("anchor", "salt", "hot", "doc_id", "h", F.col("first").alias("start"), "text")
-    found = written(_repeats(stretches, length), "repeats")
-    rest = found.where("rest is not null").select("anchor", F.lit(0).cast("long").alias("salt"), F.lit(False).alias("hot"), "doc_id", "h", F.col("first").alias("start"), F.col("rest").alias("text"))
-    more = _repeats(rest, length).where("rest is null")
+    found = written(_repeats(stretches, length, LARGE), "repeats")
+    repeats = found.where("rest is null").select("doc_id", "h", "first", "last")
+    rounds = length.bit_length() + 1  # what isn't known of a string is halved each time
+    for left in range(rounds, -1, -1):
+        rest = found.where("rest is not null")
+        if not rest.limit(1).count():
+            break
+        found = written(_repeats(_halves(rest, length), length, LARGE if left else None), "repeats")
+        repeats = repeats.unionByName(found.where("rest is null").select("doc_id", "h", "first", "last"))
     early = pieces.where("text is null").select("doc_id", "h", "first", "last")
-    runs = found.where("rest is null").unionByName(more).select("doc_id", "h", "first", "last").unionByName(early).groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    runs = repeats.unionByName(early).groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     def kept(batches):
         for b in batches:
@@ -302,11 +364,11 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
     cuts = texts.select("doc_id", "h", "text").join(runs, ["doc_id", "h"]).mapInArrow(
         kept, "doc_id long, h long, n_removed long, n_spans long, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string")
     copy = (F.col("n_bytes") >= length) & ~((F.col("doc_id") == F.col("keep.doc_id")) & (F.col("h") == F.col("keep.h")))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    no_spans = F.array().cast("array<struct<start:bigint,end:bigint>>")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     done = facts.join(least, "sha").withColumn("copy", copy).join(cuts, ["doc_id", "h"], "left")
     zero, empty = F.lit(0).cast("long"), F.sha2(F.lit(""), 256)
     pick = lambda gone, name, other: F.when(F.col("copy"), gone).otherwise(F.coalesce(F.col(name), other)).alias(name)
     return done.select(
         F.when(F.col("doc_id") != big, F.col("doc_id")).alias("doc_id"), "n_bytes", pick(F.col("n_bytes"), "n_removed", zero), pick(F.lit(1).cast("long"), "n_spans", zero),
-        pick(whole, "spans", none), pick(empty, "kept_sha256", F.col("sha")))
+        pick(whole, "spans", no_spans), pick(empty, "kept_sha256", F.col("sha")))
