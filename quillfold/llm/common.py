@@ -113,13 +113,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows up to which a written table of a few numbers per row is broadcast: under 40 MB.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes (of the rows as text) up to which a written table is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def sized(rows: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if a count finds it within ``BROADCAST_ROWS``; else joins shuffle it."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    """A written table, marked for broadcast if it is found within ``BROADCAST_ROWS`` and ``BROADCAST_BYTES``; else joins shuffle it."""
+    if rows.count() > BROADCAST_ROWS:
+        return rows
+    width = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))).head()[0] or 0
+    return F.broadcast(rows) if width <= BROADCAST_BYTES else rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
