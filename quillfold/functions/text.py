@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+import unicodedata
+from collections.abc import Callable, Mapping, Sequence
+from functools import lru_cache, reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import names, vocab
 
 
+#: What ``\s`` matches.
+SPACES = " \t\n\x0b\f\r"
+
+
 def strip(x: Column) -> Column:
-    """Without white space of any kind at both ends."""
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    """Without ASCII white space at both ends."""
+    return F.btrim(x, F.lit(SPACES))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def words(x: Column) -> Column:
@@ -28,9 +39,8 @@ def normalize_text(x: Column) -> Column:
 
 def block_type(text: Column, page: Column, index: Column, size: Column | None = None, flags: Column | None = None, average: Column | None = None, bold_mask: int = 2) -> Column:
     """HEADING, BULLET or PARAGRAPH by the first rule that holds; font columns are optional."""
-    t = strip(text)
-    bullet = reduce(lambda a, b: a | b, [F.startswith(t, F.lit(m)) for m in vocab.BULLETS])
-    out = F.when(t == "", "PARAGRAPH").when(bullet | t.rlike(r"^[1-9]\."), "BULLET")
+    bullet = text.rlike(r"^\s*(?:" + "|".join(rf"\Q{m}\E" for m in vocab.BULLETS) + r"|[1-9]\.)")
+    out = F.when(~text.rlike(r"\S"), "PARAGRAPH").when(bullet, "BULLET")
     if flags is not None:
         out = out.when(flags.bitwiseAND(bold_mask) != 0, "HEADING")
     if size is not None and average is not None:
@@ -78,18 +88,66 @@ def first_label(text: Column, patterns: Mapping[str, str]) -> Column:
     return out
 
 
+#: Keywords that are looked for one by one; more go through an automaton of all of them.
+FEW_KEYWORDS = 16
+
+
+def _letter(c: str) -> bool:
+    return c == "_" or unicodedata.category(c)[0] in "LN"
+
+
+@lru_cache(8)
+def keyword_finder(plain: tuple[str, ...], worded: tuple[str, ...]) -> Callable[[str | None], list[str]]:
+    """A function from a lower-cased text to its keywords, in order; ``worded`` ones only where no letter or number is beside them.
+
+    The automaton reads a text once, whatever the number of keywords.
+    """
+    import ahocorasick
+
+    index = ahocorasick.Automaton()
+    for k in {*plain, *worded}:
+        index.add_word(k, k)
+    index.make_automaton()
+    alone, known = frozenset(worded), {k: None for k in sorted({*plain, *worded})}
+
+    def find(text: str | None) -> list[str]:
+        out: set[str] = set()
+        for end, k in index.iter(text or ""):
+            if k not in out and (k not in alone or not (end >= len(k) and _letter(text[end - len(k)]) or end + 1 < len(text) and _letter(text[end + 1]))):
+                out.add(k)
+                if len(out) == len(known):
+                    break
+        return sorted(out)
+
+    return find
+
+
 def hits(text: Column, substrings: Sequence[str], whole: Sequence[str] = vocab.WHOLE_WORDS) -> Column:
-    """The keywords in a text: as substrings, those in ``whole`` as whole words; in alphabetical order."""
-    plain = sorted(k for k in substrings if k not in whole)
-    worded = sorted(k for k in substrings if k in whole)
+    """The keywords in a text: as substrings, those in ``whole`` as whole words; in alphabetical order; none in a null text.
+
+    A few keywords are looked for one after another in the JVM; the time for
+    more of them doesn't depend on their number.
+    """
+    plain = tuple(sorted({k for k in substrings if k and k not in whole}))
+    worded = tuple(sorted({k for k in substrings if k and k in whole}))
+    if len(plain) + len(worded) > FEW_KEYWORDS:
+        return _searched(plain, worded)(F.lower(text))
 
     def found(low: Column) -> Column:
         out = F.filter(F.array(*map(F.lit, plain)), lambda k: F.contains(low, k)) if plain else F.array().cast("array<string>")
-        ones = [F.when(F.contains(low, F.lit(k)) & low.rlike(rf"(?<![\p{{L}}\p{{N}}_]){k}(?![\p{{L}}\p{{N}}_])"), F.lit(k)) for k in worded]
+        ones = [F.when(F.contains(low, F.lit(k)) & low.rlike(rf"(?<![\p{{L}}\p{{N}}_])\Q{k}\E(?![\p{{L}}\p{{N}}_])"), F.lit(k)) for k in worded]
         return F.array_sort(F.concat(out, F.array_compact(F.array(*ones)))) if ones else out
 
-    # an array of one holds the lower-cased text, so that it is made once and not for each keyword
-    return F.get(F.transform(F.array(F.lower(text)), found), F.lit(0))
+    return once(F.lower(text), found)
+
+
+def _searched(plain: tuple[str, ...], worded: tuple[str, ...]) -> Callable[[Column], Column]:
+    @F.arrow_udf("array<string>")
+    def search(texts: pa.Array) -> pa.Array:
+        find = keyword_finder(plain, worded)
+        return pa.array([find(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return search
 
 
 def manager_name(x: Column) -> Column:

@@ -361,7 +361,7 @@ out as (select doc_id, k, done as text, done_page as page from fold where done i
 
 @query("win_chunk_fallback", f"with recursive {BLOCKS}, {_PACK} select doc_id, page, sha256(text) as digest from out")
 def win_chunk_fallback(spark, sf_dir):
-    c = chunking._packed(_blocks(spark, sf_dir), ["doc_id"], chunking.MAX_CHARS, chunking.MIN_CHARS, False)
+    c = chunking.packed(_blocks(spark, sf_dir), by_section=False)
     return c.select("doc_id", "page", F.sha2("text", 256).alias("digest"))
 
 
