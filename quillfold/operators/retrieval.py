@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vocab
+from .nearest import top_vectors  # noqa: F401
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -20,19 +21,6 @@ def cosine(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
 
 
-def top_vectors(vectors: DataFrame, queries: DataFrame, k: int, group: str, id_col: str, vec_col: str = "embedding") -> DataFrame:
-    """``query_id, group, id, score, rank`` of the k nearest of each query's own group.
-
-    ``queries`` has ``query_id``, the group and a vector. The score is
-    ``max(0, cosine)``; ties go to the smaller id. Ranking has a partial step, so
-    a large group is cut to k rows before the shuffle.
-    """
-    q = queries.select("query_id", group, F.col(vec_col).alias("_q"))
-    scored = vectors.join(q, group).select("query_id", group, F.col(id_col).alias("id"), F.greatest(F.lit(0.0), cosine(F.col(vec_col), F.col("_q"))).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
 def merged_queries(found: DataFrame, keep: int, group: str = "doc_id") -> DataFrame:
     """Hits of several queries (``group, query_order, rank, id, score``): each id once, with the score of its first query; the best ``keep``."""
     first = found.groupBy(group, "id").agg(F.min(F.struct("query_order", "rank", "score")).alias("f"))
