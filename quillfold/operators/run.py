@@ -163,10 +163,13 @@ def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, w
     status = exports.outcomes(ended, STAGES)
     outcomes = rows.join(status, "doc_id", "left").select(
         "doc_id", "document_id", F.when(c("is_duplicate"), "duplicate").otherwise(c("status")).alias("status"), "error_type", "error", *[F.when(c("status") == "completed", c(x)).alias(x) for x in ("score", "band", "route", "reasons")], F.size("scores").alias("n_calls"))
-    registry.save("documents", rows.where("not is_duplicate").join(status, "doc_id").select("doc_id", "file_hash", "title", "status", c("score").alias("confidence"), c("coverage").alias("extraction_coverage")))
-    registry.save("allocation_calls", final.select("doc_id", c("place").alias("pos"), "asset_class_category", "sub_asset_class", "call", "conviction", "confidence", "tooltip_text"))
-    registry.save("document_tags", tags.select("doc_id", "tag_type", "value", "confidence", "source"))
-    registry.save("summaries", said.where("summary_problem is null").select("doc_id", "summary.executive_summary", "summary.search_descriptor"))
     log = status.select(F.concat(F.lit("run_"), c("doc_id").cast("string")).alias("run_id"), "doc_id", F.current_timestamp().alias("ts"), "status", "error")
-    registry.save("pipeline_runs", log)
+    # all results of a document change at once; those of an earlier run go
+    registry.publish({
+        "documents": rows.where("not is_duplicate").join(status, "doc_id").select("doc_id", "file_hash", "title", "status", c("score").alias("confidence"), c("coverage").alias("extraction_coverage")),
+        "allocation_calls": final.select("doc_id", c("place").alias("pos"), "asset_class_category", "sub_asset_class", "call", "conviction", "confidence", "tooltip_text"),
+        "document_tags": tags.select("doc_id", "tag_type", "value", "confidence", "source"),
+        "summaries": said.where("summary_problem is null").select("doc_id", "summary.executive_summary", "summary.search_descriptor"),
+        "pipeline_runs": log,
+    }, own.select("doc_id"))
     return Run(outcomes, meta.drop("problem", "said_uncertain"), final, tags, chunks)

@@ -32,20 +32,20 @@ def src_json_docs(spark, sf_dir):
 @query("snk_persist", "select o_orderkey as doc_id, case when o_orderkey % 3 = 0 then 'published' else o_orderstatus end as status from orders")
 def snk_persist(spark, sf_dir):
     rows = Tables(spark, sf_dir).orders.selectExpr("o_orderkey as doc_id", "o_orderstatus as status")
-    registry = Registry(spark, scratch(spark, "registry"))
-    registry.save("documents", rows, 4)
-    registry.save("documents", rows.where("doc_id % 3 = 0").withColumn("status", F.lit("published")), 4)
+    registry = Registry(spark, scratch(spark, "registry"), 4)
+    registry.save("documents", rows)
+    registry.save("documents", rows.where("doc_id % 3 = 0").withColumn("status", F.lit("published")))
     return registry.read("documents")
 
 
 @query("snk_registry", """select c_mktsegment as manager_id, count(*) as n_documents, count(distinct b) as n_blocks, 0 as n_runs from customer, lateral (select unnest([0, 1]) as b) group by 1""")
 def snk_registry(spark, sf_dir):
-    registry = open_registry(spark, scratch(spark, "registry"))
+    registry = open_registry(spark, scratch(spark, "registry"), 4)
     docs = Tables(spark, sf_dir).customer.selectExpr("c_custkey as doc_id", "c_mktsegment as manager_id")
-    registry.save("documents", docs, 4)
-    registry.save("managers", docs.select("manager_id").distinct().withColumn("name", F.initcap(F.lower("manager_id"))), 2)
     blocks = docs.select("doc_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("b"))
-    registry.save("evidence_blocks", blocks.select("doc_id", F.col("b").cast("string").alias("chunk_id")), 4)
+    registry.publish({
+        "documents": docs, "managers": docs.select("manager_id").distinct().withColumn("name", F.initcap(F.lower("manager_id"))),
+        "evidence_blocks": blocks.select("doc_id", F.col("b").cast("string").alias("chunk_id"))})
     return registry.execute("""
         select m.manager_id, count(*) as n_documents, count(distinct b.chunk_id) as n_blocks, cast(count(r.run_id) as int) as n_runs
         from {documents} d join {managers} m on d.manager_id = m.manager_id join {evidence_blocks} b on b.doc_id = d.doc_id left join {pipeline_runs} r on r.doc_id = d.doc_id group by m.manager_id""")
@@ -54,7 +54,7 @@ def snk_registry(spark, sf_dir):
 @query("src_db_open", "select o_orderkey as doc_id, o_orderstatus as status from orders")
 def src_db_open(spark, sf_dir):
     path = scratch(spark, "registry")
-    open_registry(spark, path).save("documents", Tables(spark, sf_dir).orders.selectExpr("o_orderkey as doc_id", "o_orderstatus as status"), 4)
+    open_registry(spark, path, 4).save("documents", Tables(spark, sf_dir).orders.selectExpr("o_orderkey as doc_id", "o_orderstatus as status"))
     return open_registry(spark, path).read("documents")
 
 

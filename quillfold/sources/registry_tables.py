@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..errors import StorageError
-from . import store
+from .commits import VersionedTables
 
 #: Columns of the tables; constraints are queries (``violations``).
 SCHEMAS = {
@@ -39,32 +40,38 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 class Registry:
-    """Tables of results under one path; tables that nothing was saved to are empty."""
+    """Tables of results under one path, in versions; tables that nothing was saved to are empty."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path = spark, path.rstrip("/")
+        self.tables = VersionedTables(spark, self.path, KEYS, buckets)
 
-    def save(self, table: str, rows: DataFrame, buckets: int = 64) -> None:
+    def save(self, table: str, rows: DataFrame) -> int:
         """Replace the rows of the documents (or managers) in ``rows``."""
-        store.persist(rows, f"{self.path}/{table}", KEYS.get(table, "doc_id"), buckets=buckets)
+        return self.tables.publish({table: rows})
 
-    def read(self, table: str) -> DataFrame:
-        try:
-            return self.spark.read.parquet(f"{self.path}/{table}").drop("part")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) or table not in SCHEMAS:
-                raise
-            return self.spark.createDataFrame([], SCHEMAS[table])
+    def publish(self, tables: Mapping[str, DataFrame], documents: DataFrame | None = None, base: int | None = None) -> int:
+        """Replace the rows of documents in several tables at once; ``documents`` lists those whose old rows go everywhere."""
+        return self.tables.publish(tables, documents, base)
+
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        rows = self.tables.read(table, version)
+        if rows is not None:
+            return rows
+        if table not in SCHEMAS:
+            raise StorageError(f"no table {table}")
+        return self.spark.createDataFrame([], SCHEMAS[table])
 
     def execute(self, sql: str, **parameters) -> DataFrame:
         """The rows of a query over the tables, which it names as they are, in braces: ``select * from {documents}``."""
-        named = {t: self.read(t) for t in SCHEMAS if "{" + t + "}" in sql}
+        version = max(self.tables.versions(), default=0)  # one for all tables
+        named = {t: self.read(t, version) for t in SCHEMAS if "{" + t + "}" in sql}
         return self.spark.sql(sql, args=parameters or None, **named)
 
 
-def open_registry(spark: SparkSession, path: str | None = None) -> Registry:
+def open_registry(spark: SparkSession, path: str | None = None, buckets: int = 64) -> Registry:
     """The registry at a path, or at that of the settings."""
-    return Registry(spark, path or Settings.read().registry_path)
+    return Registry(spark, path or Settings.read().registry_path, buckets)
 
 
 def violations(documents: DataFrame, tags: DataFrame) -> DataFrame:

@@ -168,28 +168,6 @@ def _remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def persist(rows: DataFrame, path: str, key: str = "doc_id", buckets: int = 64) -> None:
-    """Replace all rows of the documents in ``rows``: what a repeated run writes is the same.
-
-    The table is partitioned by a hash of the key; only partitions that hold one
-    of these documents are rewritten, each with its other documents kept.
-    """
-    spark = rows.sparkSession
-    part = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    new = rows.withColumn("part", part)
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = None
-    if old is not None:
-        touched = new.select("part").distinct()
-        new = old.join(touched, "part", "left_semi").join(new.select(key).distinct(), key, "left_anti").select(*new.columns).unionByName(new)
-        return _overwrite_parts(new, path.rstrip("/"))
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
-
-
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The last status of each run of an append-only log ``run_id, ts, status, error``; errors are cut to 500 characters."""
     last = runs.groupBy("run_id").agg(F.max_by(F.struct("ts", "status", "error"), F.struct("ts", "status")).alias("r"))

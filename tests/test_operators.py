@@ -167,11 +167,6 @@ def test_store(spark, tmp_path):
     assert store.read_records(spark, str(tmp_path / "in" / "c.json"), "document_id string").first().document_id == "x"
     broken = store.parse_files(files, lambda b: 1 / 0, "pos int, text string")
     assert [r.error[:17] for r in broken.collect()] == ["ZeroDivisionError"] * 2
-    table = str(tmp_path / "calls")
-    store.persist(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id int, v string"), table)
-    store.persist(spark.createDataFrame([(2, "B1"), (2, "B2")], "doc_id int, v string"), table)
-    store.persist(spark.createDataFrame([(2, "B1"), (2, "B2")], "doc_id int, v string"), table)
-    assert sorted((r.doc_id, r.v) for r in spark.read.parquet(table).collect()) == [(1, "a"), (2, "B1"), (2, "B2"), (3, "c")]
 
 
 def test_streaming_ingest(spark, tmp_path):
