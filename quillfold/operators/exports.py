@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..errors import ERRORS
 from ..functions import text as T
 from ..functions import vocab
+from ..sources.pages import register
+from .ranks import ranked
 
 #: kind of tag: the words that it may have.
 TAG_LISTS = {"theme": vocab.THEMES, "risk": vocab.RISKS, "region": vocab.REGIONS, "macro_regime": vocab.REGIMES}
@@ -34,10 +36,10 @@ def citation_pages(citations: DataFrame) -> DataFrame:
 
 
 def unique_slugs(rows: DataFrame, name_col: str, order: str) -> DataFrame:
-    """``slug``: the first row of a name keeps it, the next get -2, -3 ..."""
+    """``slug``: the first row of a name keeps it, the next get -2, -3 ...; rows of one name may be any part of all."""
     s = rows.withColumn("_s", F.when(T.slug(F.col(name_col)) == "", "report").otherwise(T.slug(F.col(name_col))))
-    n = F.row_number().over(Window.partitionBy("_s").orderBy(order))
-    return s.withColumn("_n", n).withColumn("slug", F.when(F.col("_n") == 1, F.col("_s")).otherwise(F.concat_ws("-", "_s", "_n"))).drop("_s", "_n")
+    numbered = ranked(s, ["_s"], [order], "_n")
+    return numbered.withColumn("slug", F.when(F.col("_n") == 1, F.col("_s")).otherwise(F.concat_ws("-", "_s", "_n"))).drop("_s", "_n")
 
 
 def records_json(rows: DataFrame, id_col: str = "doc_id", path: str | None = None) -> DataFrame:
@@ -173,17 +175,33 @@ def report_html(records: DataFrame) -> DataFrame:
     return records.select("doc_id", html.alias("html"))
 
 
-def report_pack(records: DataFrame, title: str = "Report pack", name_col: str = "title") -> DataFrame:
-    """``name, html``: the pages of ``report_html`` under unique names, and ``index.html`` where there is more than one.
+#: Documents of one page of a report pack's index.
+INDEX_ITEMS = 1000
 
-    The index links the pages in the order of their names; its rows are gathered
-    as one array, of a name and a title for each document.
+
+def report_pack(records: DataFrame, title: str = "Report pack", name_col: str = "title", items: int = INDEX_ITEMS) -> DataFrame:
+    """``name, html``: the pages of ``report_html`` under unique names, and an index where there is more than one.
+
+    The index links the pages in the order of their names, ``items`` of them on
+    each of ``index.html``, ``index-2.html`` ...; an index page links the next.
     """
     named = unique_slugs(records, name_col, "doc_id").withColumn("name", F.concat("slug", F.lit(".html")))
     pages = report_html(named).join(named.select("doc_id", "name"), "doc_id").select("name", "html")
-    item = F.struct("name", F.coalesce(F.col(name_col), F.lit("Not stated")).alias("shown"), T.shown_date(F.col("publication_date")).alias("date"), T.token_words(F.col("band")).alias("band"))
-    rows = named.agg(F.array_sort(F.collect_list(item)).alias("items")).where(F.size("items") > 1)
+    shown = named.select(F.lit(0).alias("_all"), "name", F.coalesce(F.col(name_col), F.lit("Not stated")).alias("shown"), T.shown_date(F.col("publication_date")).alias("date"), T.token_words(F.col("band")).alias("band"))
+    placed = ranked(shown, ["_all"], ["name"], "_place").withColumn("part", F.floor((F.col("_place") - 1) / items))
+    item = F.struct("name", "shown", "date", "band")
+    # each part knows whether another follows: the first row of the next one says so to it
+    follows = placed.where((F.col("_place") - 1) % items == 0).select((F.col("part") - 1).alias("part"), F.lit(True).alias("more"))
+    parts = placed.groupBy("part").agg(F.array_sort(F.collect_list(item)).alias("items")).join(follows, "part", "left").where("part > 0 or size(items) > 1")
     line = lambda x: F.concat(F.lit("<li><a href='"), x["name"], F.lit("'>"), T.escaped_html(x["shown"]), F.lit("</a> "), x["date"], F.lit(" "), x["band"], F.lit("</li>"))
     head = F.lit("<!doctype html><html><head><meta charset='utf-8'><title>"), T.escaped_html(F.lit(title)), F.lit("</title></head><body><h1>"), T.escaped_html(F.lit(title)), F.lit("</h1><ul>")
-    index = rows.select(F.lit("index.html").alias("name"), F.concat(*head, F.array_join(F.transform("items", line), ""), F.lit("</ul></body></html>")).alias("html"))
+    file = lambda part: F.when(part == 0, "index.html").otherwise(F.concat(F.lit("index-"), (part + 1).cast("string"), F.lit(".html")))
+    forward = F.when(F.col("more"), F.concat(F.lit("<p><a href='"), file(F.col("part") + 1), F.lit("'>More</a></p>"))).otherwise("")
+    index = parts.select(file(F.col("part")).alias("name"), F.concat(*head, F.array_join(F.transform("items", line), ""), F.lit("</ul>"), forward, F.lit("</body></html>")).alias("html"))
     return pages.unionByName(index)
+
+
+def write_report_pack(pack: DataFrame, path: str, overwrite: bool = False) -> None:
+    """The pages of a pack as files in a folder (a URI); none is there before all are written."""
+    register(pack.sparkSession)
+    pack.select("name", "html").write.format("report_files").option("path", path).mode("overwrite" if overwrite else "append").save()

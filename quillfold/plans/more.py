@@ -554,10 +554,12 @@ def fn_prompt_calls(spark, sf_dir):
 
 # ---------------------------------------------------------------- sets
 
-@query("set_vocab_union", f"select distinct unnest({_list([*vocab.POSITIONING, *(t for t, _ in vocab.synonym_rows())])}) as keyword")
+@query("set_vocab_union", f"select unnest({_list([*vocab.POSITIONING, *(t for t, _ in vocab.synonym_rows())])}) as keyword union select lower(w) from part, lateral (select unnest(string_split(p_type, ' ')) as w) union select lower(p_brand) from part")
 def set_vocab_union(spark, sf_dir):
+    """The library's vocabulary and a caller's, which are the words and brands of parts."""
     both = spark.createDataFrame([(w,) for w in vocab.POSITIONING], "keyword string").union(C.synonyms(spark).select("term"))
-    return both.distinct()
+    part = Tables(spark, sf_dir).part
+    return both.union(part.select(F.explode(F.split(F.lower("p_type"), " ")))).union(part.select(F.lower("p_brand"))).distinct()
 
 
 @query("set_union_keepfirst", f"with {_CHUNKS}, u as (select 0 as o, doc_id, chunk_id from chunks where contains(text, 'tion') union all select 1, doc_id, chunk_id from chunks where contains(text, 'ing')) select doc_id, chunk_id, min(o) as o from u group by 1, 2")

@@ -72,14 +72,16 @@ def src_parse_pdf(spark, sf_dir):
     return out.where("error is null").select(F.col("path").cast("long").alias("doc_id"), "page", "pos", "block_id", "text", "block_type")
 
 
-TABLES = [(1, 1, 0, [["Asset", "View", None], [" Gold ", "OW", ""], ["", "UW", "x"]]), (2, 3, 1, [["a"], ["b"]]), (3, 1, 0, [])]
-
-
-@query("src_tables", _values([(1, "1_tbl_0", 0, 0, "Asset", "true"), (1, "1_tbl_0", 0, 1, "View", "true"), (1, "1_tbl_0", 1, 0, "Gold", "false"), (1, "1_tbl_0", 1, 1, "OW", "false"),
-       (1, "1_tbl_0", 2, 1, "UW", "false"), (1, "1_tbl_0", 2, 2, "x", "false"), (2, "3_tbl_1", 0, 0, "a", "true"), (2, "3_tbl_1", 1, 0, "b", "false")]).replace("values", "select c0 as doc_id, c1 as table_id, c2 as row, c3 as col, c4 as text, c5 as header from (values", 1) + ") v(c0, c1, c2, c3, c4, c5)")
+@query("src_tables", """with n as (select l_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as row, [l_partkey::varchar, ' ' || l_returnflag || ' ', case when l_linestatus = 'F' then ' ' end] as cells from lineitem),
+r as (select l_orderkey as doc_id, row, cells from n union all select distinct l_orderkey, 0, ['Part', 'Flag', ' Open '] from n)
+select doc_id, (doc_id % 3 + 1) || '_tbl_0' as table_id, row::int as row, (k - 1)::int as col, trim(cells[k]) as text, (row = 0)::varchar as header from r, lateral (select unnest([1, 2, 3]) as k) where trim(coalesce(cells[k], '')) <> ''""")
 def src_tables(spark, sf_dir):
-    rows = spark.createDataFrame(TABLES, "doc_id int, page int, table_index int, rows array<array<string>>")
-    return documents.table_cells(rows).select("doc_id", "table_id", "row", "col", "text", F.col("is_header").cast("string").alias("header"))
+    """The lines of each order as a table with a header; open lines have an empty cell."""
+    lines = Tables(spark, sf_dir).lineitem.withColumn("cells", F.array(F.col("l_partkey").cast("string"), F.concat(F.lit(" "), "l_returnflag", F.lit(" ")), F.when(F.col("l_linestatus") == "F", " ")))
+    body = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "cells"))), lambda x: x["cells"])
+    tables = lines.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.concat(F.array(F.array(F.lit("Part"), F.lit("Flag"), F.lit(" Open "))), body).alias("rows"))
+    tables = tables.withColumn("page", (F.col("doc_id") % 3 + 1).cast("int")).withColumn("table_index", F.lit(0))
+    return documents.table_cells(tables).select("doc_id", "table_id", "row", "col", "text", F.col("is_header").cast("string").alias("header"))
 
 
 @query("src_html_blocks", r"""
@@ -384,9 +386,15 @@ def jn_synonym(spark, sf_dir):
     return C.resolved(_mentions(spark, sf_dir), C.synonyms(spark), C.taxonomy(spark)).where("sub_asset is not null").select("doc_id", "mention", "category", "sub_asset")
 
 
-@query("jn_synonym_rev", f"with {TERMS} select category, t.sub_asset, count(*) as n_terms, string_agg(term, ',' order by term) as terms from terms t join taxonomy x on t.sub_asset = x.sub_asset group by 1, 2")
+@query("jn_synonym_rev", f"""with {TERMS}, r as (select category, t.sub_asset, count(*) as n_terms, string_agg(term, ',' order by term) as terms from terms t join taxonomy x on t.sub_asset = x.sub_asset group by 1, 2),
+m as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, {_list(sorted({a for _, a in vocab.synonym_rows()}))}[l_partkey % 97 + 1] as sub_asset from lineitem)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, category, r.sub_asset, n_terms, terms from m join r on m.sub_asset = r.sub_asset""")
 def jn_synonym_rev(spark, sf_dir):
-    return C.synonyms_of(C.synonyms(spark), C.taxonomy(spark)).withColumn("terms", F.array_join("terms", ","))
+    """The terms that each line's sub-asset is known by."""
+    assets = F.array(*map(F.lit, sorted({a for _, a in vocab.synonym_rows()})))
+    lines = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.get(assets, (F.col("l_partkey") % 97).cast("int")).alias("sub_asset"))
+    known = C.synonyms_of(C.synonyms(spark), C.taxonomy(spark)).withColumn("terms", F.array_join("terms", ","))
+    return lines.join(F.broadcast(known), "sub_asset")  # a row for each sub-asset of the vocabulary
 
 
 @query("jn_taxonomy", "with c as (select l_orderkey, l_linenumber, l_partkey, l_partkey % 5 as k from lineitem) select l_orderkey, l_linenumber, l_partkey, case k when 1 then 'mismatch' when 3 then 'unknown_category' when 4 then 'unknown_sub_asset' end as fault from c")
