@@ -9,17 +9,25 @@ from ..functions import schemas
 from ..operators import calls as C
 from ..operators import exports
 from ..sources import store, synth
+from ..sources.pages import page_source, register
 from ..sources.registry_tables import Registry, open_registry, scratch
-from .queries import query
+from .queries import BLOCKS, query
 from .registry import Tables
 
 
-@query("src_pdf", "select n_nationkey, octet_length(encode(n_name)) + 1 as length, sha256(n_name || chr(10)) as digest from nation")
+@query("src_pdf", f"with {BLOCKS} select doc_id, page, idx, sha256(text) as digest from blocks where page <= 3")
 def src_pdf(spark, sf_dir):
+    """Each document as a file; its first pages, of five lines each, through the data source."""
+
+    def lines(content, pages):
+        return ({"page": k // 5 + 1, "idx": k % 5, "kind": "text", "text": x} for k, x in enumerate(content.decode().split("\n")) if k // 5 + 1 in pages)
+
     path = scratch(spark, "files")
-    Tables(spark, sf_dir).nation.select("n_nationkey", "n_name").coalesce(1).write.partitionBy("n_nationkey").text(path)
-    key = F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("int")
-    return store.read_files(spark, path, recursive=True, glob="*.txt").select(key.alias("n_nationkey"), "length", F.sha2("content", 256).alias("digest"))
+    docs = Tables(spark, sf_dir).documents
+    exports.write_report_pack(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("name"), F.col("text").alias("html")), path)
+    register(spark, page_source("text_pages", lines))
+    rows = spark.read.format("text_pages").option("path", path).option("pattern", r"\.pdf$").load().where("page <= 3 and error is null")
+    return rows.select(F.regexp_extract("path", r"([0-9]+)\.pdf$", 1).cast("long").alias("doc_id"), "page", "idx", F.sha2("text", 256).alias("digest"))
 
 
 @query("src_json_docs", "select doc_id, lang, n_chars from documents")
