@@ -24,6 +24,10 @@ RECORDS = {
 }
 #: stage: the words that a record's lists may hold.
 ALLOWED = {"tags": {"theme_tags": vocab.THEMES, "risk_tags": vocab.RISKS, "macro_regime_tags": vocab.REGIMES}, "metadata": {"regions": vocab.REGIONS}}
+# --- fixed values: how many entries the lists of a call and of the sentiment may have -----------
+CALL_LISTS = {"rationale_bullets": (1, 4), "key_indicators": (0, 5), "key_risks": (0, 3), "citations": (1, 3)}
+SENTIMENT_LISTS = {"sentiment_rationale": (1, 3), "sentiment_citations": (1, 3)}
+SENTIMENTS = ("NET_POSITIVE", "NEUTRAL", "NET_NEGATIVE")
 #: stage: what is asked, and the rules for the answer.
 TASKS = {
     "metadata": ("Describe the document that these excerpts are from: who wrote it, when, of what kind it is and which assets it covers.", (
@@ -71,6 +75,23 @@ def limits(stage: str, value: Column) -> Column:
         checks = [F.when(size(F.array_except(F.coalesce(value[k], none), F.array(*map(F.lit, words)))) > 0, k) for k, words in ALLOWED["tags"].items()]
     elif stage == "metadata":
         checks = [F.when(size(value["asset_classes_covered"]) == 0, "asset_classes_covered"), F.when(F.size(F.coalesce(value["citations"], F.array().cast(_CITES))) == 0, "citations")]
+    elif stage == "calls":
+        one = value["allocation_calls"]
+        some = lambda test: F.exists(one, lambda c: ~F.coalesce(test(c), F.lit(False)))
+        between = lambda c, lo, hi: F.coalesce(F.size(c), F.lit(0)).between(lo, hi) if lo == 0 else F.size(c).between(lo, hi)
+        share = lambda x: F.coalesce(x.between(0, 1), F.lit(False))
+        checks = [
+            F.when(one.isNull(), "allocation_calls"), F.when(some(lambda c: c["asset_class_category"].isNotNull() & c["sub_asset_class"].isNotNull()), "sub_asset_class"),
+            F.when(some(lambda c: c["call"].isin(*vocab.CALL_DIRECTIONS)), "call"), F.when(some(lambda c: c["conviction"].isNull() | c["conviction"].isin(*vocab.BANDS)), "conviction"),
+            *[F.when(some(lambda c, k=k, lo=lo, hi=hi: between(c[k], lo, hi)), k) for k, (lo, hi) in CALL_LISTS.items()], F.when(some(lambda c: share(c["confidence"])), "confidence"),
+            F.when(~F.coalesce(value["overall_sentiment"].isin(*SENTIMENTS), F.lit(False)), "overall_sentiment"),
+            *[F.when(~F.coalesce(between(value[k], lo, hi), F.lit(False)), k) for k, (lo, hi) in SENTIMENT_LISTS.items()], F.when(~share(value["sentiment_confidence"]), "sentiment_confidence")]
+    elif stage == "candidates":
+        checks = [F.when(value["reasoning"].isNull(), "reasoning")]
+    elif stage == "tooltips":
+        tips = value["tooltips"]
+        checks = [F.when(F.coalesce(F.size(tips), F.lit(0)) < 1, "tooltips"), F.when(F.exists(tips, lambda t: t["sub_asset_class"].isNull()), "sub_asset_class"),
+                  F.when(F.exists(tips, lambda t: ~F.coalesce(F.length(t["tooltip_text"]) <= 150, F.lit(False))), "tooltip_text")]
     else:
         checks = [F.when(value.isNull(), "record")]
     return F.array_compact(F.array(*checks))

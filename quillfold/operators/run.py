@@ -45,8 +45,8 @@ def _asked(rows: DataFrame, stage: str, context: Column, ask: Callable, path: st
 def _parsed(rows: DataFrame, stage: str) -> DataFrame:
     """``value`` and ``problem``, the first thing that is wrong with an answer, or null."""
     out = C.parsed(rows, schemas.record_type(stage).simpleString(), schemas.keys(stage))
-    wrong = F.concat("errors", schemas.limits(stage, F.col("value")))
-    return out.withColumn("problem", F.get(wrong, F.lit(0)))
+    wrong = F.concat(F.array_compact(F.array("ask_error")), "errors", schemas.limits(stage, F.col("value")))
+    return out.withColumn("problem", F.get(wrong, F.lit(0))).drop("ask_error")
 
 
 def cleaned_blocks(blocks: DataFrame, disclaimers: Sequence[str] = vocab.DISCLAIMERS, **pages) -> DataFrame:

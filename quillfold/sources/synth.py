@@ -81,7 +81,7 @@ def calls(prompts: pd.Series) -> pd.Series:
         many = [] if ODD[1] in doc else [call("EQ_DM", "EQ_US", 0.9, cited(p)), call("ALT_COMMODITIES", "GOLD", 0.85, cited(p)), call("EQ_DM", "EQ_US", 0.8, cited(p))]
         if ODD[2] in doc:
             many = [call("EQ_DM", "GOLD", 0.9, cited(p))]
-        return json.dumps({"allocation_calls": many, "overall_sentiment": "NEUTRAL", "sentiment_rationale": [], "sentiment_citations": cited(p), "sentiment_confidence": 0.8})
+        return json.dumps({"allocation_calls": many, "overall_sentiment": "NEUTRAL", "sentiment_rationale": ["steady"], "sentiment_citations": cited(p), "sentiment_confidence": 0.8})
 
     return prompts.map(one)
 
