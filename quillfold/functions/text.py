@@ -57,9 +57,13 @@ def special_ratio(text: Column) -> Column:
 
 
 def block_confidence(text: Column) -> Column:
-    n, ratio = F.length(text), special_ratio(text)
-    score = F.lit(0.8) - F.when(n < 5, 0.3).otherwise(0.0) - F.when(ratio > 0.5, 0.2).otherwise(0.0) + F.when((n > 20) & (ratio < 0.3), 0.1).otherwise(0.0)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
+    n = F.length(text)
+
+    def score(ratio: Column) -> Column:
+        raw = F.lit(0.8) - F.when(n < 5, 0.3).otherwise(0.0) - F.when(ratio > 0.5, 0.2).otherwise(0.0) + F.when((n > 20) & (ratio < 0.3), 0.1).otherwise(0.0)
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw))
+
+    return once(special_ratio(text), score)
 
 
 def unit_clamp(x: Column) -> Column:
