@@ -687,6 +687,41 @@ def test_quality_counts_every_row_of_an_id_once(spark):
     assert {(r.kind, r["count"]) for r in seen[0]} == {(0, sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)), (1, 60)}
 
 
+def test_quality_prior_needs_no_zeros(spark):
+    """Zeros aren't read; the estimate is near the share of ones that they would have given (on 200 texts it's too high, as its errors say)."""
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    one, other = quality.train(d, labels), quality.train(d, labels.where("quality = 1"))
+    assert one.prior == other.prior and np.allclose(one.weights, other.weights)
+    seen = labels.where(~quality.held_out(F.col("doc_id"))).agg(F.avg(F.col("quality").cast("double"))).head()[0]
+    assert abs(one.prior - seen) < 0.1
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.5, 0.9])
+def test_quality_prior_of_a_known_mixture(prior):
+    rng = np.random.default_rng(5)
+    good, bad = rng.beta(8, 2, 40_000), rng.beta(2, 8, 40_000)
+    counts = lambda x: np.histogram(x, quality.BINS, (0, 1))[0]
+    n = int(40_000 * prior)
+    got = quality.estimated_prior(counts(good[:5000]), counts(np.concatenate([good[5000 : 5000 + int(n * 0.8)], bad[: int((40_000 - n) * 0.8)]])))
+    assert abs(got - prior) < 0.05
+    assert quality.estimated_prior(counts(good[:1]), counts(bad[:1])) <= 0.99
+
+
+def test_quality_moments_equal_sums_over_all_rows(spark):
+    rng = np.random.default_rng(2)
+    x, kind, half = rng.normal(size=(300, len(quality.FEATURES))), rng.integers(0, 2, 300), rng.integers(0, 2, 300)
+    rows = spark.createDataFrame([(int(a), int(b), v.tolist()) for a, b, v in zip(kind, half, x, strict=True)], "kind int, half int, x array<double>").repartition(7)
+    model = quality.Model(x.mean(0), x.std(0), rng.normal(size=2 * len(quality.FEATURES) + 1) / 9, 0.5)
+    got = quality._moments(rows, model)
+    assert set(got) == {(0, 0), (0, 1), (1, 0), (1, 1)}
+    for (a, b), m in got.items():
+        z = model.inputs(x[(kind == a) & (half == b)])
+        assert m.n == len(z) and np.allclose(m.mean, z.mean(0)) and np.allclose(m.second, z.T @ z / len(z))
+    both = got[0, 0] + got[0, 1]
+    assert both.n == (kind == 0).sum() and np.allclose(both.mean, model.inputs(x[kind == 0]).mean(0))
+    assert (quality._score_counts(rows, model).sum(1) == np.bincount(kind)).all()
+
+
 def test_quality_negative_risk_is_held_at_zero():
     """With a prior that is too high the unclamped minimum has a negative part below zero; the fit goes up again."""
     rng = np.random.default_rng(1)
