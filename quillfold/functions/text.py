@@ -196,18 +196,29 @@ def word_overlap(a: Column, b: Column) -> Column:
 
 
 def explicit_mention(value: Column, text: Column) -> Column:
-    v, t = F.lower(value), F.lower(text)
+    return F.when(value.isNull(), 0.0).otherwise(once(F.lower(text), lambda t: mentioned_in(value, t)))
+
+
+def mentioned_in(value: Column, low: Column) -> Column:
+    """``explicit_mention`` in a text that is in lower case already."""
+    v = F.lower(value)
     long = F.filter(words(v), lambda w: F.length(w) > 2)
-    return F.when(value.isNull(), 0.0).when(F.contains(t, v), 1.0).when((F.size(long) > 0) & F.forall(long, lambda w: F.contains(t, w)), 0.8).otherwise(0.0)
+    some = F.when(F.size(long) > 0, F.forall(long, lambda w: F.contains(low, w))).otherwise(F.lit(False))
+    return F.when(value.isNull(), 0.0).when(F.contains(low, v), 1.0).when(some, 0.8).otherwise(0.0)
 
 
 def entailment(value: Column, text: Column) -> Column:
-    v, t = F.lower(value), F.lower(text)
+    return once(F.lower(text), lambda t: entailed_by(value, t))
+
+
+def entailed_by(value: Column, low: Column) -> Column:
+    """``entailment`` by a text that is in lower case already."""
+    v = F.lower(value)
     head = F.regexp_replace(F.substring(v, 1, 20), r"([^\p{L}\p{N}\s])", r"\\$1")
     patterns = [F.concat(F.lit(r"(we|our|the)\s+\w*\s*"), head), F.concat(head, F.lit(r"\s+(is|are|will|should)")), F.concat(F.lit(r"(expect|believe|view|see)\s+.*"), head)]
-    some = F.exists(F.slice(words(v), 1, 3), lambda w: F.contains(t, w))
+    some = F.exists(F.slice(words(v), 1, 3), lambda w: F.contains(low, w))
     # no pattern matches without the head, and looking for that is cheap
-    return F.when(F.contains(t, F.substring(v, 1, 20)) & reduce(lambda a, b: a | b, [F.rlike(t, p) for p in patterns]), 1.0).when(some, 0.5).otherwise(0.0)
+    return F.when(F.contains(low, F.substring(v, 1, 20)) & reduce(lambda a, b: a | b, [F.rlike(low, p) for p in patterns]), 1.0).when(some, 0.5).otherwise(0.0)
 
 
 def call_language(direction: Column, text: Column, table: Mapping[str, Sequence[str]] = vocab.CALL_LANGUAGE) -> Column:

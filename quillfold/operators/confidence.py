@@ -39,11 +39,11 @@ def extraction_quality() -> Column:
 
 def evidence(claims: DataFrame, chunks: DataFrame) -> DataFrame:
     """``claim_id, strength``: the best of a claim's citations (``claim_id, value, chunk_id``); 0 without any known chunk."""
-    # a chunk's words are cut once, before it meets its claims
-    known = chunks.select("chunk_id", F.col("text").alias("_t"), T.long_words(F.col("text")).alias("_w"))
+    # a chunk's words are cut and its text is put in lower case once, before it meets its claims
+    known = chunks.select("chunk_id", F.lower("text").alias("_t"), T.long_words(F.col("text")).alias("_w"))
     c = claims.join(known, "chunk_id", "left").withColumn("_v", F.coalesce("value", F.lit("")))
-    score = (EVIDENCE["explicit"] * T.explicit_mention(F.col("value"), F.col("_t")) + EVIDENCE["overlap"] * T.shared_words(T.long_words(F.col("_v")), F.col("_w"))
-             + EVIDENCE["entailment"] * T.entailment(F.col("_v"), F.col("_t")))
+    score = (EVIDENCE["explicit"] * T.mentioned_in(F.col("value"), F.col("_t")) + EVIDENCE["overlap"] * T.shared_words(T.long_words(F.col("_v")), F.col("_w"))
+             + EVIDENCE["entailment"] * T.entailed_by(F.col("_v"), F.col("_t")))
     return c.groupBy("claim_id").agg(F.coalesce(F.max(F.when(F.col("_t").isNotNull(), score)), F.lit(0.0)).alias("strength"))
 
 
