@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,20 @@ def merged_queries(found: DataFrame, keep: int, group: str = "doc_id") -> DataFr
     return first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep).select(group, "id", F.col("f.score").alias("score"), "place")
 
 
+def nearest_chunks(chunks: DataFrame, queries: DataFrame, embed: Callable[[Column], Column], k: int) -> DataFrame:
+    """``doc_id, query_order, chunk_id, score, rank``: the k chunks of its own document nearest to each query (``doc_id, query_order, query``); a null query asks nothing."""
+    vectors = chunks.select("doc_id", "chunk_id", embed(F.col("text")).alias("embedding"))
+    asked = queries.where("query is not null").select("doc_id", F.concat_ws(":", "query_order", "doc_id").alias("query_id"), embed(F.col("query")).alias("embedding"))
+    found = top_vectors(vectors, asked, k, "doc_id", "chunk_id")
+    return found.select("doc_id", F.split_part("query_id", F.lit(":"), F.lit(1)).cast("int").alias("query_order"), F.col("id").alias("chunk_id"), "score", "rank")
+
+
+def passages(chunks: DataFrame, queries: DataFrame, embed: Callable[[Column], Column], k: int, keep: int) -> DataFrame:
+    """``doc_id, chunk_id, page, text, place``: the best ``keep`` chunks of a document for its queries, each once."""
+    best = merged_queries(nearest_chunks(chunks, queries, embed, k).withColumnRenamed("chunk_id", "id"), keep)
+    return best.select("doc_id", F.col("id").alias("chunk_id"), "place").join(chunks.select("doc_id", "chunk_id", "page", "text"), ["doc_id", "chunk_id"])
+
+
 def keyword_map(blocks: DataFrame, words: Sequence[str], whole: Sequence[str] = vocab.WHOLE_WORDS) -> DataFrame:
     """``doc_id, keyword, block_ids`` in block order; disclaimers are skipped."""
     rows = blocks.where("block_type <> 'DISCLAIMER'").select("doc_id", "pos", "block_id", F.explode(T.hits(F.col("text"), words, whole)).alias("keyword"))

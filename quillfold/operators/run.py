@@ -8,6 +8,7 @@ others don't wait for it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -22,6 +23,8 @@ from . import chunking, confidence, documents, exports, providers, retrieval, tr
 
 STAGES = ("s0_ingest", "s1_extract", "s2_clean", "s3_index", "s4_metadata", "s5_candidates", "s6_calls", "s7_summaries", "s8_tooltips", "s9_tags", "s10_confidence")
 NO_ASSETS = "no asset class tag"
+#: Chunks that a provider names come after those with keywords in a prompt.
+LAST = 1_000_000
 
 
 @dataclass
@@ -42,6 +45,33 @@ def _asked(rows: DataFrame, stage: str, context: Column, ask: Callable, path: st
     return told.withColumn("prompt_hash", T.hash16(F.col("prompt"))).join(answers, "prompt_hash", "left").drop("prompt_hash", "prompt")
 
 
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    """``rows``, written once and read by all that follows."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+#: What the front matter is asked for among a document's chunks.
+METADATA_QUERY = "asset manager, title, publication date and as-of date of this outlook"
+
+
+def summary_queries(rows: DataFrame) -> DataFrame:
+    """``doc_id, query_order, query``: what a document is, its mood, and the assets it speaks of first."""
+    mood = F.concat_ws(" ", "overall_sentiment", F.lit("sentiment"), F.slice("sentiment_rationale", 1, 2))
+    assets = F.concat_ws(" ", F.slice(F.array_distinct(F.transform("calls", lambda c: c.sub_asset_class)), 1, 3), F.lit("outlook"))
+    return _queries(rows, F.concat_ws(" ", "document_type", "manager_name"), mood, assets)
+
+
+def tag_queries(rows: DataFrame) -> DataFrame:
+    """``doc_id, query_order, query``: the outlook, the risks, and the regime."""
+    risks = F.concat_ws(" ", F.lit("risks uncertainties"), F.slice(F.array_distinct(F.flatten(F.transform("calls", lambda c: F.coalesce(c.key_risks, F.array().cast("array<string>"))))), 1, 3))
+    return _queries(rows, F.concat_ws(" ", "document_type", F.lit("macro outlook themes")), risks, F.lit("growth inflation policy rates regime"))
+
+
+def _queries(rows: DataFrame, *texts: Column) -> DataFrame:
+    return rows.select("doc_id", F.posexplode(F.array(*texts)).alias("query_order", "query"))
+
+
 def _parsed(rows: DataFrame, stage: str) -> DataFrame:
     """``value`` and ``problem``, the first thing that is wrong with an answer, or null."""
     out = C.parsed(rows, schemas.record_type(stage).simpleString(), schemas.keys(stage))
@@ -70,18 +100,23 @@ def _context(chunks: DataFrame, order: str) -> DataFrame:
         "doc_id", "parts", F.transform("parts", lambda c: c.chunk_id).alias("allowed"), F.array_join(F.transform("parts", lambda c: c.text), " ").alias("source"))
 
 
-def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, words: Sequence[str] | None = None, known: DataFrame | None = None, **pages) -> Run:
+def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, words: Sequence[str] | None = None, known: DataFrame | None = None,
+        embed: Callable[[Column], Column] = providers.hashed_embedding, **pages) -> Run:
     """Run all stages over ``docs`` (``doc_id, text``), store results in the registry at ``path``, and return them.
 
     ``ask`` gives a provider for each of the stages ``metadata``, ``calls``,
     ``summaries``, ``tooltips`` and ``tags``: a pandas function from prompts to
-    answers. Copies of a document (or of one in ``known``) aren't run again; they
+    answers. With one for ``candidates``, too, documents with keywords are asked for
+    further chunks; if it fails there are none. ``embed`` makes vectors of texts:
+    the front matter and the passages of summaries and tags are retrieved by them.
+    What stages share is written under ``path``. Copies of a document (or of one in ``known``) aren't run again; they
     have the status of their owner's copy, ``duplicate``. ``pages`` are options of
     the page triage.
     """
     spark = docs.sparkSession
     words = list(words if words is not None else vocab.keywords())
     registry = Registry(spark, path)
+    work = f"{path}/work-{uuid.uuid4().hex}"
     ingested = documents.ingest(docs, registry=known)
     own = docs.join(ingested.where("not is_duplicate").select("doc_id"), "doc_id", "left_semi")
     blocks = documents.blocks(own)
@@ -92,7 +127,8 @@ def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, w
     chunks = registry.read("evidence_blocks").withColumn("chunk_index", F.element_at(F.split("chunk_id", "_"), -1).cast("int"))  # stored once, read by all later stages
 
     # profile
-    front = retrieval.metadata_chunks(chunks, chunks.select("doc_id", "chunk_id", F.lit(0.5).alias("score"), (F.col("chunk_index") + 1).alias("rank")).where("rank <= 8"))
+    hits = retrieval.nearest_chunks(chunks, _queries(chunks.select("doc_id").distinct(), F.lit(METADATA_QUERY)), embed, 8)
+    front = _stored(retrieval.metadata_chunks(chunks, hits), f"{work}/front")
     front = front.join(chunks.select("doc_id", "chunk_id", "page", "text"), ["doc_id", "chunk_id"])
     meta = _parsed(_asked(_context(front, "place"), "metadata", prompts.chunks(F.col("parts")), ask["metadata"], path), "metadata")
     v = F.col("value")
@@ -101,32 +137,42 @@ def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, w
         F.try_to_date(v["as_of_date"], "yyyy-MM-dd").alias("as_of_date"), F.coalesce(v["document_type"], F.lit("OTHER")).alias("document_type"),
         F.coalesce(v["asset_classes_covered"], F.array().cast("array<string>")).alias("assets"), F.coalesce(v["regions"], F.array().cast("array<string>")).alias("regions"),
         F.coalesce(v["manager_name_uncertain"], F.lit(False)).alias("said_uncertain"))
-    meta = meta.withColumn("manager_unclear", F.col("said_uncertain") | (F.col("manager_name") == "Unspecified")).withColumn("date_unclear", F.col("publication_date").isNull())
+    meta = _stored(meta, f"{work}/meta").withColumn("manager_unclear", F.col("said_uncertain") | (F.col("manager_name") == "Unspecified")).withColumn("date_unclear", F.col("publication_date").isNull())
 
     # calls
     picked = candidate_chunks(chunks, words)
+    if "candidates" in ask:
+        having = F.size(T.hits(F.col("text"), words, vocab.WHOLE_WORDS)) > 0
+        more = providers.expansion(chunks, having, ask["candidates"], f"{path}/answers-candidates")
+        picked = picked.unionByName(more.select("doc_id", "chunk_id", "page", "text", (F.col("place") + LAST).alias("place")))
     told = _asked(_context(picked, "place"), "calls", prompts.chunks(F.col("parts")), ask["calls"], path)
     answers = C.guarded(_parsed(told, "calls").withColumn("output", F.col("answer")))
-    answers = answers.withColumn("problem", F.coalesce("problem", "fault"))
+    answers = _stored(answers.withColumn("problem", F.coalesce("problem", "fault")), f"{work}/answers")
     rows = C.call_rows(answers.where("problem is null"))
     lists = {"rationale_bullets": 5, "key_indicators": 5, "key_risks": 5, "citations": 5}
     merged = C.merged_calls(rows, ["doc_id", "asset_class_category", "sub_asset_class"], ["pos"], ["conviction", "time_horizon"], lists, ["pos", "call", "needs_analyst_review"])
     merged = merged.withColumn("needs_analyst_review", F.coalesce("needs_analyst_review", F.lit(False)) | F.col("merged"))
     merged = merged.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "asset_class_category", "sub_asset_class")) - 1)
+    merged = _stored(merged, f"{work}/merged")
     fields = ("asset_class_category", "sub_asset_class", "call", "conviction", "rationale_bullets", "key_risks", "citations", "confidence")
     by_doc = merged.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", F.struct(*fields).alias("c")))), lambda x: x.c).alias("calls"),
                                           F.collect_list("confidence").alias("scores"), F.avg("confidence").alias("mean"), F.bool_or("needs_analyst_review").alias("review"))
 
     # texts about the calls
-    base = answers.where("problem is null").select("doc_id", "parts", "allowed", "source").join(by_doc, "doc_id")
-    said = _parsed(_asked(base, "summaries", F.concat(prompts.calls(F.col("calls")), F.lit("\n\n"), prompts.chunks(F.col("parts"))), ask["summaries"], path), "summaries").select(
+    base = answers.where("problem is null").select("doc_id", "value.overall_sentiment", "value.sentiment_rationale").join(by_doc, "doc_id").join(meta.select("doc_id", "document_type", "manager_name"), "doc_id", "left")
+    base = _stored(base, f"{work}/base")
+    told = base.join(_context(retrieval.passages(chunks, summary_queries(base), embed, 20, 30), "place"), "doc_id")
+    said = _parsed(_asked(told, "summaries", F.concat(prompts.calls(F.col("calls")), F.lit("\n\n"), prompts.chunks(F.col("parts"))), ask["summaries"], path), "summaries").select(
         "doc_id", F.col("problem").alias("summary_problem"), F.col("value").alias("summary"))
+    said = _stored(said, f"{work}/said")
     tips = _parsed(_asked(base.select("doc_id", "calls"), "tooltips", prompts.calls_for_tooltips(F.col("calls")), ask["tooltips"], path), "tooltips")
     tips = tips.select("doc_id", F.posexplode("value.tooltips").alias("pos", "t")).select("doc_id", "pos", "t.sub_asset_class", "t.tooltip_text")
     zipped = exports.zipped_tooltips(merged.select("doc_id", F.col("place").alias("pos"), "sub_asset_class"), tips).where("fault is null or fault = 'missing tooltip'")
     final = merged.join(zipped.select("doc_id", F.col("pos").alias("place"), "tooltip_text"), ["doc_id", "place"], "left")
     profile = prompts.profile(F.col("manager_name"), F.col("document_type"), F.col("publication_date"), F.col("assets"), F.col("regions"))
-    tagged = _parsed(_asked(meta.join(by_doc.select("doc_id", "calls"), "doc_id"), "tags", F.concat(profile, F.lit("\n\n"), prompts.calls_with_risks(F.col("calls"))), ask["tags"], path), "tags")
+    seen = _context(retrieval.passages(chunks, tag_queries(base), embed, 15, 20), "place").select("doc_id", "parts")
+    about = F.concat(profile, F.lit("\n\n"), prompts.calls_with_risks(F.col("calls")), F.lit("\n\n"), prompts.chunks(F.col("parts")))
+    tagged = _parsed(_asked(meta.join(base.select("doc_id", "calls"), "doc_id").join(seen, "doc_id"), "tags", about, ask["tags"], path), "tags")
     tagged = tagged.where("problem is null").join(C.rule_tags(merged), "doc_id").select("doc_id", "categories", "sub_assets", "regions", "value.theme_tags", "value.risk_tags", "value.macro_regime_tags", F.col("value.confidence").alias("confidence"))
     none = F.array().cast("array<string>")
     tagged = tagged.select("doc_id", "confidence", *[F.coalesce(c, none).alias(c) for c in ("categories", "regions", "theme_tags", "risk_tags", "macro_regime_tags")])
@@ -151,6 +197,8 @@ def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, w
     auto = confidence.auto_publishable(c("score"), F.coalesce("coverage", F.lit(0.0)), c("required"), *unclear)
     rows = rows.withColumn("route", confidence.route(c("band"), auto, confidence.spot_checked(c("doc_id"))))
 
+    rows = _stored(rows, f"{work}/rows")
+
     # how far each document came, and why it stopped
     some = F.size("scores") > 0
     stops = ((c("extraction").isNull(), 1, "ExtractionError", "no text"), (c("problem").isNotNull(), 4, "LLMError", c("problem")), (c("call_problem").isNotNull(), 6, "ValidationError", c("call_problem")),
