@@ -10,7 +10,9 @@ from ..functions import text as T
 from ..functions import vocab
 from ..operators import calls as C
 from ..operators import chunking, confidence, documents, exports, metrics, providers, retrieval, triage
+from ..sources.registry_tables import scratch
 from ..streaming import ingest as streaming
+from ..streaming import stages
 from .queries import BLOCKS, CALL_ROWS, COMMON, CORPUS_SECTIONS, STRIP, WORDS, _blocks, _calls, _hits_sql, _list, _section_type_sql, query
 from .registry import Tables
 
@@ -686,6 +688,33 @@ def st_sessions(spark, sf_dir):
     return streaming.sessions(Tables(spark, sf_dir).events)
 
 
+def _squeezed(rows):
+    text = F.trim(F.regexp_replace("value", r"[ \t\n\r]+", " "))
+    return rows.select("doc_id", text.alias("value"), F.when(text == "", "no text").alias("error"))
+
+
+def _counted(rows):
+    n = F.size(F.split("value", " "))
+    return rows.select("doc_id", n.cast("string").alias("value"), F.when(n < 5, "too short").alias("error"))
+
+
+@query("st_stages", r"""with t as (select doc_id, trim(regexp_replace(coalesce(text, ''), '[ \t\n\r]+', ' ', 'g')) as v from documents), n as (select *, len(string_split(v, ' ')) as n from t),
+e as (select *, case when v = '' then 'no text' when n < 5 then 'too short' end as error from n)
+select doc_id, case when error is null then 'done' else 'failed' end as status, case error when 'no text' then 'clean' when 'too short' then 'count' end as stage,
+  (case when error is null then 1 else 2 end)::int as attempts, case when error is null then n::varchar end as value, error from e""")
+def st_stages(spark, sf_dir):
+    """All documents through two stages as a stream; those that fail are tried twice."""
+    docs = spark.readStream.schema(Tables(spark, sf_dir).documents.schema).parquet(f"{sf_dir}/documents*.parquet")  # a pattern: a stream takes no path of one file
+    docs = docs.select("doc_id", F.timestamp_seconds(F.lit(0)).alias("ts"), F.col("text").alias("value"))
+    names, path, n = ("clean", "count"), scratch(spark, "stages"), Tables(spark, sf_dir).documents.select("doc_id").distinct().count()
+    q = stages.start(docs, list(zip(names, (_squeezed, _counted), strict=True)), path, tries=2, delay_ms=100, every="0 seconds")
+    try:
+        stages.wait(q, lambda: stages.ended(spark, path, names).count() == n)
+    finally:
+        q.stop()
+    return stages.ended(spark, path, names)
+
+
 def flagship(spark, sf_dir):
     """Documents to blocks, sections and chunks, ranked by keyword density."""
     c = chunking.chunks(documents.blocks(Tables(spark, sf_dir).documents).withColumn("text", T.normalize_text(F.col("text"))))
