@@ -12,8 +12,9 @@ reader takes the footer, the two tables, and then only the frames it wants; any
 other reader of the format can open the file, too. A document of 4 GB of ids or
 more is an error, as the format has no place for it.
 
-Documents are dealt to shards by ranges of their id, so the shards in order, and
-the documents in each, ascend. A task that runs again writes the same bytes to
+Documents are dealt to ranges of their id, and a range's task begins a new shard
+whenever the one it writes is full, so shards don't grow with the corpus or with
+an id that repeats; the shards in order, and the documents in each, ascend. A task that runs again writes the same bytes to
 another temporary name and renames it, so a lost executor leaves no half file.
 """
 
@@ -40,9 +41,12 @@ SKIPPABLE = 0x184D2A5E
 FOOTER = 0x8F92EAB1
 INDEX = 0x184D2A51
 CACHE = 1_000_000
-MAX_SHARDS = 10_000
-#: Bytes of text of a shard, about.
+#: Ranges of ids at most: their bounds are numbers that every task has.
+MAX_RANGES = 10_000
+#: Bytes of text that a range is meant for, and bytes of ids after which a range's next file begins.
 SHARD_BYTES = 64 << 20
+#: Documents after which a range's next file begins: a file's index is held in memory.
+SHARD_DOCS = 1_000_000
 
 
 class WordEncoder:
@@ -177,8 +181,12 @@ class ShardReader:
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, out: str, end_id: int | None = 1, width: int = 2,
-                 n_shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text, append ``end_id``, write shards under ``out``; ``shard, path, n_docs, n_ids, start``.
+                 n_shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """Encode every text, append ``end_id``, write shards under ``out``; ``shard, part, path, n_docs, n_ids, start``.
+
+    ``shard`` is a range of ids (``n_shards`` of them, or by bytes of text) and
+    ``part`` the file in it: another begins before a document that would bring a
+    file above ``shard_bytes`` of ids or ``shard_docs`` documents.
 
     ``width`` is the bytes of an id in the file (2 holds vocabularies up to
     65,536). A null text is empty: its document holds the end id alone. Null ids
@@ -189,9 +197,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, out: str, end_id: int | None
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = 0 if n_shards else rows.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
-    n = min(MAX_SHARDS, n_shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)))
-    # at most MAX_SHARDS numbers
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 100 * n)).head()[0] or []
+    n = min(MAX_RANGES, n_shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)))
+    # at most MAX_RANGES numbers
+    cuts = (rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)).head()[0] or []) if n > 1 else []
     bounds = np.array(sorted(set(cuts)), np.int64)
 
     def encoded(batches):
@@ -212,31 +220,32 @@ def write_tokens(docs: DataFrame, vocabulary: str, out: str, end_id: int | None
             )
 
     def save(batches):
-        writer, at, docs_in = None, None, 0
+        writer, at, part = None, None, 0
 
         def ended():
             writer.close()
-            return pa.RecordBatch.from_pylist([{"shard": at, "path": f"{out}/shard-{at:06d}.zst", "n_docs": docs_in, "n_ids": writer.n_ids}], schema)
+            return pa.RecordBatch.from_pylist([{"shard": at, "part": part, "path": f"{out}/shard-{at:06d}-{part:06d}.zst", "n_docs": len(writer.ids), "n_ids": writer.n_ids}], schema)
 
         for b in batches:
             for shard, doc_id, frame, size, check in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if shard != at:
+                full = writer and (len(writer.ids) >= shard_docs or writer.n_ids * width + size > shard_bytes)
+                if shard != at or full:
                     if writer:
                         yield ended()
-                    writer, at, docs_in = ShardWriter(f"{out}/shard-{shard:06d}.zst", width), shard, 0
+                    at, part = shard, part + 1 if shard == at else 0
+                    writer = ShardWriter(f"{out}/shard-{at:06d}-{part:06d}.zst", width)
                 writer.add(doc_id, frame, size, check)
-                docs_in += 1
         if writer:
             yield ended()
 
-    schema = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+    schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
     sorted_rows = (
         rows.mapInArrow(encoded, "shard int, doc_id long, frame binary, size long, check long")
         .repartition(n, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "size", "frame")
     )
-    shards = written(sorted_rows.mapInArrow(save, "shard int, path string, n_docs long, n_ids long"), "shards")
+    shards = written(sorted_rows.mapInArrow(save, "shard int, part int, path string, n_docs long, n_ids long"), "shards")
     # one row per shard
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 

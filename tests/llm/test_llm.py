@@ -400,6 +400,20 @@ def test_token_store(spark, tmp_path):
         token_store.ShardReader(first).read(0)
 
 
+def test_full_shards_are_followed_by_others(spark, tmp_path):
+    """One id with most of the rows, in one range: files stay within their bounds, and all ids are read back in order."""
+    path = vocabulary("word_bpe_49k.json")
+    d = spark.range(300).select(F.when(F.col("id") < 200, 7).otherwise(F.col("id")).alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 40).cast("int")).alias("text"))
+    d = d.unionByName(spark.createDataFrame([(8, "long " * 5000), (None, None)], SCHEMA))
+    whole = token_store.write_tokens(d, path, f"file://{tmp_path}/whole", n_shards=1)
+    parts = token_store.write_tokens(d, path, f"file://{tmp_path}/parts", n_shards=1, shard_bytes=2000, shard_docs=50)
+    rows = parts.orderBy("shard", "part").collect()
+    assert whole.count() == 1 and len(rows) > 6 and len({r.path for r in rows}) == len(rows) and sum(r.n_docs for r in rows) == 302
+    assert all(r.n_docs <= 50 and (r.n_ids <= 1000 or r.n_docs == 1) for r in rows)
+    assert [r.start for r in rows] == [sum(x.n_ids for x in rows[:k]) for k in range(len(rows))]
+    assert sorted(map(str, token_store.read_tokens(parts).collect())) == sorted(map(str, token_store.read_tokens(whole).collect()))
+
+
 def test_shards_are_in_the_public_seekable_layout(spark, tmp_path):
     """Read by the format's own description alone: footer, table, frames; and by any decompressor from end to end."""
     import struct
