@@ -13,6 +13,8 @@ EVIDENCE = {"explicit": 0.5, "overlap": 0.3, "entailment": 0.2}
 SUMMARY = {"alignment": 0.6, "citations": 0.2, "pages": 0.2}
 DOCUMENT = {"extraction": 0.15, "profile": 0.15, "calls": 0.5, "summary": 0.2}
 SPOT_CHECK_SHARE = 20
+#: Claims on one chunk that are answered in one row.
+CLAIMS = 64
 
 
 def structure_quality(blocks: DataFrame) -> DataFrame:
@@ -37,14 +39,29 @@ def extraction_quality() -> Column:
     return sum((w * F.coalesce(F.col(c), F.lit(1.0 if c in ("ocr", "tables") else 0.0)) for c, w in EXTRACTION.items()), F.lit(0.0))
 
 
-def evidence(claims: DataFrame, chunks: DataFrame) -> DataFrame:
-    """``claim_id, strength``: the best of a claim's citations (``claim_id, value, chunk_id``); 0 without any known chunk."""
-    # a chunk's words are cut and its text is put in lower case once, before it meets its claims
-    known = chunks.select("chunk_id", F.lower("text").alias("_t"), T.long_words(F.col("text")).alias("_w"))
-    c = claims.join(known, "chunk_id", "left").withColumn("_v", F.coalesce("value", F.lit("")))
-    score = (EVIDENCE["explicit"] * T.mentioned_in(F.col("value"), F.col("_t")) + EVIDENCE["overlap"] * T.shared_words(T.long_words(F.col("_v")), F.col("_w"))
-             + EVIDENCE["entailment"] * T.entailed_by(F.col("_v"), F.col("_t")))
-    return c.groupBy("claim_id").agg(F.coalesce(F.max(F.when(F.col("_t").isNotNull(), score)), F.lit(0.0)).alias("strength"))
+def evidence(claims: DataFrame, chunks: DataFrame, together: int = CLAIMS) -> DataFrame:
+    """``claim_id, strength``: the best of a claim's citations (``claim_id, value, chunk_id``); 0 without any known chunk.
+
+    Claims go to the texts: those on one chunk are packed, about ``together`` in a
+    row, so a text moves once for that many (and not at all where the packed claims
+    are few enough to be broadcast), and is put in lower case and cut into words
+    once. A chunk that very many claims cite is spread over many rows. Repeated
+    citations count once; null ids of claims or chunks meet no chunk.
+    """
+    c = claims.select("claim_id", "value", "chunk_id").distinct()
+    parts = c.where("chunk_id is not null").groupBy("chunk_id").agg(F.ceil(F.count(F.lit(1)) / together).alias("n")).where("n > 1").withColumnRenamed("chunk_id", "_chunk")
+    dealt = c.join(parts, F.col("chunk_id") == F.col("_chunk"), "left").withColumn("part", F.pmod(F.xxhash64("claim_id", "value"), F.coalesce("n", F.lit(1))))
+    packed = dealt.groupBy("chunk_id", "part").agg(F.collect_list(F.struct("claim_id", "value")).alias("claims"))
+
+    def score(x: Column, low: Column, words: Column) -> Column:
+        return T.once(F.coalesce(x.value, F.lit("")), lambda v: EVIDENCE["explicit"] * T.mentioned_in(x.value, low) + EVIDENCE["overlap"] * T.shared_words(T.long_words(v), words)
+                      + EVIDENCE["entailment"] * T.entailed_by(v, low))
+
+    known = F.struct(F.lower("text").alias("low"), T.long_words(F.col("text")).alias("words"))
+    found = T.once(known, lambda k: F.transform("claims", lambda x: F.struct(x.claim_id.alias("claim_id"), score(x, k.low, k.words).alias("score"))))
+    met = packed.join(chunks.select("chunk_id", "text").where("text is not null"), "chunk_id").select(F.explode(found).alias("f")).select("f.claim_id", "f.score")
+    rows = met.unionByName(claims.select("claim_id", F.lit(0.0).alias("score")))
+    return rows.groupBy("claim_id").agg(F.max("score").alias("strength"))
 
 
 def call_evidence(strength: Column, direction: Column, text: Column) -> Column:
