@@ -11,7 +11,8 @@ block's name is its bucket and its rank there. That is a function of the data
 alone, so a task that runs again after a lost executor gives the same names.
 Blocks that make up more than ``1 / HOT_SHARE`` of all rows never meet in one
 task: their hashes are fewer than ``HOT_SHARE``, and they are named by a small
-table, which is broadcast if a count finds it small.
+table, which is broadcast if a count finds it small. Groups of equal texts with
+such a part of all rows reach their rows by a broadcast, too.
 """
 
 from __future__ import annotations
@@ -110,7 +111,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids = identities(docs, id_col, text_col, block_bytes)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("_v"), F.sha2(text, 256).alias("text_sha256"))
     both = rows.join(ids, rows.doc_id.eqNullSafe(ids.id) & (rows._v == ids._v)).select("doc_id", "text_sha256", "identity")
-    groups = both.groupBy("identity").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return both.join(groups, "identity").select(
+    both = written(both, "identities")
+    groups = written(both.groupBy("identity").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
+    total = groups.agg(F.sum("group_size")).head()[0] or 0
+    # rows of the largest groups stay where they are: there are fewer than HOT_SHARE such groups, at any size
+    large = F.broadcast(groups.where(F.col("group_size") > max(50, total // HOT_SHARE)))
+    told = both.join(large, "identity").unionByName(both.join(large.select("identity"), "identity", "left_anti").join(groups, "identity"))
+    return told.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
     )
