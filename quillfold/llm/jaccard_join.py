@@ -28,10 +28,11 @@ the symmetric difference. Sets with a similarity of at least t have
    distances to the pivots allow. A larger region takes one more pivot m, the
    shingles that most of some of its sets have. As h(x,y) is the same for
    ``x ^ m`` and ``y ^ m``, sets near m are linked without a comparison
-   (``h(x,m) + h(y,m)`` is small enough), and all others that are similar share a
-   shingle in which they differ from m. So the differences are the pivots of the
-   next regions, each of at most about half the sets, and only where a set that m
-   didn't catch has one.
+   (``h(x,m) + h(y,m)`` is small enough), and the others are compared by their
+   differences from m, which are much smaller than the sets. The differences are
+   dealt to blocks of bounded size, and each pair of blocks that can hold an
+   unlinked pair is a tile in a task of its own. So no set is written more than
+   once and none is shuffled more often than its region has blocks.
 
 Sets are sorted 64-bit hashes of their shingles and classes are told apart by
 128 bits; everything else is exact. No all-pairs list is made: each step gives
@@ -62,6 +63,11 @@ PIVOT_BYTES = 32 << 20
 PIVOTS = 8
 #: Sets whose majority is the pivot of a translation.
 MEDIAN = 15
+#: Sets, and bytes of differences, of a block of a region that pivots can't split.
+BLOCK_SETS = 2048
+BLOCK_BYTES = 8 << 20
+#: Copies of its sets, on average, above which a split by pivots isn't used.
+COPIES = 1.25
 #: Fixed pivots of which each set keeps its coordinates, at least.
 PARTS = 32
 #: Documents, and the share of all, from which common shingles are read; from how many documents on a shingle comes late, and how many are ordered.
@@ -439,17 +445,50 @@ def _open(rows: DataFrame, keys: list[str]) -> DataFrame:
     return state.where("n > 1 and (told < n or low <> high)").drop("low", "high", "told")
 
 
-def _translated(rows: DataFrame, num: int, den: int, level: int) -> tuple[DataFrame, DataFrame]:
-    """Regions of sets that differ alike from a middle set of their region, and the links that the middle proves.
+def _tile_links(rows: list[tuple[int, int | None, int, bytes]], own: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect the similar pairs of the first ``own`` of (id, label, size, difference) with the others, or of all where there are no others."""
+    k = len(rows)
+    n = np.array([r[2] for r in rows], np.int64)
+    diffs = [np.frombuffer(r[3], np.uint64) for r in rows]
+    d = np.array([len(x) for x in diffs], np.int64)
+    group = np.arange(k)
+    first: dict[object, int] = {}
+    for i, (rep, label, *_) in enumerate(rows):  # one document, or linked to one
+        for key in (rep,) if label is None else (rep, (label,)):
+            j = first.setdefault(key, i)
+            if group[i] != group[j]:
+                group[group == group[i]] = group[j]
+    begin = own if own < k else 0
+    flat = np.concatenate(diffs[begin:])
+    order = np.argsort(flat, kind="stable")
+    values, holder = flat[order], np.repeat(np.arange(begin, k), d[begin:])[order]
+    out = []
+    for i in range(own):
+        if (group[begin:] == group[i]).all():
+            continue
+        low = np.searchsorted(values, diffs[i], "left")
+        many = np.searchsorted(values, diffs[i], "right") - low
+        at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        shared = np.bincount(holder[at], minlength=k)
+        common = (n[i] + n - d[i] - d + 2 * shared) // 2
+        near = den * common >= num * (n[i] + n - common)
+        near[: max(begin, i + 1)] = False
+        j = np.flatnonzero(near & (group != group[i]))
+        for g in np.unique(group[j]):
+            out.append((rows[i][0], rows[int(j[group[j] == g][0])][0]))
+            group[group == g] = group[i]
+    return out
+
+
+def _translated(rows: DataFrame, num: int, den: int, level: int) -> DataFrame:
+    """``a, b``: links of each region, by differences from a middle set of it.
 
     With ``D = x ^ m`` and ``slack = (den-num)|x| - (den+num)|D|``, x and y are
     similar if their slacks sum to 0 or more. The set of the largest slack is the
-    head: all that any such sum connects is linked to it. Any other similar pair
-    shares ``-(slack + slack) / 2(den+num)`` elements of D, so a set that the head
-    didn't catch needs only the rarest of its elements, but for that many.
-    Regions of the same sets are one.
+    head: all that any such sum connects is caught and linked to it. Of the others
+    each meets all sets of its region, those caught too, in tiles of two blocks.
     """
-    arrow = pa.schema([*_PART, ("slack", pa.int64()), ("best", pa.int64()), ("diff", pa.list_(pa.int64()))])
+    arrow = pa.schema([("region", pa.int64()), ("rep", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("diff", pa.binary())])
     told, known = _told(rows, written(_picked(rows, 100 * level + 50, MEDIAN), "pivots"))
 
     def run(batches):
@@ -465,29 +504,41 @@ def _translated(rows: DataFrame, num: int, den: int, level: int) -> tuple[DataFr
                 values, times = np.unique(np.concatenate(some), return_counts=True)
                 middle = values[2 * times > len(some)]
             x = np.frombuffer(raw, np.uint64)
-            diff = np.setxor1d(x, middle, assume_unique=True)
-            # the largest slack that sizes allow a partner: the nearest to the middle's that is similar to this one's
-            size = min(max(len(middle), -(-num * len(x) // den)), den * len(x) // num)
-            best = (den - num) * size - (den + num) * abs(size - len(middle))
-            out.append({"region": region, "rep": rep, "set": raw, "label": label, "slack": (den - num) * len(x) - (den + num) * len(diff), "best": best, "diff": diff.view(np.int64)})
+            out.append({"region": region, "rep": rep, "label": label, "n": len(x), "diff": np.setxor1d(x, middle, assume_unique=True).tobytes()})
 
-    done = written(told.mapInArrow(run, "region long, rep long, set binary, label long, slack long, best long, diff array<long>"), "translated")
+    done = written(told.mapInArrow(run, "region long, rep long, label long, n long, diff binary"), "translated")
+    done = done.withColumn("slack", (den - num) * F.col("n") - (den + num) * (F.octet_length("diff") / 8).cast("long"))
     heads = done.groupBy("region").agg(F.max(F.struct("slack", "rep")).alias("head")).select("region", F.col("head.rep").alias("head"), F.col("head.slack").alias("most"))
-    heads = sized(written(heads, "heads"))
-    both = F.col("slack") + F.col("most")
-    state = done.join(heads, "region").withColumn("caught", both >= 0)
+    state = done.join(sized(written(heads, "heads")), "region").withColumn("caught", F.col("slack") + F.col("most") >= 0)
     links = state.where("caught and rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
-    need = F.size("diff") + 1 - F.greatest(F.lit(1), F.ceil(-(F.col("slack") + F.least("most", "best")) / (2 * (den + num))))
-    items = state.select("region", "rep", F.when(F.col("caught"), F.col("head")).otherwise(F.col("label")).alias("label"), F.when(~F.col("caught"), need).alias("need"), F.explode("diff").alias("e"))
-    asked = items.join(items.where("need is not null").select("region", "e").distinct(), ["region", "e"], "left_semi")
-    counted = asked.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("region", "e")))
-    place = F.row_number().over(Window.partitionBy("region", "rep").orderBy("times", "e"))
-    first = counted.where("need is not null").withColumn("place", place).where("place <= need").drop("place")
-    parts = first.unionByName(counted.where("need is null")).where("times > 1").select(F.col("region").alias("parent"), "e", "rep", "label")
-    keep = _open(parts, ["parent", "e"]).groupBy("parent", "n", "who0", "who1").agg(F.min("e").alias("e")).select("parent", "e")
-    sets = done.select(F.col("region").alias("parent"), "rep", "set")
-    apart = parts.join(keep, ["parent", "e"], "left_semi").join(sets, ["parent", "rep"])
-    return apart.select(F.xxhash64("parent", "e").alias("region"), "rep", "set", "label"), links
+
+    # none where there is no such set
+    parts = lambda which: F.ceil(F.greatest(F.count_if(which) / BLOCK_SETS, F.coalesce(F.sum(F.when(which, F.octet_length("diff"))), F.lit(0)) / BLOCK_BYTES))
+    blocks = state.groupBy("region").agg(parts(~F.col("caught")).alias("free"), parts(F.col("caught")).alias("fast")).where("free > 0")
+    h = F.xxhash64("rep", F.lit(level))
+    placed = state.join(sized(written(blocks, "blocks")), "region").withColumn("block", F.when(F.col("caught"), F.col("free") + F.pmod(h, F.col("fast"))).otherwise(F.pmod(h, F.col("free"))))
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("caught"), F.col("free") - 1).otherwise(F.col("free") + F.col("fast") - 1))
+    tiles = placed.withColumn("label", F.when(F.col("caught"), F.col("head")).otherwise(F.col("label"))).withColumn("other", F.explode(others))
+    tiles = tiles.select("region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "label", "n", "diff")
+
+    def compare(batches):
+        at, kept, own = None, [], 0
+
+        def ended():
+            pairs = _tile_links(kept, own, num, den) if len(kept) > 1 and own else []
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+        for b in batches:
+            for region, low, high, block, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (region, low, high) != at:
+                    yield ended()
+                    at, kept, own = (region, low, high), [], 0
+                own += block == low
+                kept.append(tuple(row))
+        yield ended()
+
+    dealt = tiles.repartition("region", "low", "high").sortWithinPartitions("region", "low", "high", "block", "rep")
+    return links.unionByName(dealt.mapInArrow(compare, "a long, b long"))
 
 
 def _leaf_links(rows: DataFrame, num: int, den: int, leaf: int) -> DataFrame:
@@ -536,25 +587,15 @@ def _region_links(rows: DataFrame, num: int, den: int, leaf: int, task: int) ->
         links.append(near)
         parts = done.select(F.col("region").alias("parent"), "rep", "set", "label", F.explode("cells.cell").alias("cell"))
         child = written(_open(parts, ["parent", "cell"]).select("parent", "cell", "n"), "children")
-        # where a region keeps almost all of its parent, or windows replicate sets more than once on average, distances to pivots can't split it
-        stats = child.groupBy("parent").agg(F.max("n").alias("most"), F.sum("n").alias("all"), F.max_by("cell", F.struct("n", "cell")).alias("core"))
-        stuck = stats.join(big.withColumnRenamed("region", "parent"), "parent").where("most > 0.7 * size or all > 2 * size").select("parent", "core")
+        # where a region keeps almost all of its parent, or windows replicate many sets, distances to pivots can't split it
+        stats = child.groupBy("parent").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+        stuck = stats.join(big.withColumnRenamed("region", "parent"), "parent").where(f"most > 0.7 * size or all > {COPIES} * size").select("parent")
         stuck = sized(written(stuck, "stuck"))
-        apart = None
-        if not stuck.limit(1).count():
-            rows = parts.join(child.drop("n"), ["parent", "cell"], "left_semi")
-        else:
-            # its largest region is translated; of the others those stay that are home to a set outside of it
-            at = done.join(stuck, F.col("region") == F.col("parent")).withColumn("inside", F.array_contains("cells.cell", F.col("core")))
-            apart, proven = _translated(at.where("inside").select("region", "rep", "set", "label"), num, den, level)
-            links.append(proven)
-            home = F.filter("cells", lambda c: c.home)[0].cell
-            outer = at.where("not inside").select("parent", home.alias("cell")).distinct()
-            kept = child.join(stuck, "parent", "left_anti").select("parent", "cell").unionByName(child.select("parent", "cell").join(outer, ["parent", "cell"], "left_semi"))
-            rows = parts.join(kept, ["parent", "cell"], "left_semi")
+        if stuck.limit(1).count():
+            links.append(_translated(done.join(stuck, F.col("region") == F.col("parent"), "left_semi").select("region", "rep", "set", "label"), num, den, level))
+            child = child.join(stuck, "parent", "left_anti")
+        rows = parts.join(child.drop("n"), ["parent", "cell"], "left_semi")
         rows = rows.select(F.xxhash64("parent", "cell").alias("region"), "rep", "set", "label")
-        if apart is not None:
-            rows = rows.unionByName(apart)
         rows = written(rows, "regions")
         level += 1
     out = links[0]

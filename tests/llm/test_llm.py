@@ -180,6 +180,33 @@ def test_a_region_that_pivots_cannot_split_is_translated(spark, monkeypatch):
     assert calls
 
 
+def test_sets_of_a_region_that_pivots_cannot_split_are_written_few_times(spark, monkeypatch):
+    """Loose copies of one text, few of them near its middle, compared in tiles of small blocks."""
+    sets = []
+    real = jaccard_join.written
+
+    def counted(df, name):
+        out = real(df, name)
+        if {"set", "diff"} & set(out.columns):
+            sets.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 40, raising=False)
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(240):
+        w = list(words)
+        for _ in range(rng.randint(2, 9)):
+            w[rng.randrange(200)] = f"e{rng.randrange(60)}"
+        rows.append((i, " ".join(w)))
+    n = len({t for _, t in rows})
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), 90, 100, 3, task=30).collect()}
+    assert got == brute_jaccard(rows, 90, 100, 3)
+    assert sum(sets) <= 4 * n
+
+
 def test_jaccard_edges(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(edge(spark), 90, 100, 3).collect()), key=repr)
     assert (None, 5, None) in got and (6, 5, 5) in got and (1, 0, 1) in got and (10, 1, 10) in got and len(got) == len(EDGE)
