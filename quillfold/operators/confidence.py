@@ -83,6 +83,11 @@ def document_score(extraction: Column, profile: Column, calls: Column, summary:
     return DOCUMENT["extraction"] * extraction + DOCUMENT["profile"] * profile + DOCUMENT["calls"] * F.coalesce(calls, F.lit(0.5)) + DOCUMENT["summary"] * summary
 
 
+def score_band(score: Column) -> Column:
+    """The band of a document's score; a sum that is a limit but for the rounding of doubles counts as the limit, in whatever order it was added up."""
+    return T.band(F.round(score, 9))
+
+
 def attention(coverage: Column, ocr: Column, manager_unclear: Column, date_unclear: Column, scores: Column, review: Column) -> Column:
     """The reasons for an analyst's attention, in order; ``scores`` is the array of call confidences, ``review`` whether a call asks for it."""
     n = F.size(scores)
@@ -105,7 +110,7 @@ def field_confidences(extraction: Column, profile: Column, calls: Column, n_call
 
 
 def auto_publishable(score: Column, coverage: Column, required: Column, manager_unclear: Column, date_unclear: Column) -> Column:
-    return (score >= 0.8) & (coverage >= 0.7) & ~required & ~manager_unclear & ~date_unclear
+    return (F.round(score, 9) >= 0.8) & (coverage >= 0.7) & ~required & ~manager_unclear & ~date_unclear
 
 
 def spot_checked(doc_id: Column, share: int = SPOT_CHECK_SHARE) -> Column:

@@ -190,7 +190,7 @@ def run(docs: DataFrame, ask: Mapping[str, Callable], path: str, asof: Column, w
     rows = rows.join(by_doc.drop("calls"), "doc_id", "left").join(said, "doc_id", "left").join(confidence.summary_evidence(points, cites).withColumnRenamed("summary", "summary_score"), "doc_id", "left").join(profile_score, "doc_id", "left")
     c = F.col
     rows = rows.withColumn("scores", F.coalesce("scores", F.array().cast("array<double>")))
-    rows = rows.withColumn("score", confidence.document_score(F.coalesce("extraction", F.lit(0.0)), F.coalesce("profile", F.lit(0.0)), c("mean"), F.coalesce("summary_score", F.lit(0.0)))).withColumn("band", T.band(c("score")))
+    rows = rows.withColumn("score", confidence.document_score(F.coalesce("extraction", F.lit(0.0)), F.coalesce("profile", F.lit(0.0)), c("mean"), F.coalesce("summary_score", F.lit(0.0)))).withColumn("band", confidence.score_band(c("score")))
     unclear = [F.coalesce(x, F.lit(True)) for x in ("manager_unclear", "date_unclear")]
     reasons = confidence.attention(F.coalesce("coverage", F.lit(0.0)), F.lit(1.0), *unclear, c("scores"), F.coalesce("review", F.lit(False)))
     rows = rows.withColumn("reasons", reasons).withColumn("required", (F.size("reasons") > 0) | (c("band") == "LOW"))

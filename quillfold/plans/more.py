@@ -225,7 +225,7 @@ def _scored(spark, sf_dir):
     rows = rows.withColumn("scores", F.coalesce("scores", F.array().cast("array<double>"))).withColumn("review", F.coalesce("review", F.lit(False))).withColumn("summary", F.coalesce("summary", F.lit(0.0)))
     c = F.col
     rows = rows.withColumn("score", confidence.document_score(c("extraction"), c("profile"), c("mean"), c("summary")))
-    rows = rows.withColumn("reasons", confidence.attention(c("coverage"), c("ocr"), c("manager_unclear"), c("date_unclear"), c("scores"), c("review"))).withColumn("band", T.band(c("score")))
+    rows = rows.withColumn("reasons", confidence.attention(c("coverage"), c("ocr"), c("manager_unclear"), c("date_unclear"), c("scores"), c("review"))).withColumn("band", confidence.score_band(c("score")))
     rows = rows.withColumn("required", (F.size("reasons") > 0) | (c("band") == "LOW"))
     return rows.withColumn("auto", confidence.auto_publishable(c("score"), c("coverage"), c("required"), c("manager_unclear"), c("date_unclear"))).withColumn("spot", confidence.spot_checked(c("doc_id")))
 
