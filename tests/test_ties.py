@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quillfold.operators import confidence
+from quillfold.operators import confidence, exports
 
 
 def test_a_score_at_a_limit_has_one_band(spark):
@@ -11,3 +11,13 @@ def test_a_score_at_a_limit_has_one_band(spark):
     auto = confidence.auto_publishable(F.col("score"), F.lit(1.0), F.lit(False), F.lit(False), F.lit(False))
     got = [tuple(r) for r in rows.select(confidence.score_band(F.col("score")), auto).collect()]
     assert got == [("MEDIUM", False), ("MEDIUM", False), ("MEDIUM", False), ("HIGH", True), ("LOW", False)]
+
+
+def test_one_index_page_for_all(spark):
+    df = spark.range(2500).select(F.col("id").alias("doc_id"), F.lit("A page").alias("title"), F.lit(None).cast("string").alias("manager_name"), F.lit(None).cast("date").alias("publication_date"), F.lit(0.7).alias("score"),
+        F.lit("MEDIUM").alias("band"), F.lit(None).cast("string").alias("executive_summary"), F.lit(None).cast("array<struct<asset_class_category:string,sub_asset_class:string,call:string,confidence:double,rationale_bullets:array<string>,tooltip_text:string>>").alias("calls"),
+        F.array(F.struct(F.lit(1).alias("page"), F.lit("x").alias("excerpt"))).alias("citations"))
+    pack = exports.report_pack(df, items=None)
+    index = pack.where("name like 'index%'").select("name", F.regexp_extract_all("html", F.lit("<li><a href='([^']*)'"), 1).alias("names")).collect()
+    assert [r.name for r in index] == ["index.html"] and len(index[0].names) == 2500 and index[0].names == sorted(index[0].names)
+    assert exports.report_pack(df.limit(1), items=None).count() == 1
