@@ -38,11 +38,13 @@ def page_features(blocks: DataFrame, words: Sequence[str] = vocab.TRIAGE_WORDS,
 
 
 def page_scores(features: DataFrame) -> DataFrame:
+    """``prior, score``; scores are added up in whole hundredths, so equal ones tie and aren't told apart by the rounding of doubles."""
     share = (F.col("page") - 1) / (F.col("n_pages") - 1)
     prior = F.when(F.col("n_pages") <= 1, 0.0).when(share <= 0.2, 0.5).when(share.between(0.35, 0.7), 0.3).otherwise(0.0)
-    words = F.least(F.lit(3.0), 0.9 * F.col("keyword_unique") + F.least(F.lit(2.0), 0.15 * F.col("keyword_total")))
-    shape = F.least(F.lit(1.5), 0.1 * F.col("bullets") + (F.col("cells") >= 20).cast("double"))
-    return features.withColumn("prior", prior).withColumn("score", F.when(F.size("header_hits") > 0, 2.0).otherwise(0.0) + words + shape + F.col("prior") - F.when(F.col("penalty"), 1.5).otherwise(0.0))
+    words = F.least(F.lit(300), 90 * F.col("keyword_unique") + F.least(F.lit(200), 15 * F.col("keyword_total")))
+    shape = F.least(F.lit(150), 10 * F.col("bullets") + F.when(F.col("cells") >= 20, 100).otherwise(0))
+    hundredths = F.when(F.size("header_hits") > 0, 200).otherwise(0) + words + shape + F.round(100 * prior).cast("long") - F.when(F.col("penalty"), 150).otherwise(0)
+    return features.withColumn("prior", prior).withColumn("score", hundredths / F.lit(100.0))
 
 
 def neighbours(pages: DataFrame, window: int = 1) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quillfold.operators import confidence, exports
+from quillfold.operators import confidence, exports, triage
 
 
 def test_a_score_at_a_limit_has_one_band(spark):
@@ -13,6 +13,15 @@ def test_a_score_at_a_limit_has_one_band(spark):
     assert got == [("MEDIUM", False), ("MEDIUM", False), ("MEDIUM", False), ("HIGH", True), ("LOW", False)]
 
 
+def test_equal_page_scores_tie(spark):
+    """All counts whose scores are equal in hundredths give one double."""
+    rows = [(1, 1, 1, t, u, [], b, 0, False) for u in range(1, 6) for t in range(u, 25) for b in range(8)]
+    f = spark.createDataFrame(rows, "doc_id long, page int, n_pages int, keyword_total long, keyword_unique long, header_hits array<string>, bullets long, cells long, penalty boolean")
+    exact = lambda r: min(300, 90 * r.keyword_unique + min(200, 15 * r.keyword_total)) + min(150, 10 * r.bullets)
+    got = {(exact(r), r.score) for r in triage.page_scores(f).collect()}
+    assert got == {(k, k / 100) for k, _ in got}
+
+
 def test_one_index_page_for_all(spark):
     df = spark.range(2500).select(F.col("id").alias("doc_id"), F.lit("A page").alias("title"), F.lit(None).cast("string").alias("manager_name"), F.lit(None).cast("date").alias("publication_date"), F.lit(0.7).alias("score"),
         F.lit("MEDIUM").alias("band"), F.lit(None).cast("string").alias("executive_summary"), F.lit(None).cast("array<struct<asset_class_category:string,sub_asset_class:string,call:string,confidence:double,rationale_bullets:array<string>,tooltip_text:string>>").alias("calls"),
