@@ -110,10 +110,10 @@ def resolved(mentions: DataFrame, terms: DataFrame, assets: DataFrame, column: s
 
 
 def taxonomy_faults(calls: DataFrame, assets: DataFrame, category: str = "asset_class_category", sub: str = "sub_asset_class") -> DataFrame:
-    """Calls with ``fault``: unknown_category, unknown_sub_asset, mismatch or null."""
+    """Calls with ``fault``: unknown_category, unknown_sub_asset, mismatch or null. ``assets`` is a vocabulary and is broadcast: calls have few codes, each in a great part of the rows."""
     cats = assets.select(F.col("category").alias("_c")).distinct()
     subs = assets.select(F.col("sub_asset").alias("_s"), F.col("category").alias("_sc"))
-    rows = calls.join(cats, F.col(category) == F.col("_c"), "left").join(subs, F.col(sub) == F.col("_s"), "left")
+    rows = calls.join(F.broadcast(cats), F.col(category) == F.col("_c"), "left").join(F.broadcast(subs), F.col(sub) == F.col("_s"), "left")
     fault = F.when(F.col("_s").isNull(), "unknown_sub_asset").when(F.col("_c").isNull() & ~F.col(category).isin(*vocab.TAXONOMY), "unknown_category").when(F.col("_sc") != F.col(category), "mismatch")
     return rows.withColumn("fault", fault).drop("_c", "_s", "_sc")
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quillfold.operators import confidence, exports, triage
+from quillfold.operators import calls, confidence, exports, triage
 
 
 def test_a_score_at_a_limit_has_one_band(spark):
@@ -30,3 +30,10 @@ def test_one_index_page_for_all(spark):
     index = pack.where("name like 'index%'").select("name", F.regexp_extract_all("html", F.lit("<li><a href='([^']*)'"), 1).alias("names")).collect()
     assert [r.name for r in index] == ["index.html"] and len(index[0].names) == 2500 and index[0].names == sorted(index[0].names)
     assert exports.report_pack(df.limit(1), items=None).count() == 1
+
+
+def test_taxonomy_faults_do_not_shuffle_calls(spark):
+    code = lambda *codes: F.get(F.array(*map(F.lit, codes)), (F.col("id") % 2).cast("int"))
+    rows = spark.range(1000).select(code("EQ_DM", "NOPE").alias("asset_class_category"), code("EQ_US", "EUR").alias("sub_asset_class"))
+    plan = calls.taxonomy_faults(rows, calls.taxonomy(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
