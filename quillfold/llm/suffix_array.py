@@ -27,7 +27,7 @@ class BlockQueue:
 
     def __init__(self, symbols: int, memory: int = MEMORY):
         self.lists: list[list] = [[] for _ in range(symbols)]
-        self.held, self.memory, self.file = 0, memory, None
+        self.held, self.memory, self.file, self.kind = 0, memory, None, np.dtype(np.int64)
 
     def push(self, symbols: np.ndarray, suffixes: np.ndarray) -> None:
         """Suffixes of equal symbols keep the order in which they come."""
@@ -39,6 +39,7 @@ class BlockQueue:
         for a, b in zip(cut, [*cut[1:], len(symbols)], strict=True):
             self.lists[int(symbols[a])].append(suffixes[a:b])
         self.held += suffixes.nbytes
+        self.kind = suffixes.dtype
         if self.held > self.memory:
             self._spill()
 
@@ -61,11 +62,11 @@ class BlockQueue:
         for block in blocks:
             if isinstance(block, tuple):
                 self.file.seek(block[0])
-                block = np.frombuffer(self.file.read(8 * block[1]), np.int64)
+                block = np.frombuffer(self.file.read(self.kind.itemsize * block[1]), self.kind)
             else:
                 self.held -= block.nbytes
             out.append(block)
-        return np.concatenate(out) if out else np.zeros(0, np.int64)
+        return np.concatenate(out) if out else np.zeros(0, self.kind)
 
     def close(self) -> None:
         if self.file:
@@ -115,7 +116,7 @@ def _induce(t: np.ndarray, up: np.ndarray, lms: np.ndarray, symbols: int, memory
             before = before[up[before]]
             rise.push(t[before], before)
             block = rise.pop(c)
-        own = np.concatenate(falling[c])[::-1] if falling[c] else np.zeros(0, np.int64)
+        own = np.concatenate(falling[c])[::-1] if falling[c] else lms[:0]
         before = own[own > 0] - 1
         before = before[up[before]]
         rise.push(t[before], before)
@@ -123,17 +124,14 @@ def _induce(t: np.ndarray, up: np.ndarray, lms: np.ndarray, symbols: int, memory
     rise.close()
     # the last suffix is the least and is induced by nothing
     order = np.concatenate(out)[::-1]
-    return np.concatenate([[n - 1], order[order != n - 1]])
+    return np.concatenate([np.array([n - 1], order.dtype), order[order != n - 1]])
 
 
-def _ranks(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, int]:
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), np.int64)
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    order = np.argsort(keys)
+    s = keys[order]
     rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new)
+    rank[order] = np.cumsum(np.r_[False, s[1:] != s[:-1]])
     return rank, int(rank.max()) + 1 if len(rank) else 0
 
 
@@ -142,13 +140,14 @@ def suffix_array(text: bytes, depth: int | None = None, memory: int = MEMORY) ->
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
-    t = np.zeros(n + 1, np.int64)
+    # symbols of 16 bits are dealt to their lists by a radix sort
+    t = np.zeros(n + 1, np.uint16)
     t[:n] = np.frombuffer(text, np.uint8)
     t[:n] += 1
     up = _rising(t)
     is_lms = np.zeros(n + 1, bool)
     is_lms[1:] = up[1:] & ~up[:-1]
-    lms = np.flatnonzero(is_lms)
+    lms = np.flatnonzero(is_lms).astype(np.int32 if n < 1 << 31 else np.int64)
     first = _induce(t, up, lms, 257, memory)
     in_order = first[is_lms[first]]
     # names: neighbours in this order are equal if their substrings up to the next LMS suffix are
@@ -176,7 +175,7 @@ def suffix_array(text: bytes, depth: int | None = None, memory: int = MEMORY) ->
     while count < len(lms) and (depth is None or 2 * reach <= depth + 2):
         next_rank = np.full(len(rank), -1, np.int64)
         next_rank[:-reach or None] = rank[reach:] if reach < len(rank) else next_rank[:-reach or None]
-        rank, count = _ranks((rank, next_rank))
+        rank, count = _ranks(rank * (count + 1) + next_rank + 1)
         reach *= 2
     ordered = lms[np.argsort(rank, kind="stable")]
     return _induce(t, up, ordered, 257, memory)[1:]

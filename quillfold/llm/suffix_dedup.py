@@ -100,29 +100,34 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def first_occurrences(stretches: list[bytes], firsts: list[np.ndarray], length: int) -> list[np.ndarray]:
-    """For each start in each stretch the least of ``firsts`` over equal strings of ``length`` bytes.
+def _spread(sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places ``at[k], at[k] + 1, ...``, ``sizes[k]`` of them, one k after the other."""
+    return np.arange(sizes.sum()) + np.repeat(at - np.cumsum(sizes) + sizes, sizes)
 
-    ``firsts`` gives an order number for each start of a stretch.
+
+def first_occurrences(stretches: list[bytes], first: np.ndarray, length: int) -> np.ndarray:
+    """For each start in each stretch the least of ``first`` over equal strings of ``length`` bytes.
+
+    ``first`` gives an order number for each start of the stretches, one after the other.
     """
     text = b"".join(stretches)
     sizes = np.array([len(s) for s in stretches])
-    offset = np.cumsum(sizes) - sizes
-    starts = sizes - length + 1
+    starts = _spread(sizes - length + 1, np.cumsum(sizes) - sizes)
     valid = np.zeros(len(text) + 1, bool)
+    valid[starts] = True
     value = np.zeros(len(text) + 1, np.int64)
-    for o, s, f in zip(offset.tolist(), starts.tolist(), firsts, strict=True):
-        valid[o : o + s] = True
-        value[o : o + s] = f
+    value[starts] = first
     order = suffix_array(text, length)
     order = order[valid[order]]
     if not len(order):
-        return [f[:0] for f in firsts]
+        return first[:0]
+    # neighbours whose common prefix reaches ``length``, by words of eight bytes, the last of which may overlap
+    step = min(8, length)
     t = np.frombuffer(text, np.uint8)
-    # neighbours whose common prefix reaches ``length``
+    words = np.ndarray(len(t) - step + 1, "<u8", t, strides=(1,)).copy() if step == 8 else t
     open_at = np.arange(1, len(order))
-    for k in range(0, length):
-        open_at = open_at[t[order[open_at] + k] == t[order[open_at - 1] + k]]
+    for k in [*range(0, length - 8, 8), length - 8] if step == 8 else range(length):
+        open_at = open_at[words[order[open_at] + k] == words[order[open_at - 1] + k]]
         if not len(open_at):
             break
     new = np.ones(len(order), bool)
@@ -130,40 +135,71 @@ def first_occurrences(stretches: list[bytes], firsts: list[np.ndarray], length:
     group = np.cumsum(new) - 1
     least = np.minimum.reduceat(value[order], np.flatnonzero(new))
     value[order] = least[group]
-    return [value[o : o + s] for o, s in zip(offset.tolist(), starts.tolist(), strict=True)]
+    return value[starts]
+
+
+#: Starts whose repeats are looked up at once.
+STARTS = 1 << 20
 
 
-def _shard(rows: list[tuple], length: int) -> list[tuple]:
-    """(doc, h, repeat first, repeat last, rest, low, high) of stretches ``(hot, doc, h, start, text, anchor, low, high)`` of some anchors."""
-    ids = sorted({(r[1], r[2]) for r in rows})
-    number = {x: k << 32 for k, x in enumerate(ids)}
-    by_text: dict[bytes, list[int]] = {}
-    for k, r in enumerate(rows):
-        by_text.setdefault(r[4], []).append(k)
-    keys = np.array([number[r[1], r[2]] + r[3] for r in rows], np.int64)
+def _shard(rows: list[tuple], length: int) -> list[np.ndarray | list]:
+    """doc, h, repeat first, repeat last, rest, low and high of stretches ``(hot, doc, h, start, text, anchor, low, high)`` of some anchors."""
+    hot, doc, h, start, raw, anchor, low, high = zip(*rows, strict=True)
+    hot, (doc, h, start, anchor) = np.array(hot, bool), (np.array(x, np.int64) for x in (doc, h, start, anchor))
+    order = np.lexsort((h, doc))
+    number = np.empty(len(rows), np.int64)
+    number[order] = np.cumsum(np.r_[False, (doc[order[1:]] != doc[order[:-1]]) | (h[order[1:]] != h[order[:-1]])])
+    keys = (number << 32) + start
+    by_text: dict[bytes, int] = {}
+    mine = np.array([by_text.setdefault(t, len(by_text)) for t in raw], np.int64)
     texts = list(by_text)
-    bases = [int(keys[v].min()) for v in by_text.values()]
-    firsts = [b + np.arange(len(t) - length + 1) for b, t in zip(bases, texts, strict=True)]
+    sizes = np.array([len(t) for t in texts]) - length + 1
+    at = np.cumsum(sizes) - sizes
+    base = np.full(len(texts), np.iinfo(np.int64).max)
+    np.minimum.at(base, mine, keys)
+    first = _spread(sizes, base)
     # strings of one stretch differ, as the anchor's place in each does: an anchor with one stretch needs no sorting
-    anchor_of = [rows[v[0]][5] for v in by_text.values()]
-    times = Counter(anchor_of)
-    several = [k for k, a in enumerate(anchor_of) if times[a] > 1]
-    if several:
-        for k, first in zip(several, first_occurrences([texts[k] for k in several], [firsts[k] for k in several], length), strict=True):
-            firsts[k] = first
-    out = []
-    for members, first in zip(by_text.values(), firsts, strict=True):
-        offsets = np.arange(len(first))
-        for k in members:
-            repeat = keys[k] + offsets > first
-            if repeat.all():
-                out.append((rows[k][1], rows[k][2], rows[k][3], rows[k][3] + len(first) - 1, None, None, None))
-                continue
-            a, b = _runs(repeat)
-            out += [(rows[k][1], rows[k][2], rows[k][3] + x, rows[k][3] + y, None, None, None) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-            if rows[k][0]:
-                out.append((rows[k][1], rows[k][2], rows[k][3], -1, rows[k][4], rows[k][6], rows[k][7]))
-    return out
+    _, which, times = np.unique(anchor[np.unique(mine, return_index=True)[1]], return_inverse=True, return_counts=True)
+    several = times[which] > 1
+    if several.any():
+        sorted_too = np.repeat(several, sizes)
+        first[sorted_too] = first_occurrences([texts[k] for k in np.flatnonzero(several).tolist()], first[sorted_too], length)
+    out, more = [], []
+    count = sizes[mine]
+    part = np.cumsum(count) // STARTS
+    edge = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+    for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        n = count[a:z]
+        begin = np.cumsum(n) - n
+        place = _spread(n, keys[a:z])
+        repeat = place > first[_spread(n, at[mine[a:z]])]
+        new = np.zeros(len(repeat) + 1, bool)
+        new[begin] = new[-1] = True
+        x = np.flatnonzero(repeat & (new[:-1] | ~np.r_[False, repeat[:-1]]))
+        y = np.flatnonzero(repeat & (new[1:] | ~np.r_[repeat[1:], False]))
+        own = a + np.searchsorted(begin, x, side="right") - 1
+        low_bits = (1 << 32) - 1
+        out.append((doc[own], h[own], place[x] & low_bits, place[y] & low_bits))
+        more.append(a + np.flatnonzero(hot[a:z] & (np.add.reduceat(repeat.astype(np.int64), begin) < n)))
+    rest = np.concatenate(more)
+    out.append((doc[rest], h[rest], start[rest], np.full(len(rest), -1)))
+    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+    none = [None] * (len(columns[0]) - len(rest))
+    return columns + [none + [c[k] for k in rest.tolist()] for c in (raw, low, high)]
+
+
+def _values(c: pa.Array) -> list:
+    """What ``to_pylist`` gives, sooner for whole numbers and strings of bytes."""
+    if c.null_count or not len(c):
+        return c.to_pylist()
+    if pa.types.is_binary(c.type):
+        c = c.cast(pa.large_binary())
+        _, at, data = c.buffers()
+        at = np.frombuffer(at, np.int64)[c.offset : c.offset + len(c) + 1]
+        data = memoryview(data)[at[0] : at[-1]].tobytes() if data else b""
+        at = (at - at[0]).tolist()
+        return [data[a:z] for a, z in zip(at[:-1], at[1:], strict=True)]
+    return c.to_numpy(zero_copy_only=False).tolist()
 
 
 _REPEATS = "anchor long, doc_id long, h long, first long, last long, rest binary, low int, high int"
@@ -178,14 +214,13 @@ def _repeats(stretches: DataFrame, length: int, large: int | None) -> DataFrame:
         schema = pa.schema(list(zip(("anchor", "doc_id", "h", "first", "last", "rest", "low", "high"), kinds, strict=True)))
 
         def done(rows, anchor):
-            got = _shard(rows, length) if rows else []
-            cols = list(zip(*got, strict=True)) or [()] * 7
-            return pa.RecordBatch.from_arrays([pa.array([anchor] * len(got), pa.int64()), *[pa.array(c, t) for c, t in zip(cols, kinds[1:], strict=True)]], schema=schema)
+            cols = _shard(rows, length) if rows else [()] * 7
+            return pa.RecordBatch.from_arrays([pa.array([anchor] * len(cols[0]), pa.int64()), *[pa.array(c, t) for c, t in zip(cols, kinds[1:], strict=True)]], schema=schema)
 
         # ``held`` are stretches of several small anchors, or of one hot or large one
         held, size, at, own, begun = [], 0, None, 0, 0
         for b in batches:
-            columns = [c.to_pylist() for c in b.columns]
+            columns = [_values(c) for c in b.columns]
             for anchor, salt, hot, doc, h, start, text, low, high in zip(*columns, *[repeat(None)] * (9 - len(columns))):  # noqa: B905
                 if (anchor, salt) != at:
                     if held and (size > BATCH or hot or held[0][0]):
@@ -266,27 +301,33 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
         for b in batches:
             out = [[], [], []]
             for doc, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                hashes, places, _, _ = anchors(t.as_py().encode(), length)
-                for col, x in zip(out, (hashes, np.full(len(hashes), doc), places), strict=True):
+                hashes, _, first, last = anchors(t.as_py().encode(), length)
+                for col, x in zip(out, (hashes, np.full(len(hashes), doc), (first << bits) + last - first), strict=True):
                     col.append(x)
-            cols = [np.concatenate(x).astype(kind) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.int32), strict=True)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.isin(cols[0], hot))], ["anchor", "doc_id", "place", "hot"])
+            cols = [np.concatenate(x).astype(kind) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.int64), strict=True)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.isin(cols[0], hot))], ["anchor", "doc_id", "starts", "hot"])
 
-    schema = "anchor long, doc_id long, place int, hot boolean"
+    # the first start of an anchor and how many follow are one number: these rows are most of what is shuffled
+    bits = max(8, length.bit_length())
+    schema = "anchor long, doc_id long, starts long, hot boolean"
     hot = np.zeros(0, np.int64)
     sample = own.select("doc_id", "text").sample(0.02, seed=1).mapInArrow(anchored, schema)
     # these are repeated without a count; no task gathers their places. Which ones are told from the start changes the work alone
     hot = np.array([r.anchor for r in sample.groupBy("anchor").count().where("count > 20").orderBy(F.desc("count"), "anchor").limit(HINTS).collect()], np.int64)
     spots = own.select("doc_id", "text").mapInArrow(anchored, schema)
     salted = spots.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0))
-    marked = salted.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor", "salt"))).where("n > 1 or hot").select("doc_id", "place", "hot")
-    wanted = marked.groupBy("doc_id").agg(F.collect_set(F.struct("place", "hot")).alias("want"))
-    texts = written(own.join(wanted, "doc_id").dropDuplicates(["doc_id", "h"]), "passages")
+    marked = salted.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor", "salt"))).where("n > 1 or hot").select("doc_id", "starts", "anchor")
+    wanted = marked.groupBy("doc_id").agg(F.collect_set(F.struct("starts", "anchor")).alias("want"))
+    # several texts under one id: which of them has an anchor isn't known
+    shared = facts.groupBy("doc_id").agg(F.min("h") != F.max("h")).toDF("doc_id", "shared").where("shared")
+    asked = wanted.join(sized(written(shared, "shared")), "doc_id", "left")
+    texts = written(own.join(asked, "doc_id").dropDuplicates(["doc_id", "h"]), "passages")
 
     def cut(batches):
         schema = pa.schema([("anchor", pa.int64()), ("salt", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("h", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("text", pa.binary())])
         held: dict[bytes, tuple] = {}
         size = 0
+        known = set(hot.tolist())
 
         def stretches():
             rows = [(anchor, doc % SALTS if hot else 0, hot, doc, h, first, last, text) for text, (doc, h, first, last, anchor, hot) in held.items()]
@@ -295,16 +336,22 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
 
         for b in batches:
             repeats = []
-            for doc, h, t, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
+            want = list(zip(*map(_values, b.column(3).flatten().flatten()), strict=True))
+            ends = np.cumsum(b.column(3).value_lengths().to_numpy()).tolist()
+            for doc, h, t, begin, end, shared in zip(_values(b.column(0)), _values(b.column(1)), b.column(2), [0, *ends], ends, b.column(4).to_pylist()):  # noqa: B905
                 raw = t.as_py().encode()
-                asked = {w["place"]: w["hot"] for w in want}
-                found = anchors(raw, length)
-                mine = np.isin(found[1], list(asked))
+                asked = sorted(want[begin:end])
+                if shared:
+                    own = {anchor for _, anchor in asked}
+                    hashes, _, first, last = anchors(raw, length)
+                    asked = [x for x in zip(((first << bits) + last - first).tolist(), hashes.tolist(), strict=True) if x[1] in own]
                 run = None
-                for anchor, place, first, last in zip(*(x[mine].tolist() for x in found), strict=True):
+                for starts, anchor in asked:
+                    first = starts >> bits
+                    last = first + (starts & (1 << bits) - 1)
                     text = raw[first : last + length]
                     old = held.get(text)
-                    new = doc, h, first, last, anchor, asked[place]
+                    new = doc, h, first, last, anchor, anchor in known
                     if old is None:
                         held[text] = new
                         size += len(text) + 300
@@ -327,7 +374,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
                 size = 0
         yield stretches()
 
-    pieces = written(texts.select("doc_id", "h", "text", "want").mapInArrow(cut, "anchor long, salt long, hot boolean, doc_id long, h long, first long, last long, text binary"), "stretches")
+    pieces = written(texts.select("doc_id", "h", "text", "want", "shared").mapInArrow(cut, "anchor long, salt long, hot boolean, doc_id long, h long, first long, last long, text binary"), "stretches")
     stretches = pieces.where("text is not null").select("anchor", "salt", "hot", "doc_id", "h", F.col("first").alias("start"), "text")
     found = written(_repeats(stretches, length, LARGE), "repeats")
     repeats = found.where("rest is null").select("doc_id", "h", "first", "last")

@@ -547,6 +547,37 @@ def test_a_hot_phrase_in_ever_other_surroundings_parts(spark, monkeypatch):
     assert got == brute_repeats(rows, 40) and most and max(most) < 40
 
 
+def test_texts_that_share_an_id_keep_their_own_anchors(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common = [word(60) for _ in range(4)]
+    rows = [(i % 30, word(rng.randint(0, 90)) + rng.choice(common) + word(rng.randint(0, 90)) + rng.choice(common)) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    rank = {tuple(r)[1:]: k for k, r in enumerate(df.select(F.xxhash64("text").alias("h"), "doc_id", "text").orderBy("doc_id", "h").collect())}
+    want = brute_repeats([(rank[r], r[1]) for r in rows], 20)
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeated_passages(df, 20).collect())
+    assert got == sorted((i, *want[k]) for (i, _), k in rank.items())
+
+
+@pytest.mark.parametrize("starts", [1, 50, 1 << 20])
+def test_a_shard_gives_arrays_of_runs(monkeypatch, starts):
+    """Repeats of all stretches are looked up together, in parts of any size; places take 32 bits while a text allows it."""
+    monkeypatch.setattr(suffix_dedup, "STARTS", starts, raising=False)
+    rng = random.Random(starts)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(12, 20))) for _ in range(60)]
+    rows = [(k % 3 == 0, 7 * k % 40, k % 2, 1000 * k, t, k % 4, None, None) for k, t in enumerate(texts)]
+    doc, h, first, last, rest, _, _ = suffix_dedup._shard(rows, 12)
+    own = {(r[1], r[2], r[3] + j): (r[5], r[4][j : j + 12]) for r in rows for j in range(len(r[4]) - 11)}
+    least = {}
+    for place in sorted(own):
+        least.setdefault(own[place][1], place)
+    gone = {(d, x, p) for d, x, a, z in zip(doc.tolist(), h.tolist(), first.tolist(), last.tolist(), strict=True) for p in range(a, z + 1)}
+    assert gone == {place for place, (_, t) in own.items() if least[t] != place}
+    some_left = {r[3] for r in rows if r[0] and any((r[1], r[2], r[3] + j) not in gone for j in range(len(r[4]) - 11))}
+    assert {int(a) for a, t in zip(first, rest, strict=True) if t is not None} == some_left
+    assert suffix_array.suffix_array(b"banana").dtype == np.int32
+
+
 def test_repeated_passages_edges(spark):
     got = suffix_dedup.repeated_passages(edge(spark), 20)
     assert got.count() == len(EDGE) and got.where("doc_id = 9").first().n_removed == 4999
