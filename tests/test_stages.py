@@ -81,3 +81,21 @@ def test_a_result_for_another_version_or_attempt_counts_for_nothing(spark, tmp_p
         q.stop()
     assert tuple(S.ended(spark, path, ["upper"]).first()) == (1, "done", None, 1, "A", None)
     assert S.ended(spark, str(tmp_path / "nowhere"), ["upper"]).count() == 0
+
+
+def test_documents_of_one_group_pass_all_stages_in_one_round(spark, tmp_path, monkeypatch):
+    """What goes well comes back as one result; retries of documents that share a group's state are told apart."""
+    monkeypatch.setattr(S, "BUCKETS", 2, raising=False)
+    src, path = str(tmp_path / "in"), str(tmp_path / "run")
+    texts = ["a", "bad", "c", "lost", "e", "bad too", "g", "lost too"]
+    feed(spark, src, [doc(i, 1, t) for i, t in enumerate(texts)])
+    q = S.start(source(spark, src), [("upper", upper), ("mark", marked)], path, tries=2, delay_ms=200, every="0 seconds")
+    try:
+        S.wait(q, lambda: S.ended(spark, path, ["upper", "mark"]).count() == len(texts), 120)
+    finally:
+        q.stop()
+    got = {r.doc_id: tuple(r)[1:5] for r in S.ended(spark, path, ["upper", "mark"]).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == (("failed", "upper", 2, None) if "bad" in t else ("failed", "mark", 2, None) if "lost" in t else ("done", None, 1, t.upper() + "!"))
+    back = {r.doc_id: r["count"] for r in spark.read.schema(S.MESSAGE).parquet(f"{path}/results").groupBy("doc_id").count().collect()}
+    assert back == {i: 2 if "bad" in t or "lost" in t else 1 for i, t in enumerate(texts)}
