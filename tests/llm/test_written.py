@@ -1,4 +1,6 @@
-"""What jobs that write a table send to Python."""
+"""What jobs that write a table send to Python, and what they leave behind."""
+
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -17,3 +19,21 @@ def test_batches_of_long_texts_are_bounded_by_bytes(spark):
     assert sum(r.n for r in found) == 900
     assert max(r["size"] for r in found) < 2 * BATCH_BYTES
     assert spark.conf.get(key) == before
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {n for k in range(found.size()) if (n := found.apply(k).getName()).startswith("shuffle_")}
+
+    before = files()
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    table = written(counts, "counts")
+    for _ in range(50):  # removed by messages
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == counts.count() == 7
